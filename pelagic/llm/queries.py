@@ -10,7 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .mixing import mix_sources
 from .packing import pack_documents
+from .quality import quality_scores
 from .token_counts import token_counts
+from .toxicity import toxicity_scores
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +36,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op3_mix_sources": op3_mix_sources,
     "op7_pack_documents": op7_pack_documents,
     "op8_token_counts": op8_token_counts,
