@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import chain
@@ -45,16 +46,33 @@ class WordIds:
         self.seen: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [_lower(t).replace("\n", " ").split(" ") for t in texts]
         words = set(chain.from_iterable(split))
         if len(self.seen) + len(words) > self.entries:
             self.seen = {}
-        fresh = list(words - self.seen.keys())
+        fresh = {w for w in words if w not in self.seen}
+        # letters and one full stop or comma are two pre-tokens, so that the letters alone are enough
+        ended = {w: w[:-1] for w in fresh if w and w[-1] in ".," and w[:-1].isalpha() and max(w) < "\u0100"}
+        if ended:
+            fresh = {w for w in {*fresh, *ended.values(), ".", ","} if w not in self.seen and w not in ended}
+        fresh = list(fresh)
         encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.seen.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(fresh, encoded))
+        self.seen.update((w, array("I", x.ids).tobytes()) for w, x in zip(fresh, encoded))
+        self.seen.update((w, self.seen[base] + self.seen[w[-1]]) for w, base in ended.items())
         return [b"".join(map(self.seen.__getitem__, x)) for x in split]
 
 
+def _lower(text: str) -> str:
+    """In lower case if that is surely what the tokenizer makes of it; else as it is, to be lowered there."""
+    if "<|" in text:  # special tokens are found before letters are lowered
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 _tokenizers: dict[str, WordIds] = {}
 
 

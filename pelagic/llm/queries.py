@@ -11,6 +11,7 @@ from .common import table
 from .mixing import mix_sources
 from .packing import pack_documents
 from .quality import quality_scores
+from .quality_rules import quality_report
 from .token_counts import token_counts
 from .toxicity import toxicity_scores
 
@@ -27,6 +28,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), copy_col="copy")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op3_mix_sources": op3_mix_sources,
+    "op6_quality_rules": op6_quality_rules,
     "op7_pack_documents": op7_pack_documents,
     "op8_token_counts": op8_token_counts,
 }

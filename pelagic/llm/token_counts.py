@@ -128,8 +128,7 @@ class TokenCounter:
     def counts(self, texts: list[str | None]) -> list[int]:
         split = [t.replace(MARK, " ").replace("\n", " \n").split(" ") if t else [] for t in texts]
         words = set(chain.from_iterable(split))
-        if not self.seen.keys() >= words:
-            self.learn(words if len(self.seen) + len(words) > self.entries else words - self.seen.keys())
+        self.learn(words)
         return [self.spaced(x) if "" in x else sum(map(self.seen.__getitem__, x)) for x in split]
 
     def spaced(self, words: list[str]) -> int:
