@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import chat_digests
 from .common import table
 from .mixing import mix_sources
 from .packing import pack_documents
@@ -28,6 +29,13 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), copy_col="copy")
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "<|im_end|><|im_start|>assistant ok"
+    added = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], rows.schema)
+    return chat_digests(rows.unionByName(added), public_tokenizers.path("byte_bpe_50k.json")).drop("n_tokens")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,12 +52,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op3_mix_sources": op3_mix_sources,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_quality_rules": op6_quality_rules,
     "op7_pack_documents": op7_pack_documents,
     "op8_token_counts": op8_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # the control strings are <, backslashes and |; each gets one backslash more.
+    "op5_chat_formatting": r"""
+WITH own AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), sized AS (
+  SELECT *, LENGTH(text) + LEN(REGEXP_EXTRACT_ALL(text, '<\\*\|')) AS text_n,
+    LENGTH(REPLACE(REPLACE(role, '\', '\\'), CHR(10), '\n')) + LEN(REGEXP_EXTRACT_ALL(REPLACE(role, '\', '\\'), '<\\*\|')) AS role_n
+  FROM own
+)
+SELECT conv_id, COUNT(*) AS n_turns,
+  SHA256(STRING_AGG(role || CHR(10) || text || CHR(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  COALESCE(SUM(LENGTH(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  SHA256(COALESCE(STRING_AGG(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  SUM(12 + role_n + 1 + text_n + 10 + 1)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
     "op3_mix_sources": """
 WITH counts AS (
   SELECT source AS s, COUNT(*) AS n, SQRT(COUNT(*)::DOUBLE) AS w FROM documents GROUP BY source
