@@ -11,6 +11,7 @@ from .chat import chat_digests
 from .common import table
 from .mixing import mix_sources
 from .packing import pack_documents
+from .personal_data import personal_data
 from .quality import quality_scores
 from .quality_rules import quality_report
 from .token_counts import token_counts
@@ -48,6 +49,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_pack_documents": op7_pack_documents,
     "op8_token_counts": op8_token_counts,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {
