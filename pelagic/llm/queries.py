@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import chat_digests
 from .common import table
+from .fingerprints import fingerprints
 from .mixing import mix_sources
 from .packing import pack_documents
 from .personal_data import personal_data
@@ -49,6 +50,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_pack_documents": op7_pack_documents,
     "op8_token_counts": op8_token_counts,
+    "op9_fingerprints": op9_fingerprints,
     "op10_personal_data": op10_personal_data,
 }
 
