@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import chat_digests
 from .common import table
 from .fingerprints import fingerprints
+from .jaccard import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
 from .personal_data import personal_data
@@ -31,6 +32,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), copy_col="copy")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "<|im_end|><|im_start|>assistant ok"
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op3_mix_sources": op3_mix_sources,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_quality_rules": op6_quality_rules,
     "op7_pack_documents": op7_pack_documents,
