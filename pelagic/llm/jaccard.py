@@ -8,10 +8,14 @@ too) and a band has one division into parts. Let D = size // 3, which bounds the
 in part order, D + 1 of its parts that are not empty, and a slack. Of the first D + 1 parts of either set one is untouched
 by the difference, hence equal in both and emitted by both: joining on (band, part, content) finds every pair.
 
-Hot parts. A part shared by more than GROUP sets gives no pairs. A set with no more hot parts than its slack still finds
-all partners by the others, and so does its partner through it. Only between two sets that both have more hot parts than
-slack is a pair open; these are compared along their hot parts: first with one pivot each, which settles families of near
-copies, then, where sets of different components are left, block against block by sketch.
+Counting. Of the D + 1 + slack parts that the set which stops first emits, more than its slack are untouched: partners
+share so many parts at least, and pairs that share fewer are none.
+
+Hot parts. A part shared by more than GROUP sets gives no pairs; what a set's hot parts might add is taken off the count
+that its pairs need. A set with no more hot parts than its slack still finds all partners by the others, and so does its
+partner through it. Only between two sets that both have more hot parts than slack is a pair open. These are compared
+along their hot parts: first each with a central set (all of whose parts are hot), which settles families of near copies;
+then, where sets of different components still meet, block against block by sketch.
 
 Filters. Sizes, then the Hamming distance of whole parity sketches, which is a lower bound of the difference. What
 remains is verified on the sets themselves.
@@ -27,7 +31,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, small_batches
@@ -42,8 +46,8 @@ BUCKET_ENTRIES = 500_000
 FLUSH_ENTRIES = 1_000_000
 #: Sets of a block when irregular sets are compared.
 BLOCK = 512
-#: Rounds of comparison with a pivot.
-STARS = 3
+#: Hot parts of a set along which it is compared with a central set.
+STAR_PARTS = 3
 #: Up to so many document numbers are broadcast to the scan that fetches their texts; beyond, they are joined by shuffle.
 BROADCAST_IDS = 200_000
 CACHE_ENTRIES = 600_000
@@ -180,9 +184,9 @@ def _emitted(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _grouped(emitted: DataFrame, buckets: int, group: int) -> DataFrame:
-    """(a, b, hot): pairs of nodes that share a part; for hot parts (node, number of the part, true)."""
+    """(a, b, shared): pairs of nodes and how many parts of the bucket they share; (node, number of the part, 0) for hot ones."""
 
-    def find(bucket: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def find(bucket: int, blobs: list[bytes]) -> list[np.ndarray]:
         sizes = [len(b) // 12 for b in blobs]
         key = np.concatenate([np.frombuffer(b, np.uint32, n) for b, n in zip(blobs, sizes)])
         node = np.concatenate([np.frombuffer(b, np.int64, n, 4 * n) for b, n in zip(blobs, sizes)])
@@ -197,18 +201,18 @@ def _grouped(emitted: DataFrame, buckets: int, group: int) -> DataFrame:
             if len(rows):
                 members = node[rows[:, None] + np.arange(g)]
                 i, j = np.triu_indices(g, 1)
-                pairs.append(np.unique((members[:, i] << 32 | members[:, j]).ravel()))
-        pair = np.unique(np.concatenate(pairs))
+                pairs.append((members[:, i] << 32 | members[:, j]).ravel())
+        pair, shared = np.unique(np.concatenate(pairs), return_counts=True)
         hot = np.repeat(size > group, size)
-        return names[pair >> 32], names[pair & 0xFFFFFFFF], names[node[hot]], key[hot] * np.int64(buckets) + bucket
+        a, b = np.r_[names[pair >> 32], names[node[hot]]], np.r_[names[pair & 0xFFFFFFFF], key[hot] * np.int64(buckets) + bucket]
+        return [a, b, np.r_[shared, np.zeros(len(a) - len(pair), np.int64)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[pa.RecordBatch]:
             if blobs:
-                a, b, node, part = find(current, blobs)
-                columns = [np.r_[a, node], np.r_[b, part], np.r_[np.zeros(len(a), bool), np.ones(len(node), bool)]]
+                columns = find(current, blobs)
                 for at in range(0, len(columns[0]), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 200_000]) for c in columns], names=["a", "b", "hot"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 200_000]) for c in columns], names=["a", "b", "shared"])
 
         current, blobs = -1, []
         for batch in batches:
@@ -219,7 +223,7 @@ def _grouped(emitted: DataFrame, buckets: int, group: int) -> DataFrame:
                 blobs.append(blob)
         yield from made()
 
-    return emitted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long, hot boolean")
+    return emitted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long, shared long")
 
 
 class JaccardJoin:
@@ -237,32 +241,46 @@ class JaccardJoin:
         total = self.nodes.agg(F.sum("n")).first()[0] or 0
         buckets = int(max(8, total * 0.7 // BUCKET_ENTRIES))
         found = materialize(_grouped(_emitted(self.docs, buckets), buckets, self.group), "jaccard-found")
-        links = self.verified(found.where("not hot").select("a", "b").distinct())
-        hot = found.where("hot").select(F.col("a").alias("node"), F.col("b").alias("part"))
+        hot = found.where("shared = 0").select(F.col("a").alias("node"), F.col("b").alias("part"))
         count = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
-        irregular = count.join(self.nodes.select("node", "n"), "node").where("hot > n div 8").select("node", "n")
-        open_ = materialize(hot.join(irregular, "node").select("part", "node", "n"), "jaccard-open")
+        need = self.nodes.join(count, "node", "left").select("node", "n", F.coalesce("hot", F.lit(0)).alias("hot"))
+        need = materialize(need.withColumn("need", F.expr("n div 8 + 1 - hot")), "jaccard-needed")
+        pairs = found.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+        bounds = need.select("node", "need")
+        pairs = pairs.join(bounds.toDF("a", "x"), "a").join(bounds.toDF("b", "y"), "b").where("shared >= least(x, y)").select("a", "b")
+        links = self.verified(pairs)
+        open_ = materialize(hot.join(need.where("need <= 0").select("node", "n", (F.col("hot") / F.col("n")).alias("share")), "node"), "jaccard-open")
         return self.along_hot_parts(links, open_) if open_.count() else links
 
     def along_hot_parts(self, links: DataFrame, open_: DataFrame) -> DataFrame:
-        for star in range(STARS):
+        """Settles the pairs of sets that both have more hot parts than slack. open_: (node, part, n, share of hot parts)."""
+        for star in range(2):
+            labelled = self.labelled(open_, links)
+            rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("part", F.lit(star)), "part"))
+            few = labelled.withColumn("rank", rank).where(F.col("rank") <= STAR_PARTS).drop("rank")
+            central = F.min_by(F.struct("node", "label"), F.struct(-F.col("share"), F.xxhash64("node"))).alias("p")
+            pivot = few.groupBy("part").agg(central)
+            if star:  # then a central one of those that the most central one isn't linked with
+                pivot = few.join(pivot, "part").where("label != p.label").drop("p").groupBy("part").agg(central)
+            pairs = few.join(pivot, "part").where("label != p.label").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+            links = materialize(links.unionByName(self.verified(pairs)).distinct(), "jaccard-links")
+        for best in (True, True, False):
             labelled = self.labelled(open_, links)
-            pivot = labelled.groupBy("part").agg(F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(star))).alias("p"))
-            pairs = labelled.join(pivot, "part").where("label != p.label").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-            new = self.verified(pairs)
-            links = materialize(links.unionByName(new).distinct(), "jaccard-links")
-            if not new.count():
+            mixed = labelled.groupBy("part").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x != y").select("part", "size")
+            left = materialize(labelled.join(mixed, "part").select("part", "node", "label", "n", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "jaccard-left")
+            if not left.limit(1).count():
                 break
-        labelled = self.labelled(open_, links)
-        mixed = labelled.groupBy("part").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x != y").select("part", "size")
-        left = labelled.join(mixed, "part").select("part", "node", "label", "n", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-        return materialize(links.unionByName(self.verified(self.blockwise(left))).distinct(), "jaccard-links")
+            links = materialize(links.unionByName(self.verified(self.blockwise(left, best))).distinct(), "jaccard-links")
+        return links
 
     def labelled(self, open_: DataFrame, links: DataFrame) -> DataFrame:
-        return materialize(open_.join(components(links), "node", "left").select("part", "node", "n", F.coalesce("component", "node").alias("label")), "jaccard-labelled")
+        return materialize(open_.join(components(links), "node", "left").select("part", "node", "n", "share", F.coalesce("component", "node").alias("label")), "jaccard-labelled")
+
+    def blockwise(self, left: DataFrame, best: bool) -> DataFrame:
+        """Pairs of different components along a hot part whose sketches allow a link; blocks of BLOCK sets meet in tasks.
 
-    def blockwise(self, left: DataFrame) -> DataFrame:
-        """Pairs of different components along a hot part whose sketches allow a link; blocks of BLOCK sets meet in tasks."""
+        best: only the nearest of two components in a block, which mostly joins them; all must follow for what is left.
+        """
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j")))
         rows = left.withColumn("__own", own).withColumn("at", F.explode(meets)).join(self.nodes.select("node", "low", "high"), "node")
@@ -273,7 +291,7 @@ class JaccardJoin:
             own, node, label, n = (table.column(c).to_numpy() for c in ("own", "node", "label", "n"))
             low, high = table.column("low").to_pylist(), table.column("high").to_pylist()
             band = np.array([_band(x) for x in n])
-            out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+            out: list[np.ndarray] = [np.zeros((0, 5), np.int64)]
             for k in np.unique(band):  # pairs whose larger set is in band k
                 at = np.flatnonzero((band == k) | (band == k - 1) & np.array([h is not None for h in high]))
                 bits = np.frombuffer(b"".join(low[x] if band[x] == k else high[x] for x in at), np.uint64).reshape(len(at), -1)
@@ -283,9 +301,15 @@ class JaccardJoin:
                     ok &= 4 * np.minimum(n[rest], n[y]) >= 3 * np.maximum(n[rest], n[y])
                     near = np.flatnonzero(ok)
                     far = np.bitwise_count(bits[x + 1 :][near] ^ bits[x]).sum(1)
-                    near = rest[near[7 * far.astype(np.int64) <= n[rest[near]] + n[y]]]
-                    out.append(np.stack([np.minimum(node[near], node[y]), np.maximum(node[near], node[y])], 1))
+                    far = 7 * far.astype(np.int64)
+                    ok = far <= n[rest[near]] + n[y]
+                    near, far = rest[near[ok]], far[ok]
+                    span = 10_000 * far // (n[near] + n[y])
+                    out.append(np.stack([np.minimum(node[near], node[y]), np.maximum(node[near], node[y]), np.minimum(label[near], label[y]), np.maximum(label[near], label[y]), span], 1))
             pairs = np.concatenate(out)
+            if best and len(pairs):
+                pairs = pairs[np.lexsort((pairs[:, 4], pairs[:, 3], pairs[:, 2]))]
+                pairs = pairs[np.r_[True, (pairs[1:, 2:4] != pairs[:-1, 2:4]).any(1)]]
             return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
         return rows.groupBy("part", "i", "j").applyInArrow(compare, "a long, b long").distinct()
