@@ -198,5 +198,5 @@ def redact(docs: DataFrame, **limits) -> DataFrame:
         lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
     )
     d = d.withColumn("__p_new", F.when(text.isNull() | (F.size("__p_all") == 0), text).otherwise(cut))
-    out = {"text": F.col("__p_new")} | ({"n_chars": F.length("__p_new").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    out = {"text": F.col("__p_new")} | ({"n_chars": F.when(F.size("__p_all") > 0, F.length("__p_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     return d.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
