@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 def moments(frame: DataFrame, keys: tuple[str, ...], value: str = "val") -> DataFrame:
     """Mean, population spread and variance, extremes and count; (0, 1, 0, 0, 0, 0) below two values."""
-    d = frame.groupBy(*keys).agg(F.count(value).alias("k"), F.avg(value).alias("m"), F.stddev_pop(value).alias("s"), F.var_pop(value).alias("v"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+    d = frame.groupBy(*keys).agg(F.count(value).alias("__k"), F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"), F.var_pop(value).alias("__v"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
 
     def shown(c: str, default: float) -> Column:
-        return F.when(F.col("k") >= 2, F.col(c)).otherwise(F.lit(default))
+        return F.when(F.col("__k") >= 2, F.col(c)).otherwise(F.lit(default))
 
-    return d.select(*keys, shown("m", 0.0).alias("mean"), shown("s", 1.0).alias("std"), shown("v", 0.0).alias("var"), shown("lo", 0.0).alias("min"), shown("hi", 0.0).alias("max"), F.when(F.col("k") >= 2, F.col("k")).otherwise(F.lit(0)).alias("count"))
+    return d.select(*keys, shown("__m", 0.0).alias("mean"), shown("__s", 1.0).alias("std"), shown("__v", 0.0).alias("var"), shown("__lo", 0.0).alias("min"), shown("__hi", 0.0).alias("max"), F.when(F.col("__k") >= 2, F.col("__k")).otherwise(F.lit(0)).alias("count"))
 
 
 def percentiles(frame: DataFrame, keys: tuple[str, ...], value: str = "val", low: float = 0.02, high: float = 0.98, approximate: bool = False) -> DataFrame:
