@@ -254,8 +254,8 @@ class JaccardJoin:
 
     def along_hot_parts(self, links: DataFrame, open_: DataFrame) -> DataFrame:
         """Settles the pairs of sets that both have more hot parts than slack. open_: (node, part, n, share of hot parts)."""
-        for star in range(2):
-            labelled = self.labelled(open_, links)
+        for star in range(2):  # the first without labels: all that is open is compared
+            labelled = self.labelled(open_, links) if star else open_.withColumn("label", F.col("node"))
             rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("part", F.lit(star)), "part"))
             few = labelled.withColumn("rank", rank).where(F.col("rank") <= STAR_PARTS).drop("rank")
             central = F.min_by(F.struct("node", "label"), F.struct(-F.col("share"), F.xxhash64("node"))).alias("p")
@@ -263,14 +263,14 @@ class JaccardJoin:
             if star:  # then a central one of those that the most central one isn't linked with
                 pivot = few.join(pivot, "part").where("label != p.label").drop("p").groupBy("part").agg(central)
             pairs = few.join(pivot, "part").where("label != p.label").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-            links = materialize(links.unionByName(self.verified(pairs)).distinct(), "jaccard-links")
-        for best in (True, True, False):
+            links = links.unionByName(self.verified(pairs))
+        for best in (True, False):
             labelled = self.labelled(open_, links)
             mixed = labelled.groupBy("part").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x != y").select("part", "size")
             left = materialize(labelled.join(mixed, "part").select("part", "node", "label", "n", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "jaccard-left")
             if not left.limit(1).count():
                 break
-            links = materialize(links.unionByName(self.verified(self.blockwise(left, best))).distinct(), "jaccard-links")
+            links = links.unionByName(self.verified(self.blockwise(left, best)))
         return links
 
     def labelled(self, open_: DataFrame, links: DataFrame) -> DataFrame:
@@ -315,30 +315,34 @@ class JaccardJoin:
         return rows.groupBy("part", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs of nodes that are links: by size, by sketch, then by the sets."""
-        n = self.nodes.select("node", "n")
-        sized = pairs.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b").where("4 * least(na, nb) >= 3 * greatest(na, nb)")
-        top = F.greatest("na", "nb")
+        """Those of the pairs of nodes that are links: by size, by sketch, then by the sets.
+
+        A pair is two rows, so that one join brings what it needs and one grouping brings both together.
+        """
+        sides = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("side")), F.struct(F.col("b").alias("node"), F.lit(1).alias("side"))))
 
-        def chosen(name: str) -> DataFrame:
-            return self.nodes.select(F.col("node").alias(name), F.col("low").alias(f"low_{name}"), F.col("high").alias(f"high_{name}"))
+        def both(of: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
+            rows = of.select("a", "b", sides.alias("s")).select("a", "b", "s.*").join(known, "node")
+            own = F.sort_array(F.collect_list(F.struct("side", *columns)))
+            return rows.groupBy("a", "b").agg(own.alias("both")).where(F.size("both") == 2)
 
-        def of(name: str):
-            return F.when(F.length(F.bin(F.col(f"n{name}"))) == F.length(F.bin(top)), F.col(f"low_{name}")).otherwise(F.col(f"high_{name}"))
+        sketched = both(pairs, self.nodes.select("node", "n", "low", "high"), ["n", "low", "high"])
+        x, y = F.col("both")[0], F.col("both")[1]
+        sketched = sketched.where(4 * F.least(x["n"], y["n"]) >= 3 * F.greatest(x["n"], y["n"]))
+        top = F.length(F.bin(F.greatest(x["n"], y["n"])))
 
-        one = sized.join(chosen("a"), "a").select("a", "b", "na", "nb", of("a").alias("sa"))
-        two = one.join(chosen("b"), "b").select("a", "b", "na", "nb", "sa", of("b").alias("sb"))
+        def chosen(side):
+            return F.when(F.length(F.bin(side["n"])) == top, side["low"]).otherwise(side["high"])
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                both = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
-                far = np.array([int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()) for x, y in both], np.int64)
-                keep = 7 * far <= batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                sides = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+                far = np.array([int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()) for x, y in sides], np.int64)
+                yield batch.select(["a", "b"]).filter(pa.array(7 * far <= batch.column("n").to_numpy(), pa.bool_()))
 
-        likely = materialize(two.mapInArrow(near, "a long, b long"), "jaccard-likely")
-        sets = self.sets(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct())
-        with_sets = likely.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+        likely = sketched.select("a", "b", (x["n"] + y["n"]).alias("n"), chosen(x).alias("x"), chosen(y).alias("y")).mapInArrow(near, "a long, b long")
+        likely = materialize(likely, "jaccard-likely")
+        sets = both(likely, self.sets(likely.select(sides.alias("s")).select("s.node").distinct()), ["set"])
 
         def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -349,7 +353,8 @@ class JaccardJoin:
                     keep.append(100 * common >= 75 * (len(x) + len(y) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return materialize(with_sets.mapInArrow(linked, "a long, b long"), "jaccard-verified")
+        pairs_of_sets = sets.select("a", "b", F.col("both")[0]["set"].alias("x"), F.col("both")[1]["set"].alias("y"))
+        return materialize(pairs_of_sets.mapInArrow(linked, "a long, b long"), "jaccard-verified")
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """(node, set) of the nodes, from the texts of their first documents."""
@@ -362,7 +367,7 @@ class JaccardJoin:
                 made = [(node, s.tobytes()) for node, s in zip(batch.column("node").to_pylist(), shingle_sets(batch.column("text").to_pylist())) if _class(s) == node]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in made], pa.int64()), pa.array([x for _, x in made], pa.binary())], names=["node", "set"])
 
-        return materialize(texts.mapInArrow(run, "node long, set binary").dropDuplicates(["node"]), "jaccard-sets")
+        return texts.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""
