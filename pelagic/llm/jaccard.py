@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +44,16 @@ BUCKET_ENTRIES = 500_000
 #: Entries gathered in a worker before they are handed on.
 FLUSH_ENTRIES = 1_000_000
 #: Sets of a block when irregular sets are compared.
-BLOCK = 512
+BLOCK = 4096
 #: Hot parts of a set along which it is compared with a central set.
 STAR_PARTS = 3
 #: Up to so many document numbers are broadcast to the scan that fetches their texts; beyond, they are joined by shuffle.
 BROADCAST_IDS = 200_000
-CACHE_ENTRIES = 600_000
 
 #: A-Z to a-z and the other white space to spaces.
 _BYTES = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
-_words: dict[bytes, int] = {}
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,17 +62,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A random-looking number for each byte.
+_LETTERS = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The sorted 64-bit hashes of each text's distinct shingles; empty for a text without words."""
-    split = [[w for w in t.encode().translate(_BYTES).split(b" ") if w] if t else [] for t in texts]
-    fresh = {w for w in chain.from_iterable(split) if w not in _words}
-    if len(_words) + len(fresh) > CACHE_ENTRIES:
-        _words.clear()
-        fresh = set(chain.from_iterable(split))
-    _words.update((w, int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")) for w in fresh)
     out = []
-    for words in split:
-        h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    for text in texts:
+        h = word_hashes(text.encode()) if text else np.zeros(0, np.uint64)
         width = min(SHINGLE, len(h))
         if not width:
             out.append(h)
@@ -85,6 +82,33 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, in order, without making them: differences of a running polynomial sum.
+
+    The sum up to each byte weighs it by a power of an odd number; a word's share, times the inverse of the power at its
+    start, depends on the word alone.
+    """
+    letters = np.frombuffer(raw.translate(_BYTES), np.uint8)
+    word = letters != 32
+    edge = np.diff(word.astype(np.int8), prepend=0, append=0)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    power, inverse = _powers(len(letters))
+    total = np.zeros(len(letters) + 1, np.uint64)
+    np.cumsum(_LETTERS[letters] * power[: len(letters)], out=total[1:])
+    return _mix((total[end] - total[start]) * inverse[start] + _mix((end - start).astype(np.uint64)))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, as many as the longest text so far needs."""
+    if len(_POWERS[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            factors = np.full(size, base, np.uint64)
+            factors[0] = 1
+            _POWERS[k] = np.cumprod(factors)
+    return _POWERS[0], _POWERS[1]
+
+
 def _band(n: int) -> int:
     return int(n).bit_length() - 1
 
@@ -295,17 +319,22 @@ class JaccardJoin:
             for k in np.unique(band):  # pairs whose larger set is in band k
                 at = np.flatnonzero((band == k) | (band == k - 1) & np.array([h is not None for h in high]))
                 bits = np.frombuffer(b"".join(low[x] if band[x] == k else high[x] for x in at), np.uint64).reshape(len(at), -1)
-                for x, y in enumerate(at):
-                    rest = at[x + 1 :]
-                    ok = (label[rest] != label[y]) & (np.maximum(band[rest], band[y]) == k) & ((i == j) | (own[rest] != own[y]))
-                    ok &= 4 * np.minimum(n[rest], n[y]) >= 3 * np.maximum(n[rest], n[y])
-                    near = np.flatnonzero(ok)
-                    far = np.bitwise_count(bits[x + 1 :][near] ^ bits[x]).sum(1)
-                    far = 7 * far.astype(np.int64)
-                    ok = far <= n[rest[near]] + n[y]
-                    near, far = rest[near[ok]], far[ok]
-                    span = 10_000 * far // (n[near] + n[y])
-                    out.append(np.stack([np.minimum(node[near], node[y]), np.maximum(node[near], node[y]), np.minimum(label[near], label[y]), np.maximum(label[near], label[y]), span], 1))
+                rows_at_once = max(1, 1_000_000 // max(1, len(at)))
+                for first in range(0, len(at), rows_at_once):
+                    x, y = np.arange(first, min(first + rows_at_once, len(at)))[:, None], np.arange(len(at))[None, :]
+                    u, v = at[x], at[y]
+                    ok = (x < y) & (label[u] != label[v]) & (np.maximum(band[u], band[v]) == k)
+                    ok &= 4 * np.minimum(n[u], n[v]) >= 3 * np.maximum(n[u], n[v])
+                    ok &= (i == j) | (own[u] != own[v])
+                    x, y = np.nonzero(ok)
+                    x = x + first
+                    for part in range(0, len(x), 100_000):
+                        xs, ys = x[part : part + 100_000], y[part : part + 100_000]
+                        u, v = at[xs], at[ys]
+                        far = 7 * np.bitwise_count(bits[xs] ^ bits[ys]).sum(1).astype(np.int64)
+                        u, v, far = (w[far <= n[u] + n[v]] for w in (u, v, far))
+                        span = 10_000 * far // (n[u] + n[v])
+                        out.append(np.stack([np.minimum(node[u], node[v]), np.maximum(node[u], node[v]), np.minimum(label[u], label[v]), np.maximum(label[u], label[v]), span], 1))
             pairs = np.concatenate(out)
             if best and len(pairs):
                 pairs = pairs[np.lexsort((pairs[:, 4], pairs[:, 3], pairs[:, 2]))]
@@ -324,10 +353,10 @@ class JaccardJoin:
         def both(of: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
             rows = of.select("a", "b", sides.alias("s")).select("a", "b", "s.*").join(known, "node")
             own = F.sort_array(F.collect_list(F.struct("side", *columns)))
-            return rows.groupBy("a", "b").agg(own.alias("both")).where(F.size("both") == 2)
+            return rows.groupBy("a", "b").agg(own.alias("both")).where(F.size("both") > 1)
 
         sketched = both(pairs, self.nodes.select("node", "n", "low", "high"), ["n", "low", "high"])
-        x, y = F.col("both")[0], F.col("both")[1]
+        x, y = F.col("both")[0], F.element_at("both", -1)
         sketched = sketched.where(4 * F.least(x["n"], y["n"]) >= 3 * F.greatest(x["n"], y["n"]))
         top = F.length(F.bin(F.greatest(x["n"], y["n"])))
 
@@ -353,7 +382,7 @@ class JaccardJoin:
                     keep.append(100 * common >= 75 * (len(x) + len(y) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        pairs_of_sets = sets.select("a", "b", F.col("both")[0]["set"].alias("x"), F.col("both")[1]["set"].alias("y"))
+        pairs_of_sets = sets.select("a", "b", F.col("both")[0]["set"].alias("x"), F.element_at("both", -1)["set"].alias("y"))
         return materialize(pairs_of_sets.mapInArrow(linked, "a long, b long"), "jaccard-verified")
 
     def sets(self, nodes: DataFrame) -> DataFrame:
