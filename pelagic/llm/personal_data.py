@@ -24,8 +24,15 @@ BASE = {
 }
 #: What a text must hold for the pattern to be worth a pass.
 HINT = {"email": "@", "phone": "+"}
-#: Tokens, and groups of digits after them, that hold an @ or seven digits near each other.
-CANDIDATE = r"(?<![^\s\"'<>,;=|])(?=[^\s\"'<>,;=|@]*+@|[^0-9\s]{0,3}(?:[0-9][^0-9\n]{0,3}){6}[0-9])[^\s\"'<>,;=|]++(?:\x20[0-9()./-]++)*+"
+_TOKEN, _HEX = r"[^\s\"'<>,;=|]", "[0-9A-Fa-f]"
+#: Tokens with an @, (at) or [at], tokens of four to eight groups of hex digits, and tokens, with the groups of digits after
+#: them, that hold seven digits near each other. Groups of digits and dots alone may be of either of the last kinds.
+_AT = r"[^\s\"'<>,;=|@]*+@|[^\s\"'<>,;=|(\[]*+(?:(?!(?i:\(at\)|\[at\]))[(\[][^\s\"'<>,;=|(\[]*+)*+" + rf"(?<={_TOKEN})(?i:\(at\)|\[at\]){_TOKEN}"
+_GROUPS = rf"{_HEX}{{1,4}}(?:[.:]{_HEX}{{0,4}}){{2,6}}(?:[.:]{_HEX}{{1,4}}[.:!?)]*+|(?<=[^:]:):[.!?)]*+)(?!{_TOKEN})"
+_DIGITS = r"[^0-9\s]{0,3}(?:[0-9][^0-9\n]{0,3}){6}[0-9]"
+CANDIDATE = rf"(?<!{_TOKEN})(?:(?={_AT}|(?=[0-9.]*+[A-Fa-f:]){_GROUPS}){_TOKEN}++|(?={_DIGITS}){_TOKEN}++(?:\x20[0-9()./-]++)*+|(?={_GROUPS}){_TOKEN}++)"
+#: What a text must hold for candidates to be worth a pass.
+CANDIDATE_HINT = rf"@|(?i:\(at\)|\[at\])|[0-9][^0-9\n]{{0,3}}[0-9]|{_HEX}(?:[.:]{_HEX}{{0,4}}){{2}}[.:]"
 #: Shapes in which an unseen identifier of a kind may come.
 SHAPES = {
     "email": r"^[^@\s]+(@|\(at\)|\[at\])[^@\s]+$",
@@ -102,10 +109,16 @@ def _with_context(text: Column, spans: Column) -> Column:
     ))
 
 
+def _trimmed(value: Column) -> Column:
+    """Without the marks that end a sentence; the :: that ends a group of hex digits stays."""
+    kept = F.rtrim(value, F.lit(" .!?)"))
+    return F.when(F.endswith(kept, F.lit("::")) & kept.rlike(SHAPES["ip"]), kept).otherwise(F.rtrim(value, F.lit(" .:!?)")))
+
+
 def _candidates(text: Column, base: Column) -> Column:
     free = F.filter(_matches(text, CANDIDATE), lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    trimmed = F.transform(free, lambda m: F.struct(m["start"].alias("start"), F.lit(-1).alias("kind"), (m["start"] + F.length(F.rtrim(m["value"], F.lit(" .:!?)")))).alias("end"), F.rtrim(m["value"], F.lit(" .:!?)")).alias("value")))
-    worth = text.rlike(r"@|[0-9][^0-9\n]{0,3}[0-9]")
+    trimmed = F.transform(free, lambda m: F.struct(m["start"].alias("start"), F.lit(-1).alias("kind"), (m["start"] + F.length(_trimmed(m["value"]))).alias("end"), _trimmed(m["value"]).alias("value")))
+    worth = text.rlike(CANDIDATE_HINT)
     return F.when(worth, F.filter(trimmed, lambda m: m["end"] > m["start"])).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>"))
 
 

@@ -42,6 +42,30 @@ def test_contexts_discover_an_unseen_number(spark):
     assert new[100] == ("x contact phone: [PHONE] thanks b", 33) and new[101] == ("only 555 867 5308 here", 22)
 
 
+UNSEEN = [
+    ("email", "john(at)example.com"), ("email", "jane[at]site.org"), ("email", "Jim(AT)Example.com"), ("email", "joe@localhost"), ("email", "john(at)example.com 42"),
+    ("ip", "fe80::1a2b:3c4d"), ("ip", "2001:db8::ff00:42:8329"), ("ip", "FE80:0:0:0:a:b:c:d"), ("ip", "2001:db8:a::"), ("ip", "a.b.c.d"), ("ip", "1.2.3.999"), ("ip", "fe80::1a2b:3c4d 80"),
+    ("card", "4111 1111 1111 1112"), ("card", "4111-1111.1111/1112"), ("phone", "555 867 5309"), ("phone", "(555) 867-5309"),
+]
+SEED = {"email": "mail{0}@host.org", "ip": "10.0.0.{0}", "card": "4111 1111 1111 1111", "phone": "+1 (555) 555-{1}"}
+
+
+def test_every_shape_is_discovered_in_a_learned_context(spark):
+    rows, cards = [], [d for d in map(str, range(4111111111110000, 4111111111110600)) if luhn(d)]
+    for kind in SEED:
+        rows += [(len(rows), f"Contact {kind}: {cards[i] if kind == 'card' else SEED[kind].format(i, 1000 + i)} thanks") for i in range(50)]
+    seeds = len(rows)
+    rows += [(seeds + k, f"x contact {kind}: {value}. thanks") for k, (kind, value) in enumerate(UNSEEN)] + [(999, "only add... meet (at) noon, john(at)example.net or fe80::9:9")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in personal_data(frame).collect()}
+    new = {r["doc_id"]: r["text"] for r in redact(frame).collect()}
+    for k, (kind, value) in enumerate(UNSEEN):
+        start, own = len(f"x contact {kind}: "), value.removesuffix(" 42").removesuffix(" 80")
+        assert got[seeds + k] == f"{kind}:{start}:{start + len(own)}", value
+        assert new[seeds + k] == f"x contact {kind}: [{kind.upper()}]{value[len(own):]}. thanks"
+    assert got[999] == "" and new[999] == dict(rows)[999]
+
+
 def test_personal_data_of_odd_rows(odd, empty):
     assert personal_data(odd).count() == odd.count() and personal_data(empty).count() == 0
     out = redact(odd)
