@@ -156,16 +156,17 @@ def _ids(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node (class of equal sets; null without words) and the sketches of the first of a class in its partition."""
+    """doc_id, n, node (class of equal sets; null without words) and the sketches of the first of a class in its partition that has an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             nodes, low, high, sizes = [], [], [], []
-            for s in shingle_sets(batch.column("text").to_pylist()):
+            for i, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text").to_pylist())):
                 node = _class(s) if len(s) else None
-                new = node is not None and node not in seen
-                seen.add(node)
+                new = node is not None and i is not None and node not in seen
+                if new:
+                    seen.add(node)
                 made = [sketch(s, k) for k in bands(len(s))] if new else []
                 nodes.append(node), sizes.append(len(s)), low.append(made[0] if new else None), high.append(made[1] if len(made) > 1 else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["doc_id", "n", "node", "low", "high"])

@@ -78,6 +78,17 @@ def test_odd_rows(odd, empty):
     assert kept.columns == odd.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 4, 6, 7, 8, 9]
 
 
+@pytest.mark.parametrize("group", [32, 1])
+def test_a_copy_without_id_before_its_document(spark, group):
+    """Group 1 makes every shared part hot, so that the blocks compare the sketches."""
+    words = [f"w{k}" for k in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    frame = spark.createDataFrame([(None, text), (5, text), (3, near)], "doc_id long, text string").coalesce(1)
+    got = sorted(((r["doc_id"] or 0, r["component_id"]) for r in near_duplicates(frame, group).collect()))
+    assert [g for g in got if g[0]] == [(3, 3), (5, 3)] and len(got) == 3
+    assert sorted(r["doc_id"] or 0 for r in keep_first(frame).collect()) == [0, 3]
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(7, k) for k in range(8, 30)] + [(7, 7), (8, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
