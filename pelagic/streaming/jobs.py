@@ -73,7 +73,15 @@ def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: tuple[st
 
 
 def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Runs over what is there and returns the result as a table in memory: for checks against the batch form."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
+    """Runs over what is there and returns the result, written as Parquet beside the checkpoint: for checks against the batch form.
+
+    mode: append or complete; a complete result replaces the one before it.
+    """
+    path = f"{checkpoint}-result"
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("overwrite").parquet(path)  # there if no batch comes
+    if mode == "append":
+        sink = stream.writeStream.format("parquet").option("path", path)
+    else:
+        sink = stream.writeStream.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+    sink.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)

@@ -18,6 +18,7 @@ from pelagic.operators import scans as sc
 from pelagic.operators import spectra as sp
 from pelagic.operators import statistics as st
 from pelagic.sources import tables
+from pelagic.streaming import jobs
 
 DAY = dt.date(2024, 1, 1)
 
@@ -159,3 +160,14 @@ def test_transect_falls_back_to_a_band(spark):
     rows = [("p", i, j, float(j)) for i in (4, 5) for j in range(6) if i == 5 or j < 2]
     got = m.transect(spark.createDataFrame(rows, "product string, i int, j int, val double"), 4, 1).collect()
     assert {r["j"]: r["value"] for r in got} == {j: float(j) for j in range(6)}
+
+
+@pytest.mark.parametrize("mode", ["append", "complete"])
+def test_streaming_results_are_files(spark, tmp_path, mode):
+    for k, n in enumerate((3, 0)):
+        spark.range(n).write.parquet(f"{tmp_path}/in{k}")
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in{k}")
+        frame = stream if mode == "append" else stream.groupBy("id").count()
+        got = jobs.run_available(frame, f"files_{mode}_{k}", mode, f"{tmp_path}/checkpoint{k}")
+        assert sorted(r["id"] for r in got.collect()) == list(range(n)) and got.schema.names == frame.schema.names
+        assert got.inputFiles() and not spark.catalog.tableExists(f"files_{mode}_{k}")
