@@ -138,11 +138,19 @@ R.add(
     """WITH wanted AS (SELECT file_id AS name, CASE WHEN file_id % 4 = 0 THEN 0 ELSE n_bytes END AS size FROM tiles), present AS (SELECT file_id AS name, n_bytes + file_id % 2 AS size FROM tiles WHERE file_id % 3 = 0)
  SELECT * FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.name = w.name AND (w.size = 0 OR w.size = p.size))""", "tiles",
 )
+#: File numbers that one JSON of the nested catalogue spans, so that its length does not grow with the table.
+_CHUNK = 4096
+
+
+def _nested(tiles):
+    """The catalogue as JSON, a row per source and span of file numbers."""
+    file = F.struct(F.concat(F.lit("f"), "file_id").alias("filename"), F.col("n_bytes").alias("size"), F.when(F.col("file_id") % 10 == 0, "").otherwise(F.date_format("obs_date", "yyyyMMdd")).alias("date"))
+    chunks = tiles.groupBy(F.col("source_id").cast("string").alias("k"), F.floor(F.col("file_id") / _CHUNK).alias("chunk")).agg(F.collect_list(file).alias("v"))
+    return chunks.select(F.to_json(F.struct(F.map_from_arrays(F.array("k"), F.array("v")).alias("cycles"))).alias("json"))
+
+
 R.add(
-    "s23_catalogue_rows",
-    lambda s, d: c.catalogue_rows(
-        _tiles(s, d).groupBy(F.col("source_id").cast("string").alias("k")).agg(F.collect_list(F.struct(F.concat(F.lit("f"), "file_id").alias("filename"), F.col("n_bytes").alias("size"), F.when(F.col("file_id") % 10 == 0, "").otherwise(F.date_format("obs_date", "yyyyMMdd")).alias("date"))).alias("v")).select(F.to_json(F.struct(F.map_from_arrays(F.array("k"), F.array("v")).alias("cycles"))).alias("json"))
-    ).select("cycle", "filename", "size", "date"),
+    "s23_catalogue_rows", lambda s, d: c.catalogue_rows(_nested(_tiles(s, d))).select("cycle", "filename", "size", "date"),
     "SELECT CAST(source_id AS VARCHAR) AS cycle, 'f' || file_id AS filename, n_bytes AS size, obs_date AS date FROM tiles WHERE file_id % 10 <> 0", "tiles",
 )
 R.add("a43_files_per_date", lambda s, d: _tiles(s, d).groupBy("obs_date").agg(F.count(F.lit(1)).alias("n_files")), "SELECT obs_date, COUNT(*) AS n_files FROM tiles GROUP BY 1", "tiles")

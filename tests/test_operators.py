@@ -17,6 +17,7 @@ from pelagic.operators import samples as p
 from pelagic.operators import scans as sc
 from pelagic.operators import spectra as sp
 from pelagic.operators import statistics as st
+from pelagic.plans import catalog as catalog_plans
 from pelagic.sources import tables
 from pelagic.streaming import jobs
 
@@ -171,3 +172,10 @@ def test_streaming_results_are_files(spark, tmp_path, mode):
         got = jobs.run_available(frame, f"files_{mode}_{k}", mode, f"{tmp_path}/checkpoint{k}")
         assert sorted(r["id"] for r in got.collect()) == list(range(n)) and got.schema.names == frame.schema.names
         assert got.inputFiles() and not spark.catalog.tableExists(f"files_{mode}_{k}")
+
+
+def test_nested_catalogue_is_in_bounded_pieces(spark):
+    tiles = spark.range(10_000).select(F.col("id").alias("file_id"), F.lit(DAY).alias("obs_date"), F.lit(0).alias("region_id"), F.lit(3).alias("source_id"), F.lit(5).cast("long").alias("n_bytes"))
+    nested = catalog_plans._nested(tiles)
+    assert nested.count() == 3 and nested.agg(F.max(F.size(F.split("json", "filename")))).first()[0] <= 4097
+    assert c.catalogue_rows(nested).select("filename").distinct().count() == 9000
