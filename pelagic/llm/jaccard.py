@@ -4,21 +4,23 @@ Two sets of sizes a and b with a Jaccard similarity of at least 0.75 differ in a
 is XORed into a part of a sketch that its hash chooses, so that at most so many parts of two sketches differ.
 
 Pigeonhole. Sets are banded by the powers of two of their sizes (a set in the top quarter of a band joins the next one,
-too) and a band has one division into parts. Let D = size // 3, which bounds the difference to any partner. A set emits,
-in part order, D + 1 of its parts that are not empty, and a slack. Of the first D + 1 parts of either set one is untouched
-by the difference, hence equal in both and emitted by both: joining on (band, part, content) finds every pair.
-
-Counting. Of the D + 1 + slack parts that the set which stops first emits, more than its slack are untouched: partners
-share so many parts at least, and pairs that share fewer are none.
-
-Hot parts. A part shared by more than GROUP sets gives no pairs; what a set's hot parts might add is taken off the count
-that its pairs need. A set with no more hot parts than its slack still finds all partners by the others, and so does its
-partner through it. Only between two sets that both have more hot parts than slack is a pair open. These are compared
-along their hot parts: first each with a central set (all of whose parts are hot), which settles families of near copies;
-then, where sets of different components still meet, block against block by sketch.
-
-Filters. Sizes, then the Hamming distance of whole parity sketches, which is a lower bound of the difference. What
-remains is verified on the sets themselves.
+too) and a band has one division into parts. Let D = n // 3, which bounds the difference of a set of n elements to any
+partner. The set emits, in part order, D + 1 of its parts that are not empty, and n // 8 more, its slack. Of those that
+the set which stops first emits, more than its slack are untouched by the difference, hence equal in both and emitted by
+both. With m, the smaller slack of the two, linked sets share m + 1 parts at least: joining on (band, part, content) finds
+every pair, and pairs that share fewer are none.
+
+Hot parts. A part shared by more than GROUP sets gives no pairs. A set with h hot parts shares at most h of them, so that
+a pair needs m + 1 - min(h, h') other parts. Only where that is no more than none, both sets with more hot parts than the
+least slack of a partner, a link may show in hot parts alone. Such sets share m + 1 hot parts, hence, with all hot parts
+in one order, the rarest first, one of the first h - m of either: of these prefixes each part ties its sets to one of
+them.
+
+Clusters. Pairs with parts enough, and sets tied by hot parts, are edges; a connected component of them, a cluster, holds
+every link of its sets. Each set then travels once to its cluster's blocks, of bounded sets and elements; blocks meet
+where their sizes allow links. There, pairs not yet connected are compared by the Hamming distance of whole parity
+sketches, a lower bound of the difference, and what remains is verified on the sets themselves. A task gives at most one
+link fewer than it has sets, enough to connect what is linked.
 
 Equal sets are one class from the start. Classes, shingles and parts go by 64-bit hashes.
 """
@@ -30,23 +32,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import materialize, small_batches
 from .components import components
 
 SHINGLE = 5
 #: Sets that may share a part before it is hot.
-GROUP = 32
+GROUP = 8
 #: Entries (12 bytes) of a bucket of the key join, about.
 BUCKET_ENTRIES = 500_000
+#: Tasks of the key join at most; beyond, a task has several buckets, one after the other.
+MAX_TASKS = 20_000
 #: Entries gathered in a worker before they are handed on.
-FLUSH_ENTRIES = 1_000_000
-#: Sets of a block when irregular sets are compared.
-BLOCK = 4096
-#: Hot parts of a set along which it is compared with a central set.
-STAR_PARTS = 3
+FLUSH_ENTRIES = 500_000
+#: Sets and elements of a block of a cluster, about; a larger set is a block by itself.
+BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 20
 #: Up to so many document numbers are broadcast to the scan that fetches their texts; beyond, they are joined by shuffle.
 BROADCAST_IDS = 200_000
 
@@ -66,20 +69,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _LETTERS = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """The sorted 64-bit hashes of each text's distinct shingles; empty for a text without words."""
-    out = []
-    for text in texts:
-        h = word_hashes(text.encode()) if text else np.zeros(0, np.uint64)
-        width = min(SHINGLE, len(h))
-        if not width:
-            out.append(h)
-            continue
-        x = _mix(h[: len(h) - width + 1] + np.uint64(width))
-        for k in range(1, width):
-            x = _mix(x * np.uint64(31) + h[k : len(h) - width + 1 + k])
-        out.append(np.unique(x))
-    return out
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted 64-bit hashes of a text's distinct shingles; none for a text without words."""
+    h = word_hashes(text.encode()) if text else np.zeros(0, np.uint64)
+    width = min(SHINGLE, len(h))
+    if not width:
+        return h
+    x = _mix(h[: len(h) - width + 1] + np.uint64(width))
+    for k in range(1, width):
+        x = _mix(x * np.uint64(31) + h[k : len(h) - width + 1 + k])
+    return np.unique(x)
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
@@ -129,96 +128,111 @@ def slack(n: int) -> int:
     return n // 8
 
 
-def part_keys(shingles: np.ndarray, band: int) -> np.ndarray:
+def least_slack(n: Column) -> Column:
+    """The slack of the smallest set that may link with one of n elements."""
+    return F.floor(F.floor((3 * n + 3) / 4) / 8)
+
+
+def part_keys(elements: np.ndarray, band: int) -> np.ndarray:
     """Hashes of (band, part, content) of the parts that a set emits."""
-    part = (shingles >> np.uint64(16)) % np.uint64(n_parts(band))
+    part = (elements >> np.uint64(16)) % np.uint64(n_parts(band))
     order = np.argsort(part, kind="stable")
     part = part[order]
-    start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])[: len(shingles) // 3 + 1 + slack(len(shingles))]
+    start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])[: len(elements) // 3 + 1 + slack(len(elements))]
     end = np.searchsorted(part, part[start[-1]], side="right")
-    content = np.bitwise_xor.reduceat(shingles[order][:end], start)
+    content = np.bitwise_xor.reduceat(elements[order][:end], start)
     return _mix(content ^ _mix(part[start] * np.uint64(64) + np.uint64(band + 1)))
 
 
-def sketch(shingles: np.ndarray, band: int) -> bytes:
-    """The parity sketch: a bit for each place, flipped by every element that hashes there; 64 bits at least."""
-    bits = max(64, 2 ** (band + 2))
-    odd = np.bincount((shingles >> np.uint64(8)).astype(np.int64) % bits, minlength=bits).astype(np.uint8) & 1
-    return np.packbits(odd).tobytes()
+def sketch(elements: np.ndarray, band: int) -> np.ndarray:
+    """The whole parity sketch for pairs whose larger set is in the band: a bit for each place, flipped by every element that hashes there."""
+    bits = max(512, 2 ** (band + 4))
+    place, times = np.unique((elements >> np.uint64(8)) % np.uint64(bits), return_counts=True)
+    odd = np.zeros(bits, np.uint8)
+    odd[place[times % 2 == 1].astype(np.int64)] = 1
+    return np.packbits(odd).view(np.uint64)
 
 
-def _class(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _class(elements: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _ids(docs: DataFrame) -> DataFrame:
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError("doc_id has to be a whole number")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node (class of equal sets; null without words) and the sketches of the first of a class in its partition that has an id."""
+def keyed(docs: DataFrame, buckets: int) -> DataFrame:
+    """One pass over the texts, of two kinds of rows.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            nodes, low, high, sizes = [], [], [], []
-            for i, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text").to_pylist())):
-                node = _class(s) if len(s) else None
-                new = node is not None and i is not None and node not in seen
-                if new:
-                    seen.add(node)
-                made = [sketch(s, k) for k in bands(len(s))] if new else []
-                nodes.append(node), sizes.append(len(s)), low.append(made[0] if new else None), high.append(made[1] if len(made) > 1 else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["doc_id", "n", "node", "low", "high"])
-
-    return _ids(docs).mapInArrow(run, "doc_id long, n long, node long, low binary, high binary")
-
-
-def _emitted(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, blob): keys within the bucket (32 bits) and nodes (64 bits), one set of each class per partition."""
+    (doc_id, n, node) for every row of docs: the size and the class of its set; no class without words or without id.
+    (bucket, blob): emitted parts, as keys within the bucket (32 bits) and nodes (64 bits), one set of each class per partition.
+    """
+    names = ["bucket", "blob", "doc_id", "n", "node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         keys: list[np.ndarray] = []
-        nodes: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+        held = rows = 0
 
         def flush() -> pa.RecordBatch:
-            key, node = np.concatenate(keys), np.concatenate(nodes)
+            key, node = np.concatenate(keys), np.concatenate(owners)
+            keys.clear(), owners.clear()
             bucket = (key >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             bucket, short, node = bucket[order], key[order].astype(np.uint32), node[order]
             start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             blobs = [short[a:b].tobytes() + node[a:b].tobytes() for a, b in zip(start, np.r_[start[1:], len(bucket)])]
-            keys.clear(), nodes.clear()
-            return pa.RecordBatch.from_arrays([pa.array(bucket[start].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+            none = pa.nulls(len(blobs), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(bucket[start].astype(np.int32)), pa.array(blobs, pa.binary()), none, none, none], names=names)
 
         for batch in batches:
-            for s in shingle_sets(batch.column("text").to_pylist()):
-                if not len(s) or (node := _class(s)) in seen:
+            sizes, nodes = [], []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                s = shingles(text.as_py())
+                node = _class(s) if len(s) and doc is not None else None
+                sizes.append(len(s)), nodes.append(node)
+                if node is None or node in seen:
                     continue
                 seen.add(node)
                 for band in bands(len(s)):
                     keys.append(part_keys(s, band))
-                    nodes.append(np.full(len(keys[-1]), node, np.int64))
-            if sum(map(len, keys)) >= FLUSH_ENTRIES:
-                yield flush()
+                    owners.append(np.full(len(keys[-1]), node, np.int64))
+                    held += len(keys[-1])
+                if held >= FLUSH_ENTRIES:
+                    held = 0
+                    yield flush()
+            even = (rows + np.arange(len(sizes))) % buckets
+            rows += len(sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(even.astype(np.int32)), pa.nulls(len(sizes), pa.binary()), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=names)
         if keys:
             yield flush()
 
-    return _ids(docs).where(F.col("doc_id").isNotNull()).mapInArrow(run, "bucket int, blob binary")
+    return _ids(docs).mapInArrow(run, "bucket int, blob binary, doc_id long, n long, node long")
+
 
+def shared_parts(rows: DataFrame, buckets: int, group: int) -> DataFrame:
+    """The rows of documents, and (a, b, shared) of two kinds.
 
-def _grouped(emitted: DataFrame, buckets: int, group: int) -> DataFrame:
-    """(a, b, shared): pairs of nodes and how many parts of the bucket they share; (node, number of the part, 0) for hot ones."""
+    Pairs of nodes and how many parts of the bucket they share; (node, number of the part, minus its sets) for hot parts.
+    """
+    names = ["doc_id", "n", "node", "a", "b", "shared"]
 
     def find(bucket: int, blobs: list[bytes]) -> list[np.ndarray]:
         sizes = [len(b) // 12 for b in blobs]
         key = np.concatenate([np.frombuffer(b, np.uint32, n) for b, n in zip(blobs, sizes)])
         node = np.concatenate([np.frombuffer(b, np.int64, n, 4 * n) for b, n in zip(blobs, sizes)])
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        again = np.r_[False, key[1:] == key[:-1]]
+        again[:-1] |= again[1:]
+        key, node = key[again], node[order][again]  # keys of one set alone, by far the most, go
         names, node = np.unique(node, return_inverse=True)
         both = np.unique(key.astype(np.uint64) << np.uint64(32) | node.astype(np.uint64))  # copies of a class are one
         key, node = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         size = np.diff(np.r_[start, len(key)])
         pairs = [np.zeros(0, np.int64)]
         for g in range(2, group + 1):
@@ -228,27 +242,69 @@ def _grouped(emitted: DataFrame, buckets: int, group: int) -> DataFrame:
                 i, j = np.triu_indices(g, 1)
                 pairs.append((members[:, i] << 32 | members[:, j]).ravel())
         pair, shared = np.unique(np.concatenate(pairs), return_counts=True)
-        hot = np.repeat(size > group, size)
+        sets = np.repeat(size, size)
+        hot = sets > group
         a, b = np.r_[names[pair >> 32], names[node[hot]]], np.r_[names[pair & 0xFFFFFFFF], key[hot] * np.int64(buckets) + bucket]
-        return [a, b, np.r_[shared, np.zeros(len(a) - len(pair), np.int64)]]
+        return [a, b, np.r_[shared, -sets[hot]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[pa.RecordBatch]:
             if blobs:
                 columns = find(current, blobs)
                 for at in range(0, len(columns[0]), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 200_000]) for c in columns], names=["a", "b", "shared"])
+                    found = [pa.array(c[at : at + 200_000]) for c in columns]
+                    yield pa.RecordBatch.from_arrays([*[pa.nulls(len(found[0]), pa.int64())] * 3, *found], names=names)
 
         current, blobs = -1, []
         for batch in batches:
-            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
+            of_docs = batch.filter(batch.column("blob").is_null())
+            if of_docs.num_rows:
+                yield pa.RecordBatch.from_arrays([*[of_docs.column(c) for c in names[:3]], *[pa.nulls(of_docs.num_rows, pa.int64())] * 3], names=names)
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
+                if not blob.is_valid:
+                    continue
                 if bucket != current:
                     yield from made()
                     current, blobs = bucket, []
-                blobs.append(blob)
+                blobs.append(blob.as_py())
         yield from made()
 
-    return emitted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long, shared long")
+    dealt = rows.repartition(min(buckets, MAX_TASKS), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
+def spanning_links(nodes: list[int], sides: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between the sets, enough to connect all that are linked. With two sides, only those across."""
+    order = sorted(range(len(sets)), key=lambda x: (len(sets[x]), nodes[x]))
+    sets, node, side = [sets[x] for x in order], np.array(nodes)[order], np.array(sides)[order]
+    n = np.array([len(s) for s in sets])
+    band, root, out = np.array([_band(x) for x in n]), np.arange(len(sets)), []
+    across = side.min() != side.max()
+    for k in np.unique(band):
+        at = np.flatnonzero((band == k) | (band == k - 1) & (4 * n >= 3 * 2**k))
+        if len(at) < 2:
+            continue
+        bits = np.stack([sketch(sets[x], k) for x in at])
+        for y in range(max(1, np.searchsorted(band[at], k)), len(at)):
+            larger = at[y]
+            xs = np.arange(np.searchsorted(n[at], -(-3 * n[larger] // 4)), y)
+            xs = xs[root[at[xs]] != root[larger]]
+            if across:
+                xs = xs[side[at[xs]] != side[larger]]
+            if not len(xs):
+                continue
+            far = np.bitwise_count(bits[xs] ^ bits[y]).sum(1).astype(np.int64)
+            near = 7 * far <= n[at[xs]] + n[larger]
+            for x in at[xs[near][np.argsort(far[near], kind="stable")]]:
+                if root[x] != root[larger] and similar(sets[x], sets[larger]):
+                    root[root == root[x]] = root[larger]
+                    out.append((int(node[x]), int(node[larger])))
+    return out
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= 75 * (len(x) + len(y) - common)
 
 
 class JaccardJoin:
@@ -256,148 +312,96 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, group: int = GROUP) -> None:
         small_batches(docs.sparkSession)
-        self.docs, self.group = docs, group
-        self.rows = materialize(signatures(docs), "jaccard-signatures")
-        known = self.rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
-        self.nodes = materialize(known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("low").alias("low"), F.max("high").alias("high")), "jaccard-classes")
+        self.docs = docs
+        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        buckets = int(max(8, size // (12 * BUCKET_ENTRIES)))  # an entry comes of some twelve bytes
+        found = materialize(shared_parts(keyed(docs, buckets), buckets, group), "jaccard-found")
+        self.rows = found.where("a IS NULL").select("doc_id", "n", "node")
+        self.pairs = found.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+        self.hot = found.where("shared < 0").select(F.col("a").alias("node"), F.col("b").alias("part"), (-F.col("shared")).alias("sets"))
+        known = self.rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+        count = self.hot.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
+        self.nodes = materialize(known.join(count, "node", "left").withColumn("hot", F.coalesce("hot", F.lit(0))), "jaccard-classes")
+
+    def edges(self) -> DataFrame:
+        """(a, b): pairs that share parts enough, and ties of sets by the hot parts of their prefixes."""
+
+        def known(side: str) -> DataFrame:
+            return self.nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("hot").alias(f"hot_{side}"))
+
+        sized = self.pairs.join(known("a"), "a").join(known("b"), "b").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
+        pairs = sized.where("shared >= least(n_a, n_b) div 8 + 1 - least(hot_a, hot_b)").select("a", "b")
+        spare = F.col("hot") - least_slack(F.col("n"))
+        rank = F.row_number().over(Window.partitionBy("node").orderBy("sets", "part"))
+        prefix = self.hot.join(self.nodes.where(spare > 0).select("node", spare.alias("spare")), "node").withColumn("rank", rank).where("rank <= spare")
+        prefix = materialize(prefix.select("node", "part"), "jaccard-prefixes")
+        ties = prefix.join(prefix.groupBy("part").agg(F.min("node").alias("tied")), "part").where("node != tied")
+        return pairs.unionByName(ties.select(F.col("tied").alias("a"), F.col("node").alias("b")).distinct())
+
+    def placed(self) -> DataFrame:
+        """(node, doc_id, n, cluster, own, meets) of every set that may have links: its block and the blocks that it meets.
+
+        A cluster of more than a block is cut by size, so that a set meets its own slice and those beside it: no link is
+        between sizes more than a slice apart. A block's number is its slice's, times 2^32, plus its own.
+        """
+        in_clusters = components(self.edges()).select("node", F.col("component").alias("cluster"))
+        sets = materialize(self.nodes.join(in_clusters, "node").select("node", "doc_id", "n", "cluster"), "jaccard-clusters")
+
+        def blocks() -> Column:
+            return F.greatest(F.ceil(F.sum("n") / BLOCK_ELEMENTS), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("long")
+
+        large = sets.groupBy("cluster").agg(blocks().alias("blocks")).where("blocks > 1").select("cluster", F.lit(True).alias("large"))
+        width = F.floor(F.log("n") / F.log(F.lit(4 / 3)))
+        sliced = sets.join(large, "cluster", "left").withColumn("slice", F.when(F.col("large"), width).otherwise(F.lit(0)).cast("long"))
+        counts = sliced.groupBy("cluster", "slice").agg(blocks().alias("blocks")).groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("slice", "blocks"))).alias("counts"))
+        first = F.shiftleft(F.col("slice"), 32)
+        own = first + F.pmod(F.xxhash64("node"), F.element_at("counts", F.col("slice")))
+        near = F.filter(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.col("slice") + d), lambda s: F.map_contains_key("counts", s))
+        meets = F.flatten(F.transform(near, lambda s: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("counts", s) - 1), lambda b: F.shiftleft(s, 32) + b)))
+        return materialize(sliced.join(counts, "cluster").select("node", "doc_id", "n", "cluster", own.alias("own"), meets.alias("meets")), "jaccard-placed")
 
     def links(self) -> DataFrame:
         """(a, b): verified links between classes, enough of them that every component is connected."""
-        total = self.nodes.agg(F.sum("n")).first()[0] or 0
-        buckets = int(max(8, total * 0.7 // BUCKET_ENTRIES))
-        found = materialize(_grouped(_emitted(self.docs, buckets), buckets, self.group), "jaccard-found")
-        hot = found.where("shared = 0").select(F.col("a").alias("node"), F.col("b").alias("part"))
-        count = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
-        need = self.nodes.join(count, "node", "left").select("node", "n", F.coalesce("hot", F.lit(0)).alias("hot"))
-        need = materialize(need.withColumn("need", F.expr("n div 8 + 1 - hot")), "jaccard-needed")
-        pairs = found.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-        bounds = need.select("node", "need")
-        pairs = pairs.join(bounds.toDF("a", "x"), "a").join(bounds.toDF("b", "y"), "b").where("shared >= least(x, y)").select("a", "b")
-        links = self.verified(pairs)
-        open_ = materialize(hot.join(need.where("need <= 0").select("node", "n", (F.col("hot") / F.col("n")).alias("share")), "node"), "jaccard-open")
-        return self.along_hot_parts(links, open_) if open_.count() else links
-
-    def along_hot_parts(self, links: DataFrame, open_: DataFrame) -> DataFrame:
-        """Settles the pairs of sets that both have more hot parts than slack. open_: (node, part, n, share of hot parts)."""
-        for star in range(2):  # the first without labels: all that is open is compared
-            labelled = self.labelled(open_, links) if star else open_.withColumn("label", F.col("node"))
-            rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("part", F.lit(star)), "part"))
-            few = labelled.withColumn("rank", rank).where(F.col("rank") <= STAR_PARTS).drop("rank")
-            central = F.min_by(F.struct("node", "label"), F.struct(-F.col("share"), F.xxhash64("node"))).alias("p")
-            pivot = few.groupBy("part").agg(central)
-            if star:  # then a central one of those that the most central one isn't linked with
-                pivot = few.join(pivot, "part").where("label != p.label").drop("p").groupBy("part").agg(central)
-            pairs = few.join(pivot, "part").where("label != p.label").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-            links = links.unionByName(self.verified(pairs))
-        for best in (True, False):
-            labelled = self.labelled(open_, links)
-            mixed = labelled.groupBy("part").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x != y").select("part", "size")
-            left = materialize(labelled.join(mixed, "part").select("part", "node", "label", "n", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "jaccard-left")
-            if not left.limit(1).count():
-                break
-            links = links.unionByName(self.verified(self.blockwise(left, best)))
-        return links
-
-    def labelled(self, open_: DataFrame, links: DataFrame) -> DataFrame:
-        return materialize(open_.join(components(links), "node", "left").select("part", "node", "n", "share", F.coalesce("component", "node").alias("label")), "jaccard-labelled")
-
-    def blockwise(self, left: DataFrame, best: bool) -> DataFrame:
-        """Pairs of different components along a hot part whose sketches allow a link; blocks of BLOCK sets meet in tasks.
-
-        best: only the nearest of two components in a block, which mostly joins them; all must follow for what is left.
-        """
-        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j")))
-        rows = left.withColumn("__own", own).withColumn("at", F.explode(meets)).join(self.nodes.select("node", "low", "high"), "node")
-        rows = rows.select("part", F.col("at.i").alias("i"), F.col("at.j").alias("j"), F.col("__own").alias("own"), "node", "label", "n", "low", "high")
-
-        def compare(table: pa.Table) -> pa.Table:
-            i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-            own, node, label, n = (table.column(c).to_numpy() for c in ("own", "node", "label", "n"))
-            low, high = table.column("low").to_pylist(), table.column("high").to_pylist()
-            band = np.array([_band(x) for x in n])
-            out: list[np.ndarray] = [np.zeros((0, 5), np.int64)]
-            for k in np.unique(band):  # pairs whose larger set is in band k
-                at = np.flatnonzero((band == k) | (band == k - 1) & np.array([h is not None for h in high]))
-                bits = np.frombuffer(b"".join(low[x] if band[x] == k else high[x] for x in at), np.uint64).reshape(len(at), -1)
-                rows_at_once = max(1, 1_000_000 // max(1, len(at)))
-                for first in range(0, len(at), rows_at_once):
-                    x, y = np.arange(first, min(first + rows_at_once, len(at)))[:, None], np.arange(len(at))[None, :]
-                    u, v = at[x], at[y]
-                    ok = (x < y) & (label[u] != label[v]) & (np.maximum(band[u], band[v]) == k)
-                    ok &= 4 * np.minimum(n[u], n[v]) >= 3 * np.maximum(n[u], n[v])
-                    ok &= (i == j) | (own[u] != own[v])
-                    x, y = np.nonzero(ok)
-                    x = x + first
-                    for part in range(0, len(x), 100_000):
-                        xs, ys = x[part : part + 100_000], y[part : part + 100_000]
-                        u, v = at[xs], at[ys]
-                        far = 7 * np.bitwise_count(bits[xs] ^ bits[ys]).sum(1).astype(np.int64)
-                        u, v, far = (w[far <= n[u] + n[v]] for w in (u, v, far))
-                        span = 10_000 * far // (n[u] + n[v])
-                        out.append(np.stack([np.minimum(node[u], node[v]), np.maximum(node[u], node[v]), np.minimum(label[u], label[v]), np.maximum(label[u], label[v]), span], 1))
-            pairs = np.concatenate(out)
-            if best and len(pairs):
-                pairs = pairs[np.lexsort((pairs[:, 4], pairs[:, 3], pairs[:, 2]))]
-                pairs = pairs[np.r_[True, (pairs[1:, 2:4] != pairs[:-1, 2:4]).any(1)]]
-            return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-        return rows.groupBy("part", "i", "j").applyInArrow(compare, "a long, b long").distinct()
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs of nodes that are links: by size, by sketch, then by the sets.
-
-        A pair is two rows, so that one join brings what it needs and one grouping brings both together.
-        """
-        sides = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("side")), F.struct(F.col("b").alias("node"), F.lit(1).alias("side"))))
-
-        def both(of: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
-            rows = of.select("a", "b", sides.alias("s")).select("a", "b", "s.*").join(known, "node")
-            own = F.sort_array(F.collect_list(F.struct("side", *columns)))
-            return rows.groupBy("a", "b").agg(own.alias("both")).where(F.size("both") > 1)
-
-        sketched = both(pairs, self.nodes.select("node", "n", "low", "high"), ["n", "low", "high"])
-        x, y = F.col("both")[0], F.element_at("both", -1)
-        sketched = sketched.where(4 * F.least(x["n"], y["n"]) >= 3 * F.greatest(x["n"], y["n"]))
-        top = F.length(F.bin(F.greatest(x["n"], y["n"])))
-
-        def chosen(side):
-            return F.when(F.length(F.bin(side["n"])) == top, side["low"]).otherwise(side["high"])
+        placed = self.placed()
+        sent = placed.agg(F.sum(F.col("n") * F.size("meets"))).first()[0] or 0
+        tasks = int(min(MAX_TASKS, max(int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), sent // BLOCK_ELEMENTS)))
+        rows = self.sets(placed).withColumn("meets", F.explode("meets"))
+        rows = rows.select("cluster", F.least("own", "meets").alias("i"), F.greatest("own", "meets").alias("j"), (F.col("own") > F.col("meets")).alias("side"), "node", "set")
 
-        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sides = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
-                far = np.array([int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()) for x, y in sides], np.int64)
-                yield batch.select(["a", "b"]).filter(pa.array(7 * far <= batch.column("n").to_numpy(), pa.bool_()))
-
-        likely = sketched.select("a", "b", (x["n"] + y["n"]).alias("n"), chosen(x).alias("x"), chosen(y).alias("y")).mapInArrow(near, "a long, b long")
-        likely = materialize(likely, "jaccard-likely")
-        sets = both(likely, self.sets(likely.select(sides.alias("s")).select("s.node").distinct()), ["set"])
-
-        def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            current, nodes, sides, sets = None, [], [], []
+            found: list[tuple[int, int]] = []
             for batch in batches:
-                keep = []
-                for x, y in zip(batch.column("x"), batch.column("y")):
-                    x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * common >= 75 * (len(x) + len(y) - common))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-        pairs_of_sets = sets.select("a", "b", F.col("both")[0]["set"].alias("x"), F.element_at("both", -1)["set"].alias("y"))
-        return materialize(pairs_of_sets.mapInArrow(linked, "a long, b long"), "jaccard-verified")
-
-    def sets(self, nodes: DataFrame) -> DataFrame:
-        """(node, set) of the nodes, from the texts of their first documents."""
-        first = materialize(self.nodes.select("node", F.col("doc_id").alias("first")).join(nodes, "node"), "jaccard-wanted")
-        wanted = F.broadcast(first) if first.count() <= BROADCAST_IDS else first
-        texts = _ids(self.docs).join(wanted, F.col("doc_id") == F.col("first")).select("node", "text")
+                keys = zip(*[batch.column(c).to_pylist() for c in ("cluster", "i", "j", "side", "node")])
+                for (*block, side, node), elements in zip(keys, batch.column("set")):
+                    if block != current:
+                        found += spanning_links(nodes, sides, sets) if len(nodes) > 1 else []
+                        current, nodes, sides, sets = block, [], [], []
+                    nodes.append(node), sides.append(side), sets.append(np.frombuffer(elements.as_py(), np.uint64))
+                yield links_of(found)
+                found = []
+            yield links_of(spanning_links(nodes, sides, sets) if len(nodes) > 1 else [])
+
+        def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        dealt = rows.repartition(tasks, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+        return materialize(dealt.mapInArrow(run, "a long, b long").where("a != b"), "jaccard-links")
+
+    def sets(self, placed: DataFrame) -> DataFrame:
+        """placed with the sets of its nodes, from the texts of their first documents; a row that repeats one may come again."""
+        placed = placed.withColumnRenamed("doc_id", "first")
+        wanted = F.broadcast(placed) if placed.count() <= BROADCAST_IDS else placed
+        texts = _ids(self.docs).join(wanted, F.col("doc_id") == F.col("first")).select("node", "text", "cluster", "own", "meets")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                made = [(node, s.tobytes()) for node, s in zip(batch.column("node").to_pylist(), shingle_sets(batch.column("text").to_pylist())) if _class(s) == node]
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in made], pa.int64()), pa.array([x for _, x in made], pa.binary())], names=["node", "set"])
+                sets = [shingles(text.as_py()) for text in batch.column("text")]
+                same = pa.array([_class(s) == node for s, node in zip(sets, batch.column("node").to_pylist())], pa.bool_())
+                columns = [batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary()), *[batch.column(c) for c in ("cluster", "own", "meets")]]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "set", "cluster", "own", "meets"]).filter(same)
 
-        return texts.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
+        return texts.mapInArrow(run, "node long, set binary, cluster long, own long, meets array<long>")
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""
@@ -414,7 +418,8 @@ def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
     A null text has no words, like an empty one: no shingles, linked with nothing. Rows of equal texts are one class. A
     row whose doc_id is null is linked with nothing. Rows that repeat a doc_id each get the component of their own text.
-    An empty table gives no rows; other columns are not read.
+    A text of any length is one set. doc_id has to be of an integer type, else TypeError. An empty table gives no rows;
+    other columns are not read.
     """
     return JaccardJoin(docs, group).result()
 
@@ -423,7 +428,9 @@ def keep_first(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """docs without near duplicates: of each component the rows with the smallest doc_id stay, with the columns of docs.
 
     Rows without words, or without doc_id, all stay. Of rows that repeat a doc_id, those stay whose component it names.
+    Other columns are kept as they are, whatever their names. An empty table stays empty.
     """
     found = near_duplicates(docs, group)
-    gone = found.groupBy("doc_id").agg(F.max(F.col("component_id") == F.col("doc_id")).alias("__stays")).where(~F.col("__stays")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti").select(*docs.columns)
+    stays = found.groupBy("doc_id").agg(F.max(F.col("component_id") == F.col("doc_id")).alias("stays"))
+    gone = stays.where("NOT stays").select(F.col("doc_id").alias("gone"))
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
