@@ -6,33 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FILL = -32767
-#: Fixed values: (words in the name, type, scale, offset, fill); the first rule that fits holds.
+#: Words in names that are kept as they are, and words in those of them that are whole numbers.
+AS_IS = ("time", "date", "mask", "quality", "flag", "status", "source", "angle")
+WHOLE = ("flag", "status", "source", "count", "number")
+#: Fixed values for all other names: (words in the name, type, scale, offset, fill); the first rule that fits holds.
+#: Salinity's short names count whole, or at an end, apart by an underscore.
 RULES = (
-    (("flag", "status", "source", "number"), "int16", 1.0, 0.0, FILL),
-    (("time", "date", "mask", "quality", "angle"), "float32", None, None, None),
     (("ssh", "sla", "mdt", "zos", "adt"), "int16", 0.0005, 0.0, FILL),
     (("sst", "thetao", "temperature"), "int16", 0.001, 20.0, FILL),
-    (("sss", "sos", "salinity"), "int16", 0.002, 30.0, FILL),
-    (("current",), "int16", 0.001, 0.0, FILL),
+    (("^sss$", "^so$", "^sos$", "salinity", "^sss_", "_sss$"), "int16", 0.002, 30.0, FILL),
+    (("uo", "vo", "current"), "int16", 0.001, 0.0, FILL),
     (("wind", "speed"), "int16", 0.01, 0.0, FILL),
     (("n_obs", "count"), "int16", 1.0, 0.0, -1),
-    (("track", "overlap", "num"), "int8", 1.0, 0.0, -1),
+    (("track", "overlap", "mask", "num"), "int8", 1.0, 0.0, -1),
 )
-#: Names that count whole.
-EXACT = {"so": RULES[4], "uo": RULES[5], "vo": RULES[5]}
 
 
 def codec(name: Column) -> Column:
     """struct(dtype, scale, offset, fill) of a variable; float32 where no rule fits."""
-    def made(dtype: str, scale: float | None, offset: float | None, fill: int | None) -> Column:
+    def made(dtype: str, scale: float | None = None, offset: float | None = None, fill: int | None = None) -> Column:
         return F.struct(F.lit(dtype).alias("dtype"), F.lit(scale).cast("double").alias("scale"), F.lit(offset).cast("double").alias("offset"), F.lit(fill).cast("int").alias("fill"))
 
-    low, out = F.lower(name), made("float32", None, None, None)
+    def has(words: tuple[str, ...]) -> Column:
+        return F.lower(name).rlike("|".join(words))
+
+    out = made("float32")
     for words, *rule in reversed(RULES):
-        out = F.when(low.rlike("|".join(words)), made(*rule)).otherwise(out)
-    for exact, (_, *rule) in EXACT.items():
-        out = F.when(low == exact, made(*rule)).otherwise(out)
-    return out
+        out = F.when(has(words), made(*rule)).otherwise(out)
+    return F.when(has(AS_IS) & has(WHOLE), made("int16", 1.0, 0.0, FILL)).when(has(AS_IS), made("float32")).otherwise(out)
 
 
 def pack(value: Column, scale: Column | float, offset: Column | float, fill: int = FILL) -> Column:

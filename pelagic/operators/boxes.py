@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import ceil, floor
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,33 +35,39 @@ def boxes_points(boxes: DataFrame, points: DataFrame) -> DataFrame:
 
 def overlapping_boxes(boxes: DataFrame, above: float) -> DataFrame:
     """Pairs (a < b) of boxes with intersection over union above a limit and a common date."""
-    own = ["query_id", "lon_min", "lon_max", "lat_min", "lat_max"]
+    own = ["query_id", "lon_min", "lon_max", "lat_min", "lat_max", "date_start"]
     keyed = exploded_tiles(exploded_days(boxes)).select(*own, "obs_date", "tile_i", "tile_j")
     a = keyed.select("obs_date", "tile_i", "tile_j", *[F.col(c).alias(f"a_{c}") for c in own])
     b = keyed.select("obs_date", "tile_i", "tile_j", *[F.col(c).alias(f"b_{c}") for c in own])
-    pairs = a.join(b, ["obs_date", "tile_i", "tile_j"]).where("a_query_id < b_query_id").drop("obs_date", "tile_i", "tile_j").dropDuplicates(["a_query_id", "b_query_id"])
+    both = a.join(b, ["obs_date", "tile_i", "tile_j"]).where("a_query_id < b_query_id")
+    first = (F.col("obs_date") == F.greatest("a_date_start", "b_date_start")) & (F.col("tile_i") == F.floor((F.greatest("a_lon_min", "b_lon_min") + 180) / TILE)) & (F.col("tile_j") == F.floor((F.greatest("a_lat_min", "b_lat_min") + 90) / TILE))
+    pairs = both.where(first)  # a pair counts on its first common day and in its first common tile
     iou = box_iou("a_", "b_")
     return pairs.select(F.col("a_query_id").alias("a"), F.col("b_query_id").alias("b"), iou.alias("iou")).where(F.col("iou") > above)
 
 
 def land_prefix_sums(mask: DataFrame) -> DataFrame:
-    """Two-dimensional running sums of a mask: four look-ups then give the land cells of any window."""
+    """Two-dimensional running sums of a mask, a row of the mask in each array: four look-ups give the land cells of any window."""
     rows = mask.withColumn("row_sum", F.sum(F.col("is_land").cast("long")).over(Window.partitionBy("i").orderBy("j")))
-    return rows.withColumn("land", F.sum("row_sum").over(Window.partitionBy("j").orderBy("i"))).select("i", "j", "land")
+    sums = rows.withColumn("land", F.sum("row_sum").over(Window.partitionBy("j").orderBy("i")))
+    return sums.groupBy("i").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "land"))), lambda x: x["land"]).alias("land"))
 
 
 def land_fraction(boxes: DataFrame, sums: DataFrame) -> DataFrame:
-    """Share of land cells in each box's index window; 0 for an empty window. The mask's size is fixed, so that it is broadcast."""
+    """Share of land cells in each box's index window; 0 for an empty window. The mask's 720 rows of 1440 are broadcast."""
     def index(c: str, low: float, n: int, extra: int) -> Column:
         return F.greatest(F.lit(0), F.least(F.lit(n), F.floor((F.col(c) - low) / MASK_STEP).cast("int") + extra))
 
     d = boxes.withColumns({
         "__w": index("lon_min", -180.0, 1440, 0), "__e": index("lon_max", -180.0, 1440, 1), "__s": index("lat_min", -90.0, 720, 0), "__n": index("lat_max", -90.0, 720, 1),
     })
-    for name, i, j in (("ne", "__n", "__e"), ("nw", "__n", "__w"), ("se", "__s", "__e"), ("sw", "__s", "__w")):
-        look = sums.select((F.col("i") + 1).alias("__i"), (F.col("j") + 1).alias("__j"), F.col("land").alias(f"__{name}"))
-        d = d.join(look, (F.col(i) == F.col("__i")) & (F.col(j) == F.col("__j")), "left").drop("__i", "__j")
-    land = sum(F.coalesce(f"__{k}", F.lit(0)) * s for k, s in (("ne", 1), ("nw", -1), ("se", -1), ("sw", 1)))
+    for side in ("n", "s"):
+        d = d.join(F.broadcast(sums.select((F.col("i") + 1).alias(f"__{side}"), F.col("land").alias(f"__land_{side}"))), f"__{side}", "left")
+
+    def below(side: str, column: str) -> Column:  # land cells south and west of a corner; none at the mask's edge
+        return F.coalesce(F.when(F.col(column) > 0, F.get(f"__land_{side}", F.col(column) - 1)), F.lit(0))
+
+    land = below("n", "__e") - below("n", "__w") - below("s", "__e") + below("s", "__w")
     size = (F.col("__e") - F.col("__w")) * (F.col("__n") - F.col("__s"))
     return d.withColumn("land_fraction", F.when(size > 0, land / size).otherwise(F.lit(0.0))).drop(*[c for c in d.columns if c.startswith("__")])
 
@@ -172,16 +178,16 @@ def histogram(frame: DataFrame, column: str, low: float, high: float, bins: int)
 def mask_from_edges(edges: DataFrame, grid: DataFrame) -> DataFrame:
     """Cells (row, lat, col, lon) whose centre lies inside polygons: an odd number of edges crosses to their east.
 
-    Edges are brought to the rows that they span by an equi-join; each row's crossings are few and sorted.
+    Edges are brought to the rows that they span; a row's crossings are counted by the last column that lies west of them,
+    and running sums from the east give the crossings beyond each cell.
     """
     step = MASK_STEP
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     d = edges.where("y1 != y2").withColumn("row", F.explode(F.sequence(F.ceil((low + 90) / step - 0.5).cast("int"), F.ceil((high + 90) / step - 0.5).cast("int"))))
     lat = -90 + (F.col("row") + 0.5) * step
     d = d.withColumn("lat", lat).where((F.col("lat") >= low) & (F.col("lat") < high))
-    crossings = d.select("row", (F.col("x1") + (F.col("lat") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("x")).groupBy("row").agg(F.collect_list("x").alias("xs"))
-    return grid.join(crossings, "row", "left").withColumn("is_land", F.coalesce(F.size(F.filter("xs", lambda x: x > F.col("lon"))) % 2 == 1, F.lit(False))).drop("xs")
-
-
-def n_tiles(size: float) -> int:
-    return floor(size / TILE) + 2
+    x = F.col("x1") + (F.col("lat") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    col = F.least(F.lit(round(360 / step) - 1), F.ceil((x + 180) / step - 0.5) - 1).cast("int")
+    crossings = d.select("row", col.alias("col")).where("col >= 0").groupBy("row", "col").agg(F.count(F.lit(1)).alias("n"))
+    beyond = F.sum(F.coalesce("n", F.lit(0))).over(Window.partitionBy("row").orderBy(F.desc("col")))
+    return grid.join(crossings, ["row", "col"], "left").withColumn("is_land", beyond % 2 == 1).drop("n")

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PAD_PREFIX = "__TACOPAD__"
 MAX_TILES = 11
 
 
-def catalog_scan(tiles: DataFrame, start: str, end: str, sources: list) -> DataFrame:
-    """Tiles of some sources in a date range; padding rows are left out. Filters reach the scan."""
+def catalog_scan(tiles: DataFrame, start: str, end: str, sources: list, pad_prefix: str | None = None) -> DataFrame:
+    """Tiles of some sources in a date range; padding rows, whose id begins with a prefix, are left out. Filters reach the scan."""
     d = tiles.where(F.col("obs_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")) & F.col("source_id").isin(sources))
-    return d.where(~F.col("id").startswith(PAD_PREFIX)) if "id" in tiles.columns else d
+    return d.where(~F.col("id").startswith(pad_prefix)) if pad_prefix else d
 
 
 def catalog_lookup(tiles: DataFrame, regions: DataFrame, date: str, box, needed: DataFrame) -> DataFrame:
@@ -21,10 +20,27 @@ def catalog_lookup(tiles: DataFrame, regions: DataFrame, date: str, box, needed:
     return tiles.where(F.col("obs_date") == F.lit(date).cast("date")).join(F.broadcast(touching.select("region_id")), "region_id", "left_semi").join(needed, "source_id", "left_semi")
 
 
-def query_tiles(boxes: DataFrame, tiles: DataFrame, sources: DataFrame) -> DataFrame:
-    """Tiles of each query's dates and the wanted sources: dates are exploded, so that the join is an equi-join."""
-    days = boxes.select("query_id", F.explode(F.sequence("date_start", "date_end", F.expr("INTERVAL 1 DAY"))).alias("obs_date"))
-    return days.join(tiles.join(sources, "source_id", "left_semi"), "obs_date")
+def _query_days(boxes: DataFrame, regions: DataFrame) -> DataFrame:
+    """A row per query, day and region, and whether the region shares area with the box. The eight regions are broadcast."""
+    meets = (F.col("lon_max") > F.col("r_lon_min")) & (F.col("lon_min") < F.col("r_lon_max")) & (F.col("lat_max") > F.col("r_lat_min")) & (F.col("lat_min") < F.col("r_lat_max"))
+    d = boxes.crossJoin(F.broadcast(regions)).select("query_id", "date_start", "date_end", "region_id", meets.alias("meets"))
+    return d.withColumn("obs_date", F.explode(F.sequence("date_start", "date_end", F.expr("INTERVAL 1 DAY")))).drop("date_start", "date_end")
+
+
+def query_tiles(boxes: DataFrame, tiles: DataFrame, sources: DataFrame, regions: DataFrame) -> DataFrame:
+    """Tiles of each query's dates and regions and the wanted sources: dates are exploded, so that the join is an equi-join."""
+    return _query_days(boxes, regions).where("meets").drop("meets").join(tiles.join(sources, "source_id", "left_semi"), ["obs_date", "region_id"])
+
+
+def query_file_counts(boxes: DataFrame, tiles: DataFrame, sources: DataFrame, regions: DataFrame) -> DataFrame:
+    """By query: tiles of its dates and sources (n_files_indexed), and how many of them, of what size, its box needs.
+
+    Tiles are counted by date and region first, so that no tile meets a query.
+    """
+    by_day = tiles.join(sources, "source_id", "left_semi").groupBy("obs_date", "region_id").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes"))
+    needed = F.when(F.col("meets"), F.col("n")), F.when(F.col("meets"), F.col("bytes"))
+    counts = [F.sum("n").alias("n_files_indexed"), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in zip(needed, ("n_files", "n_bytes"))]]
+    return _query_days(boxes, regions).join(by_day, ["obs_date", "region_id"]).groupBy("query_id").agg(*counts)
 
 
 def _expected(tiles: DataFrame) -> DataFrame:
@@ -54,6 +70,14 @@ def missing_dates(tiles: DataFrame) -> DataFrame:
     return _expected(tiles).join(tiles.select("source_id", "obs_date").distinct(), ["source_id", "obs_date"], "left_anti")
 
 
+def missing_in_catalogue(present: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Files of the catalogue on dates, between the first and the last, on which nothing is present."""
+    ends = present.agg(F.min("obs_date").alias("low"), F.max("obs_date").alias("high"))
+    spine = ends.select(F.explode(F.sequence("low", "high", F.expr("INTERVAL 1 DAY"))).alias("obs_date"))
+    gone = spine.subtract(present.select("obs_date")).intersect(catalogue.select("obs_date"))
+    return catalogue.join(gone, "obs_date", "left_semi").select("obs_date", "file_id", "source_id", "region_id")
+
+
 def availability_segments(tiles: DataFrame) -> DataFrame:
     """Unbroken runs of dates by source (gaps and islands)."""
     days = tiles.select("source_id", "obs_date").distinct()

@@ -44,9 +44,11 @@ def grid_daily_tracks(points: DataFrame, step: float, value: str = "val", track:
 
 
 def track_times(points: DataFrame, track: str = "track_id", time: str = "obs_time") -> DataFrame:
-    """Mean, first and last time of a track and day, in microseconds."""
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    return points.where(F.col(time).isNotNull()).groupBy("obs_date", track).agg(F.floor(F.avg(micros)).alias("time_mean"), F.min(micros).alias("time_min"), F.max(micros).alias("time_max"))
+    """Mean (rounded down), first and last time of a track and day, in microseconds; the mean is exact, over offsets from the day's start."""
+    micros, day = F.unix_micros(F.col(time).cast("timestamp")), F.unix_micros(F.col("obs_date").cast("timestamp"))
+    d = points.where(F.col(time).isNotNull()).groupBy("obs_date", track).agg(F.sum(micros - day).alias("total"), F.count(F.lit(1)).alias("n"), F.min(micros).alias("time_min"), F.max(micros).alias("time_max"))
+    mean = F.expr("unix_micros(CAST(obs_date AS timestamp)) + (total - pmod(total, n)) div n")
+    return d.select("obs_date", track, mean.alias("time_mean"), "time_min", "time_max")
 
 
 def cells_owned(grid: DataFrame, tracks: DataFrame) -> DataFrame:

@@ -47,8 +47,10 @@ def with_time(frame: DataFrame) -> DataFrame:
 
 def day_inputs(files: DataFrame, kinds: DataFrame, date: str) -> DataFrame:
     """Files of a day; of swath and track sources also those of the day before and after. kinds: source_id, kind."""
-    off = F.abs(F.datediff("obs_date", F.lit(date).cast("date")))
-    return files.join(F.broadcast(kinds), "source_id").where((off == 0) | ((off == 1) & F.col("kind").isin("swath", "track")))
+    day = F.lit(date).cast("date")
+    off = F.abs(F.datediff("obs_date", day))
+    near = files.where(F.col("obs_date").between(F.date_sub(day, 1), F.date_add(day, 1)))  # reaches the scan
+    return near.join(F.broadcast(kinds), "source_id").where((off == 0) | ((off == 1) & F.col("kind").isin("swath", "track")))
 
 
 def normalised(points: DataFrame, names: dict[str, str]) -> DataFrame:

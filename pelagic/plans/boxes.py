@@ -21,7 +21,7 @@ _PAIRS = f"""SELECT a.query_id AS a, b.query_id AS b, {_IOU} / ({_AREA} - {_IOU}
  AND a.date_start <= b.date_end AND b.date_start <= a.date_end AND a.lon_min < b.lon_max AND b.lon_min < a.lon_max AND a.lat_min < b.lat_max AND b.lat_min < a.lat_max"""
 _FRACTION = """windows AS (SELECT *, GREATEST(0, LEAST(1440, FLOOR((lon_min+180)/0.25)))::INT AS w, GREATEST(0, LEAST(1440, FLOOR((lon_max+180)/0.25)+1))::INT AS e,
  GREATEST(0, LEAST(720, FLOOR((lat_min+90)/0.25)))::INT AS s, GREATEST(0, LEAST(720, FLOOR((lat_max+90)/0.25)+1))::INT AS n FROM boxes),
- sums AS (SELECT i, j, SUM(row_sum) OVER (PARTITION BY j ORDER BY i) AS land FROM (SELECT i, j, SUM(is_land::INT) OVER (PARTITION BY i ORDER BY j) AS row_sum FROM land)),
+ sums AS MATERIALIZED (SELECT i, j, SUM(row_sum) OVER (PARTITION BY j ORDER BY i) AS land FROM (SELECT i, j, SUM(is_land::INT) OVER (PARTITION BY i ORDER BY j) AS row_sum FROM land)),
  fractions AS (SELECT q.*, CASE WHEN (e-w)*(n-s) > 0 THEN (COALESCE(p1.land,0) - COALESCE(p2.land,0) - COALESCE(p3.land,0) + COALESCE(p4.land,0))::DOUBLE / ((e-w)*(n-s)) ELSE 0 END AS land_fraction FROM windows q
  LEFT JOIN sums p1 ON p1.i = n-1 AND p1.j = e-1 LEFT JOIN sums p2 ON p2.i = n-1 AND p2.j = w-1 LEFT JOIN sums p3 ON p3.i = s-1 AND p3.j = e-1 LEFT JOIN sums p4 ON p4.i = s-1 AND p4.j = w-1)"""
 
@@ -46,8 +46,8 @@ R.add(
  ON o.track_id = r.track_id AND obs_id BETWEEN lo AND hi""", "obs",
 )
 R.add(
-    "f7_split_at_dateline", lambda s, d: rounded(b.split_at_dateline(_boxes(s, d).withColumns({"lon_min": F.col("lon_max"), "lon_max": F.col("lon_min")}).where("query_id % 2 = 0"))),
-    """SELECT query_id, CASE WHEN k = 0 THEN lon_max ELSE -180.0 END AS lon_min, CASE WHEN k = 0 THEN 180.0 ELSE lon_min END AS lon_max, lat_min, lat_max, date_start, date_end FROM boxes, (VALUES (0), (1)) AS t(k) WHERE query_id % 2 = 0""", "boxes",
+    "f7_split_at_dateline", lambda s, d: rounded(b.split_at_dateline(_boxes(s, d).withColumns({"lon_min": F.col("lon_max"), "lon_max": F.col("lon_min")}).withColumns({"lon_min": F.when(F.col("query_id") % 2 == 0, F.col("lon_min")).otherwise(F.col("lon_max")), "lon_max": F.when(F.col("query_id") % 2 == 0, F.col("lon_max")).otherwise(F.col("lon_min"))}))),
+    """SELECT query_id, CASE WHEN query_id % 2 = 1 THEN lon_min WHEN k = 0 THEN lon_max ELSE -180.0 END AS lon_min, CASE WHEN query_id % 2 = 1 THEN lon_max WHEN k = 0 THEN 180.0 ELSE lon_min END AS lon_max, lat_min, lat_max, date_start, date_end FROM boxes, (VALUES (0), (1)) AS t(k) WHERE query_id % 2 = 0 OR k = 0""", "boxes",
 )
 R.add("f8_boxes_touching", lambda s, d: b.touches(_boxes(s, d), BBox(175.0, -170.0, -20.0, 40.0)).select("query_id"), "SELECT query_id FROM boxes WHERE (lon_max >= 175 OR lon_min <= -170) AND lat_min <= 40 AND lat_max >= -20", "boxes")
 R.add(
@@ -117,11 +117,12 @@ R.add(
 R.add(
     "r13_mask_from_edges",
     lambda s, d: b.mask_from_edges(
-        _boxes(s, d).where("query_id % 50 = 0").select(F.explode(F.array(*[F.struct(*[F.col(c).alias(n) for c, n in zip(e, ("x1", "y1", "x2", "y2"))]) for e in (("lon_min", "lat_min", "lon_max", "lat_min"), ("lon_max", "lat_min", "lon_max", "lat_max"), ("lon_max", "lat_max", "lon_min", "lat_max"), ("lon_min", "lat_max", "lon_min", "lat_min"))])).alias("e")).select("e.*"),
+        _boxes(s, d).select(F.explode(F.array(*[F.struct(*[F.col(c).alias(n) for c, n in zip(e, ("x1", "y1", "x2", "y2"))]) for e in (("lon_min", "lat_min", "lon_max", "lat_min"), ("lon_max", "lat_min", "lon_max", "lat_max"), ("lon_max", "lat_max", "lon_min", "lat_max"), ("lon_min", "lat_max", "lon_min", "lat_min"))])).alias("e")).select("e.*"),
         s.range(1440 * 720).select(F.floor(F.col("id") / 1440).cast("int").alias("row"), (F.col("id") % 1440).cast("int").alias("col"), (-180 + (F.col("id") % 1440 + 0.5) * 0.25).alias("lon")),
     ).groupBy("row").agg(F.count_if("is_land").alias("n_land")),
-    """SELECT CAST(row AS INT) AS row, COUNT(*) FILTER (WHERE inside % 2 = 1) AS n_land FROM (SELECT range // 1440 AS row, range % 1440 AS col, (SELECT COUNT(*) FROM boxes WHERE query_id % 50 = 0 AND -180 + (range % 1440 + 0.5)*0.25 >= lon_min AND -180 + (range % 1440 + 0.5)*0.25 < lon_max
- AND -90 + (range // 1440 + 0.5)*0.25 >= lat_min AND -90 + (range // 1440 + 0.5)*0.25 < lat_max) AS inside FROM range(1036800)) GROUP BY 1""", "boxes",
+    """WITH steps AS (SELECT row, col, SUM(n) AS n FROM (SELECT CAST(r AS INT) AS row, CAST(CASE k WHEN 1 THEN CEIL((lon_min+180)/0.25 - 0.5) ELSE CEIL((lon_max+180)/0.25 - 0.5) END AS INT) AS col, k AS n FROM boxes, range(720) AS t(r), (VALUES (1), (-1)) AS u(k)
+ WHERE -90 + (r + 0.5)*0.25 >= lat_min AND -90 + (r + 0.5)*0.25 < lat_max) GROUP BY 1, 2)
+ SELECT CAST(range // 1440 AS INT) AS row, COUNT(*) FILTER (WHERE inside % 2 = 1) AS n_land FROM (SELECT range, SUM(COALESCE(n, 0)) OVER (PARTITION BY range // 1440 ORDER BY range % 1440) AS inside FROM range(1036800) LEFT JOIN steps ON row = range // 1440 AND col = range % 1440) GROUP BY 1""", "boxes",
 )
 R.add(
     "c8_box_iou", lambda s, d: rounded(_boxes(s, d).select("query_id", *[F.col(c).alias(f"a_{c}") for c in ("lon_min", "lon_max", "lat_min", "lat_max")], F.lit(-80.0).alias("b_lon_min"), F.lit(-40.0).alias("b_lon_max"), F.lit(10.0).alias("b_lat_min"), F.lit(50.0).alias("b_lat_max")).select("query_id", box_iou("a_", "b_").alias("iou"))),

@@ -26,7 +26,15 @@ _NAME_SQL = "'l3/R' || region_id || '/l3_ssh_' || STRFTIME(obs_date, '%Y%m%d') |
 _EXPECTED = """bounds AS (SELECT source_id, MIN(obs_date) AS low, MAX(obs_date) AS high FROM tiles GROUP BY 1),
  expected AS (SELECT source_id, CAST(UNNEST(GENERATE_SERIES(low, high, INTERVAL 1 DAY)) AS DATE) AS obs_date FROM bounds)"""
 
-R.add("s2_catalog_scan", lambda s, d: c.catalog_scan(_tiles(s, d), "2024-01-05", "2024-01-20", [1, 3, 7]), "SELECT * FROM tiles WHERE obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND source_id IN (1, 3, 7)", "tiles")
+#: All tiles on dates with gaps, which differ by source.
+_GAPPY = "own AS (SELECT file_id, CAST(DATE '2024-01-01' + CAST(file_id * file_id % 97 AS INT) AS DATE) AS obs_date, region_id, source_id, n_bytes FROM tiles)"
+
+
+def _gappy(spark, sf):
+    return _tiles(spark, sf).withColumn("obs_date", F.expr("date_add(DATE '2024-01-01', CAST(file_id * file_id % 97 AS INT))"))
+
+
+R.add("s2_catalog_scan", lambda s, d: c.catalog_scan(_tiles(s, d).withColumn("id", F.concat(F.when(F.col("file_id") % 4 == 0, "__PAD__").otherwise("f"), "file_id")), "2024-01-05", "2024-01-20", [1, 3, 7], "__PAD__"), "SELECT *, 'f' || file_id AS id FROM tiles WHERE obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND source_id IN (1, 3, 7) AND file_id % 4 <> 0", "tiles")
 R.add(
     "s3_catalog_lookup", lambda s, d: c.catalog_lookup(_tiles(s, d), region_boxes(s), "2024-01-15", BBox(-80, -40, 10, 50), s.range(4, 9).select(F.col("id").cast("int").alias("source_id"))),
     """SELECT t.* FROM tiles t WHERE obs_date = DATE '2024-01-15' AND source_id BETWEEN 4 AND 8 AND (region_id % 4)*90 - 180 <= -40 AND (region_id % 4)*90 - 90 >= -80
@@ -71,12 +79,19 @@ R.add(
  ON t.source_id = p.p_product AND t.obs_date BETWEEN p.valid_from AND p.valid_to) WHERE r = 1""", "tiles",
 )
 R.add(
-    "j1_query_tiles", lambda s, d: c.query_tiles(view(s, d, "boxes"), _tiles(s, d), s.range(3).select(F.col("id").cast("int").alias("source_id"))).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_bytes").alias("n_bytes")),
-    "SELECT query_id, COUNT(*) AS n_files, CAST(SUM(n_bytes) AS BIGINT) AS n_bytes FROM boxes JOIN tiles ON obs_date BETWEEN date_start AND date_end WHERE source_id < 3 GROUP BY 1", "boxes", "tiles",
+    "j1_query_tiles", lambda s, d: c.query_file_counts(view(s, d, "boxes"), _tiles(s, d), s.range(3).select(F.col("id").cast("int").alias("source_id")), region_boxes(s)),
+    """SELECT query_id, COUNT(*) AS n_files_indexed, COUNT(*) FILTER (WHERE lon_max > (region_id % 4)*90 - 180 AND lon_min < (region_id % 4)*90 - 90 AND lat_max > (region_id // 4)*90 - 90 AND lat_min < (region_id // 4)*90) AS n_files,
+ CAST(COALESCE(SUM(n_bytes) FILTER (WHERE lon_max > (region_id % 4)*90 - 180 AND lon_min < (region_id % 4)*90 - 90 AND lat_max > (region_id // 4)*90 - 90 AND lat_min < (region_id // 4)*90), 0) AS BIGINT) AS n_bytes
+ FROM boxes JOIN tiles ON obs_date BETWEEN date_start AND date_end WHERE source_id < 3 GROUP BY 1""", "boxes", "tiles",
+)
+R.add(
+    "j1_tiles_of_queries", lambda s, d: c.query_tiles(view(s, d, "boxes"), _tiles(s, d), s.range(3).select(F.col("id").cast("int").alias("source_id")), region_boxes(s)).select("query_id", "obs_date", "file_id"),
+    """SELECT query_id, obs_date, file_id FROM boxes JOIN tiles ON obs_date BETWEEN date_start AND date_end AND lon_max > (region_id % 4)*90 - 180 AND lon_min < (region_id % 4)*90 - 90 AND lat_max > (region_id // 4)*90 - 90 AND lat_min < (region_id // 4)*90
+ WHERE source_id < 3""", "boxes", "tiles",
 )
 R.add(
-    "j13_semi_and_anti", lambda s, d: _tiles(s, d).join(_tiles(s, d).where("n_bytes > 300000").select("obs_date", "source_id").distinct(), ["obs_date", "source_id"], "left_anti"),
-    "SELECT * FROM tiles t WHERE NOT EXISTS (SELECT 1 FROM tiles u WHERE u.obs_date = t.obs_date AND u.source_id = t.source_id AND u.n_bytes > 300000)", "tiles",
+    "j13_semi_and_anti", lambda s, d: _tiles(s, d).join(_tiles(s, d).where("n_bytes > 450000").select("obs_date", "source_id").distinct(), ["obs_date", "source_id"], "left_anti"),
+    "SELECT * FROM tiles t WHERE NOT EXISTS (SELECT 1 FROM tiles u WHERE u.obs_date = t.obs_date AND u.source_id = t.source_id AND u.n_bytes > 450000)", "tiles",
 )
 R.add(
     "j14_missing_coverage", lambda s, d: c.missing_coverage(_tiles(s, d), [0, 1, 2, 3, 4]),
@@ -89,13 +104,13 @@ R.add(
  CAST(MAX(obs_date) - MIN(obs_date) + 1 AS BIGINT) AS n_expected, CAST(MAX(obs_date) - MIN(obs_date) + 1 AS BIGINT) - COUNT(*) AS n_missing FROM (SELECT source_id, obs_date, COUNT(*) AS n FROM tiles GROUP BY 1, 2) GROUP BY 1""", "tiles",
 )
 R.add(
-    "u7_missing_dates", lambda s, d: c.missing_dates(_tiles(s, d).where("file_id % 9 = 0 AND region_id < 2")),
-    f"WITH own AS (SELECT * FROM tiles WHERE file_id % 9 = 0 AND region_id < 2), {_EXPECTED.replace('FROM tiles', 'FROM own')} SELECT source_id, obs_date FROM expected EXCEPT SELECT source_id, obs_date FROM own", "tiles",
+    "u7_missing_dates", lambda s, d: c.missing_dates(_gappy(s, d)),
+    f"WITH {_GAPPY}, {_EXPECTED.replace('FROM tiles', 'FROM own')} SELECT source_id, obs_date FROM expected EXCEPT SELECT source_id, obs_date FROM own", "tiles",
 )
 R.add(
-    "w7_availability_segments", lambda s, d: c.availability_segments(_tiles(s, d).where("region_id < 3")),
-    """SELECT source_id, MIN(obs_date) AS first_date, MAX(obs_date) AS last_date, COUNT(*) AS n_days FROM (SELECT source_id, obs_date, obs_date - CAST(ROW_NUMBER() OVER (PARTITION BY source_id ORDER BY obs_date) AS INT) AS island
- FROM (SELECT DISTINCT source_id, obs_date FROM tiles WHERE region_id < 3)) GROUP BY source_id, island""", "tiles",
+    "w7_availability_segments", lambda s, d: c.availability_segments(_gappy(s, d)),
+    f"""WITH {_GAPPY} SELECT source_id, MIN(obs_date) AS first_date, MAX(obs_date) AS last_date, COUNT(*) AS n_days FROM (SELECT source_id, obs_date, obs_date - CAST(ROW_NUMBER() OVER (PARTITION BY source_id ORDER BY obs_date) AS INT) AS island
+ FROM (SELECT DISTINCT source_id, obs_date FROM own)) GROUP BY source_id, island""", "tiles",
 )
 R.add(
     "w8_first_file_of_day", lambda s, d: c.first_per_key(_tiles(s, d), ["source_id", "obs_date"], ["file_id"]),
@@ -117,8 +132,9 @@ R.add(
     """SELECT * EXCLUDE (n, some_ok) FROM (SELECT *, COUNT(*) OVER w AS n, BOOL_OR(file_id % 3 <> 0) OVER w AS some_ok FROM tiles WINDOW w AS (PARTITION BY obs_date, region_id, source_id)) WHERE file_id % 3 <> 0 OR n = 1 OR NOT some_ok""", "tiles",
 )
 R.add(
-    "u2_missing_in_catalogue", lambda s, d: _tiles(s, d).where("source_id < 5").select("obs_date", "region_id").exceptAll(_tiles(s, d).where("source_id >= 5").select("obs_date", "region_id")),
-    "SELECT obs_date, region_id FROM tiles WHERE source_id < 5 EXCEPT ALL SELECT obs_date, region_id FROM tiles WHERE source_id >= 5", "tiles",
+    "u2_missing_in_catalogue", lambda s, d: c.missing_in_catalogue(_gappy(s, d), _tiles(s, d).withColumn("obs_date", F.date_add("obs_date", 20))),
+    f"""WITH {_GAPPY}, gone AS (SELECT CAST(DATE '2024-01-01' + CAST(k AS INT) AS DATE) AS obs_date FROM range(97) AS x(k) EXCEPT SELECT obs_date FROM own)
+ SELECT obs_date + 20 AS obs_date, file_id, source_id, region_id FROM tiles WHERE obs_date + 20 IN (SELECT obs_date FROM gone WHERE obs_date > (SELECT MIN(obs_date) FROM own) AND obs_date < (SELECT MAX(obs_date) FROM own))""", "tiles",
 )
 R.add(
     "u8_merged_availability", lambda s, d: _tiles(s, d).groupBy("obs_date", F.when(F.col("source_id") < 5, "model").otherwise(F.concat(F.lit("s"), "source_id")).alias("line")).agg(F.count_distinct("source_id").alias("n_sources")),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..dims import VARIABLES
 from ..fixtures import view
 from ..functions import codec
 from ..operators import statistics as st
@@ -38,9 +39,9 @@ R.add(
     f"WITH {_STEPS}, {_SEGMENTS} SELECT MIN(obs_date) AS obs_date FROM (SELECT obs_date FROM segments GROUP BY track_id, obs_date, segment HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8)", "obs",
 )
 R.add(
-    "w5_column_segments", lambda s, d: rounded(t.column_segments(view(s, d, "cells").where("j % 7 <> 3 AND j % 5 <> 0"), 1), 10),
+    "w5_column_segments", lambda s, d: rounded(t.column_segments(view(s, d, "cells").withColumn("j", F.col("j") * F.col("j")), 7), 10),
     """SELECT product, obs_date, i, j, ROUND(val, 10) AS val, CAST(SUM(is_new) OVER (PARTITION BY product, obs_date, i ORDER BY j ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment
- FROM (SELECT *, CASE WHEN j - LAG(j) OVER (PARTITION BY product, obs_date, i ORDER BY j) > 1 THEN 1 ELSE 0 END AS is_new FROM cells WHERE j % 7 <> 3 AND j % 5 <> 0)""", "cells",
+ FROM (SELECT *, CASE WHEN j - LAG(j) OVER (PARTITION BY product, obs_date, i ORDER BY j) > 7 THEN 1 ELSE 0 END AS is_new FROM (SELECT * REPLACE (j*j AS j) FROM cells))""", "cells",
 )
 R.add(
     "w9_densest_band", lambda s, d: t.densest_band(view(s, d, "cells"), 5, ("product", "obs_date")),
@@ -68,6 +69,28 @@ def _packed(s, d):
 
 
 R.add("c11_pack", lambda s, d: rounded(_packed(s, d).select("product", "obs_date", "i", "j", "p", "packed"), 8), f"WITH {_PACKED} SELECT product, obs_date, i, j, p, ROUND(packed, 8) AS packed FROM packed", "cells")
+#: The variables of all sources, and names that one rule or another takes.
+_NAMES = [
+    *dict.fromkeys(v for _, _, v, _, _ in VARIABLES), "ssh_mean", "mdt", "adt", "sst_night", "sea_temperature", "sss", "sss_error", "l3_sss", "ossso", "sea_surface_salinity", "uo_mean", "vo_wind_max",
+    "ocean_current", "wind_gust", "mean_speed", "n_obs", "track_id", "overlap", "land_mask", "num_tracks", "platform_number", "time", "time_count", "quality_flag", "quality_count", "source_id", "sun_angle", "obs_date", "depth",
+]
+
+
+def _codecs(s, d):
+    names = F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("l_partkey") % len(_NAMES) + 1).cast("int"))
+    used = s.read.parquet(f"{d}/lineitem.parquet").groupBy(names.alias("variable")).agg(F.count(F.lit(1)).alias("n"))
+    return used.select("variable", "n", codec.codec(F.col("variable")).alias("c")).select("variable", "n", "c.*")
+
+
+R.add(
+    "c11_codecs", _codecs,
+    f"""SELECT variable, n, CASE WHEN r IN (0, 9) THEN 'float32' WHEN r = 8 THEN 'int8' ELSE 'int16' END AS dtype, CASE r WHEN 2 THEN 0.0005 WHEN 3 THEN 0.001 WHEN 4 THEN 0.002 WHEN 5 THEN 0.001 WHEN 6 THEN 0.01 WHEN 1 THEN 1 WHEN 7 THEN 1 WHEN 8 THEN 1 END::DOUBLE AS scale,
+ CASE r WHEN 3 THEN 20 WHEN 4 THEN 30 WHEN 0 THEN NULL WHEN 9 THEN NULL ELSE 0 END::DOUBLE AS "offset", CASE WHEN r IN (7, 8) THEN -1 WHEN r NOT IN (0, 9) THEN -32767 END AS fill FROM (SELECT variable, COUNT(*) AS n, CASE
+ WHEN regexp_matches(v, 'time|date|mask|quality|flag|status|source|angle') THEN CASE WHEN regexp_matches(v, 'flag|status|source|count|number') THEN 1 ELSE 0 END WHEN regexp_matches(v, 'ssh|sla|mdt|zos|adt') THEN 2
+ WHEN regexp_matches(v, 'sst|thetao|temperature') THEN 3 WHEN v IN ('sss', 'so', 'sos') OR v LIKE '%salinity%' OR starts_with(v, 'sss_') OR ends_with(v, '_sss') THEN 4 WHEN regexp_matches(v, 'uo|vo|current') THEN 5
+ WHEN regexp_matches(v, 'wind|speed') THEN 6 WHEN regexp_matches(v, 'n_obs|count') THEN 7 WHEN regexp_matches(v, 'track|overlap|mask|num') THEN 8 ELSE 9 END AS r
+ FROM (SELECT names[CAST(l_partkey % len(names) + 1 AS INT)] AS variable, LOWER(names[CAST(l_partkey % len(names) + 1 AS INT)]) AS v FROM lineitem, (SELECT {_NAMES!r} AS names)) GROUP BY variable, v)""",
+)
 R.add(
     "c12_range_check", lambda s, d: rounded(codec.range_check(view(s, d, "cells").withColumn("variable", F.when(F.col("product") == "glorys", "thetao").otherwise("sla"))), 10),
     "SELECT CASE WHEN product = 'glorys' THEN 'thetao' ELSE 'sla' END AS variable, ROUND(MIN(val), 10) AS low, ROUND(MAX(val), 10) AS high, CASE WHEN product = 'glorys' THEN MIN(val) >= 20 - 32.76 AND MAX(val) <= 52.76 ELSE MIN(val) >= -16.38 AND MAX(val) <= 16.38 END AS is_safe FROM cells GROUP BY product", "cells",

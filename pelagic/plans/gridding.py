@@ -32,7 +32,7 @@ for how, sql in (("mean", "AVG(val)"), ("median", "MEDIAN(val)"), ("first", "ARG
         f"SELECT obs_date, {_REGION} AS region_id, {_CELL}, CASE WHEN COUNT(val) >= 2 THEN ROUND({sql}, 6) END AS value, COUNT(val) AS n_obs FROM obs WHERE val IS NOT NULL GROUP BY 1,2,3,4", "obs",
     )
 R.add("a3_grid_daily_tracks", lambda s, d: rounded(_daily(s, d)), f"WITH {_INDEX}, {_DAILY} SELECT * REPLACE (ROUND(value, 6) AS value) FROM grid", "obs")
-R.add("a7_track_times", lambda s, d: g.track_times(view(s, d, "obs")), "SELECT obs_date, track_id, CAST(FLOOR(AVG(EPOCH_US(obs_time))) AS BIGINT) AS time_mean, MIN(EPOCH_US(obs_time)) AS time_min, MAX(EPOCH_US(obs_time)) AS time_max FROM obs GROUP BY 1,2", "obs")
+R.add("a7_track_times", lambda s, d: g.track_times(view(s, d, "obs")), "SELECT obs_date, track_id, CAST(EPOCH_US(CAST(obs_date AS TIMESTAMP)) + SUM(EPOCH_US(obs_time) - EPOCH_US(CAST(obs_date AS TIMESTAMP))) // COUNT(*) AS BIGINT) AS time_mean, MIN(EPOCH_US(obs_time)) AS time_min, MAX(EPOCH_US(obs_time)) AS time_max FROM obs GROUP BY 1,2", "obs")
 R.add(
     "a45_cells_owned", lambda s, d: g.cells_owned(_daily(s, d), _track_table(s, d)),
     f"WITH {_INDEX}, {_DAILY} SELECT idx.obs_date, track_id, track_idx, COUNT(grid.i) AS n_cells FROM idx LEFT JOIN grid ON idx.obs_date = grid.obs_date AND idx.track_idx = grid.primary_track GROUP BY 1,2,3", "obs",

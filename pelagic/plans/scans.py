@@ -81,7 +81,7 @@ R.add(
     f"WITH {_CELLS} SELECT obs_date, i, j, region_id, ROUND(CASE WHEN AVG(val*300) OVER (PARTITION BY obs_date) > 200 THEN val*300 - 273.15 ELSE val*300 END, 9) AS val FROM c WHERE product = 'glorys'", "cells",
 )
 R.add("f2_normalised", lambda s, d: rounded(sc.normalised(view(s, d, "obs").withColumnsRenamed({"lon": "longitude", "lat": "latitude"}).withColumn("longitude", F.col("longitude") + 360), {"longitude": "lon", "latitude": "lat"}).select("obs_id", "lon", "lat"), 6), "SELECT obs_id, ROUND(lon, 6) AS lon, ROUND(lat, 6) AS lat FROM obs", "obs")
-R.add("f10_tracks_touching", lambda s, d: sc.tracks_touching(view(s, d, "obs").where("lon BETWEEN -60 AND 60 AND lat > -20"), region_boxes(s)), "WITH x AS (SELECT obs_date, track_id, MIN(lon) AS w, MAX(lon) AS e, MIN(lat) AS s, MAX(lat) AS n FROM obs WHERE lon BETWEEN -60 AND 60 AND lat > -20 GROUP BY 1, 2) SELECT obs_date, track_id, CAST(r AS INT) AS region_id FROM x, range(8) AS t(r) WHERE e >= (r % 4)*90 - 180 AND w < (r % 4)*90 - 90 AND n >= (r // 4)*90 - 90 AND s < (r // 4)*90", "obs")
+R.add("f10_tracks_touching", lambda s, d: sc.tracks_touching(view(s, d, "obs").withColumns({"lon": F.col("lon") / 8 + F.col("track_id") * 20 - 120, "lat": F.col("lat") / 3 + 25}), region_boxes(s)), "WITH x AS (SELECT obs_date, track_id, MIN(lon/8 + track_id*20 - 120) AS w, MAX(lon/8 + track_id*20 - 120) AS e, MIN(lat/3 + 25) AS s, MAX(lat/3 + 25) AS n FROM obs GROUP BY 1, 2) SELECT obs_date, track_id, CAST(r AS INT) AS region_id FROM x, range(8) AS t(r) WHERE e >= (r % 4)*90 - 180 AND w < (r % 4)*90 - 90 AND n >= (r // 4)*90 - 90 AND s < (r // 4)*90", "obs")
 R.add("f14_chosen_level", lambda s, d: sc.chosen_level(view(s, d, "profiles").select("profile_id", "l_partkey", "l_suppkey", F.when(F.col("l_suppkey") % 2 == 0, "uo").otherwise("so").alias("variable"), (F.col("level") - 1).alias("level_idx")), view(s, d, "profiles").select(F.lit("uo").alias("variable"), F.lit(3).alias("level_idx")).distinct()), "SELECT profile_id, l_partkey, l_suppkey, CASE WHEN l_suppkey % 2 = 0 THEN 'uo' ELSE 'so' END AS variable, level - 1 AS level_idx FROM profiles WHERE level - 1 = CASE WHEN l_suppkey % 2 = 0 THEN 3 ELSE 0 END", "profiles")
 R.add("f21_pass_of_path", lambda s, d: view(s, d, "tiles").select(sc.pass_of(F.concat(F.lit("x/smos-"), F.when(F.col("file_id") % 3 == 0, "asc").when(F.col("file_id") % 3 == 1, "des").otherwise("none"), F.lit("/f.nc"))).alias("pass")).groupBy("pass").agg(F.count(F.lit(1)).alias("n")), "SELECT CASE file_id % 3 WHEN 0 THEN 'ascending' WHEN 1 THEN 'descending' END AS pass, COUNT(*) AS n FROM tiles GROUP BY 1", "tiles")
 R.add(
