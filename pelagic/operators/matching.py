@@ -53,9 +53,9 @@ def right_neighbour(points: DataFrame, grid: DataFrame, lon0: float, lat0: float
     return d.join(grid.select(*keys, "i", "j", F.col("val").alias("grid_val")), [*keys, "i", "j"], "left")
 
 
-def both_valid(obs: DataFrame, ref: DataFrame, keys: tuple[str, ...] = ("obs_date", "i", "j")) -> DataFrame:
-    """Observed and reference values of the same cell and day, both there."""
-    a = obs.where(F.col("value").isNotNull()).select(*keys, F.col("value").alias("obs"))
+def both_valid(obs: DataFrame, ref: DataFrame, keys: tuple[str, ...] = ("obs_date", "i", "j"), also: tuple[str, ...] = ()) -> DataFrame:
+    """Observed and reference values of the same cell and day, both there, with further columns of the observations."""
+    a = obs.where(F.col("value").isNotNull()).select(*also, *keys, F.col("value").alias("obs"))
     return a.join(ref.where(F.col("val").isNotNull()).select(*keys, F.col("val").alias("ref")), list(keys))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import bin_left, bin_right, region_id
 from ..functions.temporal import season
+from .statistics import exact_percentiles
 
 
 def binned_sums(pairs: DataFrame, min_count: int = 5) -> DataFrame:
@@ -66,6 +67,20 @@ def bias_by(pairs: DataFrame, key: Column, name: str, month: bool = True, min_co
     return pairs.groupBy(*keys).agg(F.avg(F.col("ref") - F.col("obs")).alias("bias"), F.stddev_samp(F.col("ref") - F.col("obs")).alias("std"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 
+def regional_bias(pairs: DataFrame, min_region: int = 5) -> DataFrame:
+    """bias_by region and month, for the regions with enough pairs over the whole period."""
+    d = pairs.withColumn("region_id", region_id(F.col("lon"), F.col("lat")))
+    enough = d.groupBy("region_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_region).select("region_id")
+    return bias_by(d.join(F.broadcast(enough), "region_id", "left_semi"), F.col("region_id"), "region_id")
+
+
+def seasonal_bias(pairs: DataFrame, min_season: int = 10, min_cell: int = 3, step: float = 2.0) -> DataFrame:
+    """Binned bias by season, for the seasons with enough pairs and the cells with enough of them."""
+    d = pairs.withColumn("season", season(F.col("obs_date")))
+    enough = d.groupBy("season").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_season).select("season")
+    return binned_bias(d.join(F.broadcast(enough), "season", "left_semi"), step, min_cell, ("season",))
+
+
 def scatter_density(pairs: DataFrame, low: float, high: float, bins: int = 80) -> DataFrame:
     """Counts of (obs, ref) on a square grid of bins, and their logarithm."""
     def at(c: str) -> Column:
@@ -82,7 +97,7 @@ def regression(pairs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 def box_plot(pairs: DataFrame, key: Column, name: str, min_count: int = 3) -> DataFrame:
     """Quartiles of the bias, and the most extreme values within 1.5 times their distance."""
     d = pairs.select(key.alias(name), (F.col("ref") - F.col("obs")).alias("d"))
-    q = d.groupBy(name).agg(F.percentile("d", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+    q = exact_percentiles(d, (name,), "d", [0.25, 0.5, 0.75]).where(F.col("n") >= min_count)
     q = q.select(name, "n", *[F.col("q")[k].alias(f"q{k + 1}") for k in range(3)])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = d.join(q, name).where(F.col("d").between(F.col("q1") - reach, F.col("q3") + reach))
@@ -90,7 +105,9 @@ def box_plot(pairs: DataFrame, key: Column, name: str, min_count: int = 3) -> Da
 
 
 def bias_limit(pairs: DataFrame, floor: float = 0.05) -> DataFrame:
-    return pairs.agg(F.greatest(F.percentile(F.abs(F.col("ref") - F.col("obs")), 0.95), F.lit(floor)).alias("bias_limit"))
+    """The 95th percentile of the absolute bias, at least a floor."""
+    q = exact_percentiles(pairs.select(F.abs(F.col("ref") - F.col("obs")).alias("d")), (), "d", [0.95])
+    return q.select(F.greatest(F.col("q")[0], F.lit(floor)).alias("bias_limit"))
 
 
 def temporal_correlation(pairs: DataFrame) -> DataFrame:

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 
 def psd_1d(values: np.ndarray, dx: float, min_points: int = 50, min_bins: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """One-sided spectrum of a line: linear trend off, Hann window, Parseval scaling; empty where too short."""
+    """One-sided spectrum of a line: linear trend off, Hann window, Parseval scaling; empty where too short.
+
+    The last wavenumber of an even length stands for itself; all others but the mean are doubled, also that of an odd length.
+    """
     n = len(values)
     if n < min_points:
         return np.zeros(0), np.zeros(0)
@@ -24,26 +27,32 @@ def psd_1d(values: np.ndarray, dx: float, min_points: int = 50, min_bins: int =
 
 
 def psd_2d(field: np.ndarray, dx: float, dy: float, min_valid: float = 0.85) -> tuple[np.ndarray, np.ndarray]:
-    """Isotropic spectrum of a field: plane off, Hann windows, ring means times 2 pi k; gaps are filled with the mean."""
+    """Isotropic spectrum of a field: gaps filled with the mean, plane off, Hann windows, ring means times 2 pi k.
+
+    Rings are a step wide, from half a step to the first edge beyond the highest wavenumber; fewer than five with power
+    make no spectrum.
+    """
     ny, nx = field.shape
     ok = np.isfinite(field)
     if ok.mean() < min_valid or min(nx, ny) < 4:
         return np.zeros(0), np.zeros(0)
-    y, x = np.mgrid[:ny, :nx]
-    a = np.stack([x[ok], y[ok], np.ones(ok.sum())], 1)
-    plane = np.linalg.lstsq(a, field[ok], rcond=None)[0]
-    z = np.where(ok, field - (plane[0] * x + plane[1] * y + plane[2]), 0.0)
+    z = np.where(ok, field, field[ok].mean())
+    for axis, n in ((0, ny), (1, nx)):  # on a whole grid the slopes of a plane do not depend on each other
+        at = (np.arange(n) - (n - 1) / 2).reshape((-1, 1) if axis == 0 else (1, -1))
+        z = z - at * (z * at).sum() / (at**2 * np.ones_like(z)).sum()
+    z = z - z.mean()
     w = np.outer(np.hanning(ny), np.hanning(nx))
     p = np.abs(np.fft.fft2(z * w)) ** 2 * dx * dy / (nx * ny * np.mean(w**2))
     k = np.hypot(np.fft.fftfreq(nx, dx)[None, :], np.fft.fftfreq(ny, dy)[:, None])
     dk = max(1 / (nx * dx), 1 / (ny * dy))
-    edges = np.arange(dk / 2, min(0.5 / dx, 0.5 / dy) + dk / 2, dk)
+    edges = np.arange(dk / 2, min(0.5 / dx, 0.5 / dy) + dk, dk)
     ring = np.digitize(k.ravel(), edges) - 1
     inside = (ring >= 0) & (ring < len(edges) - 1)
     n = np.bincount(ring[inside], minlength=len(edges) - 1)
     mean = np.bincount(ring[inside], p.ravel()[inside], len(edges) - 1) / np.maximum(n, 1)
     centre = (edges[:-1] + edges[1:]) / 2
-    return centre[n > 0], (mean * 2 * np.pi * centre)[n > 0]
+    good = mean > 0
+    return (centre[good], (mean * 2 * np.pi * centre)[good]) if good.sum() >= 5 else (np.zeros(0), np.zeros(0))
 
 
 def zonal_psd(values: np.ndarray, dx: float, min_valid: float = 0.5) -> tuple[np.ndarray, np.ndarray]:

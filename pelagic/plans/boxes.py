@@ -106,7 +106,12 @@ def _greedy(spark, sf):
     return rounded(boxes.join(kept, "query_id", "left_semi"))
 
 
-R.add("g3_greedy_boxes", _greedy)
+R.add(
+    "g3_greedy_boxes", _greedy,
+    f"""WITH RECURSIVE {_CANDIDATES}, conflicts AS MATERIALIZED (SELECT a, b FROM ({_PAIRS}) WHERE iou > 0.3), turns AS MATERIALIZED (SELECT query_id, ROW_NUMBER() OVER (ORDER BY query_id) AS k, COALESCE(earlier, []) AS earlier FROM (SELECT a AS query_id FROM conflicts UNION SELECT b FROM conflicts) LEFT JOIN (SELECT b AS query_id, LIST(a) AS earlier FROM conflicts GROUP BY 1) USING (query_id)),
+ walk(k, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT t.k, CASE WHEN LIST_HAS_ANY(earlier, kept) THEN kept ELSE LIST_APPEND(kept, query_id) END FROM walk JOIN turns t ON t.k = walk.k + 1)
+ SELECT query_id, ROUND(lon_min, 6) AS lon_min, ROUND(lon_max, 6) AS lon_max, ROUND(lat_min, 6) AS lat_min, ROUND(lat_max, 6) AS lat_max, date_start, date_end FROM boxes WHERE query_id NOT IN (SELECT query_id FROM turns) OR LIST_CONTAINS((SELECT ARG_MAX(kept, k) FROM walk), query_id)""",
+)
 R.add(
     "g2_evaluation_grid_points",
     lambda s, d: b.boxes_points(b.evaluation_grid(s, BBox(-180.0, 180.0, -60.0, 60.0), 20.0, 0.25, "2024-01-01", 30, 7, 3), view(s, d, "obs")).groupBy("lon_min", "lat_min", "date_start").agg(F.count(F.lit(1)).alias("n")),

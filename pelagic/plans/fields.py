@@ -13,10 +13,10 @@ from .common import Registry, rounded
 
 R = Registry()
 _HAV = "12742*ATAN2(SQRT(a), SQRT(1-a))"
-_STEPS = f"""lagged AS (SELECT *, LAG(lon) OVER w AS lon0, LAG(lat) OVER w AS lat0 FROM obs WINDOW w AS (PARTITION BY track_id, obs_date ORDER BY lat, obs_id)),
+STEPS = f"""lagged AS (SELECT *, LAG(lon) OVER w AS lon0, LAG(lat) OVER w AS lat0 FROM obs WINDOW w AS (PARTITION BY track_id, obs_date ORDER BY lat, obs_id)),
  hav AS (SELECT *, POW(SIN(RADIANS(lat-lat0)/2), 2) + COS(RADIANS(lat0))*COS(RADIANS(lat))*POW(SIN(RADIANS(lon-lon0)/2), 2) AS a FROM lagged),
  steps AS (SELECT *, SUM(step_km) OVER (PARTITION BY track_id, obs_date ORDER BY lat, obs_id ROWS UNBOUNDED PRECEDING) AS along_km FROM (SELECT *, COALESCE({_HAV}, 0) AS step_km FROM hav))"""
-_SEGMENTS = """med AS (SELECT track_id, obs_date, MEDIAN(step_km) AS median_km FROM steps WHERE step_km > 0 GROUP BY 1, 2),
+SEGMENTS = """med AS (SELECT track_id, obs_date, MEDIAN(step_km) AS median_km FROM steps WHERE step_km > 0 GROUP BY 1, 2),
  segments AS (SELECT s.*, m.median_km, SUM(CASE WHEN step_km > 3*m.median_km THEN 1 ELSE 0 END) OVER (PARTITION BY s.track_id, s.obs_date ORDER BY lat, obs_id ROWS UNBOUNDED PRECEDING) AS segment FROM steps s LEFT JOIN med m ON s.track_id = m.track_id AND s.obs_date = m.obs_date)"""
 
 
@@ -28,15 +28,15 @@ def _segments(s, d):
     return t.with_segments(t.with_steps(_obs(s, d)))
 
 
-R.add("w1_w2_track_steps", lambda s, d: t.with_steps(_obs(s, d)).select("obs_id", F.round("step_km", 4).alias("step_km"), F.round("along_km", 4).alias("along_km")), f"WITH {_STEPS} SELECT obs_id, ROUND(step_km, 4) AS step_km, ROUND(along_km, 4) AS along_km FROM steps", "obs")
-R.add("w3_track_segments", lambda s, d: _segments(s, d).select("obs_id", "segment"), f"WITH {_STEPS}, {_SEGMENTS} SELECT obs_id, CAST(segment AS BIGINT) AS segment FROM segments", "obs")
+R.add("w1_w2_track_steps", lambda s, d: t.with_steps(_obs(s, d)).select("obs_id", F.round("step_km", 4).alias("step_km"), F.round("along_km", 4).alias("along_km")), f"WITH {STEPS} SELECT obs_id, ROUND(step_km, 4) AS step_km, ROUND(along_km, 4) AS along_km FROM steps", "obs")
+R.add("w3_track_segments", lambda s, d: _segments(s, d).select("obs_id", "segment"), f"WITH {STEPS}, {SEGMENTS} SELECT obs_id, CAST(segment AS BIGINT) AS segment FROM segments", "obs")
 R.add(
     "w4_qualified_segments", lambda s, d: rounded(t.qualified_segments(_segments(s, d), 300.0, 8, 0.8), 4),
-    f"WITH {_STEPS}, {_SEGMENTS} SELECT track_id, obs_date, CAST(segment AS BIGINT) AS segment, ROUND(MAX(along_km)-MIN(along_km), 4) AS length_km, COUNT(*) AS n, ROUND(COUNT(val)/COUNT(*), 4) AS valid FROM segments GROUP BY 1,2,3 HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8", "obs",
+    f"WITH {STEPS}, {SEGMENTS} SELECT track_id, obs_date, CAST(segment AS BIGINT) AS segment, ROUND(MAX(along_km)-MIN(along_km), 4) AS length_km, COUNT(*) AS n, ROUND(COUNT(val)/COUNT(*), 4) AS valid FROM segments GROUP BY 1,2,3 HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8", "obs",
 )
 R.add(
     "k7_first_usable_date", lambda s, d: t.first_usable_date(t.qualified_segments(_segments(s, d), 300.0, 8, 0.8)),
-    f"WITH {_STEPS}, {_SEGMENTS} SELECT MIN(obs_date) AS obs_date FROM (SELECT obs_date FROM segments GROUP BY track_id, obs_date, segment HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8)", "obs",
+    f"WITH {STEPS}, {SEGMENTS} SELECT MIN(obs_date) AS obs_date FROM (SELECT obs_date FROM segments GROUP BY track_id, obs_date, segment HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8)", "obs",
 )
 R.add(
     "w5_column_segments", lambda s, d: rounded(t.column_segments(view(s, d, "cells").withColumn("j", F.col("j") * F.col("j")), 7), 10),
@@ -49,7 +49,13 @@ R.add(
  w AS (SELECT *, SUM(n) OVER (PARTITION BY product, obs_date ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS total FROM full_)
  SELECT product, obs_date, first_i, CAST(total AS BIGINT) AS total FROM (SELECT product, obs_date, i AS first_i, total, ROW_NUMBER() OVER (PARTITION BY product, obs_date ORDER BY total DESC, i) AS r FROM w WHERE i <= 31) WHERE r = 1""", "cells",
 )
-R.add("w10_order_choice", lambda s, d: t.order_choice(_obs(s, d), 700.0).select("track_id", "obs_date", F.round("by_lat", 3).alias("by_lat"), F.round("by_lon", 3).alias("by_lon"), "order_by"))
+_WAY = """{name} AS (SELECT track_id, obs_date, MEDIAN({hav}) AS km FROM (SELECT *, POW(SIN(RADIANS(lat-lat0)/2), 2) + COS(RADIANS(lat0))*COS(RADIANS(lat))*POW(SIN(RADIANS(lon-lon0)/2), 2) AS a FROM (SELECT *, LAG(lon) OVER w AS lon0, LAG(lat) OVER w AS lat0
+ FROM obs WINDOW w AS (PARTITION BY track_id, obs_date ORDER BY {order}, obs_id))) WHERE {hav} > 0 GROUP BY 1, 2)"""
+R.add(
+    "w10_order_choice", lambda s, d: t.order_choice(_obs(s, d), 9000.0).select("track_id", "obs_date", F.round("by_lat", 3).alias("by_lat"), F.round("by_lon", 3).alias("by_lon"), "order_by"),
+    f"""WITH {_WAY.format(name='ways_lat', hav=_HAV, order='lat, lon')}, {_WAY.format(name='ways_lon', hav=_HAV, order='lon, lat')} SELECT track_id, obs_date, ROUND(p.km, 3) AS by_lat, ROUND(q.km, 3) AS by_lon,
+ CASE WHEN ABS(p.km - 9000) <= ABS(q.km - 9000) THEN 'lat' ELSE 'lon' END AS order_by FROM ways_lat p JOIN ways_lon q USING (track_id, obs_date)""", "obs",
+)
 R.add(
     "w12_every_nth", lambda s, d: t.every_nth(_obs(s, d).where("val IS NOT NULL"), 5, ("lat", "lon", "obs_id"), ("track_id",)),
     "SELECT * EXCLUDE (r, n) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY track_id ORDER BY lat, lon, obs_id) AS r, COUNT(*) OVER (PARTITION BY track_id) AS n FROM obs WHERE val IS NOT NULL) WHERE n <= 500 OR (r - 1) % 5 = 0", "obs",

@@ -25,7 +25,7 @@ def _grid(spark, sf, product="glorys"):
 
 def _pairs(spark, sf):
     points = view(spark, sf, "obs").where("val IS NOT NULL").withColumns({"i": F.floor((F.col("lon") + 180) / 10).cast("int"), "j": F.floor((F.col("lat") + 90) / 10).cast("int")})
-    return points.withColumnRenamed("val", "value").join(_grid(spark, sf).select("obs_date", "i", "j", F.col("val").alias("ref")), ["obs_date", "i", "j"]).select("obs_id", "obs_date", "i", "j", "lon", "lat", F.col("value").alias("obs"), "ref")
+    return m.both_valid(points.withColumnRenamed("val", "value"), _grid(spark, sf), also=("obs_id", "lon", "lat"))
 
 
 def _fields(spark, sf):
@@ -98,7 +98,12 @@ R.add(
 _BIAS = "ROUND(AVG(ref-obs), 6) AS bias, ROUND(STDDEV_SAMP(ref-obs), 6) AS std, COUNT(*) AS n"
 R.add("a21_band_month_bias", lambda s, d: rounded(k.bias_by(_pairs(s, d), bin_left(F.col("lat"), -90.0, 5.0, 36), "band")), f"WITH {_PAIRS} SELECT LEAST(35, CAST(FLOOR((lat+90)/5) AS INT)) AS band, CAST(DATE_TRUNC('month', obs_date) AS DATE) AS month, {_BIAS} FROM pairs GROUP BY 1, 2 HAVING COUNT(*) >= 3", "obs", "cells")
 R.add("a21_band_bias", lambda s, d: rounded(k.bias_by(_pairs(s, d), bin_left(F.col("lat"), -90.0, 5.0, 36), "band", month=False)), f"WITH {_PAIRS} SELECT LEAST(35, CAST(FLOOR((lat+90)/5) AS INT)) AS band, {_BIAS} FROM pairs GROUP BY 1 HAVING COUNT(*) >= 3", "obs", "cells")
-R.add("a22_region_month_bias", lambda s, d: rounded(k.bias_by(_pairs(s, d), region_id(F.col("lon"), F.col("lat")), "region_id")), f"WITH {_PAIRS} SELECT {_REGION} AS region_id, CAST(DATE_TRUNC('month', obs_date) AS DATE) AS month, {_BIAS} FROM pairs GROUP BY 1, 2 HAVING COUNT(*) >= 3", "obs", "cells")
+R.add("a22_region_month_bias", lambda s, d: rounded(k.regional_bias(_pairs(s, d), 500)), f"WITH {_PAIRS} SELECT region_id, CAST(DATE_TRUNC('month', obs_date) AS DATE) AS month, {_BIAS} FROM (SELECT *, {_REGION} AS region_id, COUNT(*) OVER (PARTITION BY {_REGION}) AS k FROM pairs) WHERE k >= 500 GROUP BY 1, 2 HAVING COUNT(*) >= 3", "obs", "cells")
+R.add(
+    "a23_seasonal_bias", lambda s, d: rounded(k.seasonal_bias(_pairs(s, d))),
+    f"""WITH {_PAIRS} SELECT season, bi, bj, ROUND(AVG(ref-obs), 6) AS bias, COUNT(*) AS n FROM (SELECT *, {_SEASON} AS season, COUNT(*) OVER (PARTITION BY {_SEASON}) AS k, CAST(CEIL((lon+180)/2) - 1 AS INT) AS bi, CAST(CEIL((lat+90)/2) - 1 AS INT) AS bj FROM pairs)
+ WHERE k >= 10 AND bi BETWEEN 0 AND 179 AND bj BETWEEN 0 AND 89 GROUP BY 1, 2, 3 HAVING COUNT(*) >= 3""", "obs", "cells",
+)
 R.add(
     "a24_scatter_density", lambda s, d: rounded(k.scatter_density(_fields(s, d), 0.0, 2.0)),
     f"WITH {_FIELDS} SELECT LEAST(79, CAST(FLOOR(obs/0.025) AS INT)) AS x, LEAST(79, CAST(FLOOR(ref/0.025) AS INT)) AS y, COUNT(*) AS n, ROUND(LOG10(COUNT(*)), 6) AS log_n FROM fields WHERE obs BETWEEN 0 AND 2 AND ref BETWEEN 0 AND 2 GROUP BY 1, 2", "cells",

@@ -9,8 +9,10 @@ from ..operators import boxes as b
 from ..operators import matching as m
 from ..operators import samples as p
 from ..operators import spectra as sp
+from ..operators import tracks as t
 from ..operators.gridding import with_cells
 from .common import Registry, rounded
+from .fields import SEGMENTS, STEPS
 
 R = Registry()
 _TAPS = """taps{a} AS (SELECT src, target, SUM(weight) AS weight FROM (
@@ -71,9 +73,58 @@ def _fields(s, d):
     return m.co_located({"obs": a, "ref": c})
 
 
-R.add("r6_line_spectra", lambda s, d: rounded(sp.line_spectra(view(s, d, "obs"), ("track_id",), "obs_id", "val", 10.0)))
-R.add("r7_field_spectra", lambda s, d: rounded(sp.field_spectra(view(s, d, "cells"), ("product", "obs_date"), 36, 18, 1.0, 1.0, 0.7)))
-R.add("r8_zonal_spectra", lambda s, d: rounded(sp.grid_rows_spectra(view(s, d, "cells"), ("product", "obs_date"), 36, 10.0)))
+_BRIDGED = "CASE WHEN a IS NULL THEN vb WHEN b IS NULL OR a = b THEN va ELSE va + (vb-va)*(x-a)/(b-a) END"
+_KNOWN = """LAST_VALUE(CASE WHEN val IS NOT NULL THEN x END IGNORE NULLS) OVER p AS a, LAST_VALUE(val IGNORE NULLS) OVER p AS va, FIRST_VALUE(CASE WHEN val IS NOT NULL THEN x END IGNORE NULLS) OVER f AS b, FIRST_VALUE(val IGNORE NULLS) OVER f AS vb"""
+
+
+def lines_sql(keys: str, order: str, least: int, dx: float) -> str:
+    """Tables line ... spec (keys, k, psd) over a table pts (keys, order column, val): spectra of lines as sums of cosines and sines."""
+    return f"""line AS (SELECT {keys}, val, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {order}) - 1 AS x, COUNT(*) OVER (PARTITION BY {keys}) AS n, COUNT(val) OVER (PARTITION BY {keys}) AS m FROM pts),
+ filled AS (SELECT {keys}, x, n, {_BRIDGED} AS v, 0.5 - 0.5*COS(2*PI()*x/(n-1)) AS h FROM (SELECT *, {_KNOWN} FROM line WHERE n >= {least} AND m > 1 WINDOW p AS (PARTITION BY {keys} ORDER BY x ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY {keys} ORDER BY x ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))),
+ fit AS (SELECT {keys}, REGR_SLOPE(v, x) AS slope, REGR_INTERCEPT(v, x) AS base FROM filled GROUP BY ALL),
+ dft AS (SELECT {keys}, n, q, SUM((v - slope*x - base)*h*COS(2*PI()*q*x/n)) AS re, SUM((v - slope*x - base)*h*SIN(2*PI()*q*x/n)) AS im, AVG(h*h) AS ww FROM filled JOIN fit USING ({keys}) JOIN range(1, 100000) AS t(q) ON q <= n // 2 GROUP BY ALL),
+ spec AS (SELECT {keys}, q / (n*{dx}) AS k, (re*re + im*im) / (n*ww) * {dx} * CASE WHEN 2*q = n THEN 1 ELSE 2 END AS psd, COUNT(*) OVER (PARTITION BY {keys}) AS bins FROM dft WHERE re*re + im*im > 0 QUALIFY bins >= 5)"""
+
+
+def average_sql(line: str, over: str, bins: int) -> str:
+    """Tables over spec (line, over, k, psd): the geometric mean on a common log axis, as (over, bin, k, psd, n)."""
+    return f"""logs AS (SELECT {line}, {over}, LOG10(k) AS x, LOG10(psd) AS y FROM spec), ends AS (SELECT {over}, CASE WHEN MAX(lo) < MIN(hi) THEN MAX(lo) ELSE MIN(lo) END AS x0, CASE WHEN MAX(lo) < MIN(hi) THEN MIN(hi) ELSE MAX(hi) END AS x1
+ FROM (SELECT {line}, {over}, MIN(x) AS lo, MAX(x) AS hi FROM logs GROUP BY ALL) GROUP BY ALL),
+ pieces AS (SELECT *, LEAD(x) OVER (PARTITION BY {line}, {over} ORDER BY x) AS xn, LEAD(y) OVER (PARTITION BY {line}, {over} ORDER BY x) AS yn FROM logs),
+ hits AS (SELECT {line}, {over}, bin, ANY_VALUE(x0 + bin*(x1-x0)/({bins}-1)) AS spot, ARG_MIN(y + (yn-y)*(x0 + bin*(x1-x0)/({bins}-1) - x)/(xn-x), x) AS y FROM pieces JOIN ends USING ({over}) JOIN range({bins}) AS t(bin)
+ ON x0 + bin*(x1-x0)/({bins}-1) BETWEEN x - 1e-9*(x1-x0)/({bins}-1) AND xn + 1e-9*(x1-x0)/({bins}-1) WHERE xn > x GROUP BY ALL),
+ mean AS (SELECT {over}, CAST(bin AS INT) AS bin, POW(10, MIN(spot)) AS k, POW(10, AVG(y)) AS psd, COUNT(*) AS n FROM hits GROUP BY ALL)"""
+
+
+def zonal_sql(keys: str, source: str, name: str, n: int = 36, dx: float = 10.0) -> str:
+    """A table `name` (keys, bin, k, psd, n_rows) of zonal spectra of source (keys, i, j, val), means over the rows of a field."""
+    return f"""{name}_rows AS (SELECT {keys}, j, x, val, COUNT(val) OVER (PARTITION BY {keys}, j) AS m FROM (SELECT DISTINCT {keys}, j FROM {source}) JOIN range({n}) AS t(x) ON TRUE LEFT JOIN (SELECT {keys}, j, i AS x, val FROM {source}) USING ({keys}, j, x)),
+ {name}_filled AS (SELECT {keys}, j, x, {_BRIDGED} AS v, 0.5 - 0.5*COS(2*PI()*x/({n}-1)) AS h FROM (SELECT *, {_KNOWN} FROM {name}_rows WHERE m >= {n}*0.5 WINDOW p AS (PARTITION BY {keys}, j ORDER BY x ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY {keys}, j ORDER BY x ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))),
+ {name}_fit AS (SELECT {keys}, j, REGR_SLOPE(v, x) AS slope, REGR_INTERCEPT(v, x) AS base FROM {name}_filled GROUP BY ALL),
+ {name} AS (SELECT {keys}, CAST(q - 1 AS INT) AS bin, q / ({n}*{dx}) AS k, AVG(2 / ({n}*{dx}) * (re*re + im*im)) AS psd, COUNT(*) AS n_rows FROM (SELECT {keys}, j, q, SUM((v - slope*x - base)*h*COS(2*PI()*q*x/{n})) AS re, SUM((v - slope*x - base)*h*SIN(2*PI()*q*x/{n})) AS im
+ FROM {name}_filled JOIN {name}_fit USING ({keys}, j) JOIN range(1, {n // 2 + 1}) AS t(q) ON TRUE GROUP BY ALL) GROUP BY ALL)"""
+
+
+#: A track's observations of a day are a line: its length is bounded, however many days there are.
+_LINE = ("track_id", "obs_date")
+
+
+def _lines(s, d):
+    return sp.line_spectra(view(s, d, "obs"), _LINE, "obs_id", "val", 10.0, 16)
+
+
+R.add("r6_line_spectra", lambda s, d: rounded(_lines(s, d)), f"WITH pts AS (SELECT track_id, obs_date, obs_id, val FROM obs), {lines_sql('track_id, obs_date', 'obs_id', 16, 10.0)} SELECT track_id, obs_date, ROUND(k, 6) AS k, ROUND(psd, 6) AS psd FROM spec", "obs")
+R.add(
+    "r7_field_spectra", lambda s, d: rounded(sp.field_spectra(view(s, d, "cells"), ("product", "obs_date"), 36, 18, 1.0, 1.3, 0.7)),
+    """WITH own AS (SELECT product, obs_date, AVG(val) AS mean FROM cells GROUP BY ALL HAVING COUNT(val) >= 0.7*36*18), grid AS (SELECT product, obs_date, i, j, i - 17.5 AS x, j - 8.5 AS y, COALESCE(val, mean) - mean AS z, (0.5 - 0.5*COS(2*PI()*i/35)) * (0.5 - 0.5*COS(2*PI()*j/17)) AS w
+ FROM own JOIN range(36) AS t(i) ON TRUE JOIN range(18) AS u(j) ON TRUE LEFT JOIN cells USING (product, obs_date, i, j)),
+ fit AS (SELECT product, obs_date, SUM(x*z)/SUM(x*x) AS sx, SUM(y*z)/SUM(y*y) AS sy, AVG(w*w) AS ww FROM grid GROUP BY ALL), off AS (SELECT product, obs_date, i, j, ww, (z - sx*x - sy*y)*w AS z FROM grid JOIN fit USING (product, obs_date)),
+ ahead AS (SELECT product, obs_date, j, p, ww, SUM(z*COS(2*PI()*p*i/36)) AS re, -SUM(z*SIN(2*PI()*p*i/36)) AS im FROM off JOIN range(36) AS t(p) ON TRUE GROUP BY ALL),
+ spectrum AS (SELECT product, obs_date, p, q, ww, SUM(re*COS(2*PI()*q*j/18) + im*SIN(2*PI()*q*j/18)) AS re, SUM(im*COS(2*PI()*q*j/18) - re*SIN(2*PI()*q*j/18)) AS im FROM ahead JOIN range(18) AS t(q) ON TRUE GROUP BY ALL),
+ rings AS (SELECT product, obs_date, FLOOR((SQRT(POW(LEAST(p, 36-p)/36.0, 2) + POW(LEAST(q, 18-q)/23.4, 2)) - 0.5/23.4) * 23.4) AS ring, (re*re + im*im) / (36*18*ww) * 1.3 AS power FROM spectrum)
+ SELECT product, obs_date, ROUND((ring + 1)/23.4, 6) AS k, ROUND(AVG(power) * 2*PI()*(ring + 1)/23.4, 6) AS psd FROM rings WHERE ring BETWEEN 0 AND 8 GROUP BY product, obs_date, ring""", "cells",
+)
+R.add("r8_zonal_spectra", lambda s, d: rounded(sp.grid_rows_spectra(view(s, d, "cells"), ("product", "obs_date"), 36, 10.0)), f"WITH {zonal_sql('product, obs_date', 'cells', 'zonal')} SELECT product, obs_date, bin, ROUND(k, 6) AS k, ROUND(psd, 6) AS psd, n_rows FROM zonal", "cells")
 
 
 def _zonal(s, d, column):
@@ -81,6 +132,38 @@ def _zonal(s, d, column):
     return sp.grid_rows_spectra(own, ("obs_date",), 36, 10.0)
 
 
-R.add("r9_difference_spectra", lambda s, d: rounded(_zonal(s, d, "obs").select("obs_date", "bin", "k", F.col("psd").alias("obs")).join(_zonal(s, d, "diff").select("obs_date", "bin", F.col("psd").alias("diff")), ["obs_date", "bin"])))
-R.add("r10_average_spectra", lambda s, d: rounded(sp.average_spectra(sp.line_spectra(view(s, d, "obs"), ("track_id",), "obs_id", "val", 10.0).withColumn("g", F.col("track_id") % 3), ("track_id",), ("g",), 50)))
-R.add("r11_effective_resolution", lambda s, d: rounded(sp.effective_resolution(_zonal(s, d, "obs"), _zonal(s, d, "diff"), ("obs_date",))))
+def _three_spectra(s, d):
+    """Of observations, reference and their differences."""
+    one = lambda c: _zonal(s, d, c).select("obs_date", "bin", "k", F.col("psd").alias(c))
+    return one("obs").join(one("ref").drop("k"), ["obs_date", "bin"]).join(one("diff").drop("k"), ["obs_date", "bin"])
+
+
+_THREE = "fields AS (SELECT a.obs_date, a.i, a.j, a.val AS obs, b.val AS ref FROM cells a JOIN cells b ON a.product = 'l4_ssh' AND b.product = 'glorys' AND a.obs_date = b.obs_date AND a.i = b.i AND a.j = b.j), " + ", ".join(
+    f"f_{c} AS (SELECT obs_date, i, j, {e} AS val FROM fields), {zonal_sql('obs_date', f'f_{c}', f's_{c}')}" for c, e in (("obs", "obs"), ("ref", "ref"), ("diff", "ref - obs"))
+)
+R.add("r9_difference_spectra", lambda s, d: rounded(_three_spectra(s, d)), f"WITH {_THREE} SELECT obs_date, bin, ROUND(a.k, 6) AS k, ROUND(a.psd, 6) AS obs, ROUND(b.psd, 6) AS ref, ROUND(c.psd, 6) AS diff FROM s_obs a JOIN s_ref b USING (obs_date, bin) JOIN s_diff c USING (obs_date, bin)", "cells")
+R.add(
+    "r10_average_spectra", lambda s, d: rounded(sp.average_spectra(_lines(s, d).withColumn("g", F.col("track_id") % 3), _LINE, ("g",), 50)),
+    f"WITH pts AS (SELECT track_id, obs_date, track_id % 3 AS g, obs_id, val FROM obs), {lines_sql('track_id, obs_date, g', 'obs_id', 16, 10.0)}, {average_sql('track_id, obs_date', 'g', 50)} SELECT g, bin, ROUND(k, 6) AS k, ROUND(psd, 6) AS psd, n FROM mean", "obs",
+)
+R.add("r11_effective_resolution", lambda s, d: rounded(sp.effective_resolution(_zonal(s, d, "obs"), _zonal(s, d, "diff"), ("obs_date",))), f"WITH {_THREE} SELECT obs_date, ROUND(MIN(a.k), 6) AS k, ROUND(1/MIN(a.k), 6) AS wavelength FROM s_obs a JOIN s_diff c USING (obs_date, bin) WHERE c.psd/a.psd > 0.5 GROUP BY 1", "cells")
+
+
+def _segment_spectra(s, d):
+    """Spectra of qualified track segments, observed and of a grid sampled along them, averaged by product and date: one plan."""
+    segments = t.with_segments(t.with_steps(view(s, d, "obs")))
+    good = t.qualified_segments(segments, 300.0, 16, 0.9).select("track_id", "obs_date", "segment")
+    sampled = m.right_neighbour(segments.join(good, ["track_id", "obs_date", "segment"], "left_semi"), view(s, d, "cells").where("product = 'glorys'"), -175.0, -85.0, 10.0, 36, 18)
+    products = F.explode(F.array(F.struct(F.lit("track").alias("product"), F.col("val").alias("value")), F.struct(F.lit("grid").alias("product"), F.col("grid_val").alias("value"))))
+    keys = ("track_id", "segment", "product", "obs_date")
+    lines = sp.line_spectra(sampled.withColumn("p", products).select("track_id", "segment", "obs_date", "lat", "obs_id", "along_km", "p.*"), keys, "along_km", "value", 10.0, 16)
+    return rounded(sp.average_spectra(lines, ("track_id", "segment"), ("product", "obs_date"), 40), 5)
+
+
+R.add(
+    "r12_segment_spectra", _segment_spectra,
+    f"""WITH {STEPS}, {SEGMENTS}, good AS (SELECT track_id, obs_date, segment FROM segments GROUP BY ALL HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 16 AND COUNT(val)/COUNT(*) > 0.9),
+ kept AS (SELECT track_id, obs_date, segment, along_km, val AS own, CAST(GREATEST(0, LEAST(35, CEIL((lon+175)/10))) AS INT) AS i, CAST(GREATEST(0, LEAST(17, CEIL((lat+85)/10))) AS INT) AS j FROM segments JOIN good USING (track_id, obs_date, segment)),
+ pts AS (SELECT track_id, obs_date, segment, 'track' AS product, along_km, own AS val FROM kept UNION ALL SELECT track_id, k.obs_date, segment, 'grid', along_km, c.val FROM kept k LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = k.obs_date AND c.i = k.i AND c.j = k.j),
+ {lines_sql('track_id, segment, product, obs_date', 'along_km', 16, 10.0)}, {average_sql('track_id, segment', 'product, obs_date', 40)} SELECT product, obs_date, bin, ROUND(k, 5) AS k, ROUND(psd, 5) AS psd, n FROM mean""", "obs", "cells",
+)

@@ -12,8 +12,6 @@ from ..functions import geo
 from ..functions.temporal import posix_range
 from ..operators import samples as p
 from ..operators import scans as sc
-from ..operators import spectra as sp
-from ..operators import tracks as t
 from ..sources import tables
 from .common import Registry, rounded
 
@@ -100,14 +98,3 @@ R.add("c14_wind_speed", lambda s, d: view(s, d, "profiles").select("profile_id",
 R.add("c19_coordinates", lambda s, d: view(s, d, "boxes").select("query_id", F.posexplode(p.coordinates(F.col("lon_min"), F.col("lon_max"), 5)).alias("k", "lon")).select("query_id", "k", F.round("lon", 6).alias("lon")), "SELECT query_id, CAST(k AS INT) AS k, ROUND(lon_min + k*(lon_max-lon_min)/4, 6) AS lon FROM boxes, range(5) AS t(k)", "boxes")
 R.add("j16_cells_to_regions", lambda s, d: _cells(s, d).withColumn("own", geo.region_id(F.col("lon"), F.col("lat"))).groupBy("region_id", "own").agg(F.count(F.lit(1)).alias("n")), f"WITH {_CELLS} SELECT region_id, region_id AS own, COUNT(*) AS n FROM c GROUP BY 1", "cells")
 R.add("g6_land_index_window", lambda s, d: view(s, d, "boxes").select("query_id", F.greatest(F.lit(0), F.floor((F.col("lon_min") + 180) / 0.25)).cast("int").alias("w"), F.least(F.lit(1440), F.floor((F.col("lon_max") + 180) / 0.25) + 1).cast("int").alias("e")), "SELECT query_id, GREATEST(0, CAST(FLOOR((lon_min+180)/0.25) AS INT)) AS w, LEAST(1440, CAST(FLOOR((lon_max+180)/0.25) AS INT) + 1) AS e FROM boxes", "boxes")
-
-
-def _segment_spectra(s, d):
-    """Spectra of qualified track segments, averaged by day group: segments, transform and mean in one plan."""
-    segments = t.with_segments(t.with_steps(view(s, d, "obs"), ("track_id",), ("lat", "obs_id")), ("track_id",), ("lat", "obs_id"), 1e9)
-    good = t.qualified_segments(segments, 300.0, 50, 0.5, ("track_id",)).select("track_id", "segment")
-    lines = sp.line_spectra(segments.join(good, ["track_id", "segment"], "left_semi"), ("track_id", "segment"), "along_km", "val", 10.0)
-    return rounded(sp.average_spectra(lines.withColumn("product", F.col("track_id") % 2), ("track_id", "segment"), ("product",), 40), 5)
-
-
-R.add("r12_segment_spectra", _segment_spectra)

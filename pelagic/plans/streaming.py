@@ -23,13 +23,17 @@ def _stream(spark, sf):
                              "CAST((event_id*15485863 + user_id*97) % 1800 AS DOUBLE)/10 - 90 AS lat", "CASE WHEN event_id % 17 = 0 THEN NULL ELSE value/100 END AS val")
 
 
-def _run(spark, frame, mode):
+def _run(spark, frame, mode, keys=()):
     name = f"stream_{uuid4().hex}"
-    return jobs.run_available(frame, name, mode, f"{shared_folder(spark)}/{name}")
+    return jobs.run_available(frame, name, mode, f"{shared_folder(spark)}/{name}", keys)
 
 
-R.add("t1_daily_means", lambda s, d: rounded(_run(s, jobs.daily_means(_stream(s, d), 10.0, 1), "complete")), f"SELECT obs_date, {_CELL}, ROUND(AVG(val), 6) AS value, COUNT(val) AS n, TRUE AS is_complete FROM obs GROUP BY 1,2,3", "obs")
-R.add("t3_gridded_sums", lambda s, d: rounded(_run(s, jobs.gridded_sums(_stream(s, d), 10.0), "complete")), f"SELECT obs_date, CAST(FLOOR((lon+180)/90) + 4*FLOOR((lat+90)/90) AS INT) AS region_id, {_CELL}, ROUND(SUM(val), 6) AS total, COUNT(val) AS n FROM obs GROUP BY 1,2,3,4", "obs")
+_CLOSED = "CAST(obs_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT MAX(obs_time) FROM obs) - INTERVAL 1 DAY"  # windows that the watermark has passed
+R.add(
+    "t1_daily_means", lambda s, d: rounded(_run(s, jobs.daily_means(_stream(s, d), 90.0), "append")),
+    f"SELECT obs_date, CAST(FLOOR((lon+180)/90) AS INT) AS i, CAST(FLOOR((lat+90)/90) AS INT) AS j, ROUND(AVG(val), 6) AS value, COUNT(val) AS n, COUNT(DISTINCT HOUR(obs_time)) >= 24 AS is_complete FROM obs WHERE {_CLOSED} GROUP BY 1,2,3", "obs",
+)
+R.add("t3_gridded_sums", lambda s, d: rounded(_run(s, jobs.gridded_sums(_stream(s, d), 10.0), "update", ("obs_date", "region_id", "i", "j"))), f"SELECT obs_date, CAST(FLOOR((lon+180)/90) + 4*FLOOR((lat+90)/90) AS INT) AS region_id, {_CELL}, ROUND(SUM(val), 6) AS total, COUNT(val) AS n FROM obs GROUP BY 1,2,3,4", "obs")
 R.add("t4_without_repeats", lambda s, d: _run(s, jobs.without_repeats(_stream(s, d).selectExpr("CAST(track_id AS STRING) AS relative_path", "obs_time AS seen_at"), delay="400 days"), "append").select("relative_path"), "SELECT DISTINCT CAST(track_id AS VARCHAR) AS relative_path FROM obs", "obs")
 R.add(
     "t5_matched_to_grid", lambda s, d: rounded(_run(s, jobs.matched_to_grid(_stream(s, d), view(s, d, "cells").where("product = 'glorys'"), 10.0).select("obs_id", "i", "j", "grid_val"), "append"), 10),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +15,10 @@ TILES = T.StructType([
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where that is unset."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if not found:
-        found = tempfile.mkdtemp(prefix="spark-shared-")
+        found = f"{spark.conf.get('spark.sql.warehouse.dir')}/shared-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 

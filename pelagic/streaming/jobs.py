@@ -1,13 +1,14 @@
 """Structured Streaming forms of the daily jobs. Each takes a streaming frame and returns one, with the batch expressions.
 
-Rows older than the watermark are dropped by Spark; state is bounded by it. upsert_batches replaces whole (source, date)
-partitions, so that a late file is taken in by writing its partition again.
+Rows older than the watermark are dropped by Spark; state is bounded by it. upsert_batches merges a batch into the
+(source, date) partitions that it brings, so that what comes late joins what is there.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.geo import clean, region_id
@@ -65,23 +66,40 @@ def online_moments(stream: DataFrame, keys: tuple[str, ...], value: str = "val")
 
 
 def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("source_id", "obs_date")) -> StreamingQuery:
-    """Replaces, batch by batch, the partitions (source, date) that a batch brings; running it again changes nothing."""
-    def write(batch: DataFrame, _: int) -> None:
-        batch.dropDuplicates().write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    """Merges, batch by batch, into the partitions (source, date) that a batch brings; running it again changes nothing.
+
+    A row of a batch replaces that of the same file_id in its partition, other rows stay. The merged partitions are
+    written beside the table first, so that no file is read while it is replaced.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        spark, new = batch.sparkSession, batch.dropDuplicates([*keys, "file_id"])
+        spark.createDataFrame([], batch.schema).write.mode("append").partitionBy(*keys).parquet(path)  # there from the start
+        there = spark.read.schema(batch.schema).parquet(path).join(F.broadcast(new.select(*keys).distinct()), list(keys), "left_semi")
+        merged = there.join(new, [*keys, "file_id"], "left_anti").unionByName(new)
+        beside = f"{checkpoint}-merged/{number}"
+        merged.write.mode("overwrite").parquet(beside)
+        whole = spark.read.schema(batch.schema).parquet(beside)
+        whole.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
+def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Runs over what is there and returns the result, written as Parquet beside the checkpoint: for checks against the batch form.
 
-    mode: append or complete; a complete result replaces the one before it.
+    mode: append; update, of which the last row of each of the keys counts; or complete, whose last result counts.
     """
     path = f"{checkpoint}-result"
     stream.sparkSession.createDataFrame([], stream.schema).write.mode("overwrite").parquet(path)  # there if no batch comes
     if mode == "append":
         sink = stream.writeStream.format("parquet").option("path", path)
+    elif mode == "update":
+        sink = stream.writeStream.foreachBatch(lambda batch, number: batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path))
     else:
         sink = stream.writeStream.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
     sink.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if mode == "update":
+        found = stream.sparkSession.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(path)
+        last = F.max_by(F.struct(*[c for c in stream.columns if c not in keys]), "batch").alias("last")
+        return found.groupBy(*keys).agg(last).select(*keys, "last.*").select(*stream.columns)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
