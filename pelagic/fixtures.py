@@ -49,4 +49,5 @@ LAND_SQL = "SELECT range % 1440 AS j, range // 1440 AS i, ((range % 1440)*31 + (
 def with_views(sql: str, *names: str) -> str:
     """The oracle's SQL, with the named views in front."""
     own = [f"{n} AS ({LAND_SQL if n == 'land' else VIEWS[n]})" for n in names]
-    return f"WITH {', '.join(own)}{', ' + sql[5:] if sql.startswith('WITH ') else ' ' + sql}"
+    start = next((s for s in ("WITH RECURSIVE ", "WITH ") if sql.startswith(s)), "")
+    return f"{start or 'WITH '}{', '.join(own)}{', ' if start else ' '}{sql[len(start):]}"

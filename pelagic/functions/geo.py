@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_KM = 6371.0
@@ -113,3 +113,25 @@ def degrees_of_km(km: float, lat: float) -> tuple[float, float]:
     e2 = 1 - (WGS84_B / WGS84_A) ** 2
     s = 1 - e2 * sin(radians(lat)) ** 2
     return km / (pi / 180 * WGS84_A / sqrt(s) * cos(radians(lat))), km / (pi / 180 * WGS84_A * (1 - e2) / s**1.5)
+
+
+def grid_specs(regions: DataFrame, km: float) -> DataFrame:
+    """Grids of so many km for regions (r_lon_min ... r_lat_max), at their middle latitude on the ellipsoid.
+
+    Steps, numbers of centres (from the lower bound, below the upper one) and the first edges, half a step below.
+    """
+    e2 = 1 - (WGS84_B / WGS84_A) ** 2
+    middle = F.radians((F.col("r_lat_min") + F.col("r_lat_max")) / 2)
+    s = 1 - e2 * F.pow(F.sin(middle), 2)
+    d = regions.withColumns({"lon_step": km / (F.radians(F.lit(1.0)) * WGS84_A / F.sqrt(s) * F.cos(middle)), "lat_step": km / (F.radians(F.lit(1.0)) * WGS84_A * (1 - e2) / F.pow(s, 1.5))})
+    for axis in ("lon", "lat"):
+        low, high, step = (F.col(c) for c in (f"r_{axis}_min", f"r_{axis}_max", f"{axis}_step"))
+        d = d.withColumns({f"n_{axis}": F.ceil((high - low) / step).cast("int"), f"{axis}_edge": low - step / 2})
+    return d.select("region_id", *[c for axis in ("lon", "lat") for c in (f"{axis}_step", f"n_{axis}", f"{axis}_edge")])
+
+
+def on_regional_grid(points: DataFrame, specs: DataFrame) -> DataFrame:
+    """Points with the cell (gi, gj) of their region's own grid; those beyond its last edge are dropped. Eight grids are broadcast."""
+    d = points.withColumn("region_id", region_id(F.col("lon"), F.col("lat"))).join(F.broadcast(specs), "region_id")
+    d = d.withColumns({"gi": F.floor((F.col("lon") - F.col("lon_edge")) / F.col("lon_step")).cast("int"), "gj": F.floor((F.col("lat") - F.col("lat_edge")) / F.col("lat_step")).cast("int")})
+    return d.where((F.col("gi") < F.col("n_lon")) & (F.col("gj") < F.col("n_lat"))).drop(*[c for c in specs.columns if c != "region_id"])

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, cos, radians
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import box_iou, clamp_to_globe, patch_degrees
+from ..functions.geo import KM_PER_DEGREE_BOX, box_iou, clamp_to_globe, patch_degrees
 
 #: Degrees of a tile by which boxes and points are brought together: a range join would compare all pairs.
 TILE = 5.0
@@ -117,9 +117,10 @@ def starts(low: float, high: float, size: float, overlap: float) -> list[float]:
     return out
 
 
-def evaluation_grid(spark: SparkSession, box, size: float, overlap: float, first_day: str, n_days: int, stride_days: int, window_days: int) -> DataFrame:
-    """A regular grid of boxes over a constraint and dates, in order of date, then longitude and latitude."""
-    lons, lats = starts(box.lon_min, box.lon_max, size, overlap), starts(box.lat_min, box.lat_max, size, overlap)
+def evaluation_grid(spark: SparkSession, box, size: float, overlap: float, first_day: str, n_days: int, stride_days: int, window_days: int, height: float | None = None) -> DataFrame:
+    """A regular grid of boxes over a constraint and dates, numbered by date, then longitude and latitude. height: if not that of a square."""
+    height = size if height is None else height
+    lons, lats = starts(box.lon_min, box.lon_max, size, overlap), starts(box.lat_min, box.lat_max, height, overlap)
     days = range(0, n_days - window_days + 1, stride_days)
     if not days:
         raise ValueError("the date range is shorter than the time window")
@@ -129,7 +130,41 @@ def evaluation_grid(spark: SparkSession, box, size: float, overlap: float, first
         F.col("id").alias("query_id"), F.element_at(F.array(*map(F.lit, lons)), (F.floor(at / len(lats)) + 1).cast("int")).alias("lon_min"), F.element_at(F.array(*map(F.lit, lats)), (at % len(lats) + 1).cast("int")).alias("lat_min"),
         F.date_add(F.lit(first_day).cast("date"), (F.floor(F.col("id") / n) * stride_days).cast("int")).alias("date_start"),
     )
-    return d.withColumns({"lon_max": F.col("lon_min") + size, "lat_max": F.col("lat_min") + size, "date_end": F.date_add("date_start", window_days - 1)})
+    return d.withColumns({"lon_max": F.col("lon_min") + size, "lat_max": F.col("lat_min") + height, "date_end": F.date_add("date_start", window_days - 1)})
+
+
+def training_boxes(ids: DataFrame, box, size: float, unit: str, first_day: str, n_days: int, window_days: int, seed: int, sums: DataFrame, n: int, checkpoint, max_land: float = 0.3, max_overlap: float = 1.0) -> DataFrame:
+    """The first n boxes in order of query_id that have little land and don't overlap an earlier one much: what a pass over all candidates keeps.
+
+    ids: candidate numbers, more than n. sums: land_prefix_sums. Overlap is looked at only where max_overlap is below 1.
+    """
+    d = candidate_boxes(ids, box, size, unit, first_day, n_days, window_days, seed)
+    d = checkpoint(land_fraction(d, sums).where(F.col("land_fraction") <= max_land))
+    if max_overlap < 1:
+        d = d.join(greedy_accept(d, checkpoint(overlapping_boxes(d, max_overlap).select("a", "b")), checkpoint), "query_id", "left_semi")
+    return d.orderBy("query_id").limit(n)
+
+
+def evaluation_boxes(spark: SparkSession, box, size: float, unit: str, overlap: float, first_day: str, n_days: int, stride_days: int, window_days: int, sums: DataFrame, max_land: float = 0.5) -> DataFrame:
+    """The evaluation grid with each box as wide as its own latitude asks, without boxes of much land, in order of date and place."""
+    if unit == "deg":
+        width = height = size
+    else:  # strides by the middle latitude of the constraint
+        height = size / KM_PER_DEGREE_BOX
+        width = height / max(cos(radians((box.lat_min + box.lat_max) / 2)), 0.1)
+    grid = evaluation_grid(spark, box, width, overlap, first_day, n_days, stride_days, window_days, height)
+    own_width, own_height = patch_degrees(F.lit(float(size)), unit, F.col("lat_min") + height / 2)
+    sized = grid.withColumns({"lon_max": F.col("lon_min") + own_width, "lat_max": F.col("lat_min") + own_height})
+    return land_fraction(sized, sums).where(F.col("land_fraction") <= max_land).orderBy("date_start", "lon_min", "lat_min")
+
+
+def bounding_boxes(tiles: DataFrame, footprint: str = "footprint", centroid: str = "centroid") -> DataFrame:
+    """Tiles with a bounding box: that of the footprint (WKT), else the centroid as a box without area, else NULL."""
+    text = F.coalesce(F.when(F.length(footprint) > 0, F.when(F.lower(footprint) != "none", F.col(footprint))), F.when(F.length(centroid) > 0, F.when(F.lower(centroid) != "none", F.col(centroid))))
+    numbers = F.transform(F.regexp_extract_all(text, F.lit(r"(-?[0-9.]+(?:[eE][-+]?[0-9]+)?)"), F.lit(1)), lambda x: x.cast("double"))
+    xs, ys = F.filter("__xy", lambda x, k: k % 2 == 0), F.filter("__xy", lambda x, k: k % 2 == 1)
+    d = tiles.withColumn("__xy", numbers)
+    return d.withColumns({"lon_min": F.array_min(xs), "lon_max": F.array_max(xs), "lat_min": F.array_min(ys), "lat_max": F.array_max(ys)}).drop("__xy")
 
 
 def split_at_dateline(boxes: DataFrame) -> DataFrame:

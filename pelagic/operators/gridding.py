@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from math import cos, radians, sqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,23 @@ def bin_points(points: DataFrame, step: float, value: str = "val", method: str =
     return out.withColumn("value", F.when(F.col("n_obs") >= min_samples, F.col("value")))
 
 
+def grid_each_track(points: DataFrame, step: float, native_km: float, lat_range: tuple[float, float] = (-90.0, 90.0), value: str = "val", track: str = "track_id") -> DataFrame:
+    """Mean and count per cell of every track by itself; warns where the grid is coarser than 1.5 times the native resolution."""
+    middle = radians(sum(lat_range) / 2)
+    km = sqrt(step * KM_PER_DEGREE_LON * cos(middle) * step * KM_PER_DEGREE_LON)
+    if km > 1.5 * native_km:
+        warnings.warn(f"cells of {km:.1f} km are coarser than the native resolution of {native_km} km", stacklevel=2)
+    return bin_points(points, step, value, keys=("obs_date", track))
+
+
+def grid_altimetry(points: DataFrame, step: float, filtered: str = "sla_filtered", raw: str = "sla", track: str = "track_id", platform: str = "platform") -> DataFrame:
+    """Daily tracks of sea level on a grid: the filtered value where there is one, else the raw; with the cell's platforms, sorted."""
+    d = points.withColumn("val", F.coalesce(clean(F.col(filtered)), clean(F.col(raw)))).where(F.col("val").isNotNull())
+    grid = grid_daily_tracks(d, step, "val", track)
+    names = with_cells(d, step).groupBy("obs_date", "region_id", "i", "j").agg(F.array_join(F.array_sort(F.collect_set(platform)), ", ").alias("platforms"))
+    return grid.join(names, ["obs_date", "region_id", "i", "j"])
+
+
 def track_index(points: DataFrame, track: str = "track_id", value: str = "val") -> DataFrame:
     """Numbers the tracks that contribute a value on a date, in order of their name, from 0."""
     contributing = points.where(F.col(value).isNotNull()).select("obs_date", track).distinct()
@@ -95,11 +115,15 @@ def temporal_aggregate(cells: DataFrame, how: str, keys: tuple[str, ...], value:
     return d.groupBy(*keys).agg(column.alias("value"))
 
 
-def daily_mean_complete(hourly: DataFrame, hours: int, keys: tuple[str, ...] = ("i", "j"), value: str = "val") -> DataFrame:
-    """Daily means of the days on which at least `hours` different hours were seen, anywhere."""
+def daily_mean_complete(hourly: DataFrame, hours: int, keys: tuple[str, ...] = ("i", "j"), value: str = "val", also: tuple[str, ...] = (), done: DataFrame | None = None) -> DataFrame:
+    """Daily means of the days on which at least `hours` different hours were seen, anywhere.
+
+    also: further columns with means of their own (the components of a wind). done: dates that exist and are left out.
+    """
     hour = F.hour("obs_time")
+    hourly = hourly.join(F.broadcast(done.select("obs_date").distinct()), "obs_date", "left_anti") if done is not None else hourly
     full = hourly.groupBy("obs_date").agg(F.count_distinct(hour).alias("n_hours")).where(F.col("n_hours") >= hours).select("obs_date")
-    return hourly.join(full, "obs_date", "left_semi").groupBy("obs_date", *keys).agg(F.avg(value).alias("value"), F.count(value).alias("n"))
+    return hourly.join(full, "obs_date", "left_semi").groupBy("obs_date", *keys).agg(F.avg(value).alias("value"), *[F.avg(c).alias(c) for c in also], F.count(value).alias("n"))
 
 
 def resolution(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from math import exp
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .boxes import boxes_points
+from .catalog import query_tiles
+from .scans import with_unit_offsets
+
 
 def resize_axis(cells: DataFrame, axis: str, n_in: int, n_out: int, keys: tuple[str, ...], weighted: tuple[str, str] = ("wv", "w")) -> DataFrame:
     """One axis of a bilinear resize (corners not aligned): every source index feeds the targets that it reaches.
@@ -68,35 +72,62 @@ def coordinates(low: Column, high: Column, n: int) -> Column:
 def assemble(boxes: DataFrame, variables: DataFrame, cells: DataFrame, size: int, fill: float = 0.0) -> DataFrame:
     """A row per box and variable: a patch of size x size values (row by row, gaps filled), its coordinates and files.
 
-    cells: (query_id, variable, i, j, value, n) on the target grid of the box. Pairs without data are kept, present = false.
+    cells: (query_id, variable, i, j, value, n: files) on the target grid of the box. Pairs without data are kept, present = false.
     """
-    own = cells.groupBy("query_id", "variable").agg(F.map_from_entries(F.collect_list(F.struct((F.col("j") * size + F.col("i")).alias("at"), F.col("value")))).alias("m"), F.sum("n").alias("n_values"))
-    wanted = boxes.select("query_id", "lon_min", "lon_max", "lat_min", "lat_max").withColumn("variable", F.explode(variables_array(variables)))
+    own = cells.groupBy("query_id", "variable").agg(F.map_from_entries(F.collect_list(F.struct((F.col("j") * size + F.col("i")).alias("at"), F.col("value")))).alias("m"), F.max("n").alias("n_files"))
+    wanted = boxes.select("query_id", "lon_min", "lon_max", "lat_min", "lat_max", "date_start", "date_end").withColumn("variable", F.explode(variables_array(variables)))
     d = wanted.join(own, ["query_id", "variable"], "left")
     data = F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda k: F.coalesce(F.try_element_at("m", k), F.lit(fill)).cast("float"))
     return d.select(
-        "query_id", "variable", F.col("m").isNotNull().alias("present"), F.coalesce("n_values", F.lit(0)).alias("n_values"), F.lit(size).alias("h"), F.lit(size).alias("w"), data.alias("data"),
+        "query_id", "variable", F.col("m").isNotNull().alias("present"), F.coalesce("n_files", F.lit(0)).alias("n_files"), F.lit(size).alias("h"), F.lit(size).alias("w"), data.alias("data"),
         coordinates(F.col("lon_min"), F.col("lon_max"), size).alias("lons"), coordinates(F.col("lat_min"), F.col("lat_max"), size).alias("lats"),
+        F.array("lon_min", "lon_max", "lat_min", "lat_max").alias("bbox"), F.array("date_start", "date_end").alias("times"),
     )
 
 
+def sample_cells(boxes: DataFrame, cells: DataFrame, tiles: DataFrame, sources: DataFrame, regions: DataFrame, offsets: dict[str, float], native: int, size: int) -> DataFrame:
+    """(query_id, variable, i, j, value, n): the patches of all queries, from tiles to the target grid, in one plan.
+
+    Tiles of a query's dates, regions and sources (with how many there are), their cells in the box, units, a mean over
+    tiles and dates on native x native cells of the box, and a resize to size x size. cells: (source_id, variable,
+    obs_date, lon, lat, val); tiles: (file_id, source_id, obs_date, region_id).
+    """
+    files = query_tiles(boxes, tiles, sources, regions).groupBy("query_id", "source_id").agg(F.count(F.lit(1)).alias("n"))
+    inside = boxes_points(boxes, with_unit_offsets(cells, offsets)).where(F.col("val").isNotNull()).join(files, ["query_id", "source_id"])
+    at = {c: F.least(F.lit(native - 1), F.floor((F.col(axis) - F.col(f"{axis}_min")) / ((F.col(f"{axis}_max") - F.col(f"{axis}_min")) / native))).cast("int") for c, axis in (("i", "lon"), ("j", "lat"))}
+    merged = inside.withColumns(at).groupBy("query_id", "variable", "n", "i", "j").agg(F.avg("val").alias("val"))
+    return resize(merged, (native, native), (size, size), ("query_id", "variable", "n"))
+
+
 def variables_array(variables: DataFrame) -> Column:
     """The names of a small dimension as a literal array."""
     return F.array(*[F.lit(r[0]) for r in variables.select("variable").distinct().orderBy("variable").collect()])
 
 
-def collate(samples: DataFrame, batch: int) -> DataFrame:
-    """Batches of consecutive query ids: all samples of a variable padded with zeros to the largest, absent ones marked."""
-    d = samples.withColumn("batch", F.floor(F.col("query_id") / batch).cast("long"))
+def numbered(frame: DataFrame, id_: str, checkpoint) -> DataFrame:
+    """(id, number): distinct ids with their place in order, from 0. Ranges number their own rows; their sizes are summed apart."""
+    ids = checkpoint(frame.select(id_).distinct().repartitionByRange(id_).withColumn("__range", F.spark_partition_id()))
+    sizes = ids.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))  # a row per range
+    before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("__range")) - F.col("n")).drop("n")
+    return ids.join(F.broadcast(before), "__range").select(id_, (F.col("before") + F.row_number().over(Window.partitionBy("__range").orderBy(id_)) - 1).alias("number"))
+
+
+def collate(samples: DataFrame, batch: int, checkpoint) -> DataFrame:
+    """Batches of so many consecutive queries: all samples of a variable padded with zeros to the largest, absent ones marked.
+
+    With the coordinates of a batch's first sample, and all boxes and dates.
+    """
+    d = samples.join(numbered(samples, "query_id", checkpoint), "query_id").withColumn("batch", F.floor(F.col("number") / batch).cast("long"))
     top = d.groupBy("batch", "variable").agg(F.max("h").alias("top_h"), F.max("w").alias("top_w"))
 
     def padded(h: Column, w: Column, data: Column) -> Column:
         rows = F.transform(F.sequence(F.lit(0), F.col("top_h") - 1), lambda y: F.when(y < h, F.concat(F.slice(data, y * w + 1, w), F.array_repeat(F.lit(0.0).cast("float"), F.col("top_w") - w))).otherwise(F.array_repeat(F.lit(0.0).cast("float"), F.col("top_w"))))
         return F.flatten(rows)
 
-    one = d.join(top, ["batch", "variable"]).select("batch", "variable", "top_h", "top_w", F.struct("query_id", "present", padded(F.col("h"), F.col("w"), F.col("data")).alias("data")).alias("s"))
+    one = d.join(top, ["batch", "variable"]).select("batch", "variable", "top_h", "top_w", F.struct("query_id", "present", padded(F.col("h"), F.col("w"), F.col("data")).alias("data"), *[c for c in ("lons", "lats", "bbox", "times") if c in samples.columns]).alias("s"))
     out = one.groupBy("batch", "variable", "top_h", "top_w").agg(F.sort_array(F.collect_list("s")).alias("s"))
-    return out.select("batch", "variable", "top_h", "top_w", F.col("s.query_id").alias("query_ids"), F.col("s.present").alias("present"), F.col("s.data").alias("data"))
+    more = [F.col("s")[0][c].alias(c) for c in ("lons", "lats") if c in samples.columns] + [F.col(f"s.{c}").alias(n) for c, n in (("bbox", "bboxes"), ("times", "time_ranges")) if c in samples.columns]
+    return out.select("batch", "variable", "top_h", "top_w", F.col("s.query_id").alias("query_ids"), F.col("s.present").alias("present"), F.col("s.data").alias("data"), *more)
 
 
 def resize_reference(patch: np.ndarray, shape: tuple[int, int]) -> np.ndarray:

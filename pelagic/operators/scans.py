@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import kelvin_to_celsius
 from ..functions.geo import BBox, lon_to_180, region_id
+from .gridding import merge_to_grid
 
 
 def crop(cells: DataFrame, box: BBox, columns: list[str] | None = None) -> DataFrame:
@@ -30,6 +31,45 @@ def load_box(cells: DataFrame, date: str, box: BBox, source: str, whole_tiles: b
     return d if whole_tiles else crop(d, box)
 
 
+def load_box_merged(cells: DataFrame, date: str, box: BBox, source: str, step: float) -> DataFrame:
+    """The tiles that a box touches, cropped and averaged onto one grid of the box."""
+    return merge_to_grid(load_box(cells, date, box, source, whole_tiles=False), box, step, ("obs_date",))
+
+
+def load_swath(swath: DataFrame, dims: dict[str, tuple[str, ...]], box: BBox) -> DataFrame:
+    """A swath's cells in a box, with only those variables that lie on time, latitude and longitude alone. dims: of each column."""
+    kept = [c for c in swath.columns if set(dims[c]) <= {"time", "lat", "lon"}]
+    return crop(swath, box, kept)
+
+
+def with_unit_offsets(cells: DataFrame, offsets: dict[str, float], keys: tuple[str, ...] = ("obs_date",), variable: str = "variable", value: str = "val") -> DataFrame:
+    """Values with their variable's offset on load (Kelvin to Celsius), but only for fields that are still in Kelvin: a mean above 200."""
+    table = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair]) if offsets else F.create_map().cast("map<string,double>")
+    mean = cells.groupBy(*keys, variable).agg(F.avg(value).alias("__mean"))
+    offset = F.when(F.col("__mean") > 200, F.coalesce(F.try_element_at(table, F.col(variable)), F.lit(0.0))).otherwise(F.lit(0.0))
+    return cells.join(mean, [*keys, variable]).withColumn(value, F.col(value) + offset).drop("__mean")
+
+
+def expanded_aliases(tokens: Column, aliases: dict[str, list[str]]) -> Column:
+    """Names from tokens, which may hold several after commas and may be aliases of several; each name once, in order."""
+    table = F.create_map(*[x for k, v in aliases.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    parts = F.filter(F.transform(F.flatten(F.transform(tokens, lambda t: F.split(t, ","))), lambda t: F.trim(t)), lambda p: F.length(p) > 0)
+    return F.array_distinct(F.flatten(F.transform(parts, lambda p: F.coalesce(F.try_element_at(table, p), F.array(p)))))
+
+
+def dated_files(files: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Files whose name fits their product's pattern, with the date in it. patterns: (product, pattern, date_format), a row per product."""
+    d = files.join(F.broadcast(patterns), "product").withColumn("__found", F.expr("regexp_extract(path, pattern, 1)"))
+    return d.where("__found <> ''").withColumn("obs_date", F.expr("CAST(try_to_timestamp(__found, date_format) AS date)")).drop("__found", "pattern", "date_format")
+
+
+def first_of(frame: DataFrame, candidates: list[str], keys: tuple[str, ...], variable: str = "variable") -> DataFrame:
+    """The rows of each key's best variable, by place in a list of candidates; those of no candidate are dropped. Long-table form of first_present."""
+    place = F.array_position(F.array(*map(F.lit, candidates)), F.col(variable))
+    best = frame.where(place > 0).groupBy(*keys).agg(F.min_by(variable, place).alias(variable))
+    return frame.join(best, [*keys, variable], "left_semi")
+
+
 def multi_source_series(cells: DataFrame, sources: list[str], start: str, end: str, region: int | None = None, box: BBox | None = None) -> DataFrame:
     """Several sources over dates, for exactly one of a tile and a box, with a time on every row."""
     if (region is None) == (box is None):

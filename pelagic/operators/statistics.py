@@ -89,3 +89,20 @@ def loss_summary(losses: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 def valid_share(cells: DataFrame, keys: tuple[str, ...], n_cells: int, value: str = "val") -> DataFrame:
     """Percent of a field's cells that have a value."""
     return cells.groupBy(*keys).agg((F.count(value) * 100.0 / n_cells).alias("valid_percent"))
+
+
+def sample_statistics(samples: DataFrame, max_samples: int | None = None) -> DataFrame:
+    """Moments and percentiles of every variable over the cells of samples that have data.
+
+    samples: (query_id, variable, value), NULL where a sample has no data. max_samples: only queries below this number.
+    """
+    d = samples.where(F.col("value").isNotNull())
+    d = d if max_samples is None else d.where(F.col("query_id") < max_samples)
+    q = exact_percentiles(d, ("variable",), "value", [0.02, 0.98]).select("variable", *[F.when(F.col("n") >= 10, F.col("q")[k]).alias(c) for k, c in enumerate(("p_low", "p_high"))])
+    return moments(d, ("variable",), "value").join(F.broadcast(q), "variable")
+
+
+def compared_tiles(original: DataFrame, packed: DataFrame) -> DataFrame:
+    """Cells of two tables of tiles side by side, the original and the stored value of each."""
+    keys = ["obs_date", "region_id", "source", "variable", "i", "j"]
+    return original.select(*keys, F.col("val").alias("orig")).join(packed.select(*keys, F.col("val").alias("packed")), keys)

@@ -71,6 +71,7 @@ def fill_gaps(frame: DataFrame, keys: tuple[str, ...], at: str, value: str) -> D
     return d.withColumn("filled", F.when(F.col("__a").isNull(), F.col("__b.v")).when(F.col("__b").isNull() | (F.col("__b.at") == F.col("__a.at")), F.col("__a.v")).otherwise(line)).drop("__a", "__b")
 
 
-def first_usable_date(segments: DataFrame) -> DataFrame:
-    """The first date with a qualified segment."""
-    return segments.agg(F.min("obs_date").alias("obs_date"))
+def first_usable_date(segments: DataFrame, dates: DataFrame) -> DataFrame:
+    """The first date with a qualified segment, or the first of all dates where there is none."""
+    both = segments.agg(F.min("obs_date").alias("good")).crossJoin(dates.agg(F.min("obs_date").alias("first")))  # one row each
+    return both.select(F.coalesce("good", "first").alias("obs_date"))

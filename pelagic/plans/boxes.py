@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import functions as F
 
 from ..dims import region_boxes
 from ..fixtures import land_mask, view
 from ..functions.geo import BBox, box_iou, clip_to_box, in_box, patch_degrees
 from ..operators import boxes as b
-from ..sources.tables import shared_folder
-from .common import Registry, rounded
+from .common import Registry, rounded, written
 
 R = Registry()
 _BOX = BBox(-80.0, -40.0, 10.0, 50.0)
 _IOU = """(GREATEST(0, LEAST(a.lon_max, b.lon_max) - GREATEST(a.lon_min, b.lon_min)) * GREATEST(0, LEAST(a.lat_max, b.lat_max) - GREATEST(a.lat_min, b.lat_min)))"""
 _AREA = "((a.lon_max-a.lon_min)*(a.lat_max-a.lat_min) + (b.lon_max-b.lon_min)*(b.lat_max-b.lat_min))"
-_PAIRS = f"""SELECT a.query_id AS a, b.query_id AS b, {_IOU} / ({_AREA} - {_IOU}) AS iou FROM boxes a JOIN boxes b ON a.query_id < b.query_id
+IOU_PAIRS = f"""SELECT a.query_id AS a, b.query_id AS b, {_IOU} / ({_AREA} - {_IOU}) AS iou FROM boxes a JOIN boxes b ON a.query_id < b.query_id
  AND a.date_start <= b.date_end AND b.date_start <= a.date_end AND a.lon_min < b.lon_max AND b.lon_min < a.lon_max AND a.lat_min < b.lat_max AND b.lat_min < a.lat_max"""
-_FRACTION = """windows AS (SELECT *, GREATEST(0, LEAST(1440, FLOOR((lon_min+180)/0.25)))::INT AS w, GREATEST(0, LEAST(1440, FLOOR((lon_max+180)/0.25)+1))::INT AS e,
+FRACTION = """windows AS (SELECT *, GREATEST(0, LEAST(1440, FLOOR((lon_min+180)/0.25)))::INT AS w, GREATEST(0, LEAST(1440, FLOOR((lon_max+180)/0.25)+1))::INT AS e,
  GREATEST(0, LEAST(720, FLOOR((lat_min+90)/0.25)))::INT AS s, GREATEST(0, LEAST(720, FLOOR((lat_max+90)/0.25)+1))::INT AS n FROM boxes),
  sums AS MATERIALIZED (SELECT i, j, SUM(row_sum) OVER (PARTITION BY j ORDER BY i) AS land FROM (SELECT i, j, SUM(is_land::INT) OVER (PARTITION BY i ORDER BY j) AS row_sum FROM land)),
  fractions AS (SELECT q.*, CASE WHEN (e-w)*(n-s) > 0 THEN (COALESCE(p1.land,0) - COALESCE(p2.land,0) - COALESCE(p3.land,0) + COALESCE(p4.land,0))::DOUBLE / ((e-w)*(n-s)) ELSE 0 END AS land_fraction FROM windows q
@@ -58,12 +55,12 @@ R.add(
     "j2_boxes_points", lambda s, d: b.boxes_points(_boxes(s, d), view(s, d, "obs")).select("query_id", "obs_id", "obs_date", "val"),
     "SELECT query_id, obs_id, obs_date, val FROM boxes JOIN obs ON obs_date BETWEEN date_start AND date_end AND lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max", "boxes", "obs",
 )
-R.add("j12_overlapping_boxes", lambda s, d: rounded(b.overlapping_boxes(_boxes(s, d), 0.0)), f"SELECT a, b, ROUND(iou, 6) AS iou FROM ({_PAIRS}) WHERE iou > 0", "boxes")
-R.add("j15_land_fraction", lambda s, d: rounded(_with_land(s, d).select("query_id", "land_fraction")), f"WITH {_FRACTION} SELECT query_id, ROUND(land_fraction, 6) AS land_fraction FROM fractions", "boxes", "land")
-R.add("g4_ocean_boxes", lambda s, d: _with_land(s, d).where("land_fraction <= 0.3").select("query_id"), f"WITH {_FRACTION} SELECT query_id FROM fractions WHERE land_fraction <= 0.3", "boxes", "land")
+R.add("j12_overlapping_boxes", lambda s, d: rounded(b.overlapping_boxes(_boxes(s, d), 0.0)), f"SELECT a, b, ROUND(iou, 6) AS iou FROM ({IOU_PAIRS}) WHERE iou > 0", "boxes")
+R.add("j15_land_fraction", lambda s, d: rounded(_with_land(s, d).select("query_id", "land_fraction")), f"WITH {FRACTION} SELECT query_id, ROUND(land_fraction, 6) AS land_fraction FROM fractions", "boxes", "land")
+R.add("g4_ocean_boxes", lambda s, d: _with_land(s, d).where("land_fraction <= 0.3").select("query_id"), f"WITH {FRACTION} SELECT query_id FROM fractions WHERE land_fraction <= 0.3", "boxes", "land")
 R.add(
     "a46_box_summary", lambda s, d: rounded(b.box_summary(_with_land(s, d), 0.3)),
-    f"WITH {_FRACTION} SELECT COUNT(*) AS n, COUNT(DISTINCT date_start) AS n_days, ROUND(AVG(lon_max-lon_min), 6) AS mean_width, ROUND(AVG(lat_max-lat_min), 6) AS mean_height, ROUND(AVG(land_fraction), 6) AS mean_land, ROUND(AVG((land_fraction > 0.3)::INT), 6) AS share_above FROM fractions", "boxes", "land",
+    f"WITH {FRACTION} SELECT COUNT(*) AS n, COUNT(DISTINCT date_start) AS n_days, ROUND(AVG(lon_max-lon_min), 6) AS mean_width, ROUND(AVG(lat_max-lat_min), 6) AS mean_height, ROUND(AVG(land_fraction), 6) AS mean_land, ROUND(AVG((land_fraction > 0.3)::INT), 6) AS share_above FROM fractions", "boxes", "land",
 )
 for axis, low, high, bins in (("lon", -180, 180, 36), ("lat", -90, 90, 18)):
     R.add(
@@ -78,8 +75,8 @@ R.add(
     "c1_patch_degrees", lambda s, d: _boxes(s, d).select("query_id", *[F.round(x, 6).alias(n) for x, n in zip(patch_degrees(F.lit(200.0), "km", F.col("lat_min")), ("width", "height"))]),
     "SELECT query_id, ROUND(200 / (111.0 * GREATEST(COS(RADIANS(lat_min)), 0.1)), 6) AS width, ROUND(200 / 111.0, 6) AS height FROM boxes", "boxes",
 )
-_DRAW = "('0x' || SUBSTR(MD5('42|{}|' || c_custkey), 1, 13))::BIGINT / 4503599627370496.0"
-_CANDIDATES = f"""drawn AS (SELECT c_custkey AS query_id, -80 + {_DRAW.format('lon')} * 40 AS x, 10 + {_DRAW.format('lat')} * 40 AS y, CAST(FLOOR({_DRAW.format('day')} * 29) AS INT) AS k FROM customer),
+DRAW = "('0x' || SUBSTR(MD5('42|{}|' || c_custkey), 1, 13))::BIGINT / 4503599627370496.0"
+_CANDIDATES = f"""drawn AS (SELECT c_custkey AS query_id, -80 + {DRAW.format('lon')} * 40 AS x, 10 + {DRAW.format('lat')} * 40 AS y, CAST(FLOOR({DRAW.format('day')} * 29) AS INT) AS k FROM customer),
  boxes AS (SELECT query_id, GREATEST(-180, x-4) AS lon_min, LEAST(180, x+4) AS lon_max, GREATEST(-90, y-4) AS lat_min, LEAST(90, y+4) AS lat_max, CAST(DATE '2024-06-01' + k AS DATE) AS date_start, CAST(DATE '2024-06-01' + k + 1 AS DATE) AS date_end FROM drawn)"""
 
 
@@ -88,27 +85,18 @@ def _candidates(spark, sf):
     return b.candidate_boxes(ids, _BOX, 8.0, "deg", "2024-06-01", 30, 2, 42)
 
 
-def _cut(spark):
-    def write(frame):
-        path = f"{shared_folder(spark)}/greedy-{uuid4().hex}"
-        frame.write.parquet(path)
-        return spark.read.schema(frame.schema).parquet(path)
-
-    return write
-
-
 R.add("g1_candidate_boxes", lambda s, d: rounded(_candidates(s, d)), f"WITH {_CANDIDATES} SELECT query_id, ROUND(lon_min, 6) AS lon_min, ROUND(lon_max, 6) AS lon_max, ROUND(lat_min, 6) AS lat_min, ROUND(lat_max, 6) AS lat_max, date_start, date_end FROM boxes")
 
 
 def _greedy(spark, sf):
-    boxes, cut = _candidates(spark, sf), _cut(spark)
+    boxes, cut = _candidates(spark, sf), written(spark)
     kept = b.greedy_accept(boxes, cut(b.overlapping_boxes(boxes, 0.3).select("a", "b")), cut)
     return rounded(boxes.join(kept, "query_id", "left_semi"))
 
 
 R.add(
     "g3_greedy_boxes", _greedy,
-    f"""WITH RECURSIVE {_CANDIDATES}, conflicts AS MATERIALIZED (SELECT a, b FROM ({_PAIRS}) WHERE iou > 0.3), turns AS MATERIALIZED (SELECT query_id, ROW_NUMBER() OVER (ORDER BY query_id) AS k, COALESCE(earlier, []) AS earlier FROM (SELECT a AS query_id FROM conflicts UNION SELECT b FROM conflicts) LEFT JOIN (SELECT b AS query_id, LIST(a) AS earlier FROM conflicts GROUP BY 1) USING (query_id)),
+    f"""WITH RECURSIVE {_CANDIDATES}, conflicts AS MATERIALIZED (SELECT a, b FROM ({IOU_PAIRS}) WHERE iou > 0.3), turns AS MATERIALIZED (SELECT query_id, ROW_NUMBER() OVER (ORDER BY query_id) AS k, COALESCE(earlier, []) AS earlier FROM (SELECT a AS query_id FROM conflicts UNION SELECT b FROM conflicts) LEFT JOIN (SELECT b AS query_id, LIST(a) AS earlier FROM conflicts GROUP BY 1) USING (query_id)),
  walk(k, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT t.k, CASE WHEN LIST_HAS_ANY(earlier, kept) THEN kept ELSE LIST_APPEND(kept, query_id) END FROM walk JOIN turns t ON t.k = walk.k + 1)
  SELECT query_id, ROUND(lon_min, 6) AS lon_min, ROUND(lon_max, 6) AS lon_max, ROUND(lat_min, 6) AS lat_min, ROUND(lat_max, 6) AS lat_max, date_start, date_end FROM boxes WHERE query_id NOT IN (SELECT query_id FROM turns) OR LIST_CONTAINS((SELECT ARG_MAX(kept, k) FROM walk), query_id)""",
 )

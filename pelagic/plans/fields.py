@@ -35,8 +35,8 @@ R.add(
     f"WITH {STEPS}, {SEGMENTS} SELECT track_id, obs_date, CAST(segment AS BIGINT) AS segment, ROUND(MAX(along_km)-MIN(along_km), 4) AS length_km, COUNT(*) AS n, ROUND(COUNT(val)/COUNT(*), 4) AS valid FROM segments GROUP BY 1,2,3 HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8", "obs",
 )
 R.add(
-    "k7_first_usable_date", lambda s, d: t.first_usable_date(t.qualified_segments(_segments(s, d), 300.0, 8, 0.8)),
-    f"WITH {STEPS}, {SEGMENTS} SELECT MIN(obs_date) AS obs_date FROM (SELECT obs_date FROM segments GROUP BY track_id, obs_date, segment HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8)", "obs",
+    "k7_first_usable_date", lambda s, d: t.first_usable_date(t.qualified_segments(_segments(s, d), 300.0, 8, 0.8), _obs(s, d)),
+    f"WITH {STEPS}, {SEGMENTS} SELECT COALESCE(MIN(obs_date), (SELECT MIN(obs_date) FROM obs)) AS obs_date FROM (SELECT obs_date FROM segments GROUP BY track_id, obs_date, segment HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 8 AND COUNT(val)/COUNT(*) > 0.8)", "obs",
 )
 R.add(
     "w5_column_segments", lambda s, d: rounded(t.column_segments(view(s, d, "cells").withColumn("j", F.col("j") * F.col("j")), 7), 10),

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..dims import region_boxes
 from ..fixtures import view
-from ..operators import boxes as b
 from ..operators import matching as m
 from ..operators import samples as p
 from ..operators import spectra as sp
+from ..operators import statistics as st
 from ..operators import tracks as t
 from ..operators.gridding import with_cells
-from .common import Registry, rounded
+from .common import Registry, rounded, written
 from .fields import SEGMENTS, STEPS
 
 R = Registry()
@@ -43,27 +44,45 @@ R.add(
 )
 
 
-def _patch_cells(s, d):
-    hits = b.boxes_points(view(s, d, "boxes"), view(s, d, "obs").where("val IS NOT NULL"))
-    at = {"i": F.least(F.lit(3), F.floor((F.col("lon") - F.col("lon_min")) / 2.5)).cast("int"), "j": F.least(F.lit(3), F.floor((F.col("lat") - F.col("lat_min")) / 2.5)).cast("int")}
-    return hits.withColumns(at).withColumn("variable", F.concat(F.lit("v"), F.col("obs_id") % 2)).groupBy("query_id", "variable", "i", "j").agg(F.avg("val").alias("value"), F.count(F.lit(1)).alias("n"))
+def _sample_cells(s, d):
+    """Observations as cells of two sources, their tiles, and the patches of all boxes."""
+    cells = view(s, d, "obs").withColumns({"source_id": (F.col("obs_id") % 2).cast("int"), "variable": F.concat(F.lit("v"), F.col("obs_id") % 2)}).withColumn("val", F.when(F.col("source_id") == 1, F.col("val") + 273.15).otherwise(F.col("val")))
+    tiles = with_cells(cells, 10.0).groupBy("source_id", "obs_date", "region_id").agg(F.min("obs_id").alias("file_id"))
+    return p.sample_cells(view(s, d, "boxes"), cells, tiles, s.range(2).select(F.col("id").cast("int").alias("source_id")), region_boxes(s), {"v1": -273.15}, 4, 8)
 
 
 def _samples(s, d):
     names = view(s, d, "obs").select(F.concat(F.lit("v"), F.col("obs_id") % 2).alias("variable"))
-    return p.assemble(view(s, d, "boxes"), names, _patch_cells(s, d), 4)
+    return p.assemble(view(s, d, "boxes"), names, _sample_cells(s, d), 8)
 
 
+_SAMPLES = f"""{_TAPS.format(a='i', n=4, m=8)}, {_TAPS.format(a='j', n=4, m=8)}, hits AS (SELECT query_id, 'v' || (obs_id % 2) AS variable, LEAST(3, FLOOR((lon-lon_min)/((lon_max-lon_min)/4)))::INT AS i, LEAST(3, FLOOR((lat-lat_min)/((lat_max-lat_min)/4)))::INT AS j, AVG(val) AS val
+ FROM boxes JOIN obs ON val IS NOT NULL AND obs_date BETWEEN date_start AND date_end AND lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max GROUP BY 1,2,3,4),
+ files AS (SELECT query_id, 'v' || source_id AS variable, COUNT(*) AS n_files FROM boxes JOIN (SELECT DISTINCT obs_id % 2 AS source_id, obs_date, CAST(FLOOR((lon+180)/90) + 4*FLOOR((lat+90)/90) AS INT) AS region_id FROM obs) ON obs_date BETWEEN date_start AND date_end
+ AND lon_max > (region_id % 4)*90 - 180 AND lon_min < (region_id % 4)*90 - 90 AND lat_max > (region_id // 4)*90 - 90 AND lat_min < (region_id // 4)*90 GROUP BY 1, 2),
+ own AS (SELECT query_id, variable, tj.target*8 + ti.target AS k, CASE WHEN SUM(ti.weight*tj.weight) > 0.01 THEN SUM(ti.weight*tj.weight*val)/SUM(ti.weight*tj.weight) END AS value FROM hits JOIN tapsi ti ON ti.src = hits.i JOIN tapsj tj ON tj.src = hits.j GROUP BY 1,2,3),
+ samples AS (SELECT q.query_id, v.variable, t.k, own2.query_id IS NOT NULL AS present, CASE WHEN own2.query_id IS NULL THEN 0 ELSE n_files END AS n_files, COALESCE(own.value, 0) AS value, lon_min + (t.k % 8)*(lon_max-lon_min)/7 AS lon, lat_min + (t.k // 8)*(lat_max-lat_min)/7 AS lat, lon_min, date_end,
+ DENSE_RANK() OVER (ORDER BY q.query_id) - 1 AS number FROM boxes q CROSS JOIN (VALUES ('v0'), ('v1')) AS v(variable) CROSS JOIN range(64) AS t(k) LEFT JOIN own ON own.query_id = q.query_id AND own.variable = v.variable AND own.k = t.k
+ LEFT JOIN (SELECT DISTINCT query_id, variable FROM own) own2 ON own2.query_id = q.query_id AND own2.variable = v.variable LEFT JOIN files f ON f.query_id = q.query_id AND f.variable = v.variable)"""
 R.add(
-    "r2_samples", lambda s, d: _samples(s, d).select("query_id", "variable", "present", "n_values", F.round(F.aggregate("data", F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.size("data").alias("n_cells"), F.round(F.col("lons")[3], 6).alias("last_lon")),
-    """WITH hits AS (SELECT query_id, 'v' || (obs_id % 2) AS variable, LEAST(3, FLOOR((lon-lon_min)/2.5)) AS i, LEAST(3, FLOOR((lat-lat_min)/2.5)) AS j, AVG(val) AS value, COUNT(*) AS n FROM boxes JOIN obs ON val IS NOT NULL AND obs_date BETWEEN date_start AND date_end AND lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max GROUP BY 1,2,3,4),
- own AS (SELECT query_id, variable, SUM(n) AS n, SUM(value::FLOAT::DOUBLE) AS total FROM hits GROUP BY 1, 2)
- SELECT q.query_id, v.variable, own.n IS NOT NULL AS present, CAST(COALESCE(own.n, 0) AS BIGINT) AS n_values, ROUND(COALESCE(total, 0), 3) AS total, 16 AS n_cells, ROUND(lon_max, 6) AS last_lon FROM boxes q CROSS JOIN (VALUES ('v0'), ('v1')) AS v(variable) LEFT JOIN own ON own.query_id = q.query_id AND own.variable = v.variable""", "boxes", "obs",
+    "r2_samples", lambda s, d: rounded(_samples(s, d).select("query_id", "variable", "present", "n_files", "lons", "lats", F.posexplode("data").alias("k", "value")).select("query_id", "variable", "present", "n_files", "k", F.round(F.col("value").cast("double"), 3).alias("value"), F.col("lons")[F.col("k") % 8].alias("lon"), F.col("lats")[F.floor(F.col("k") / 8).cast("int")].alias("lat"))),
+    f"WITH {_SAMPLES} SELECT query_id, variable, present, CAST(n_files AS BIGINT) AS n_files, CAST(k AS INT) AS k, ROUND(value::FLOAT::DOUBLE, 3) AS value, ROUND(lon, 6) AS lon, ROUND(lat, 6) AS lat FROM samples", "boxes", "obs",
+)
+
+
+def _batches(s, d):
+    one = p.collate(_samples(s, d), 8, written(s)).select("batch", "variable", "top_h", "top_w", F.col("lons")[0].alias("lon"), F.posexplode(F.arrays_zip("query_ids", "present", "data", "bboxes", "time_ranges")).alias("place", "s"))
+    return one.select("batch", "variable", "top_h", "top_w", "lon", "place", F.col("s.query_ids").alias("query_id"), F.col("s.present").alias("present"), F.round(F.aggregate(F.col("s.data"), F.lit(0.0), lambda a, x: a + x), 2).alias("total"), F.col("s.bboxes")[0].alias("lon_min"), F.col("s.time_ranges")[1].alias("date_end"))
+
+
+R.add(
+    "r3_batches", lambda s, d: rounded(_batches(s, d)),
+    f"""WITH {_SAMPLES} SELECT number // 8 AS batch, variable, 8 AS top_h, 8 AS top_w, ROUND(ARG_MIN(lon_min, number) OVER (PARTITION BY number // 8, variable), 6) AS lon, CAST(number % 8 AS INT) AS place, query_id, present, total, ROUND(lon_min, 6) AS lon_min, date_end
+ FROM (SELECT query_id, variable, number, present, lon_min, date_end, ROUND(SUM(value::FLOAT::DOUBLE), 2) AS total FROM samples GROUP BY ALL)""", "boxes", "obs",
 )
 R.add(
-    "r3_batches", lambda s, d: p.collate(_samples(s, d), 8).select("batch", "variable", "top_h", "top_w", F.size("query_ids").alias("n"), F.size(F.filter("present", lambda x: x)).alias("n_present"), F.size(F.flatten("data")).alias("n_values")),
-    """WITH hits AS (SELECT DISTINCT query_id, 'v' || (obs_id % 2) AS variable FROM boxes JOIN obs ON val IS NOT NULL AND obs_date BETWEEN date_start AND date_end AND lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max)
- SELECT q.query_id // 8 AS batch, v.variable, 4 AS top_h, 4 AS top_w, CAST(COUNT(*) AS INT) AS n, CAST(COUNT(h.query_id) AS INT) AS n_present, CAST(COUNT(*)*16 AS INT) AS n_values FROM boxes q CROSS JOIN (VALUES ('v0'), ('v1')) AS v(variable) LEFT JOIN hits h ON h.query_id = q.query_id AND h.variable = v.variable GROUP BY 1, 2""", "boxes", "obs",
+    "a15_sample_statistics", lambda s, d: rounded(st.sample_statistics(_sample_cells(s, d)), 5),
+    f"WITH {_SAMPLES} SELECT variable, ROUND(AVG(value), 5) AS mean, ROUND(STDDEV_POP(value), 5) AS std, ROUND(VAR_POP(value), 5) AS var, ROUND(MIN(value), 5) AS min, ROUND(MAX(value), 5) AS max, COUNT(value) AS count, ROUND(QUANTILE_CONT(value, 0.02), 5) AS p_low, ROUND(QUANTILE_CONT(value, 0.98), 5) AS p_high FROM own WHERE value IS NOT NULL GROUP BY 1", "boxes", "obs",
 )
 
 
