@@ -30,8 +30,10 @@ END_ID = 1
 WINDOWS = 64
 #: Partitions whose leftover windows are merged together.
 GROUP = 32
-#: Ids of so many different words are kept in a worker; then it starts anew. This bounds memory, not results.
-CACHE_ENTRIES = 800_000
+#: Ids of so many different words of at most LONG letters are kept in a worker; then it starts anew. This bounds memory, not results.
+CACHE_ENTRIES, LONG = 800_000, 64
+#: Words of letters alone that are encoded as one string.
+JOINED = 100
 _SEQUENCES = 1 << 40
 
 
@@ -44,22 +46,42 @@ class WordIds:
 
         self.tokenizer, self.entries = Tokenizer.from_file(path), entries
         self.seen: dict[str, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[number for token, number in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_lower(t).replace("\n", " ").split(" ") for t in texts]
         words = set(chain.from_iterable(split))
         if len(self.seen) + len(words) > self.entries:
             self.seen = {}
-        fresh = {w for w in words if w not in self.seen}
+        fresh = words.difference(self.seen)
         # letters and one full stop or comma are two pre-tokens, so that the letters alone are enough
-        ended = {w: w[:-1] for w in fresh if w and w[-1] in ".," and w[:-1].isalpha() and max(w) < "\u0100"}
+        ended = {w: w[:-1] for w in fresh if w.endswith((".", ",")) and _letters(w[:-1])}
         if ended:
-            fresh = {w for w in {*fresh, *ended.values(), ".", ","} if w not in self.seen and w not in ended}
-        fresh = list(fresh)
-        encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.seen.update((w, array("I", x.ids).tobytes()) for w, x in zip(fresh, encoded))
+            fresh = {*fresh, *ended.values(), ".", ","}.difference(self.seen, ended)
+        self.seen.update(self.plain([w for w in fresh if _letters(w)]))
+        other = [w for w in fresh if w not in self.seen]
+        encoded = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        self.seen.update((w, array("I", x.ids).tobytes()) for w, x in zip(other, encoded))
         self.seen.update((w, self.seen[base] + self.seen[w[-1]]) for w, base in ended.items())
-        return [b"".join(map(self.seen.__getitem__, x)) for x in split]
+        out = [b"".join(map(self.seen.__getitem__, x)) for x in split]
+        for w in fresh.union(ended):
+            if len(w) > LONG:
+                del self.seen[w]
+        return out
+
+    def plain(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of words of letters, many encoded at a time: each is one pre-token, whose last id alone ends a word."""
+        for part in (words[k : k + JOINED] for k in range(0, len(words), JOINED)):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) == len(part):
+                raw = ids.tobytes()
+                yield from zip(part, (raw[a:b] for a, b in zip([0, *ends], ends)))
+
+
+def _letters(word: str) -> bool:
+    return word.isalpha() and max(word) < "\u0100"
 
 
 def _lower(text: str) -> str:
