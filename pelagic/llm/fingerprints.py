@@ -4,6 +4,7 @@ The lexicon is the terms inside a band of document frequency, counted over all d
 distinct terms of a text that lie in a random part of the lexicon, for several parts of several sizes: an edit leaves the
 parts alone in which no changed term lies, and parts of some size fit texts of every length. The lower end of the band is
 a share of all documents, so that the lexicon has at most (mean distinct terms of a document) / LOW terms at any scale.
+Terms go by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import small_batches
 
@@ -27,49 +29,77 @@ LOW, HIGH = 0.001, 0.1
 SCALES, PARTS = range(2, 10), 5
 #: A text with fewer terms in the band uses all its terms; one without any word is hashed as it stands.
 MIN_TERMS = 8
-#: Rows of a range of consecutive ids, that is of a task's unit of work.
-ROWS_PER_RANGE = 2_000
+#: Bytes of text of a range of consecutive ids, that is of a task, about; ranges at most.
+RANGE_BYTES, MAX_RANGES = 16 << 20, 50_000
 #: Terms counted in a worker before they are handed on.
 FLUSH_TERMS = 300_000
+#: Places in the lexicon of so many different terms of at most LONG letters are kept in a worker; then it starts anew.
+CACHE_ENTRIES, LONG = 400_000, 64
 WORD = re.compile(r"[^\W_]+")
 WIDTH = 8
 EMPTY = "0" * WIDTH
 
 
-def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> list[str]:
-    """Sorted terms whose document frequency over all rows of docs lies in the band (at least 2 documents)."""
+def term_hash(term: str) -> int:
+    return xxh64_intdigest(term) - (1 << 63)
+
+
+def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
+    """Sorted hashes of the terms whose document frequency over all rows of docs lies in the band (at least 2 documents)."""
+
+    def counted(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([term_hash(t) for t in counts], pa.int64()), pa.array(counts.values(), pa.int32())], names=["term", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(set(WORD.findall(text.lower())))
-            if len(counts) >= FLUSH_TERMS:
-                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
-                counts = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
+            for text in batch.column("text"):
+                counts.update(set(WORD.findall(text.as_py().lower())))
+                if len(counts) >= FLUSH_TERMS:
+                    yield counted(counts)
+                    counts = Counter()
+        yield counted(counts)
 
     total = docs.count()
     texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    df = texts.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return sorted(r["term"] for r in df.where(F.col("n").between(max(2.0, low * total), max(2.0, high * total))).select("term").collect())
+    df = texts.mapInArrow(run, "term long, n int").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = df.where(F.col("n").between(max(2.0, low * total), max(2.0, high * total))).select("term").collect()
+    return np.sort(np.array([r["term"] for r in rows], np.int64))
 
 
 class Fingerprinter:
-    def __init__(self, terms: list[str]) -> None:
-        self.number = {t: i for i, t in enumerate(terms)}
-        seeds = np.array([int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "little") for t in terms], np.uint64)
-        self.hashes, self.parts = seeds, membership(seeds)
+    def __init__(self, terms: np.ndarray) -> None:
+        self.terms, self.hashes = terms, terms.view(np.uint64)
+        self.parts = membership(self.hashes)
+        self.known: dict[str, int] = {}
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Sorted places in the lexicon of those of the words that it has."""
+        at = list(map(self.known.get, words))
+        if None in at:
+            fresh = [k for k, i in enumerate(at) if i is None]
+            if len(self.known) + len(fresh) > CACHE_ENTRIES:
+                self.known = {}
+            hashes = np.array([term_hash(words[k]) for k in fresh], np.int64)
+            found = np.searchsorted(self.terms, hashes)
+            there = found < len(self.terms)
+            there[there] = self.terms[found[there]] == hashes[there]
+            for k, i in zip(fresh, np.where(there, found, -1).tolist()):
+                at[k] = i
+                if len(words[k]) <= LONG:
+                    self.known[words[k]] = i
+        places = np.array(at, np.int64)
+        return np.sort(places[places >= 0])
 
     def __call__(self, text: str) -> str:
-        words = set(WORD.findall(text.lower()))
+        words = list(set(WORD.findall(text.lower())))
         if not words:
             return hashlib.blake2b(text.encode(), digest_size=WIDTH // 2).hexdigest() * (len(SCALES) * PARTS)
-        at = np.array(sorted(i for i in map(self.number.get, words) if i is not None), np.int64)
+        at = self.places(words)
         if len(at) >= MIN_TERMS:
             hashes, parts = self.hashes[at], self.parts[at]
         else:
-            hashes = np.array([int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "little") for t in sorted(words)], np.uint64)
+            hashes = np.sort(np.array([term_hash(t) for t in words], np.int64)).view(np.uint64)
             parts = membership(hashes)
         some = parts.any(0)
         return "".join(hashlib.blake2b(hashes[parts[:, k]].tobytes(), digest_size=WIDTH // 2).hexdigest() if some[k] else EMPTY for k in range(parts.shape[1]))
@@ -95,29 +125,49 @@ def likeness(a: str, b: str) -> float:
     return sum(x == y for x, y in used) / len(used) if used else 0.0
 
 
-def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Rows in ranges of consecutive doc_ids, each range followed by the document after it (__ahead), the last by the first.
+def in_order(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, key, tie, row) in ranges of ascending doc_id, one shuffle of the texts. Null ids come first.
 
-    One shuffle of the texts. Null ids come first; rows of one id are ordered by text. Ranges are bounded by doc_ids that
-    occur, so that none is empty; rows of one id stay together.
+    Rows of one id follow each other by the hash of their texts and then as they come, so that many of them fill several
+    ranges; equal rows may change places.
     """
-    lowest = -(2**63)
-    d = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("__key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = d.count()
-    n = max(1, -(-rows // rows_per_range))
-    marks = d.agg(F.min("__key").alias("low"), F.percentile_approx("__key", [i / n for i in range(1, n)] or [0.5], 10_000).alias("inner")).first()
-    bounds = np.unique(np.array([marks["low"], *((marks["inner"] or []) if n > 1 else [])] if rows else [0], np.int64))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"), F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row")]
+    d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).select("*", *own)
+    return d.repartitionByRange(int(min(MAX_RANGES, max(1, size // RANGE_BYTES))), "key", "tie", "row")
 
-    @F.pandas_udf("long")
-    def place(key: pd.Series) -> pd.Series:
-        at = np.searchsorted(bounds, key.to_numpy(), side="right")
-        return pd.Series(2 * at + (bounds[at - 1] == key.to_numpy()))
 
-    own, edge = F.shiftright("__place", 1), F.col("__place") % 2 == 1
-    before = F.when(own == 1, F.lit(len(bounds)).cast("long")).otherwise(own - 1)
-    where = F.when(edge, F.array(F.struct(own.alias("range"), F.lit(False).alias("ahead")), F.struct(before.alias("range"), F.lit(True).alias("ahead")))).otherwise(F.array(F.struct(own.alias("range"), F.lit(False).alias("ahead"))))
-    dealt = d.withColumn("__place", place("__key")).withColumn("__w", F.explode(where)).select("doc_id", "text", "__key", F.col("__w.range").alias("__range"), F.col("__w.ahead").alias("__ahead"))
-    return dealt.repartition(len(bounds), "__range").sortWithinPartitions("__range", "__ahead", "__key", "text")
+def seams(ordered: DataFrame) -> DataFrame:
+    """(doc_id, text, next): the last row of every range with the first text of the range after it, that of the last with the very first."""
+    kind = ordered.schema["doc_id"].dataType.simpleString()
+    order = ("key", "tie", "row")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = high = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            by = np.lexsort([batch.column(c).to_numpy() for c in reversed(order)])
+            first, last = (batch.slice(int(by[k]), 1) for k in (0, -1))
+            at = lambda row: tuple(row.column(c)[0].as_py() for c in order)
+            low = first if low is None or at(first) < at(low) else low
+            high = last if high is None or at(last) > at(high) else high
+        if low is not None:
+            part = pa.array([TaskContext.get().partitionId()], pa.int64())
+            yield pa.RecordBatch.from_arrays([part, high.column("doc_id"), high.column("text"), low.column("text")], names=["part", "doc_id", "text", "head"])
+
+    found = ordered.mapInArrow(ends, f"part long, doc_id {kind}, text string, head string")  # a row for each range
+    # ranges hold the key that bounds them, so that those with rows are numbered from 0 without gaps
+    tail = F.struct(F.col("part").alias("slot"), F.struct("doc_id", "text").alias("tail"), F.lit(None).cast("string").alias("head"))
+    head = F.struct((F.col("part") - 1).alias("slot"), F.lit(None).cast(f"struct<doc_id:{kind},text:string>").alias("tail"), F.col("head").alias("head"))
+    sides = found.select(F.explode(F.array(tail, head)).alias("s")).select("s.*")
+
+    def paired(rows: DataFrame, slot: Column) -> DataFrame:
+        return rows.groupBy(slot.alias("slot")).agg(F.first("tail", True).alias("tail"), F.first("head", True).alias("head"))
+
+    met = paired(sides, F.col("slot"))
+    met = paired(met, F.when(F.col("tail").isNotNull() & F.col("head").isNotNull(), F.col("slot")).otherwise(-1))  # the last with the first
+    return met.select("tail.doc_id", "tail.text", F.col("head").alias("next"))
 
 
 def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
@@ -125,7 +175,8 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
 
     The edited text is the text whose last floor(n_chars / 4) code points gave way to the first as many of the next
     document. docs needs doc_id (whole numbers) and text; other columns are not read. A null text is empty. Equal texts
-    have equal fingerprints. An empty table gives no rows; a single document is its own next.
+    have equal fingerprints. Null ids come before all others; rows that repeat an id follow each other by a hash of their
+    texts. A text of any length is taken whole. An empty table gives no rows; a single document is its own next.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -133,24 +184,35 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Fingerprinter(terms.value)
-        last: tuple | None = None  # range, doc_id, text, fingerprint
+    def row(make: Fingerprinter, doc: int | None, text: str, own: str, after: str, after_print: str) -> tuple:
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        edited_print = make(edited)
+        return doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), own, edited_print, likeness(own, edited_print), likeness(own, after_print)
+
+    def batch_of(out: list[tuple], doc_type: pa.DataType) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [()] * len(names)
+        kinds = [doc_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, last = Fingerprinter(terms.value), None
         for batch in batches:
             out = []
-            for doc, text, range_, ahead in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "__range", "__ahead")]):
-                if ahead and (last is None or last[0] != range_):
-                    continue  # a further row of the boundary's id
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 own = make(text)
-                if last is not None and last[0] == range_:
-                    _, before, old, print_ = last
-                    cut = len(old) // 4
-                    edited = old[: len(old) - cut] + text[:cut]
-                    edited_print = make(edited)
-                    out.append((before, len(old), hashlib.sha256(edited.encode()).hexdigest(), print_, edited_print, likeness(print_, edited_print), likeness(print_, own)))
-                last = None if ahead else (range_, doc, text, own)
-            columns = list(zip(*out)) or [()] * len(names)
-            kinds = [batch.column("doc_id").type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    return with_next(docs).mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+                if last is not None:
+                    out.append(row(make, *last, text, own))
+                last = (doc, text, own)
+            yield batch_of(out, batch.column("doc_id").type)
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = Fingerprinter(terms.value)
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "next")])
+            yield batch_of([row(make, doc, text, make(text), after, make(after)) for doc, text, after in rows], batch.column("doc_id").type)
+
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    ordered = in_order(docs)
+    inner = ordered.sortWithinPartitions("key", "tie", "row").mapInArrow(within, schema)
+    return inner.unionByName(seams(ordered).mapInArrow(between, schema))

@@ -1,7 +1,14 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from pelagic.llm import fingerprints as fingerprinting
 from pelagic.llm.fingerprints import Fingerprinter, fingerprints, likeness
 from pelagic.llm.personal_data import personal_data, redact
 
@@ -77,17 +84,59 @@ def test_personal_data_uses_no_python(odd):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
-def test_fingerprints_and_edits(corpus):
-    docs = corpus[0].select("doc_id", "text").collect()
-    texts = [r["text"] for r in sorted(docs)]
-    got = {r["doc_id"]: r for r in fingerprints(corpus[0], low=0.002, high=0.9).collect()}
-    for i, text in enumerate(texts):
-        k = len(text) // 4
-        edited = text[: len(text) - k] + texts[(i + 1) % len(texts)][:k]
-        assert (got[i]["n_chars"], got[i]["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+def plain_fingerprint(text, band):
+    """One text at a time, with whole numbers and sets instead of arrays."""
+    words = {w for w in re.findall(r"[^\W_]+", text.lower())}
+    if not words:
+        return [hashlib.blake2b(text.encode(), digest_size=4).hexdigest()] * 40
+    hashed = {w: xxhash.xxh64_intdigest(w) - 2**63 for w in words}
+    used = [h for w, h in hashed.items() if w in band]
+    used = sorted(used if len(used) >= 8 else hashed.values())
+    parts = []
+    for k in range(40):
+        members = []
+        for h in used:
+            x = ((h % 2**64) ^ ((k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * 0xBF58476D1CE4E5B9 % 2**64
+            x = (x ^ x >> 31) * 0x94D049BB133111EB % 2**64
+            if (x >> 40) % 2 ** (2 + k // 5) == 0:
+                members.append(h.to_bytes(8, "little", signed=True))
+        parts.append(hashlib.blake2b(b"".join(members), digest_size=4).hexdigest() if members else "00000000")
+    return parts
+
+
+def plain_likeness(a, b):
+    pairs = [(x, y) for x, y in zip(a, b) if x != "00000000" or y != "00000000"]
+    return 1.0 if a == b else sum(x == y for x, y in pairs) / len(pairs)
+
+
+@pytest.mark.parametrize("range_bytes", [16 << 20, 20_000, 1])
+def test_fingerprints_against_brute_force(corpus, monkeypatch, range_bytes):
+    monkeypatch.setattr(fingerprinting, "RANGE_BYTES", range_bytes)
+    monkeypatch.setattr(fingerprinting, "MAX_RANGES", 60)
+    docs = corpus[0].where("doc_id % 3 <> 2")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    seen = Counter(w for _, t in rows for w in set(re.findall(r"[^\W_]+", t.lower())))
+    band = {w for w, n in seen.items() if max(2, 0.002 * len(rows)) <= n <= max(2, 0.9 * len(rows))}
+    got = {r["doc_id"]: r for r in fingerprints(docs.repartition(5), low=0.002, high=0.9).collect()}
+    assert len(got) == len(rows)
+    for k, (i, text) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        own, changed, other = (plain_fingerprint(t, band) for t in (text, edited, after))
+        want = (len(text), hashlib.sha256(edited.encode()).hexdigest(), "".join(own), "".join(changed), plain_likeness(own, changed), plain_likeness(own, other))
+        assert tuple(got[i])[1:] == want
     assert sum(r["near_edited"] for r in got.values()) > 3 * sum(r["near_next"] for r in got.values())
 
 
+def test_rows_of_one_id_fill_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprinting, "RANGE_BYTES", 500)
+    frame = spark.createDataFrame([(7 if k % 3 else k, f"text number {k % 40} of some") for k in range(300)], "doc_id long, text string").repartition(4)
+    sizes = fingerprinting.in_order(frame).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) < 100
+    assert sorted(r["doc_id"] for r in fingerprints(frame).collect()) == sorted(r["doc_id"] for r in frame.collect())
+
+
 def test_fingerprints_of_odd_rows(spark, odd, empty):
     got = fingerprints(odd).collect()
     assert len(got) == odd.count() and all(0 <= r["near_next"] <= 1 for r in got)
@@ -97,7 +146,7 @@ def test_fingerprints_of_odd_rows(spark, odd, empty):
 
 
 def test_likeness_skips_parts_that_neither_has():
-    make = Fingerprinter([f"t{i:04}" for i in range(400)])
+    make = Fingerprinter(np.sort(np.array([fingerprinting.term_hash(f"t{i:04}") for i in range(400)])))
     a = " ".join(f"t{i:04}" for i in range(0, 120))
     assert likeness(make(a), make(a)) == 1.0 and make("!!!") != make("???")
     assert likeness(make(a), make(a + " t0300")) > 0.5 > likeness(make(a), make(" ".join(f"t{i:04}" for i in range(200, 320))))
