@@ -3,11 +3,16 @@
 Pre-tokens of a batch lie end to end in one numpy array. In each round every pre-token finds its lowest-rank adjacent
 pair and all pre-tokens merge theirs at once; the symbols that survive are the tokens. A pre-token starts at a word
 mark (U+2581) or a line break: no piece of the vocabulary crosses either, which is checked when the model is read.
+
+Where a merge may open a better one, a pre-token merges one pair a round, so that rounds grow with its length. Those of
+more than LONG letters (unbroken scripts, base64) go by a heap of their pairs instead, in the same order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -18,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 MARK = "▁"
-#: Counts of so many different pre-tokens are kept in a worker; then it starts anew. This bounds memory, not results.
-CACHE_ENTRIES = 800_000
+#: Counts of so many different pre-tokens of at most LONG letters are kept in a worker; then it starts anew. This bounds memory, not results.
+CACHE_ENTRIES, LONG = 800_000, 128
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -98,6 +103,37 @@ class PieceVocabulary:
             symbol, owner = symbol[open_], owner[open_]
         return tokens, lone
 
+    @cached_property
+    def merges(self) -> dict[int, tuple[int, int]]:
+        return dict(zip(self.keys.tolist(), zip(self.rank.tolist(), self.merged.tolist())))
+
+    def count_long(self, word: str) -> tuple[int, bool]:
+        """(tokens, whether the first is a lone word mark) of one word: pairs by rank, then from the left, from a heap."""
+        symbol = [self.chars.get(c, -len(c.encode())) for c in word]
+        n, size, merges = len(symbol), self.size, self.merges
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+
+        def found(left: int, right: int) -> tuple[int, int] | None:
+            return merges.get(left * size + right) if left >= 0 and right >= 0 else None
+
+        heap = [(pair[0] << 40) + i for i in range(n - 1) if (pair := found(symbol[i], symbol[i + 1]))]
+        heapify(heap)
+        gone = bytearray(n)
+        while heap:
+            top = heappop(heap)
+            i, rank = top & (1 << 40) - 1, top >> 40
+            if gone[i] or (j := after[i]) == n or (pair := found(symbol[i], symbol[j])) is None or pair[0] != rank:
+                continue  # one of the two has merged since
+            symbol[i], gone[j], k = pair[1], 1, after[j]
+            after[i] = k
+            if k < n:
+                before[k] = i
+                if right := found(symbol[i], symbol[k]):
+                    heappush(heap, (right[0] << 40) + i)
+            if (h := before[i]) >= 0 and (left := found(symbol[h], symbol[i])):
+                heappush(heap, (left[0] << 40) + h)
+        return sum(-s if s < 0 else 1 for s, dead in zip(symbol, gone) if not dead), symbol[0] == self.chars.get(MARK, -3)
+
     def run(self, marks: int) -> int:
         """Tokens of a run of word marks: their pieces score lowest of all and alike, so that the leftmost pair merges first."""
         stack: list[int] = []
@@ -120,16 +156,26 @@ class TokenCounter:
         if len(self.seen) + len(words) > self.entries:
             self.seen, self.lone = {}, set()
         fresh = [w for w in words if w and w not in self.seen]
+        long = [w for w in fresh if len(w) > LONG and not self.vocabulary.at_once]
+        fresh = [w for w in fresh if len(w) <= LONG or self.vocabulary.at_once]
         if fresh:  # a word after a line break has no mark; the break itself is one byte token
             tokens, lone = self.vocabulary.count([w if w[0] == "\n" else MARK + w for w in fresh])
             self.seen.update(zip(fresh, tokens.tolist()))
             self.lone.update(w for w, x in zip(fresh, lone.tolist()) if x)
+        for w in long:
+            self.seen[w], lone_mark = self.vocabulary.count_long(w if w[0] == "\n" else MARK + w)
+            if lone_mark:
+                self.lone.add(w)
 
     def counts(self, texts: list[str | None]) -> list[int]:
         split = [t.replace(MARK, " ").replace("\n", " \n").split(" ") if t else [] for t in texts]
         words = set(chain.from_iterable(split))
         self.learn(words)
-        return [self.spaced(x) if "" in x else sum(map(self.seen.__getitem__, x)) for x in split]
+        out = [self.spaced(x) if "" in x else sum(map(self.seen.__getitem__, x)) for x in split]
+        for w in [w for w in words if len(w) > LONG]:
+            del self.seen[w]
+            self.lone.discard(w)
+        return out
 
     def spaced(self, words: list[str]) -> int:
         """With runs of spaces: the last mark of a run belongs to the next word if that word took it."""
@@ -159,7 +205,8 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     """A row per row of docs: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
     model_path: a sentencepiece BPE model with identity normalisation, on every executor. A null or empty text has no
-    bytes and no tokens. Ids may be null or repeat; each row is counted by itself. Other columns are not read.
+    bytes and no tokens; a text of any length is counted whole. Ids may be null or repeat; each row is counted by itself.
+    An empty table gives no rows. Other columns are not read.
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

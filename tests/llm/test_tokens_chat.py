@@ -1,5 +1,7 @@
+import base64
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -24,6 +26,23 @@ def test_counts_equal_the_librarys():
     assert [small.counts([t])[0] for t in texts] == want
 
 
+def test_long_words_equal_the_librarys():
+    """Unbroken texts of a megabyte in seconds, and both ways of merging on words of every length."""
+    import sentencepiece
+
+    r = random.Random(8)
+    library, vocabulary = sentencepiece.SentencePieceProcessor(model_file=PIECES), PieceVocabulary.load(PIECES)
+    texts = ["".join(r.choice("aeiounrstl") for _ in range(n)) for n in (127, 128, 129, 1000, 60_000)]
+    texts += [base64.b64encode(r.randbytes(750_000)).decode(), "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(300_000)), "  " + "the" * 400 + "\n" + "ing" * 300 + " x", "\n" * 300 + "=" * 4000, "a" * 200 + " " * 200 + "b" * 200]
+    counter = TokenCounter(vocabulary)
+    began = time.monotonic()
+    assert counter.counts(texts) == [len(x) for x in library.encode(texts)]
+    assert time.monotonic() - began < 60 and max(map(len, counter.seen)) <= 128
+    words = ["▁" + "".join(r.choice("abthein g中é<").replace(" ", "") for _ in range(r.randint(1, 120))) for _ in range(400)]
+    tokens, lone = vocabulary.count(words)
+    assert [vocabulary.count_long(w) for w in words] == list(zip(tokens.tolist(), lone.tolist()))
+
+
 def test_merges_at_once_equal_one_by_one():
     pieces, scores = ["a", "b", "c", "▁", "ab", "aa", "abc", "▁a"], [-9, -9, -9, -9, -1, -2, -3, -4]
     vocabulary = PieceVocabulary(pieces, scores)
