@@ -151,7 +151,10 @@ def format_chats(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def chat_digests(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_tokens, all read back from the output."""
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_tokens, all read back from the output.
+
+    Nulls, ties, repeated rows, empty tables and other columns as for format_chats.
+    """
     return _formatted(conversations, tokenizer_path, "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long", _digest)
 
 

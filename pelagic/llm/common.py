@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Lowers the session's Arrow batch size to ``rows`` (never raises it)."""
+    """Lowers the session's Arrow batch size to ``rows`` (never raises it), for good: results are planned when they are used."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where that is unset."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if not found:
-        found = tempfile.mkdtemp(prefix="spark-shared-")
+        found = f"{spark.conf.get('spark.sql.warehouse.dir')}/shared-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
@@ -39,6 +39,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, prefix: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with those columns renamed that begin with an operator's own prefix, and the names to give back."""
+    taken = {c.lower() for c in docs.columns}
+    free = (name for name in (f"kept_{k}" for k in count()) if name not in taken)
+    away = {c: next(free) for c in docs.columns if c.lower().startswith(prefix)}
+    return docs.withColumnsRenamed(away), {new: old for old, new in away.items()}
+
+
 def unit_draw(*parts: Column) -> Column:
     """A reproducible uniform number in [0, 1) from 52 bits of the md5 of the parts, joined by '|' (null: empty)."""
     key = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])

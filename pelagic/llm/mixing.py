@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import unit_draw
+from .common import set_aside, unit_draw
 
 #: A draw with a larger mean is the sum of several with at most this mean: exp(-mean) stays exact.
 MEAN_PER_DRAW = 16.0
@@ -56,9 +56,10 @@ def mix_sources(
     copy_col: adds the copy's number (from 1) under this name, in place of a column of that name.
 
     Null sources are one source of their own. A null id counts as an empty one; rows with equal ids get equal counts.
-    An empty table gives an empty table. All other columns, null or not, are carried along untouched.
+    An empty table gives an empty table. All other columns, null or not, are carried along untouched, whatever their names.
     """
-    own = [c for c in docs.columns if c != copy_col]
+    docs, names = set_aside(docs.drop(copy_col) if copy_col else docs, "__mix_")
+    own = docs.columns
     rates, n_sources = source_rates(docs, weights, epochs, temperature, source_col)
     draws = F.greatest(F.lit(1), F.ceil(F.col("__mix_rate") / F.lit(MEAN_PER_DRAW))).cast("int")
     rates = rates.withColumn("__mix_draws", draws).withColumn("__mix_mean", F.col("__mix_rate") / F.col("__mix_draws"))
@@ -98,4 +99,4 @@ def mix_sources(
         .withColumn("__mix_key", F.xxhash64(F.lit(seed), F.col(id_col), F.col("__mix_copy"), F.lit("order")))
     )
     shuffled = copied.repartition("__mix_key").sortWithinPartitions("__mix_key")
-    return shuffled.select(*own, *([F.col("__mix_copy").alias(copy_col)] if copy_col else []))
+    return shuffled.select(*own, *([F.col("__mix_copy").alias(copy_col)] if copy_col else [])).withColumnsRenamed(names)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, set_aside
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, linear in Java: runs are possessive, and an attempt starts only where a run can start. The lookahead
@@ -177,7 +177,7 @@ def personal_data(docs: DataFrame, **limits) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (base and discovered ones), n_found, for every row of docs.
 
     docs needs doc_id and text; other columns are not read. A null or empty text has no spans. Rows equal in doc_id and
-    text get equal results; a null doc_id is kept. An empty table gives no rows. Offsets are code points, ends exclusive.
+    text get equal results; a null doc_id is kept; a text of any length is read whole. An empty table gives no rows. Offsets are code points, ends exclusive.
     """
     base = base_spans(docs)
     more = _per_text(find_unseen(base, **limits))
@@ -195,8 +195,10 @@ def _is_kind(number: int):
 def redact(docs: DataFrame, **limits) -> DataFrame:
     """docs with every base and discovered span of text replaced by [KIND]; n_chars, if there, follows. Other columns stay.
 
-    Overlapping spans become one, named after the first. A null text stays null.
+    Overlapping spans become one, named after the first. A null text stays null, an empty one empty; a text of any length
+    is read whole; rows equal in doc_id and text stay equal. Columns may have any names. An empty table stays empty.
     """
+    docs, names = set_aside(docs, "__p_")
     more = _per_text(find_unseen(base_spans(docs), **limits))
     d = _with_base(docs).join(more, F.col("doc_id").eqNullSafe(F.col("__p_id")) & (F.col("__p_hash") == F.col("__p_key")), "left")
     base = F.transform("__p_base", lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
@@ -212,4 +214,4 @@ def redact(docs: DataFrame, **limits) -> DataFrame:
     )
     d = d.withColumn("__p_new", F.when(text.isNull() | (F.size("__p_all") == 0), text).otherwise(cut))
     out = {"text": F.col("__p_new")} | ({"n_chars": F.when(F.size("__p_all") > 0, F.length("__p_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return d.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
+    return d.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns]).withColumnsRenamed(names)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classifiers import labelled_sample
-from .common import materialize
+from .common import materialize, set_aside
 
 #: Bound of the labelled sample.
 SAMPLE_ROWS = 20_000
@@ -177,8 +177,8 @@ def rule_number(rules: list[tuple[Literal, ...]]) -> Column:
 def judge_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """docs with __q_ columns: statistics, __q_base_failed, __q_rule (0: none) and __q_kept.
 
-    docs needs doc_id and text; other columns are carried along. A null or empty text has no words and fails. Documents
-    are judged by their texts alone, so that equal texts get equal verdicts. An empty table gives an empty one.
+    docs needs doc_id and text; other columns are carried along, but for those that begin with __q_. A null or empty text
+    has no words and fails; a text of any length is judged whole. Documents are judged by their texts alone, so that equal texts get equal verdicts. An empty table gives an empty one.
     """
     judged = with_statistics(docs).withColumn("__q_rule", rule_number(learn_rules(docs, labels, rows)))
     # always true, but not deterministic to the optimizer: else a later filter on the verdict would be pushed below the
@@ -188,11 +188,19 @@ def judge_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, rule for every row of docs."""
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, rule for every row of docs.
+
+    Null ids and repeated rows each have their row; texts as for judge_documents; other columns are not read.
+    """
     names = {"words_n": "n_words", "word_chars": "word_chars", "symbols": "n_symbols", "dup_lines": "n_dup_lines", "repeat_words": "n_repeat_words", "base_failed": "base_failed", "kept": "kept", "rule": "rule"}
     return judge_documents(docs.select("doc_id", "text"), labels, rows).select("doc_id", *[F.col(f"__q_{k}").alias(v) for k, v in names.items()])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of docs that neither the base limits nor a rule rejects, with the columns of docs."""
-    return judge_documents(docs, labels, rows).where("__q_kept").select(*docs.columns)
+    """The rows of docs that neither the base limits nor a rule rejects, with the columns of docs, whatever their names.
+
+    A null or empty text fails; a text of any length is judged whole; rows with equal texts stay or go together. An empty
+    table stays empty, and without labels only the base limits reject.
+    """
+    safe, names = set_aside(docs, "__q_")
+    return judge_documents(safe, labels, rows).where("__q_kept").select(*safe.columns).withColumnsRenamed(names)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import chat_digests
@@ -20,6 +19,12 @@ from .token_counts import token_counts
 from .toxicity import toxicity_scores
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,7 +45,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "<|im_end|><|im_start|>assistant ok"
     added = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], rows.schema)
-    return chat_digests(rows.unionByName(added), public_tokenizers.path("byte_bpe_50k.json")).drop("n_tokens")
+    return chat_digests(rows.unionByName(added), _tokenizer("byte_bpe_50k.json")).drop("n_tokens")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,11 +53,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,17 @@
 import hashlib
+import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
 from pelagic.llm import fingerprints as fingerprinting
+from pelagic.llm import personal_data as pd
 from pelagic.llm.fingerprints import Fingerprinter, fingerprints, likeness
 from pelagic.llm.personal_data import personal_data, redact
 
@@ -57,6 +60,68 @@ UNSEEN = [
 SEED = {"email": "mail{0}@host.org", "ip": "10.0.0.{0}", "card": "4111 1111 1111 1111", "phone": "+1 (555) 555-{1}"}
 
 
+def plain_discovery(rows):
+    """Spans beyond the base ones, with dictionaries for the graph."""
+    low, seen = pd.CONTEXT, []
+    for i, text in rows:
+        base = [(int(s), list(BASE).index(k), int(e)) for k, s, e in (x.split(":") for x in plain_spans(text).split(",") if x)]
+        spans = list(base)
+        for m in regex.finditer(pd.CANDIDATE, text) if regex.search(pd.CANDIDATE_HINT, text) else ():
+            kept = m[0].rstrip(" .!?)")
+            value = kept if kept.endswith("::") and regex.search(pd.SHAPES["ip"], kept) else m[0].rstrip(" .:!?)")
+            if value and not any(s < m.end() and m.start() < e for s, _, e in base):
+                spans.append((m.start(), -1, m.start() + len(value)))
+        for s, kind, e in spans:
+            left, right = (regex.sub(r"[^\p{L}\p{N}:=#]+", " ", x.lower()).split() for x in (text[max(0, s - low) : s], text[e : e + low]))
+            patterns = [f"<1 {left[-1]}"] if left else []
+            patterns += [f"<2 {left[-2]} {left[-1]}"] if len(left) > 1 else []
+            patterns += [f"<> {left[-1]} _ {right[0]}"] if left and right else []
+            seen.append((i, s, e, kind, text[s:e].lower(), patterns))
+    edges = {}
+    for *_, kind, value, patterns in seen:
+        for p in patterns:
+            edges[p, value] = max(kind, edges.get((p, value), -1))
+    seeds = {(v, k): 1.0 for (_, v), k in edges.items() if k >= 0}
+    scores, found = dict(seeds), {}
+    for _ in range(pd.ROUNDS):
+        votes, size = defaultdict(float), Counter(p for p, _ in edges)
+        for p, v in edges:
+            for (w, k), score in scores.items():
+                if w == v:
+                    votes[p, k] += score
+        sure = {(p, k): x / (size[p] + 1) for (p, k), x in votes.items() if x >= pd.MIN_SEEDS and x / (size[p] + 1) >= pd.MIN_SHARE}
+        miss = defaultdict(float)
+        for (p, v), kind in edges.items():
+            for number, name in enumerate(pd.KINDS):
+                if kind < 0 and (p, number) in sure and regex.search(pd.SHAPES[name], v):
+                    miss[v, number] += math.log1p(-min(sure[p, number], 0.999))
+        found = {}
+        for (v, k), x in miss.items():
+            found[v] = max(found.get(v, (-1.0, 0)), (1 - math.exp(x), -k))
+        scores = seeds | {(v, -k): x for v, (x, k) in found.items()}
+    good = {v: -k for v, (x, k) in found.items() if x >= pd.MIN_SCORE}
+    return {(i, s, e, good[v]) for i, s, e, kind, v, _ in seen if kind < 0 and v in good}
+
+
+def test_discovery_against_plain_python(spark):
+    r = random.Random(11)
+    heads, tails = ["call us at", "Phone:", "mail to", "server", "card no", "see", "order #"], ["thanks", "today.", "now", "please", ""]
+    values = ["+1 (555) 555-{0}", "555 867 {0}", "me{0}@host.org", "me{0}(at)host.org", "10.0.{1}.7", "fe80::{1}:1a2b", "{0} {0}", "nothing"]
+    rows = []
+    for i in range(400):
+        parts = []
+        for _ in range(r.randint(1, 3)):
+            k = r.randrange(len(heads))
+            value = values[(2 * k + r.choice([0, 0, 0, 1])) % len(values)]
+            parts.append(f"{heads[k]} {value.format(r.randint(1000, 1040), r.randint(1, 60))} {r.choice(tails)}")
+        rows.append((i, " and ".join(parts)))
+    want = plain_discovery(rows)
+    got = personal_data(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    texts = dict(rows)
+    extra = {(x["doc_id"], int(s), int(e), pd.KINDS.index(k)) for x in got for k, s, e in (y.split(":") for y in set(x["spans"].split(",")) - set(plain_spans(texts[x["doc_id"]]).split(",")) if y)}
+    assert len(want) > 20 and extra == want
+
+
 def test_every_shape_is_discovered_in_a_learned_context(spark):
     rows, cards = [], [d for d in map(str, range(4111111111110000, 4111111111110600)) if luhn(d)]
     for kind in SEED:
