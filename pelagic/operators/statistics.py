@@ -16,15 +16,15 @@ def exact_percentiles(frame: DataFrame, keys: tuple[str, ...], value: str, at: l
     by, near, small = ["__all", *keys], 0.002, F.count(F.lit(1)) < 2000
     low, high = ([F.when(small, end("__v")).otherwise(F.percentile_approx("__v", min(1.0, max(0.0, p + s)), accuracy)) for p in at] for s, end in ((-near, F.min), (near, F.max)))
     wanted = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("p"), a.alias("low"), b.alias("high")) for k, (p, a, b) in enumerate(zip(at, low, high))])
-    brackets = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), wanted.alias("w")).select(*by, "n", F.explode("w").alias("w")).select(*by, "n", "w.*")
+    brackets = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), wanted.alias("__w")).select(*by, "n", F.explode("__w").alias("__w")).withColumn("__k", F.col("__w.k"))
     met = d.join(brackets, by)
-    below = met.groupBy(*by, "k").agg(F.count_if(F.col("__v") < F.col("low")).alias("below"))
-    rank = F.row_number().over(Window.partitionBy(*by, "k").orderBy("__v"))
-    within = met.where(F.col("__v").between(F.col("low"), F.col("high"))).withColumn("rank", rank).join(below, [*by, "k"])
-    place = F.col("p") * (F.col("n") - 1)
-    share = F.when(F.col("rank") + F.col("below") - 1 == F.floor(place), 1 - (place - F.floor(place))).when(F.col("rank") + F.col("below") - 1 == F.floor(place) + 1, place - F.floor(place))
-    one = within.withColumn("share", share).where("share IS NOT NULL").groupBy(*by, "n", "k").agg(F.sum(F.col("share") * F.col("__v")).alias("v"))
-    return one.groupBy(*by, "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("q")).drop("__all")
+    below = met.groupBy(*by, "__k").agg(F.count_if(F.col("__v") < F.col("__w.low")).alias("__below"))
+    rank = F.row_number().over(Window.partitionBy(*by, "__k").orderBy("__v"))
+    within = met.where(F.col("__v").between(F.col("__w.low"), F.col("__w.high"))).withColumn("__rank", rank).join(below, [*by, "__k"])
+    place, at_ = F.col("__w.p") * (F.col("n") - 1), F.col("__rank") + F.col("__below") - 1
+    share = F.when(at_ == F.floor(place), 1 - (place - F.floor(place))).when(at_ == F.floor(place) + 1, place - F.floor(place))
+    one = within.withColumn("__share", share).where("__share IS NOT NULL").groupBy(*by, "n", "__k").agg(F.sum(F.col("__share") * F.col("__v")).alias("__v"))
+    return one.groupBy(*by, "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("__k", "__v"))), lambda x: x["__v"]).alias("q")).drop("__all")
 
 
 def moments(frame: DataFrame, keys: tuple[str, ...], value: str = "val") -> DataFrame:

@@ -143,9 +143,71 @@ def test_unknown_tiles_sources_and_ranges(spark):
 
 
 def test_batches_pad_and_mark_absent_samples(spark):
-    rows = [(0, "v", True, 2, 2, [1.0, 2.0, 3.0, 4.0]), (1, "v", False, 1, 3, [5.0, 6.0, 7.0])]
-    got = p.collate(spark.createDataFrame(rows, "query_id long, variable string, present boolean, h int, w int, data array<float>"), 2).first()
-    assert got["data"] == [[1.0, 2.0, 0.0, 3.0, 4.0, 0.0], [5.0, 6.0, 7.0, 0.0, 0.0, 0.0]] and got["present"] == [True, False]
+    rows = [(3, "v", True, 2, 2, [1.0, 2.0, 3.0, 4.0]), (8, "v", False, 1, 3, [5.0, 6.0, 7.0]), (40, "v", True, 1, 1, [9.0])]
+    frame = spark.createDataFrame(rows, "query_id long, variable string, present boolean, h int, w int, data array<float>")
+    got = {r["batch"]: r for r in p.collate(frame, 2, lambda x: x.persist()).collect()}
+    assert got[0]["data"] == [[1.0, 2.0, 0.0, 3.0, 4.0, 0.0], [5.0, 6.0, 7.0, 0.0, 0.0, 0.0]] and got[0]["present"] == [True, False]
+    assert (got[1]["query_ids"], got[1]["data"]) == ([40], [[9.0]])
+
+
+def test_numbers_follow_the_order_of_ids(spark):
+    ids = [k * 7 % 1009 for k in range(1000)]
+    got = p.numbered(spark.createDataFrame([(k,) for k in ids for _ in range(2)], "id long"), "id", lambda x: x.persist()).collect()
+    assert sorted((r["id"], r["number"]) for r in got) == [(k, n) for n, k in enumerate(sorted(ids))]
+
+
+@pytest.mark.parametrize("n", [1, 2, 9, 2500])
+def test_exact_percentiles(spark, n):
+    r = np.random.default_rng(n)
+    values = {k: np.round(r.normal(size=n), 2) for k in ("a", "b")}
+    rows = [(k, float(v)) for k, own in values.items() for v in own] + [("a", None), ("b", float("nan")), ("c", None)]
+    at = [0.0, 0.02, 0.5, 0.95, 1.0]
+    got = {x["k"]: x for x in st.exact_percentiles(spark.createDataFrame(rows, "k string, v double"), ("k",), "v", at).collect()}
+    assert set(got) == {"a", "b"} and all(got[k]["n"] == n and np.allclose(got[k]["q"], np.quantile(values[k], at)) for k in got)
+
+
+def test_coarse_grids_warn(spark):
+    d = spark.createDataFrame([(1, 1, DAY, 0.5, 0.5, 1.0)], "obs_id long, track_id long, obs_date date, lon double, lat double, val double")
+    with pytest.warns(UserWarning, match="coarser"):
+        assert g.grid_each_track(d, 1.0, 2.0).count() == 1
+    assert g.grid_each_track(d, 0.01, 2.0).count() == 1
+
+
+def test_upserts_of_two_batches_keep_both(spark, tmp_path):
+    schema = "file_id long, source_id int, obs_date date, n_bytes long"
+    for k, rows in enumerate(([(1, 0, DAY, 5), (2, 0, DAY, 6), (3, 1, DAY, 7)], [(2, 0, DAY, 60), (4, 0, DAY, 8)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+        jobs.upsert_batches(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    got = spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()
+    assert sorted((r["file_id"], r["n_bytes"]) for r in got) == [(1, 5), (2, 60), (3, 7), (4, 8)]
+
+
+def test_updates_of_a_stream_end_at_the_last(spark, tmp_path):
+    for k in range(3):
+        spark.createDataFrame([(k % 2, 10 * k)], "k int, v int").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stream = spark.readStream.schema("k int, v int").option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in").groupBy("k").agg(F.sum("v").alias("v"))
+    got = jobs.run_available(stream, "updates", "update", f"{tmp_path}/checkpoint", ("k",)).collect()
+    assert sorted(map(tuple, got)) == [(0, 20), (1, 10)]
+
+
+def test_geometry_falls_back_to_the_centroid(spark):
+    rows = [("POLYGON((1 2, 3 2, 3 -4.5, 1 2))", "POINT(9 9)"), ("None", "POINT(-7.25 8)"), ("", None), (None, "none"), ("MULTILINESTRING((0 1, 2 3),(4 5, 6 1e1))", "")]
+    got = b.bounding_boxes(spark.createDataFrame(rows, "footprint string, centroid string")).collect()
+    assert [tuple(r)[2:] for r in got] == [(1.0, 3.0, -4.5, 2.0), (-7.25, -7.25, 8.0, 8.0), (None,) * 4, (None,) * 4, (0.0, 6.0, 1.0, 10.0)]
+
+
+def test_mask_of_a_triangle(spark):
+    """Against a test of every cell's centre."""
+    xy = [(-10.0, -10.0), (10.3, -9.0), (0.4, 12.2)]
+    edges = spark.createDataFrame([(*xy[k], *xy[(k + 1) % 3]) for k in range(3)], "x1 double, y1 double, x2 double, y2 double")
+    grid = spark.range(1440 * 720).select(F.floor(F.col("id") / 1440).cast("int").alias("row"), (F.col("id") % 1440).cast("int").alias("col"))
+    got = b.mask_from_edges(edges, grid).where("is_land").select("row", "col").collect()
+    lon, lat = np.meshgrid(-180 + (np.arange(1440) + 0.5) * 0.25, -90 + (np.arange(720) + 0.5) * 0.25)
+    inside = np.zeros(lon.shape, bool)
+    for (x1, y1), (x2, y2) in zip(xy, xy[1:] + xy[:1]):
+        inside ^= ((y1 > lat) != (y2 > lat)) & (lon < x1 + (lat - y1) * (x2 - x1) / (y2 - y1))
+    assert {(r["row"], r["col"]) for r in got} == set(zip(*map(np.ndarray.tolist, np.nonzero(inside))))
 
 
 def test_upsert_and_tile_overwrite(spark, tmp_path):
