@@ -53,14 +53,17 @@ def land_prefix_sums(mask: DataFrame) -> DataFrame:
     return sums.groupBy("i").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "land"))), lambda x: x["land"]).alias("land"))
 
 
-def land_fraction(boxes: DataFrame, sums: DataFrame) -> DataFrame:
-    """Share of land cells in each box's index window; 0 for an empty window. The mask's 720 rows of 1440 are broadcast."""
+def index_window() -> dict[str, Column]:
+    """Columns (w, e) and rows (s, n) of the mask that a box covers: first, and one past the last, within the mask."""
     def index(c: str, low: float, n: int, extra: int) -> Column:
         return F.greatest(F.lit(0), F.least(F.lit(n), F.floor((F.col(c) - low) / MASK_STEP).cast("int") + extra))
 
-    d = boxes.withColumns({
-        "__w": index("lon_min", -180.0, 1440, 0), "__e": index("lon_max", -180.0, 1440, 1), "__s": index("lat_min", -90.0, 720, 0), "__n": index("lat_max", -90.0, 720, 1),
-    })
+    return {"w": index("lon_min", -180.0, 1440, 0), "e": index("lon_max", -180.0, 1440, 1), "s": index("lat_min", -90.0, 720, 0), "n": index("lat_max", -90.0, 720, 1)}
+
+
+def land_fraction(boxes: DataFrame, sums: DataFrame) -> DataFrame:
+    """Share of land cells in each box's index window; 0 for an empty window. The mask's 720 rows of 1440 are broadcast."""
+    d = boxes.withColumns({f"__{side}": index for side, index in index_window().items()})
     for side in ("n", "s"):
         d = d.join(F.broadcast(sums.select((F.col("i") + 1).alias(f"__{side}"), F.col("land").alias(f"__land_{side}"))), f"__{side}", "left")
 

@@ -104,8 +104,13 @@ def duplicate_report(tiles: DataFrame, keys: list[str]) -> DataFrame:
     return tiles.join(n, keys)
 
 
+def first_rows(frame: DataFrame, n: int, order: list) -> DataFrame:
+    """The first n rows in an explicit order."""
+    return frame.orderBy(*order).limit(n)
+
+
 def top_collisions(tiles: DataFrame, keys: list[str], most: int = 20) -> DataFrame:
-    return tiles.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), *keys).limit(most)
+    return tiles.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").transform(first_rows, most, [F.desc("n"), *keys])
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -128,8 +133,10 @@ def inventory_summary(tiles: DataFrame) -> DataFrame:
 
 
 def hierarchy(tiles: DataFrame, n_regions: int = 8) -> DataFrame:
-    """Every date with all its regions, empty ones too, and their sorted files."""
-    days = tiles.select("obs_date").distinct().withColumn("region_id", F.explode(F.sequence(F.lit(0), F.lit(n_regions - 1))))
+    """Every date with all its regions, empty ones too, their sorted files, the day's first and last second, and the range of all dates."""
+    ends = tiles.agg(F.min("obs_date").alias("first_date"), F.max("obs_date").alias("last_date"))
+    start = F.unix_seconds(F.col("obs_date").cast("timestamp"))
+    days = tiles.select("obs_date").distinct().crossJoin(F.broadcast(ends)).withColumns({"day_start": start, "day_end": start + 86399}).withColumn("region_id", F.explode(F.sequence(F.lit(0), F.lit(n_regions - 1))))
     files = tiles.groupBy("obs_date", "region_id").agg(F.sort_array(F.collect_list("file_id")).alias("files"))
     return days.join(files, ["obs_date", "region_id"], "left").withColumn("files", F.coalesce("files", F.array().cast("array<bigint>")))
 

@@ -85,6 +85,11 @@ def assemble(boxes: DataFrame, variables: DataFrame, cells: DataFrame, size: int
     )
 
 
+def stepped_coordinates(low: Column, high: Column, step: float) -> Column:
+    """Coordinates from low, a step apart, below high plus half a step."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((high - low + step / 2) / step - 1e-9).cast("int") - 1)), lambda k: low + k * step)
+
+
 def sample_cells(boxes: DataFrame, cells: DataFrame, tiles: DataFrame, sources: DataFrame, regions: DataFrame, offsets: dict[str, float], native: int, size: int) -> DataFrame:
     """(query_id, variable, i, j, value, n): the patches of all queries, from tiles to the target grid, in one plan.
 

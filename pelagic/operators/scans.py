@@ -111,9 +111,22 @@ def chosen_level(profiles: DataFrame, level_of: DataFrame) -> DataFrame:
     return d.where(F.col("level_idx") == F.coalesce("__want", F.lit(0))).drop("__want")
 
 
-def format_product(cells: DataFrame, variables: list[str], step: float = 10.0) -> DataFrame:
-    """A gridded product from raw rows: wanted variables, normal longitudes, Celsius, regions."""
-    d = cells.where(F.col("variable").isin(variables)).withColumn("lon", lon_to_180(F.col("lon")))
+def whitelisted(cells: DataFrame, variables: list[str]) -> DataFrame:
+    """The rows of wanted variables."""
+    return cells.where(F.col("variable").isin(variables))
+
+
+def format_product(cells: DataFrame, variables: list[str], level_of: DataFrame | None = None) -> DataFrame:
+    """A gridded product from raw rows: first time step of a day, wanted variables and levels, normal longitudes, Celsius, regions.
+
+    Where there is no obs_time, a day has one time step; levels are chosen where level_of is given.
+    """
+    if "obs_time" in cells.columns:
+        first = cells.groupBy("variable", "obs_date").agg(F.min("obs_time").alias("obs_time"))
+        cells = cells.join(first, ["variable", "obs_date", "obs_time"], "left_semi")
+    if level_of is not None:
+        cells = chosen_level(cells, level_of)
+    d = whitelisted(cells, variables).withColumn("lon", lon_to_180(F.col("lon")))
     d = kelvin_to_celsius(d, ("variable", "obs_date"), "val", "variable")
     return d.withColumn("region_id", region_id(F.col("lon"), F.col("lat"))).where(F.col("region_id").isNotNull())
 
@@ -125,6 +138,20 @@ def tracks_touching(points: DataFrame, regions: DataFrame, keys: tuple[str, ...]
     return extent.join(F.broadcast(regions), meets).select(*keys, "region_id")
 
 
+def swath_lines(points: DataFrame, inside: Column, swath: str = "track_id", line: str = "obs_id", value: str = "val") -> DataFrame:
+    """The unbroken lines of each swath from its first to its last hit of a box, whole, with NULL outside the box."""
+    span = points.where(inside).groupBy(swath).agg(F.min(line).alias("__low"), F.max(line).alias("__high"))
+    d = points.join(span, swath).where(F.col(line).between(F.col("__low"), F.col("__high")))
+    return d.withColumn(value, F.when(inside, F.col(value))).drop("__low", "__high")
+
+
+def with_pass(files: DataFrame, source: str = "source", path: str = "path") -> DataFrame:
+    """Files of a source with passes as two sources, the pass recorded; those without a pass keep their source."""
+    way = pass_of(F.col(path))
+    short = F.when(way == "ascending", "_asc").when(way == "descending", "_desc").otherwise("")
+    return files.withColumns({"satellite_pass": way, source: F.concat(F.col(source), short)})
+
+
 def pass_of(path: Column) -> Column:
     """ascending or descending, from the path of a pass file."""
     return F.when(path.contains("smos-asc"), "ascending").when(path.contains("smos-des"), "descending")
@@ -147,6 +174,16 @@ def sample_id(source: Column, region: Column, date: Column) -> Column:
     return F.concat_ws("_", source, region, F.date_format(date, "yyyyMMdd"))
 
 
+def sample_name(source: Column, variable: Column, path: Column) -> Column:
+    """A sample's name: its source, but the variable for all-physics files of the model, and the pass for salinity swaths."""
+    swath = F.when(F.contains(F.lower(path), F.lit("asc")), "l3_sss_asc").otherwise("l3_sss_desc")
+    return F.when(source == "glorys_all_phys", F.concat(F.lit("glorys_"), variable)).when(source.isin("l3_sss_smos_asc", "l3_sss_smos_desc"), swath).otherwise(source)
+
+
+def modality(source: Column) -> Column:
+    return F.when(source == "glorys", "model").when(source == "argo", "in_situ").otherwise("satellite")
+
+
 def with_pixel_counts(frame: DataFrame, x: str, y: str, low: float, high: float, bins: int) -> DataFrame:
     """Counts of pairs on square bins, with their logarithm."""
     def at(c: str) -> Column:

@@ -8,6 +8,7 @@ from ..dims import region_boxes
 from ..fixtures import land_mask, view
 from ..functions.geo import BBox, box_iou, clip_to_box, in_box, patch_degrees
 from ..operators import boxes as b
+from ..operators import scans as sc
 from .common import Registry, rounded, written
 
 R = Registry()
@@ -38,7 +39,7 @@ R.add(
 )
 R.add(
     "f6_swath_lines_in_box",
-    lambda s, d: (lambda o: o.join(o.where(in_box(F.col("lon"), F.col("lat"), _BOX)).groupBy("track_id").agg(F.min("obs_id").alias("lo"), F.max("obs_id").alias("hi")), "track_id").where("obs_id BETWEEN lo AND hi").select("track_id", "obs_id", F.when(in_box(F.col("lon"), F.col("lat"), _BOX), F.col("val")).alias("val")))(view(s, d, "obs")),
+    lambda s, d: sc.swath_lines(view(s, d, "obs"), in_box(F.col("lon"), F.col("lat"), _BOX)).select("track_id", "obs_id", "val"),
     """SELECT o.track_id, obs_id, CASE WHEN lon BETWEEN -80 AND -40 AND lat BETWEEN 10 AND 50 THEN val END AS val FROM obs o JOIN (SELECT track_id, MIN(obs_id) AS lo, MAX(obs_id) AS hi FROM obs WHERE lon BETWEEN -80 AND -40 AND lat BETWEEN 10 AND 50 GROUP BY 1) r
  ON o.track_id = r.track_id AND obs_id BETWEEN lo AND hi""", "obs",
 )

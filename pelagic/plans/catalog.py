@@ -145,8 +145,8 @@ R.add(
     "SELECT source_id, region_id, GROUPING(source_id, region_id) AS level, COUNT(*) AS n, MIN(obs_date) AS first_date, MAX(obs_date) AS last_date, CAST(SUM(n_bytes) AS BIGINT) AS n_bytes FROM tiles GROUP BY GROUPING SETS ((source_id), (region_id), ())", "tiles",
 )
 R.add(
-    "u10_hierarchy", lambda s, d: c.hierarchy(_tiles(s, d)).select("obs_date", "region_id", F.size("files").alias("n_files"), F.array_join("files", ",").alias("files")),
-    """SELECT e.obs_date, e.region_id, CAST(COUNT(file_id) AS INT) AS n_files, COALESCE(STRING_AGG(file_id, ',' ORDER BY file_id), '') AS files FROM (SELECT obs_date, CAST(r AS INT) AS region_id FROM (SELECT DISTINCT obs_date FROM tiles), range(8) AS x(r)) e
+    "u10_hierarchy", lambda s, d: c.hierarchy(_tiles(s, d)).select("obs_date", "region_id", "day_start", "day_end", "first_date", "last_date", F.size("files").alias("n_files"), F.array_join("files", ",").alias("files")),
+    """SELECT e.obs_date, e.region_id, EPOCH(CAST(e.obs_date AS TIMESTAMP))::BIGINT AS day_start, EPOCH(CAST(e.obs_date AS TIMESTAMP))::BIGINT + 86399 AS day_end, (SELECT MIN(obs_date) FROM tiles) AS first_date, (SELECT MAX(obs_date) FROM tiles) AS last_date, CAST(COUNT(file_id) AS INT) AS n_files, COALESCE(STRING_AGG(file_id, ',' ORDER BY file_id), '') AS files FROM (SELECT obs_date, CAST(r AS INT) AS region_id FROM (SELECT DISTINCT obs_date FROM tiles), range(8) AS x(r)) e
  LEFT JOIN tiles t ON t.obs_date = e.obs_date AND t.region_id = e.region_id GROUP BY 1, 2""", "tiles",
 )
 R.add(

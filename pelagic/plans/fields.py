@@ -108,8 +108,8 @@ R.add(
 _LOSS = """SELECT product, obs_date, COUNT(*) AS n_valid, AVG(a) AS mae, SQRT(AVG(e*e)) AS rmse, MAX(a) AS max_abs, QUANTILE_CONT(a, 0.99) AS p99, QUANTILE_CONT(CASE WHEN a > 0 THEN a END, 0.99) AS p99_nonzero, AVG((a > 0)::INT) AS nonzero_share, AVG(e) AS bias,
  MAX(orig)-MIN(orig) AS range_orig, MAX(packed)-MIN(packed) AS range_packed FROM (SELECT *, orig - packed AS e, ABS(orig - packed) AS a FROM packed) GROUP BY 1, 2"""
 R.add(
-    "a34_loss_statistics", lambda s, d: rounded(st.loss_statistics(_packed(s, d), ("product", "obs_date")).drop("nonzero_share", "p99_nonzero"), 8),
-    f"WITH {_PACKED}, loss AS ({_LOSS}) SELECT product, obs_date, n_valid, ROUND(mae, 8) AS mae, ROUND(rmse, 8) AS rmse, ROUND(max_abs, 8) AS max_abs, ROUND(p99, 8) AS p99, ROUND(bias, 8) AS bias, ROUND(range_orig, 8) AS range_orig, ROUND(range_packed, 8) AS range_packed, ROUND(CASE WHEN p99 < rmse AND p99_nonzero > 0 AND nonzero_share < 0.1 THEN p99_nonzero ELSE p99 END, 8) AS p99_reported FROM loss", "cells",
+    "a34_loss_statistics", lambda s, d: rounded(st.loss_statistics(_packed(s, d), ("product", "obs_date")).withColumn("p99_nonzero", F.coalesce("p99_nonzero", F.lit(0.0))), 8),
+    f"WITH {_PACKED}, loss AS ({_LOSS}) SELECT product, obs_date, n_valid, ROUND(mae, 8) AS mae, ROUND(rmse, 8) AS rmse, ROUND(max_abs, 8) AS max_abs, ROUND(p99, 8) AS p99, ROUND(COALESCE(p99_nonzero, 0), 8) AS p99_nonzero, ROUND(nonzero_share, 8) AS nonzero_share, ROUND(bias, 8) AS bias, ROUND(range_orig, 8) AS range_orig, ROUND(range_packed, 8) AS range_packed, ROUND(CASE WHEN p99 < rmse AND p99_nonzero > 0 AND nonzero_share < 0.1 THEN p99_nonzero ELSE p99 END, 8) AS p99_reported FROM loss", "cells",
 )
 
 

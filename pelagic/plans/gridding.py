@@ -58,8 +58,8 @@ R.add(
 for how, sql in (("first", "ARG_MIN(val, obs_date)"), ("last", "ARG_MAX(val, obs_date)"), ("mean", "AVG(val)")):
     R.add(f"a9_temporal_{how}", lambda s, d, how=how: rounded(g.temporal_aggregate(view(s, d, "cells"), how, ("product", "i", "j")), 10), f"SELECT product, i, j, ROUND({sql}, 10) AS value FROM cells WHERE val IS NOT NULL GROUP BY 1,2,3", "cells")
 R.add(
-    "a9_temporal_stack", lambda s, d: g.temporal_aggregate(view(s, d, "cells"), "stack", ("product", "i", "j")).select("product", "i", "j", F.size("value").alias("n_dates"), F.round(F.col("value")[0], 10).alias("first_value")),
-    "SELECT product, i, j, CAST(COUNT(*) AS INT) AS n_dates, ROUND(ARG_MIN(val, obs_date), 10) AS first_value FROM cells WHERE val IS NOT NULL GROUP BY 1,2,3", "cells",
+    "a9_temporal_stack", lambda s, d: rounded(g.temporal_aggregate(view(s, d, "cells"), "stack", ("product", "i", "j")).select("product", "i", "j", F.posexplode("value").alias("place", "value")), 10),
+    "SELECT product, i, j, CAST(ROW_NUMBER() OVER (PARTITION BY product, i, j ORDER BY obs_date) - 1 AS INT) AS place, ROUND(val, 10) AS value FROM cells WHERE val IS NOT NULL", "cells",
 )
 R.add(
     "a10_daily_mean_complete", lambda s, d: rounded(g.daily_mean_complete(g.with_cells(view(s, d, "obs"), 10.0), 24)),

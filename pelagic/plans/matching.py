@@ -34,9 +34,9 @@ def _fields(spark, sf):
 
 
 R.add(
-    "j4_nearest_match", lambda s, d: rounded(m.nearest_match(view(s, d, "obs"), _grid(s, d), -175.0, -85.0, 10.0, 4.0).select("obs_id", "obs_date", "i", "j", "val", "grid_val"), 10),
-    """SELECT obs_id, o.obs_date, o.i, o.j, o.val, ROUND(c.val, 10) AS grid_val FROM (SELECT *, CAST(ROUND((lon+175)/10) AS INT) AS i, CAST(ROUND((lat+85)/10) AS INT) AS j FROM obs) o LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = o.obs_date AND c.i = o.i AND c.j = o.j
- WHERE GREATEST(ABS(lon - (-175 + o.i*10)), ABS(lat - (-85 + o.j*10))) <= 4""", "obs", "cells",
+    "j4_nearest_match", lambda s, d: rounded(m.nearest_match(view(s, d, "obs").withColumn("region_id", region_id(F.col("lon"), F.col("lat"))), _grid(s, d).withColumn("region_id", region_id(F.col("i") * 10 - 175.0, F.col("j") * 10 - 85.0)), -175.0, -85.0, 10.0, 4.6, ("obs_date", "region_id")).select("obs_id", "obs_date", "i", "j", "val", "grid_val"), 10),
+    """SELECT obs_id, o.obs_date, o.i, o.j, o.val, ROUND(c.val, 10) AS grid_val FROM (SELECT *, CAST(ROUND((lon+175)/10) AS INT) AS i, CAST(ROUND((lat+85)/10) AS INT) AS j FROM obs) o LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = o.obs_date AND c.i = o.i AND c.j = o.j AND c.i // 9 + 4*(c.j // 9) = FLOOR((lon+180)/90) + 4*FLOOR((lat+90)/90)
+ WHERE GREATEST(ABS(lon - (-175 + o.i*10)), ABS(lat - (-85 + o.j*10))) <= 4.6""", "obs", "cells",
 )
 R.add(
     "j4_nearest_on_axis", lambda s, d: m.nearest_on_axis(view(s, d, "obs").select("obs_id", "lat"), _grid(s, d).select(F.col("j").alias("idx")).distinct().select("idx", (F.col("idx") * F.col("idx") * 0.5 - 85.0).alias("coord")), "lat", 3.0, 3.0).select("obs_id", "idx"),

@@ -37,6 +37,17 @@ def write_tiles(cells: DataFrame, path: str, keys: tuple[str, ...] = ("source",
     cells.repartition(*keys).sortWithinPartitions(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*keys).parquet(path)
 
 
+def write_days(points: DataFrame, path: str, day: str = "obs_date") -> None:
+    """A folder per date of a point set; only the dates that occur are replaced."""
+    write_tiles(points, path, (day,))
+
+
+def write_swath(points: DataFrame, path: str, step: float = 5.0) -> None:
+    """Points in order of their tile, so that the ranges of a file's rows let a box skip most of them."""
+    tile = F.floor((F.col("lat") + 90) / step) * 1000 + F.floor((F.col("lon") + 180) / step)
+    points.withColumn("__tile", tile).repartitionByRange("__tile").sortWithinPartitions("__tile", "lon", "lat").drop("__tile").write.option("compression", "zstd").parquet(path)
+
+
 def inventory_of(cells: DataFrame, keys: tuple[str, ...] = ("source", "obs_date", "region_id")) -> DataFrame:
     """A row per written tile, derived from its cells."""
     return cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_cells"), *[f(c).alias(f"{c}_{n}") for c in ("i", "j") for n, f in (("min", F.min), ("max", F.max))])
