@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_km
@@ -55,11 +55,19 @@ def order_choice(points: DataFrame, nominal_km: float, keys: tuple[str, ...] = (
     return both.withColumn("order_by", F.when(F.abs(F.col("by_lat") - nominal_km) <= F.abs(F.col("by_lon") - nominal_km), "lat").otherwise("lon"))
 
 
-def every_nth(frame: DataFrame, n: int, order: tuple[str, ...], keys: tuple[str, ...]) -> DataFrame:
-    """Every n-th row of a group in order, where it has more than 100 n rows; all rows otherwise."""
+def every_nth(frame: DataFrame, n: int, order: tuple[str, ...], keys: tuple[str, ...], bucket: Column) -> DataFrame:
+    """Every n-th row of a group in order, where it has more than 100 n rows; all rows otherwise.
+
+    bucket: whole numbers that never fall in that order. A group is put in order bucket by bucket, and the rows of the
+    buckets before are counted, so that no group has to be in one place.
+    """
+    d = frame.withColumn("__bucket", bucket)
     w = Window.partitionBy(*keys)
-    d = frame.withColumn("__rank", F.row_number().over(w.orderBy(*order))).withColumn("__n", F.count(F.lit(1)).over(w))
-    return d.where((F.col("__n") <= 100 * n) | ((F.col("__rank") - 1) % n == 0)).drop("__rank", "__n")
+    counts = d.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__own"))
+    counts = counts.withColumns({"__n": F.sum("__own").over(w), "__before": F.sum("__own").over(w.orderBy("__bucket")) - F.col("__own")}).drop("__own")
+    rank = F.row_number().over(Window.partitionBy(*keys, "__bucket").orderBy(*order)) + F.col("__before")
+    d = d.join(counts, [*keys, "__bucket"]).withColumn("__rank", rank)
+    return d.where((F.col("__n") <= 100 * n) | ((F.col("__rank") - 1) % n == 0)).select(*frame.columns)
 
 
 def fill_gaps(frame: DataFrame, keys: tuple[str, ...], at: str, value: str) -> DataFrame:

@@ -57,14 +57,14 @@ R.add(
  CASE WHEN ABS(p.km - 9000) <= ABS(q.km - 9000) THEN 'lat' ELSE 'lon' END AS order_by FROM ways_lat p JOIN ways_lon q USING (track_id, obs_date)""", "obs",
 )
 R.add(
-    "w12_every_nth", lambda s, d: t.every_nth(_obs(s, d).where("val IS NOT NULL"), 5, ("lat", "lon", "obs_id"), ("track_id",)),
+    "w12_every_nth", lambda s, d: t.every_nth(_obs(s, d).where("val IS NOT NULL"), 5, ("lat", "lon", "obs_id"), ("track_id",), F.floor("lat")),
     "SELECT * EXCLUDE (r, n) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY track_id ORDER BY lat, lon, obs_id) AS r, COUNT(*) OVER (PARTITION BY track_id) AS n FROM obs WHERE val IS NOT NULL) WHERE n <= 500 OR (r - 1) % 5 = 0", "obs",
 )
 R.add(
-    "w13_fill_gaps", lambda s, d: t.fill_gaps(_obs(s, d), ("track_id",), "obs_id", "val").select("obs_id", F.round("filled", 9).alias("filled")),
+    "w13_fill_gaps", lambda s, d: t.fill_gaps(_obs(s, d), ("track_id", "obs_date"), "obs_id", "val").select("obs_id", F.round("filled", 9).alias("filled")),
     """SELECT obs_id, ROUND(CASE WHEN a IS NULL THEN vb WHEN b IS NULL OR b = a THEN va ELSE va + (vb-va)*(obs_id-a)/(b-a) END, 9) AS filled FROM (SELECT obs_id,
  LAST_VALUE(CASE WHEN val IS NOT NULL THEN obs_id END IGNORE NULLS) OVER p AS a, LAST_VALUE(val IGNORE NULLS) OVER p AS va, FIRST_VALUE(CASE WHEN val IS NOT NULL THEN obs_id END IGNORE NULLS) OVER f AS b, FIRST_VALUE(val IGNORE NULLS) OVER f AS vb
- FROM obs WINDOW p AS (PARTITION BY track_id ORDER BY obs_id ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY track_id ORDER BY obs_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""", "obs",
+ FROM obs WINDOW p AS (PARTITION BY track_id, obs_date ORDER BY obs_id ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY track_id, obs_date ORDER BY obs_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""", "obs",
 )
 _PACKED = "packed AS (SELECT product, obs_date, i, j, val AS orig, ROUND_EVEN(val / 0.0005, 0)::INT AS p, ROUND_EVEN(val / 0.0005, 0)::INT * 0.0005 + 0.0 AS packed FROM cells)"
 
