@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows per Arrow batch: texts can be long, so that the default of 10,000 rows could hold gigabytes.
 ARROW_ROWS = 500
+#: Rows of a few numbers that are written as one file, rather than as many small ones as there are shuffle partitions.
+ROWS_PER_FILE = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors, is computed once."""
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors, is computed once.
+
+    rows: about how many there are at most, of a few numbers each; then a file holds ROWS_PER_FILE of them.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(1 + rows // ROWS_PER_FILE)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").distinct()
     edges = materialize(edges, "components")
-    before = None
+    before, rows = None, edges.count()
     while True:
         both = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")
         both = edges.select(both).select("e.*")
@@ -25,8 +25,8 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
         small = large.join(low, "u").select(ends).select("e.*").where("u != v").distinct()
-        edges = materialize(small, "components")
+        edges = materialize(small, "components", rows)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
+        before, rows = now, now[0]

@@ -313,15 +313,16 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, group: int = GROUP) -> None:
         small_batches(docs.sparkSession)
         self.docs = docs
-        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-        buckets = int(max(8, size // (12 * BUCKET_ENTRIES)))  # an entry comes of some twelve bytes
+        size, rows = docs.agg(F.sum(F.octet_length("text").cast("long")), F.count(F.lit(1))).first()
+        buckets = int(max(8, (size or 0) // (12 * BUCKET_ENTRIES)))  # an entry comes of some twelve bytes
         found = materialize(shared_parts(keyed(docs, buckets), buckets, group), "jaccard-found")
         self.rows = found.where("a IS NULL").select("doc_id", "n", "node")
         self.pairs = found.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
         self.hot = found.where("shared < 0").select(F.col("a").alias("node"), F.col("b").alias("part"), (-F.col("shared")).alias("sets"))
         known = self.rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
         count = self.hot.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
-        self.nodes = materialize(known.join(count, "node", "left").withColumn("hot", F.coalesce("hot", F.lit(0))), "jaccard-classes")
+        self.nodes = materialize(known.join(count, "node", "left").withColumn("hot", F.coalesce("hot", F.lit(0))), "jaccard-classes", rows)
+        self.classes, self.ties = self.nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("hot"), F.lit(0))).first()
 
     def edges(self) -> DataFrame:
         """(a, b): pairs that share parts enough, and ties of sets by the hot parts of their prefixes."""
@@ -334,7 +335,7 @@ class JaccardJoin:
         spare = F.col("hot") - least_slack(F.col("n"))
         rank = F.row_number().over(Window.partitionBy("node").orderBy("sets", "part"))
         prefix = self.hot.join(self.nodes.where(spare > 0).select("node", spare.alias("spare")), "node").withColumn("rank", rank).where("rank <= spare")
-        prefix = materialize(prefix.select("node", "part"), "jaccard-prefixes")
+        prefix = materialize(prefix.select("node", "part"), "jaccard-prefixes", self.ties)
         ties = prefix.join(prefix.groupBy("part").agg(F.min("node").alias("tied")), "part").where("node != tied")
         return pairs.unionByName(ties.select(F.col("tied").alias("a"), F.col("node").alias("b")).distinct())
 
@@ -345,7 +346,7 @@ class JaccardJoin:
         between sizes more than a slice apart. A block's number is its slice's, times 2^32, plus its own.
         """
         in_clusters = components(self.edges()).select("node", F.col("component").alias("cluster"))
-        sets = materialize(self.nodes.join(in_clusters, "node").select("node", "doc_id", "n", "cluster"), "jaccard-clusters")
+        sets = materialize(self.nodes.join(in_clusters, "node").select("node", "doc_id", "n", "cluster"), "jaccard-clusters", self.classes)
 
         def blocks() -> Column:
             return F.greatest(F.ceil(F.sum("n") / BLOCK_ELEMENTS), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("long")
@@ -358,7 +359,7 @@ class JaccardJoin:
         own = first + F.pmod(F.xxhash64("node"), F.element_at("counts", F.col("slice")))
         near = F.filter(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.col("slice") + d), lambda s: F.map_contains_key("counts", s))
         meets = F.flatten(F.transform(near, lambda s: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("counts", s) - 1), lambda b: F.shiftleft(s, 32) + b)))
-        return materialize(sliced.join(counts, "cluster").select("node", "doc_id", "n", "cluster", own.alias("own"), meets.alias("meets")), "jaccard-placed")
+        return materialize(sliced.join(counts, "cluster").select("node", "doc_id", "n", "cluster", own.alias("own"), meets.alias("meets")), "jaccard-placed", self.classes)
 
     def links(self) -> DataFrame:
         """(a, b): verified links between classes, enough of them that every component is connected."""

@@ -142,7 +142,8 @@ def find_unseen(spans: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEE
     l1, l2, r1 = F.try_element_at("l", F.lit(-1)), F.try_element_at("l", F.lit(-2)), F.try_element_at("r", F.lit(1))
     patterns = F.array(F.concat(F.lit("<1 "), l1), F.concat(F.lit("<2 "), l2, F.lit(" "), l1), F.concat(F.lit("<> "), l1, F.lit(" _ "), r1))
     edges = seen.select("value", "kind", F.explode(F.filter(patterns, lambda p: p.isNotNull())).alias("pattern"))
-    edges = materialize(edges.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "personal-data-edges")
+    most = spans.agg(F.coalesce(F.sum(3 * F.size("around")), F.lit(0))).first()[0]
+    edges = materialize(edges.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "personal-data-edges", most)
     size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     seeds = edges.where("kind >= 0").select("value", F.col("kind").alias("as"), F.lit(1.0).alias("score")).distinct()
     free = edges.where("kind < 0").select("pattern", "value")

@@ -108,7 +108,7 @@ def learn_rules(
         F.array(*[F.col(f"__q_{f}") for f in FEATURES]).alias("values"), (F.col("label") == 0).alias("bad"),
         (F.pmod(F.xxhash64("doc_id", F.lit("prune")), F.lit(3)) == 0).alias("prune"),
     )
-    sample = materialize(sample, "quality-rules-sample").where(~F.col("__q_base_failed"))
+    sample = materialize(sample.repartition(1 + rows // 5_000), "quality-rules-sample").where(~F.col("__q_base_failed"))
     marks = sample.groupBy("bad").agg(*[F.percentile_approx(F.col("values")[i], QUANTILES, 1000).alias(f"q{i}") for i in range(len(FEATURES))]).collect()
     cuts = []
     for i in range(len(FEATURES)):
