@@ -101,13 +101,13 @@ def fit_forest(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, ra
 
 def fit_isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool-adjacent-violators: knots (score, probability) of the non-decreasing least-squares fit."""
-    order = np.argsort(score, kind="stable")
+    at, place = np.unique(score, return_inverse=True)  # equal scores are one point from the start
     blocks: list[list[float]] = []  # sum, rows, lowest and highest score
-    for s, t in zip(score[order].tolist(), y[order].tolist()):
-        blocks.append([t, 1, s, s])
-        while len(blocks) > 1 and (blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1] or blocks[-2][3] == blocks[-1][2]):
-            t2, n2, _, hi = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + t2, blocks[-1][1] + n2, blocks[-1][2], hi]
+    for s, t, n in zip(at.tolist(), np.bincount(place, y, len(at)).tolist(), np.bincount(place, minlength=len(at)).tolist()):
+        blocks.append([t, n, s, s])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            t2, n2, _, high = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + t2, blocks[-1][1] + n2, blocks[-1][2], high]
     if not blocks:
         return np.array([0.0, 1.0]), np.array([0.0, 1.0])
     knots = np.array([[x, b[0] / b[1]] for b in blocks for x in sorted({b[2], b[3]})])

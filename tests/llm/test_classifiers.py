@@ -4,7 +4,7 @@ import pytest
 from pelagic.llm.gbdt import fit_forest, fit_isotonic
 from pelagic.llm.quality import quality_scores
 from pelagic.llm.quality import statistics as quality_statistics
-from pelagic.llm.quality_rules import keep_good, learn_rules, quality_report
+from pelagic.llm.quality_rules import FEATURES, keep_good, learn_rules, quality_report
 from pelagic.llm.toxicity import ToxicFeatures, toxicity_scores
 
 
@@ -22,6 +22,33 @@ def test_forest_with_one_class_is_constant(y):
     assert p[0] == p[1] and 0 < p[0] < 1
 
 
+def test_flat_traversal_equals_a_plain_walk():
+    r = np.random.default_rng(4)
+    x = np.round(r.normal(size=(1500, 4)), 1)  # with many ties on thresholds
+    forest = fit_forest(x, ((x[:, 0] + x[:, 1] ** 2 > 1) ^ (r.random(1500) < 0.1)).astype(float), trees=25)
+
+    def walk(row):
+        total = forest.base
+        for node in forest.roots:
+            while forest.left[node] != node:
+                node = forest.left[node] if row[forest.feature[node]] <= forest.threshold[node] else forest.right[node]
+            total += forest.value[node]
+        return total
+
+    seen = np.concatenate([x[:200], r.normal(size=(200, 4)) * 5])
+    assert len(forest.roots) == 25 and np.allclose(forest.margin(seen), [walk(row) for row in seen], atol=1e-12)
+
+
+def test_isotonic_equals_the_largest_of_smallest_means():
+    r = np.random.default_rng(6)
+    for n in (1, 2, 7, 60):
+        score, y = r.integers(0, max(2, n // 2), n).astype(float), r.integers(0, 2, n).astype(float)
+        at = np.unique(score)
+        total, count = (np.array([w[score == a].sum() for a in at]) for w in (y, np.ones(n)))
+        want = [max(min(total[a : b + 1].sum() / count[a : b + 1].sum() for b in range(i, len(at))) for a in range(i + 1)) for i in range(len(at))]
+        assert np.allclose(np.interp(at, *fit_isotonic(score, y)), want)
+
+
 def test_isotonic_is_monotone_and_matches_means():
     score, y = np.array([1.0, 2, 3, 4, 5, 5]), np.array([0.0, 1, 0, 1, 1, 0])
     x, p = fit_isotonic(score, y)
@@ -79,6 +106,25 @@ def test_rule_statistics_against_plain_python(spark, corpus, odd):
             assert not (r["base_failed"] and r["kept"])
 
 
+def test_verdicts_against_plain_python(corpus):
+    import re
+
+    docs, labels = corpus
+    rules = learn_rules(docs, labels)
+    got = {r["doc_id"]: r for r in quality_report(docs, labels).collect()}
+    for r in docs.collect():
+        n, chars, symbols, dup, repeated, failed = plain_statistics(r["text"])
+        words, lines = re.findall(r"[^\x20\x09-\x0D]+", r["text"]), max(1, sum(bool(x.strip(" \t\r\x0b\x0c")) for x in r["text"].split("\n")))
+        one = max(1, n)
+        of = {
+            "symbols_per_word": symbols / one, "marks_per_word": sum(c in "!?" for c in r["text"]) / one, "upper_share": sum("A" <= c <= "Z" for c in r["text"]) / max(1, len(r["text"])), "word_length": chars / one,
+            "dup_line_share": dup / lines, "repeat_share": repeated / one, "distinct_share": len(set(words)) / one, "words_per_line": n / lines,
+        }
+        holds = [all((of[FEATURES[x.feature]] > x.threshold) == x.above for x in rule) for rule in rules]
+        assert got[r["doc_id"]]["rule"] == (holds.index(True) + 1 if any(holds) else 0)
+        assert got[r["doc_id"]]["kept"] == (not failed and not any(holds))
+
+
 def test_rules_reject_poor_and_keep_clean(corpus, empty):
     docs, labels = corpus
     assert learn_rules(docs, labels)
