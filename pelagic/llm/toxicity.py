@@ -41,7 +41,7 @@ SECOND_PERSON = frozenset("you your yours yourself ur u du dich dir dein deine e
 STAND_INS = str.maketrans("013457@$!", "oieastasi")
 NEAR = 5
 WORD = re.compile(r"[^\W\d_]+")
-MIXED = re.compile(r"[^\W\d_]+[@$!*0-57][\w@$!*]*[\w@$]")
+MIXED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[@$!*0-57][\w@$!*]*[\w@$]")
 DOTTED = re.compile(r"\b(?:[^\W\d_][.\-*_ ]){3,}[^\W\d_]\b")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
 WIDTH = 17
