@@ -17,10 +17,12 @@ in one order, the rarest first, one of the first h - m of either: of these prefi
 them.
 
 Clusters. Pairs with parts enough, and sets tied by hot parts, are edges; a connected component of them, a cluster, holds
-every link of its sets. Each set then travels once to its cluster's blocks, of bounded sets and elements; blocks meet
-where their sizes allow links. There, pairs not yet connected are compared by the Hamming distance of whole parity
-sketches, a lower bound of the difference, and what remains is verified on the sets themselves. A task gives at most one
-link fewer than it has sets, enough to connect what is linked.
+every link of its sets. Sets travel to blocks of their cluster, of bounded sets and elements. There, pairs not yet
+connected are compared by the Hamming distance of whole parity sketches, a lower bound of the difference, and what remains
+is verified on the sets themselves. A task gives at most one link fewer than it has sets, enough to connect what is linked.
+A cluster of several blocks is first compared within each, together with some typical sets. What that leaves outside the
+cluster's largest component, the strays, then meets all blocks whose sizes allow links; members of that component need not
+meet each other, so that a family of near copies costs no square of its size.
 
 Equal sets are one class from the start. Classes, shingles and parts go by 64-bit hashes.
 """
@@ -50,7 +52,10 @@ MAX_TASKS = 20_000
 FLUSH_ENTRIES = 500_000
 #: Sets and elements of a block of a cluster, about; a larger set is a block by itself.
 BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 20
-#: Up to so many document numbers are broadcast to the scan that fetches their texts; beyond, they are joined by shuffle.
+#: Typical sets of a slice of a large cluster that all blocks near it are compared with.
+PIVOTS = 8
+#: Up to so many document numbers, with four visits to blocks each on average (some 40 bytes a visit), are broadcast to the
+#: scan that fetches their texts; beyond, they are joined by shuffle.
 BROADCAST_IDS = 200_000
 
 #: A-Z to a-z and the other white space to spaces.
@@ -273,12 +278,12 @@ def shared_parts(rows: DataFrame, buckets: int, group: int) -> DataFrame:
     return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def spanning_links(nodes: list[int], sides: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links between the sets, enough to connect all that are linked. With two sides, only those across."""
+def spanning_links(nodes: tuple[int, ...], sides: tuple[bool, ...], sets: tuple[np.ndarray, ...], labels: tuple[int, ...]) -> list[tuple[int, int]]:
+    """Links between sets of different labels, enough to connect all that are linked. With two sides, only those across."""
     order = sorted(range(len(sets)), key=lambda x: (len(sets[x]), nodes[x]))
     sets, node, side = [sets[x] for x in order], np.array(nodes)[order], np.array(sides)[order]
     n = np.array([len(s) for s in sets])
-    band, root, out = np.array([_band(x) for x in n]), np.arange(len(sets)), []
+    band, root, out = np.array([_band(x) for x in n]), np.unique(np.array(labels)[order], return_inverse=True)[1], []
     across = side.min() != side.max()
     for k in np.unique(band):
         at = np.flatnonzero((band == k) | (band == k - 1) & (4 * n >= 3 * 2**k))
@@ -307,6 +312,28 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * common >= 75 * (len(x) + len(y) - common)
 
 
+def _blocks() -> Column:
+    return F.greatest(F.ceil(F.sum("n") / BLOCK_ELEMENTS), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("long")
+
+
+def _with_counts(placed: DataFrame) -> DataFrame:
+    """placed with the numbers of blocks of its cluster's parts, as a map; a part is a slice, or the strays or others of one."""
+    counts = placed.groupBy("cluster", "part").agg(_blocks().alias("blocks")).groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("part", "blocks"))).alias("counts"))
+    return placed.join(counts, "cluster")
+
+
+def _in_blocks(offsets: list[int], first: Column | None = None) -> tuple[Column, Column]:
+    """(a set's own block, the blocks of the parts at some offsets from its own part, or from another one), over _with_counts.
+
+    A block's number is its part's, times 2^32, plus its place in the part.
+    """
+    part = F.col("part")
+    own = F.shiftleft(part, 32) + F.pmod(F.xxhash64("node"), F.element_at("counts", part))
+    near = F.filter(F.transform(F.array(*map(F.lit, offsets)), lambda d: (part if first is None else first) + d), lambda p: F.map_contains_key("counts", p))
+    blocks = F.flatten(F.transform(near, lambda p: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("counts", p) - 1), lambda b: F.shiftleft(p, 32) + b)))
+    return own, blocks
+
+
 class JaccardJoin:
     """One run of the join over docs (doc_id, text)."""
 
@@ -339,70 +366,97 @@ class JaccardJoin:
         ties = prefix.join(prefix.groupBy("part").agg(F.min("node").alias("tied")), "part").where("node != tied")
         return pairs.unionByName(ties.select(F.col("tied").alias("a"), F.col("node").alias("b")).distinct())
 
-    def placed(self) -> DataFrame:
-        """(node, doc_id, n, cluster, own, meets) of every set that may have links: its block and the blocks that it meets.
+    def clusters(self) -> DataFrame:
+        """(node, doc_id, n, share, cluster, large, slice) of every set that may have links; share: that of its hot parts.
 
-        A cluster of more than a block is cut by size, so that a set meets its own slice and those beside it: no link is
-        between sizes more than a slice apart. A block's number is its slice's, times 2^32, plus its own.
+        A cluster of more than a block is cut by size: no link is between sizes more than a slice apart.
         """
         in_clusters = components(self.edges()).select("node", F.col("component").alias("cluster"))
-        sets = materialize(self.nodes.join(in_clusters, "node").select("node", "doc_id", "n", "cluster"), "jaccard-clusters", self.classes)
-
-        def blocks() -> Column:
-            return F.greatest(F.ceil(F.sum("n") / BLOCK_ELEMENTS), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("long")
-
-        large = sets.groupBy("cluster").agg(blocks().alias("blocks")).where("blocks > 1").select("cluster", F.lit(True).alias("large"))
+        sets = self.nodes.join(in_clusters, "node").select("node", "doc_id", "n", (F.col("hot") / F.col("n")).alias("share"), "cluster")
+        sets = materialize(sets, "jaccard-clusters", self.classes)
+        large = sets.groupBy("cluster").agg(_blocks().alias("blocks")).where("blocks > 1").select("cluster", F.lit(True).alias("large"))
         width = F.floor(F.log("n") / F.log(F.lit(4 / 3)))
-        sliced = sets.join(large, "cluster", "left").withColumn("slice", F.when(F.col("large"), width).otherwise(F.lit(0)).cast("long"))
-        counts = sliced.groupBy("cluster", "slice").agg(blocks().alias("blocks")).groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("slice", "blocks"))).alias("counts"))
-        first = F.shiftleft(F.col("slice"), 32)
-        own = first + F.pmod(F.xxhash64("node"), F.element_at("counts", F.col("slice")))
-        near = F.filter(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.col("slice") + d), lambda s: F.map_contains_key("counts", s))
-        meets = F.flatten(F.transform(near, lambda s: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("counts", s) - 1), lambda b: F.shiftleft(s, 32) + b)))
-        return materialize(sliced.join(counts, "cluster").select("node", "doc_id", "n", "cluster", own.alias("own"), meets.alias("meets")), "jaccard-placed", self.classes)
+        return sets.join(large, "cluster", "left").withColumn("slice", F.when(F.col("large"), width).otherwise(F.lit(0)).cast("long"))
 
     def links(self) -> DataFrame:
         """(a, b): verified links between classes, enough of them that every component is connected."""
-        placed = self.placed()
-        sent = placed.agg(F.sum(F.col("n") * F.size("meets"))).first()[0] or 0
-        tasks = int(min(MAX_TASKS, max(int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), sent // BLOCK_ELEMENTS)))
-        rows = self.sets(placed).withColumn("meets", F.explode("meets"))
-        rows = rows.select("cluster", F.least("own", "meets").alias("i"), F.greatest("own", "meets").alias("j"), (F.col("own") > F.col("meets")).alias("side"), "node", "set")
+        sets = materialize(self.clusters(), "jaccard-slices", self.classes)
+        links = self.compared(self.blocks_and_pivots(sets), "jaccard-links")
+        left = self.strays(sets.where("large"), links)
+        return links if left is None else links.unionByName(self.compared(left, "jaccard-more-links"))
+
+    def blocks_and_pivots(self, sets: DataFrame) -> DataFrame:
+        """Every set in one block of its slice; some typical sets of a slice, with most hot parts, in all blocks near it.
+
+        These join most of a family of near copies, so that its members need not meet each other.
+        """
+        turn = F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(PIVOTS))
+        pivots = sets.where("large").groupBy("cluster", "slice", turn.alias("turn")).agg(F.max_by("node", F.struct("share", F.xxhash64("node"))).alias("node"))
+        placed = sets.join(pivots.select("node", F.lit(True).alias("pivot")), "node", "left").withColumn("part", F.col("slice"))
+        own, near = _in_blocks([-1, 0, 1])
+        target = F.when(F.col("pivot"), near).otherwise(F.array(own))
+        meets = F.transform(target, lambda b: F.struct(b.alias("i"), b.alias("j"), F.lit(False).alias("side")))
+        return _with_counts(placed).select("node", "doc_id", "n", "cluster", F.col("node").alias("label"), meets.alias("meets"))
+
+    def strays(self, sets: DataFrame, links: DataFrame) -> DataFrame | None:
+        """What is left of large clusters: the sets outside a cluster's largest component, which meet all, and the others, which meet these alone."""
+        labelled = sets.join(components(links), "node", "left").withColumn("label", F.coalesce("component", "node"))
+        labelled = materialize(labelled.drop("component"), "jaccard-labelled", self.classes)
+        sizes = labelled.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
+        main = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+        placed = labelled.join(main, "cluster").withColumn("settled", (F.col("label") == F.col("main")).cast("long")).withColumn("part", 2 * F.col("slice") + F.col("settled"))
+        if not main.limit(1).count():
+            return None
+        first = F.col("part") - F.col("settled")
+        own, to_all = _in_blocks([-2, -1, 0, 1, 2, 3], first)
+        to_strays = _in_blocks([-2, 0, 2], first)[1]
+        target = F.when(F.col("settled") == 1, to_strays).otherwise(to_all)
+        meets = F.transform(target, lambda b: F.struct(F.least(own, b).alias("i"), F.greatest(own, b).alias("j"), (own > b).alias("side")))
+        return _with_counts(placed).select("node", "doc_id", "n", "cluster", "label", meets.alias("meets"))
+
+    def compared(self, placed: DataFrame, name: str) -> DataFrame:
+        """(a, b): links found in the blocks (cluster, i, j) that placed sends its sets to."""
+        placed = materialize(placed, f"{name}-placed", self.classes)
+        ids, visits, sent = placed.agg(F.count(F.lit(1)), F.sum(F.size("meets")), F.sum(F.col("n") * F.size("meets"))).first()
+        tasks = int(min(MAX_TASKS, max(int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (sent or 0) // BLOCK_ELEMENTS)))
+        rows = self.sets(placed, max(ids, (visits or 0) // 4) <= BROADCAST_IDS).withColumn("m", F.explode("meets")).select("cluster", "m.i", "m.j", "m.side", "node", "label", "set")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            current, nodes, sides, sets = None, [], [], []
+            current, group = None, []
             found: list[tuple[int, int]] = []
             for batch in batches:
-                keys = zip(*[batch.column(c).to_pylist() for c in ("cluster", "i", "j", "side", "node")])
-                for (*block, side, node), elements in zip(keys, batch.column("set")):
+                keys = zip(*[batch.column(c).to_pylist() for c in ("cluster", "i", "j", "side", "node", "label")])
+                for (*block, side, node, label), elements in zip(keys, batch.column("set")):
                     if block != current:
-                        found += spanning_links(nodes, sides, sets) if len(nodes) > 1 else []
-                        current, nodes, sides, sets = block, [], [], []
-                    nodes.append(node), sides.append(side), sets.append(np.frombuffer(elements.as_py(), np.uint64))
+                        found += spanning_links(*zip(*group)) if len(group) > 1 else []
+                        current, group = block, []
+                    group.append((node, side, np.frombuffer(elements.as_py(), np.uint64), label))
                 yield links_of(found)
                 found = []
-            yield links_of(spanning_links(nodes, sides, sets) if len(nodes) > 1 else [])
+            yield links_of(spanning_links(*zip(*group)) if len(group) > 1 else [])
 
         def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         dealt = rows.repartition(tasks, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-        return materialize(dealt.mapInArrow(run, "a long, b long").where("a != b"), "jaccard-links")
+        return materialize(dealt.mapInArrow(run, "a long, b long").where("a != b"), name)
 
-    def sets(self, placed: DataFrame) -> DataFrame:
+    def sets(self, placed: DataFrame, small: bool) -> DataFrame:
         """placed with the sets of its nodes, from the texts of their first documents; a row that repeats one may come again."""
-        placed = placed.withColumnRenamed("doc_id", "first")
-        wanted = F.broadcast(placed) if placed.count() <= BROADCAST_IDS else placed
-        texts = _ids(self.docs).join(wanted, F.col("doc_id") == F.col("first")).select("node", "text", "cluster", "own", "meets")
+        placed = placed.select("node", F.col("doc_id").alias("first"), "cluster", "label", "meets")
+        wanted = F.broadcast(placed) if small else placed
+        texts = _ids(self.docs).join(wanted, F.col("doc_id") == F.col("first")).drop("doc_id", "first")
+        kept = [c for c in placed.columns if c != "first"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 sets = [shingles(text.as_py()) for text in batch.column("text")]
                 same = pa.array([_class(s) == node for s, node in zip(sets, batch.column("node").to_pylist())], pa.bool_())
-                columns = [batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary()), *[batch.column(c) for c in ("cluster", "own", "meets")]]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "set", "cluster", "own", "meets"]).filter(same)
+                columns = [*[batch.column(c) for c in kept], pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, "set"]).filter(same)
 
-        return texts.mapInArrow(run, "node long, set binary, cluster long, own long, meets array<long>")
+        kinds = dict(placed.dtypes)
+        return texts.mapInArrow(run, ", ".join([*[f"{c} {kinds[c]}" for c in kept], "set binary"]))
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""

@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from pelagic.llm import jaccard
@@ -58,16 +59,47 @@ def families(seed):
     return [(3 * i + 1, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("seed,group", [(1, 32), (2, 2), (3, 8)])
-def test_against_brute_force(spark, monkeypatch, seed, group):
-    """Group 2 makes nearly every shared part hot, so that the paths for hot parts find the links."""
-    monkeypatch.setattr(jaccard, "BLOCK_SETS", 5)
+@pytest.mark.parametrize("seed,group,sets,elements,pivots", [(1, 32, 5, 1 << 20, 8), (2, 2, 5, 1 << 20, 1), (3, 8, 1000, 300, 2), (4, 1, 3, 200, 1)])
+def test_against_brute_force(spark, monkeypatch, seed, group, sets, elements, pivots):
+    """Small groups make nearly every shared part hot, so that ties find the links; small blocks need both rounds."""
+    for name, value in (("BLOCK_SETS", sets), ("BLOCK_ELEMENTS", elements), ("PIVOTS", pivots)):
+        monkeypatch.setattr(jaccard, name, value)
     rows = families(seed)
     want = plain(rows)
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), group).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_links_in_a_block_connect_what_is_linked():
+    r = np.random.default_rng(5)
+    base = [r.integers(0, 2**63, n).astype(np.uint64) for n in (3, 40, 52, 200)]
+    sets = []
+    for _ in range(120):
+        s = base[r.integers(4)].copy()
+        s[r.random(len(s)) < r.choice([0, 0.05, 0.1, 0.2])] = r.integers(0, 2**63)
+        sets.append(np.unique(s))
+    sets = list({s.tobytes(): s for s in sets}.values())
+    side = [bool(x) for x in r.integers(0, 2, len(sets))]
+    linked = {(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))}
+
+    def groups(links, labels):
+        own = list(labels)
+        for a, b in links:
+            own = [own[b] if x == own[a] else x for x in own]
+        return {frozenset(i for i, x in enumerate(own) if x == y) for y in own}
+
+    alone = list(range(len(sets)))
+    for sides, labels, wanted in (([False] * len(sets), alone, linked), (side, alone, {(a, b) for a, b in linked if side[a] != side[b]}), ([False] * len(sets), [i // 3 for i in alone], linked)):
+        got = jaccard.spanning_links(alone, sides, sets, labels)
+        assert all(tuple(sorted(x, reverse=True)) in wanted for x in got) and groups(got, labels) == groups(wanted, labels)
+        assert len(got) < len(sets)
+
+
+def test_text_ids_are_an_error(spark):
+    with pytest.raises(TypeError):
+        near_duplicates(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
 def test_odd_rows(odd, empty):
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(odd).collect()]
     assert len(got) == odd.count()
