@@ -18,10 +18,6 @@ VARIABLES = (
 )
 
 
-def variables(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VARIABLES, "token string, source string, variable string, kind string, offset double")
-
-
 def region_boxes(spark: SparkSession) -> DataFrame:
     return spark.range(len(REGIONS)).select(
         F.col("id").cast("int").alias("region_id"), F.element_at(F.array(*map(F.lit, REGIONS)), (F.col("id") + 1).cast("int")).alias("region"),
