@@ -44,6 +44,8 @@ MARK = "\u0001"
 #: Characters of context on either side.
 CONTEXT = 48
 ROUNDS = 3
+#: Up to so many sure patterns (some 100 bytes each) are broadcast, so that a very common one is no hot key.
+BROADCAST_PATTERNS = 50_000
 #: A pattern needs so many different seeds, and such a share of its instances; an instance such a score.
 MIN_SEEDS, MIN_SHARE, MIN_SCORE = 5, 0.8, 0.9
 
@@ -153,8 +155,10 @@ def find_unseen(spans: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEE
         votes = edges.select("pattern", "value").join(scores, "value").groupBy("pattern", "as").agg(F.sum("score").alias("sum"))
         share = F.col("sum") / (F.col("n") + 1)
         sure = votes.where(F.col("sum") >= min_seeds).join(size, "pattern").select("pattern", "as", share.alias("share")).where(F.col("share") >= min_share)
+        sure = materialize(sure, "personal-data-patterns", most)
+        known = F.broadcast(sure) if sure.count() <= BROADCAST_PATTERNS else sure
         found = (
-            free.join(sure, "pattern").where(F.array_contains(F.array_compact(fits), F.col("as")))
+            free.join(known, "pattern").where(F.array_contains(F.array_compact(fits), F.col("as")))
             .groupBy("value", "as").agg((1 - F.exp(F.sum(F.log1p(-F.least("share", F.lit(0.999)))))).alias("score"))
             .groupBy("value").agg(F.max_by("as", F.struct("score", -F.col("as"))).alias("as"), F.max("score").alias("score"))
         )
