@@ -202,6 +202,27 @@ def test_rows_of_one_id_fill_several_ranges(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in fingerprints(frame).collect()) == sorted(r["doc_id"] for r in frame.collect())
 
 
+def test_ranges_are_cut_once_whatever_the_plan_reuses(spark, monkeypatch):
+    """Ranges are cut at sampled ids: with few samples and no reuse of exchanges, two plans of them would differ."""
+    monkeypatch.setattr(fingerprinting, "RANGE_BYTES", 2000)
+    texts = {i: f"text number {i * 7 % 1000} of {i} some and more words {i % 13}" for i in range(1000)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
+    conf = {"spark.sql.exchange.reuse": "false", "spark.sql.execution.rangeExchange.sampleSizePerPartition": "2"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = fingerprints(frame).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        text, after = texts[r["doc_id"]], texts[(r["doc_id"] + 1) % 1000]
+        cut = len(text) // 4
+        assert r["edited_sha256"] == hashlib.sha256((text[: len(text) - cut] + after[:cut]).encode()).hexdigest()
+
+
 def test_fingerprints_of_odd_rows(spark, odd, empty):
     got = fingerprints(odd).collect()
     assert len(got) == odd.count() and all(0 <= r["near_next"] <= 1 for r in got)
