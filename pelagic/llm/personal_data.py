@@ -8,6 +8,8 @@ patterns make it. Instances that become sure enough are identifiers that no base
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,26 +46,75 @@ MARK = "\u0001"
 #: Characters of context on either side.
 CONTEXT = 48
 ROUNDS = 3
+#: Sizes that keep the work on a text linear in its matches: pieces of arrays, blocks of spans, strips of text.
+PIECE, BLOCK, STRIP = 256, 64, 4096
 #: Up to so many sure patterns (some 100 bytes each) are broadcast, so that a very common one is no hot key.
 BROADCAST_PATTERNS = 50_000
 #: A pattern needs so many different seeds, and such a share of its instances; an instance such a score.
 MIN_SEEDS, MIN_SHARE, MIN_SCORE = 5, 0.8, 0.9
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(values: Column, size: int) -> Column:
+    """An array in pieces of at most `size`; none for an empty one."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / size).cast("int"))
+    return F.transform(F.filter(numbers, lambda b: (b >= 0) & (b * size < F.size(values))), lambda b: F.slice(values, b * size + 1, size))
+
+
+def _running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """What op, an associative one, makes of 0 and the values before each, and of all: an array longer by one.
+
+    An array grows by copies, so that long ones are put together from pieces.
+    """
+
+    def grown(some: Column, first: Column) -> Column:
+        return F.aggregate(some, F.array(first), lambda out, x: F.concat(out, F.array(op(F.element_at(out, -1), x))))
+
+    def pieced(pieces: Column) -> Column:
+        ends = F.transform(pieces, lambda some: F.aggregate(some, F.lit(0), op))
+        return _let(grown(ends, F.lit(0)), lambda begins: F.concat(
+            F.flatten(F.transform(pieces, lambda some, k: F.slice(grown(some, begins[k]), 1, F.size(some)))), F.array(F.element_at(begins, -1)),
+        ))
+
+    return F.when(F.size(values) <= PIECE, grown(values, F.lit(0))).otherwise(_let(_blocks(values, PIECE), pieced))
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _largest(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
 def _matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as (start, end, value): marked, split apart, and their places added up."""
-    parts = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK)
+    """Leftmost non-overlapping matches as (start, end, value): marked, split apart, and the lengths of the parts added up."""
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("i"), F.lit(0).alias("at"), none.alias("out")),
-        lambda s, p: F.struct(
-            (s["i"] + 1).alias("i"),
-            (s["at"] + F.length(p)).alias("at"),
-            F.when(s["i"] % 2 == 1, F.concat(s["out"], F.array(F.struct(s["at"].alias("start"), (s["at"] + F.length(p)).alias("end"), p.alias("value"))))).otherwise(s["out"]).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
+
+    def placed(parts: Column, at: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(parts) - 1, F.lit(2)), lambda i: F.struct(at[i].alias("start"), at[i + 1].alias("end"), parts[i].alias("value")))
+
+    def found(parts: Column) -> Column:
+        lengths = F.transform(parts, lambda p: F.length(p))
+        return F.when(F.size(parts) > 1, _let(lengths, lambda n: _let(_running(n, _sum), lambda at: placed(parts, at)))).otherwise(none)
+
+    return _let(F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK), found)
+
+
+def _cut_up(text: Column) -> Column:
+    """The text in strips of STRIP characters: a place in a strip is found without reading what comes before it."""
+    return F.when(F.length(text) <= STRIP, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRIP}}}"), F.lit(0)))
+
+
+def _between(strips: Column, start: Column, end: Column) -> Column:
+    """The characters from start to end of a text in strips."""
+    first, last = F.floor(start / STRIP).cast("int"), F.floor((end - 1) / STRIP).cast("int")
+    some = F.when(first == last, F.get(strips, first)).otherwise(F.array_join(F.slice(strips, first + 1, F.greatest(F.lit(0), last - first + 1)), ""))
+    return F.when(end > start, F.substring(some, start - first * STRIP + 1, end - start)).otherwise("")
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -104,11 +155,12 @@ def _with_base(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _with_context(text: Column, spans: Column) -> Column:
     """Each span with its value and the text on either side."""
-    return F.transform(spans, lambda m: F.struct(
+    around = lambda strips, size: lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind"), F.lower(m["value"]).alias("value"),
-        F.lower(F.substring(text, F.greatest(m["start"] - CONTEXT, F.lit(0)) + 1, F.least(m["start"], F.lit(CONTEXT)))).alias("before"),
-        F.lower(F.substring(text, m["end"] + 1, F.lit(CONTEXT))).alias("after"),
-    ))
+        F.lower(_between(strips, F.greatest(m["start"] - CONTEXT, F.lit(0)), m["start"])).alias("before"),
+        F.lower(_between(strips, m["end"], F.least(m["end"] + CONTEXT, size))).alias("after"),
+    )
+    return _let(F.length(text), lambda size: _let(_cut_up(text), lambda strips: F.transform(spans, around(strips, size))))
 
 
 def _trimmed(value: Column) -> Column:
@@ -118,7 +170,9 @@ def _trimmed(value: Column) -> Column:
 
 
 def _candidates(text: Column, base: Column) -> Column:
-    free = F.filter(_matches(text, CANDIDATE), lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    meets = lambda m, b: (b["start"] < m["end"]) & (m["start"] < b["end"])
+    blocks = F.transform(_blocks(base, BLOCK), lambda some: F.struct(some[0]["start"].alias("start"), F.array_max(F.transform(some, lambda b: b["end"])).alias("end"), some.alias("own")))
+    free = _let(blocks, lambda known: F.filter(_matches(text, CANDIDATE), lambda m: ~F.exists(known, lambda k: meets(m, k) & F.exists(k["own"], lambda b: meets(m, b)))))
     trimmed = F.transform(free, lambda m: F.struct(m["start"].alias("start"), F.lit(-1).alias("kind"), (m["start"] + F.length(_trimmed(m["value"]))).alias("end"), _trimmed(m["value"]).alias("value")))
     worth = text.rlike(CANDIDATE_HINT)
     return F.when(worth, F.filter(trimmed, lambda m: m["end"] > m["start"])).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>"))
@@ -209,14 +263,17 @@ def redact(docs: DataFrame, **limits) -> DataFrame:
     base = F.transform("__p_base", lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     d = d.withColumn("__p_all", F.sort_array(F.concat(base, F.coalesce("__p_more", F.array().cast("array<struct<start:int,kind:int,end:int>>")))))
     text, name = F.col("text"), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    cut = F.aggregate(
-        "__p_all",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda s, m: F.when(m["start"] < s["at"], F.struct(F.greatest(s["at"], m["end"]).alias("at"), s["out"].alias("out"))).otherwise(
-            F.struct(m["end"].alias("at"), F.concat(s["out"], F.substring(text, s["at"] + 1, m["start"] - s["at"]), name[m["kind"]]).alias("out"))
-        ),
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
-    )
+
+    def replaced(strips: Column, spans: Column, ends: Column) -> Column:
+        """ends: how far the spans before each reach; a span that begins before that belongs to one of them."""
+        own = F.transform(spans, lambda m, k: F.when(m["start"] >= ends[k], F.concat(_between(strips, ends[k], m["start"]), name[m["kind"]])))
+        return F.concat(F.array_join(F.array_compact(own), ""), _between(strips, F.element_at(ends, -1), F.length(text)))
+
+    def cut(spans: Column) -> Column:
+        reach = _let(F.transform(spans, lambda m: m["end"]), lambda e: _running(e, _largest))
+        return _let(reach, lambda ends: _let(_cut_up(text), lambda strips: replaced(strips, spans, ends)))
+
+    cut = _let(F.col("__p_all"), cut)
     d = d.withColumn("__p_new", F.when(text.isNull() | (F.size("__p_all") == 0), text).otherwise(cut))
     out = {"text": F.col("__p_new")} | ({"n_chars": F.when(F.size("__p_all") > 0, F.length("__p_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     return d.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns]).withColumnsRenamed(names)

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -43,6 +44,26 @@ def test_base_spans_against_plain_python(spark):
         assert x["base_sha256"] == hashlib.sha256(plain_spans(texts[x["doc_id"]]).encode()).hexdigest(), texts[x["doc_id"]]
 
 
+def test_a_text_of_very_many_matches_takes_time_in_proportion(spark):
+    """A megabyte with 50,000 matches: spans as in plain Python, redacted within seconds."""
+    r = random.Random(3)
+    kinds = [lambda k: f"user{k}@host{k % 50}.org", lambda k: f"10.0.{k % 256}.{k % 200}", lambda k: f"call\u00e9 555 867 {k % 9000 + 1000},", lambda k: f"me{k}(at)host.org"]
+    text = "".join(f"{r.choice(kinds)(k)} " for k in range(50_000))
+    frame = spark.createDataFrame([(1, text, len(text)), (2, "a@b.cc" * 3, 18), (3, "x" * 4096 + " a@b.cc", 4103)], "doc_id long, text string, n_chars long")
+    began = time.perf_counter()
+    got = {x["doc_id"]: x for x in personal_data(frame).collect()}
+    new = {x["doc_id"]: x["text"] for x in redact(frame).collect()}
+    assert time.perf_counter() - began < 60
+    for i, t in ((1, text), (2, "a@b.cc" * 3), (3, "x" * 4096 + " a@b.cc")):
+        assert got[i]["base_sha256"] == hashlib.sha256(plain_spans(t).encode()).hexdigest()
+        out, at = [], 0
+        for kind, s, e in sorted((x.split(":") for x in got[i]["spans"].split(",") if x), key=lambda x: (int(x[1]), pd.KINDS.index(x[0]), int(x[2]))):
+            if int(s) >= at:
+                out += [t[at : int(s)], f"[{kind.upper()}]"]
+            at = max(at, int(e))
+        assert new[i] == "".join(out) + t[at:]
+
+
 def test_contexts_discover_an_unseen_number(spark):
     rows = [(i, f"Contact phone: +1 (555) 555-{1000 + i} thanks a{i}") for i in range(30)] + [(100, "x contact phone: 555 867 5309 thanks b"), (101, "only 555 867 5308 here")]
     frame = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
