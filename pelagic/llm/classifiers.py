@@ -20,8 +20,9 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """At most `rows` labelled documents outside the held-out fold, as (doc_id, text, label): those of lowest hash.
 
-    Rows with a null label are left out; of several labels of a document one counts (the largest). The sampled ids and
-    labels are a table of at most `rows` rows of two numbers, so that it is broadcast to the scan of the texts.
+    Rows with a null label are left out; of several labels of a document one counts (the largest), of several texts of an
+    id too. The sampled ids and labels are a table of at most `rows` rows of two numbers, so that it is broadcast to the
+    scan of the texts.
     """
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     picked = (
@@ -29,7 +30,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
         .orderBy(F.xxhash64("__id"), "__id").limit(rows)
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
+    found = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
+    return found.groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("doc_id", "text", "label")
 
 
 def collect_features(sample: DataFrame, features: Callable[..., np.ndarray], extra: tuple[str, ...] = ("label",), by: str | None = None) -> tuple[np.ndarray, ...]:

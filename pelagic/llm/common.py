@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from itertools import count
 
@@ -26,9 +27,14 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where that is unset.
+
+    A warehouse in a machine's own folder serves a local master alone; on a cluster that is an error.
+    """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if not found:
+        if spark.conf.get("spark.sql.warehouse.dir").startswith(("file:", "/")) and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"{spark.conf.get('spark.sql.warehouse.dir')}/shared-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found

@@ -54,7 +54,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, lab
 def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, cut: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of docs (columns doc_id and text; others are not read).
 
-    A null text scores as an empty one. Rows with equal texts get equal scores. Without usable labels, or with one class
+    A null text scores as an empty one; a text of any length is read whole; a null doc_id stays, and belongs to the fold of
+    an empty one. Rows with equal texts get equal scores. Without usable labels, or with one class
     alone, every score is the same. An empty table gives no rows.
     """
     forest = fit_quality(docs, labels, rows)

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from pelagic.llm.classifiers import labelled_sample
 from pelagic.llm.gbdt import fit_forest, fit_isotonic
 from pelagic.llm.quality import quality_scores
 from pelagic.llm.quality import statistics as quality_statistics
@@ -139,3 +140,10 @@ def test_rules_reject_poor_and_keep_clean(corpus, empty):
 def test_rules_use_no_python_on_executors(corpus):
     plan = quality_report(*corpus)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_the_labelled_sample_is_bounded_by_ids(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(2000)] + [(2, "two")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    got = labelled_sample(docs, labels, "quality", 10).collect()
+    assert {(r["doc_id"], r["text"], r["label"]) for r in got} <= {(1, "text 999", 1), (2, "two", 0)} and 1 <= len(got) <= 2
