@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .boxes import boxes_points
 from .catalog import query_tiles
+from .gridding import temporal_aggregate
 from .scans import with_unit_offsets
 
 
@@ -150,3 +151,102 @@ def resize_reference(patch: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
     ok = np.isfinite(patch)
     w = a @ ok @ b.T
     return np.where(w > 0.01, a @ np.where(ok, patch, 0) @ b.T / np.maximum(w, 1e-8), np.nan)
+
+
+def axis_taps(at: Column, n_in: Column, n_out: Column) -> Column:
+    """The targets that source index `at` feeds in a bilinear resize (corners not aligned), as (to, weight). Sizes may differ by row."""
+    low = F.when(at == 0, F.lit(0)).otherwise(F.greatest(F.lit(0), F.ceil((at - 0.5) * n_out / n_in - 0.5)))
+    high = F.when(at == n_in - 1, n_out - 1).otherwise(F.least(n_out - 1, F.floor((at + 1.5) * n_out / n_in - 0.5)))
+    source = lambda t: F.least(n_in - 1.0, F.greatest(F.lit(0.0), (t + 0.5) * n_in / n_out - 0.5))
+    near = F.when(low <= high, F.transform(F.sequence(low.cast("int"), high.cast("int")), lambda t: F.struct(t.alias("to"), (1 - F.abs(source(t) - at)).alias("weight"))))
+    return F.filter(near, lambda x: x["weight"] > 0)
+
+
+def resize_each(cells: DataFrame, keys: tuple[str, ...], value: str = "val") -> DataFrame:
+    """Patches (keys, n_i, n_j: native size, h, w: wanted size, i, j, value), each from its own size to its own, in one shuffle.
+
+    Gaps don't count; a target with next to no weight is NULL. Columns h and w stay.
+    """
+    d = cells.where(F.col(value).isNotNull()).withColumn("__i", F.explode(axis_taps(F.col("i"), F.col("n_i"), F.col("w")))).withColumn("__j", F.explode(axis_taps(F.col("j"), F.col("n_j"), F.col("h"))))
+    weight = F.col("__i.weight") * F.col("__j.weight")
+    d = d.groupBy(*keys, "h", "w", F.col("__i.to").alias("i"), F.col("__j.to").alias("j")).agg(F.sum(weight * F.col(value)).alias("wv"), F.sum(weight).alias("sum"))
+    return d.select(*keys, "h", "w", "i", "j", F.when(F.col("sum") > 0.01, F.col("wv") / F.greatest(F.col("sum"), F.lit(1e-8))).alias("value"))
+
+
+def sample_patches(
+    boxes: DataFrame, cells: DataFrame, tiles: DataFrame, sources: DataFrame, regions: DataFrame, offsets: dict[str, float], temporal: str = "first", target_resolution: float | None = None
+) -> DataFrame:
+    """(query_id, variable, n_files, n_t, h, w, t, i, j, value): patches of all queries, each of its own size.
+
+    sources: (source_id, resolution: degrees, h, w: the wanted size of a patch, or NULL for what the resolution gives). A
+    day's tiles are averaged on the box's grid of the target resolution, or else of the source's own; the days are then
+    put together as `temporal` says: the first or last value of a cell, the mean, or a stack (t: the place of the day
+    among those with data, n_t of them). Last comes the resize.
+    """
+    step = F.lit(target_resolution) if target_resolution else F.col("resolution")
+    files = query_tiles(boxes, tiles, sources, regions).groupBy("query_id", "source_id").agg(F.count(F.lit(1)).alias("n_files"))
+    inside = boxes_points(boxes, with_unit_offsets(cells, offsets)).where(F.col("val").isNotNull()).join(sources, "source_id")
+    size = {n: F.greatest(F.lit(1), F.round((F.col(f"{axis}_max") - F.col(f"{axis}_min")) / step).cast("int")) for n, axis in (("n_i", "lon"), ("n_j", "lat"))}
+    inside = inside.withColumns(size)
+    at = {c: F.least(F.col(n) - 1, F.floor((F.col(axis) - F.col(f"{axis}_min")) / (F.col(f"{axis}_max") - F.col(f"{axis}_min")) * F.col(n))).cast("int") for c, n, axis in (("i", "n_i", "lon"), ("j", "n_j", "lat"))}
+    patch = ("query_id", "source_id", "variable", "n_i", "n_j", "h", "w")
+    inside = inside.withColumns(at | {"h": F.coalesce("h", "n_j"), "w": F.coalesce("w", "n_i")})
+    daily = inside.groupBy(*patch, "i", "j", "obs_date").agg(F.avg("val").alias("val"))
+    if temporal == "stack":
+        days = daily.groupBy("query_id", "variable").agg(F.sort_array(F.collect_set("obs_date")).alias("days"))  # those of a query's window
+        stacked = daily.join(days, ["query_id", "variable"]).withColumns({"t": F.array_position("days", F.col("obs_date")).cast("int") - 1, "n_t": F.size("days")})
+        merged = stacked.select(*patch, "n_t", "t", "i", "j", "val")
+    else:
+        merged = temporal_aggregate(daily, temporal, (*patch, "i", "j")).withColumnRenamed("value", "val").withColumns({"n_t": F.lit(1), "t": F.lit(0)})
+    out = resize_each(merged, ("query_id", "source_id", "variable", "n_t", "t"))
+    return out.join(files, ["query_id", "source_id"]).select("query_id", "variable", "n_files", "n_t", "h", "w", "t", "i", "j", "value")
+
+
+def assemble_patches(boxes: DataFrame, variables: DataFrame, patches: DataFrame, size: tuple[int, int], fill: float = 0.0) -> DataFrame:
+    """A row per box and variable: n_t x h x w values (time by time, row by row, gaps filled), coordinates, files.
+
+    Pairs without data are kept with present = false, no data, and coordinates of the default size (h, w).
+    """
+    place = (F.col("t") * F.col("h") + F.col("j")) * F.col("w") + F.col("i")
+    own = patches.groupBy("query_id", "variable", "n_files", "n_t", "h", "w").agg(F.map_from_entries(F.collect_list(F.struct(place.alias("at"), "value"))).alias("m"))
+    wanted = boxes.select("query_id", "lon_min", "lon_max", "lat_min", "lat_max", "date_start", "date_end").withColumn("variable", F.explode(variables_array(variables)))
+    d = wanted.join(own, ["query_id", "variable"], "left")
+    data = F.transform(F.sequence(F.lit(0), F.col("n_t") * F.col("h") * F.col("w") - 1), lambda k: F.coalesce(F.try_element_at("m", k), F.lit(fill)).cast("float"))
+
+    def spaced(axis: str, n: Column) -> Column:
+        low, high = F.col(f"{axis}_min"), F.col(f"{axis}_max")
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda k: low + k * (high - low) / F.greatest(F.lit(1), n - 1))
+
+    h, w = F.coalesce("h", F.lit(size[0])), F.coalesce("w", F.lit(size[1]))
+    return d.select(
+        "query_id", "variable", F.col("m").isNotNull().alias("present"), F.coalesce("n_files", F.lit(0)).alias("n_files"), F.coalesce("n_t", F.lit(0)).alias("n_t"), F.coalesce("h", F.lit(0)).alias("h"), F.coalesce("w", F.lit(0)).alias("w"),
+        F.when(F.col("m").isNotNull(), data).otherwise(F.array().cast("array<float>")).alias("data"), spaced("lon", w).alias("lons"), spaced("lat", h).alias("lats"),
+        F.array("lon_min", "lon_max", "lat_min", "lat_max").alias("bbox"), F.array("date_start", "date_end").alias("times"),
+    )
+
+
+def collate_patches(samples: DataFrame, batch: int, checkpoint) -> DataFrame:
+    """Batches of so many consecutive queries: what is present of a variable, padded with zeros to the largest times, rows and columns.
+
+    A query without the variable is left out of its data; a batch's boxes and dates are those of all its queries, its
+    coordinates those of its first present sample (of the first one, if none is).
+    """
+    d = samples.join(numbered(samples, "query_id", checkpoint), "query_id").withColumn("batch", F.floor(F.col("number") / batch).cast("long"))
+    top = d.groupBy("batch", "variable").agg(*[F.max(c).alias(f"top_{c[-1]}") for c in ("n_t", "h", "w")])
+
+    def padded(n_t: Column, h: Column, w: Column, data: Column) -> Column:
+        zeros = lambda n: F.array_repeat(F.lit(0.0).cast("float"), n)
+        line = lambda t, y: F.when((t < n_t) & (y < h), F.concat(F.slice(data, (t * h + y) * w + 1, w), zeros(F.col("top_w") - w))).otherwise(zeros(F.col("top_w")))
+        lines = F.transform(F.sequence(F.lit(0), F.col("top_t") * F.col("top_h") - 1), lambda k: line(F.floor(k / F.col("top_h")).cast("int"), (k % F.col("top_h")).cast("int")))
+        return F.flatten(lines)
+
+    keys = ["batch", "variable", "top_t", "top_h", "top_w"]
+    data = F.when(F.col("present"), padded(F.col("n_t"), F.col("h"), F.col("w"), F.col("data")))
+    one = d.join(top, ["batch", "variable"]).select(*keys, F.struct("query_id", "present", data.alias("data"), "lons", "lats", "bbox", "times").alias("s"))
+    out = one.groupBy(*keys).agg(F.sort_array(F.collect_list("s")).alias("s"))
+    there = F.filter("s", lambda x: x["present"])
+    first = F.coalesce(F.get(there, F.lit(0)), F.get(F.col("s"), F.lit(0)))
+    return out.select(
+        *keys, F.transform(there, lambda x: x["query_id"]).alias("query_ids"), F.transform(there, lambda x: x["data"]).alias("data"), first["lons"].alias("lons"), first["lats"].alias("lats"),
+        F.col("s.bbox").alias("bboxes"), F.col("s.times").alias("time_ranges"),
+    )

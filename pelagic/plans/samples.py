@@ -80,6 +80,60 @@ R.add(
     f"""WITH {_SAMPLES} SELECT number // 8 AS batch, variable, 8 AS top_h, 8 AS top_w, ROUND(ARG_MIN(lon_min, number) OVER (PARTITION BY number // 8, variable), 6) AS lon, CAST(number % 8 AS INT) AS place, query_id, present, total, ROUND(lon_min, 6) AS lon_min, date_end
  FROM (SELECT query_id, variable, number, present, lon_min, date_end, ROUND(SUM(value::FLOAT::DOUBLE), 2) AS total FROM samples GROUP BY ALL)""", "boxes", "obs",
 )
+#: Three sources of the observations: resolution in degrees, and the size (h, w) of their patches where one is wanted.
+_SOURCES = [(0, 2.5, None, None), (1, 2.0, 6, 7), (2, 5.0, None, 3)]
+
+
+def _patches(s, d, how: str):
+    """Observations as cells of three sources of different resolution, and the patches of all boxes over their days."""
+    source = (F.col("obs_id") % 3).cast("int")
+    cells = view(s, d, "obs").withColumns({"source_id": source, "variable": F.concat(F.lit("v"), source)}).withColumn("val", F.when(F.col("source_id") == 1, F.col("val") + 273.15).otherwise(F.col("val")))
+    tiles = with_cells(cells, 10.0).groupBy("source_id", "obs_date", "region_id").agg(F.min("obs_id").alias("file_id"))
+    sources = s.createDataFrame(_SOURCES, "source_id int, resolution double, h int, w int")
+    return p.sample_patches(view(s, d, "boxes"), cells, tiles, sources, region_boxes(s), {"v1": -273.15}, how)
+
+
+_PATCH_VALUES = {"first": "ARG_MIN(val, obs_date)", "last": "ARG_MAX(val, obs_date)", "mean": "AVG(val)"}
+
+
+def _weight(axis: str, at: str, n_in: str, n_out: str) -> str:
+    return f"1 - ABS(LEAST({n_in} - 1.0, GREATEST(0.0, ({axis} + 0.5)*{n_in}/{n_out} - 0.5)) - {at})"
+
+
+def patches_sql(how: str) -> str:
+    """Tables up to patches (query_id, variable, n_t, h, w, t, i, j, value)."""
+    merged = (
+        "SELECT d.* EXCLUDE obs_date, days.t, n_t FROM daily d JOIN days USING (query_id, variable, obs_date)" if how == "stack"
+        else f"SELECT query_id, variable, n_i, n_j, h, w, i, j, {_PATCH_VALUES[how]} AS val, 0 AS t, 1 AS n_t FROM daily GROUP BY ALL"
+    )
+    return f"""own_sources(source_id, resolution, h, w) AS (VALUES {", ".join(str(r).replace("None", "NULL") for r in _SOURCES)}),
+ sized AS (SELECT query_id, 'v' || s.source_id AS variable, obs_date, lon, lat, val, lon_min, lon_max, lat_min, lat_max, ROUND((lon_max-lon_min)/resolution)::INT AS n_i, ROUND((lat_max-lat_min)/resolution)::INT AS n_j, h, w
+ FROM boxes JOIN obs ON val IS NOT NULL AND obs_date BETWEEN date_start AND date_end AND lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max JOIN own_sources s ON s.source_id = obs_id % 3),
+ daily AS (SELECT query_id, variable, n_i, n_j, COALESCE(h, n_j) AS h, COALESCE(w, n_i) AS w, LEAST(n_i-1, FLOOR((lon-lon_min)/(lon_max-lon_min)*n_i))::INT AS i, LEAST(n_j-1, FLOOR((lat-lat_min)/(lat_max-lat_min)*n_j))::INT AS j, obs_date, AVG(val) AS val FROM sized GROUP BY ALL),
+ days AS (SELECT query_id, variable, obs_date, CAST(ROW_NUMBER() OVER w - 1 AS INT) AS t, CAST(COUNT(*) OVER (PARTITION BY query_id, variable) AS INT) AS n_t FROM (SELECT DISTINCT query_id, variable, obs_date FROM daily) WINDOW w AS (PARTITION BY query_id, variable ORDER BY obs_date)),
+ merged AS ({merged}),
+ patches AS (SELECT query_id, variable, n_t, h, w, t, x::INT AS i, y::INT AS j, CASE WHEN SUM(a*b) > 0.01 THEN SUM(a*b*val)/SUM(a*b) END AS value FROM
+ (SELECT m.*, x.x, y.y, {_weight('x.x', 'i', 'n_i', 'w')} AS a, {_weight('y.y', 'j', 'n_j', 'h')} AS b FROM merged m JOIN range(12) AS x(x) ON x.x < w JOIN range(12) AS y(y) ON y.y < h) WHERE a > 0 AND b > 0 GROUP BY ALL)"""
+
+
+def _patch_batches(s, d):
+    samples = p.assemble_patches(view(s, d, "boxes"), view(s, d, "obs").select(F.concat(F.lit("v"), F.col("obs_id") % 3).alias("variable")), _patches(s, d, "stack"), (6, 7))
+    one = p.collate_patches(samples, 8, written(s)).select("batch", "variable", "top_t", "top_h", "top_w", F.size("bboxes").alias("n_queries"), F.explode(F.arrays_zip("query_ids", "data")).alias("s"))
+    return one.select("batch", "variable", "top_t", "top_h", "top_w", "n_queries", F.col("s.query_ids").alias("query_id"), F.posexplode("s.data").alias("k", "value")).withColumn("value", F.round(F.col("value").cast("double"), 3))
+
+
+for _how in ("first", "last", "mean", "stack"):
+    R.add(
+        f"r2_patches_{_how}", lambda s, d, how=_how: rounded(_patches(s, d, how).drop("n_files"), 7),
+        f"WITH {patches_sql(_how)} SELECT query_id, variable, n_t, h, w, t, i, j, ROUND(value, 7) AS value FROM patches", "boxes", "obs",
+    )
+R.add(
+    "r3_padded_batches", _patch_batches,
+    f"""WITH {patches_sql('stack')}, numbers AS (SELECT query_id, ROW_NUMBER() OVER (ORDER BY query_id) - 1 AS number FROM boxes), shapes AS (SELECT DISTINCT query_id, variable, number // 8 AS batch, n_t, h, w FROM patches JOIN numbers USING (query_id)),
+ tops AS (SELECT batch, variable, MAX(n_t) AS top_t, MAX(h) AS top_h, MAX(w) AS top_w FROM shapes GROUP BY ALL), sizes AS (SELECT number // 8 AS batch, CAST(COUNT(*) AS INT) AS n_queries FROM numbers GROUP BY 1)
+ SELECT batch, shapes.variable, top_t, top_h, top_w, n_queries, shapes.query_id, CAST(k AS INT) AS k, ROUND(COALESCE(value, 0)::FLOAT::DOUBLE, 3) AS value FROM shapes JOIN tops USING (batch, variable) JOIN sizes USING (batch) JOIN range(2000) AS r(k) ON k < top_t*top_h*top_w
+ LEFT JOIN patches p ON p.query_id = shapes.query_id AND p.variable = shapes.variable AND p.t = k // (top_h*top_w) AND p.j = k // top_w % top_h AND p.i = k % top_w""", "boxes", "obs",
+)
 R.add(
     "a15_sample_statistics", lambda s, d: rounded(st.sample_statistics(_sample_cells(s, d)), 5),
     f"WITH {_SAMPLES} SELECT variable, ROUND(AVG(value), 5) AS mean, ROUND(STDDEV_POP(value), 5) AS std, ROUND(VAR_POP(value), 5) AS var, ROUND(MIN(value), 5) AS min, ROUND(MAX(value), 5) AS max, COUNT(value) AS count, ROUND(QUANTILE_CONT(value, 0.02), 5) AS p_low, ROUND(QUANTILE_CONT(value, 0.98), 5) AS p_high FROM own WHERE value IS NOT NULL GROUP BY 1", "boxes", "obs",
