@@ -173,11 +173,11 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
         cut = len(text) // 4
         edited = text[: len(text) - cut] + after[:cut]
         edited_print = make(edited)
-        return doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), own, edited_print, likeness(own, edited_print), likeness(own, after_print)
+        return doc, len(text), hashlib.sha256(edited.encode()).digest(), bytes.fromhex(own), bytes.fromhex(edited_print), likeness(own, edited_print), likeness(own, after_print)
 
     def batch_of(out: list[tuple], doc_type: pa.DataType, **ends: list) -> pa.RecordBatch:
         columns = list(zip(*out)) or [()] * len(names)
-        kinds = [doc_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        kinds = [doc_type, pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
         text = [("text", pa.string()), ("own", pa.string())]
         for name, kind in (("part", pa.int64()), ("head", pa.struct(text)), ("last", pa.struct([("doc_id", doc_type), *text]))):
@@ -206,9 +206,10 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
             out = [row(make, *last.values(), *head.values()) for last, head in zip(batch.column("last").to_pylist(), batch.column("head").to_pylist())]
             yield batch_of(out, batch.column("last").type.field(0).type).select(names)
 
-    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
     ends = f"part long, head struct<text:string,own:string>, last struct<doc_id:{kind},text:string,own:string>"
     # one pass gives the rows and the ranges' ends, and is written: ranges are cut at sampled ids, anew each time that they are planned
     found = materialize(in_order(docs).sortWithinPartitions("key", "tie", "row").mapInArrow(within, f"{schema}, {ends}"), "fingerprints")
     met = seams(found.where("part is not null").select("part", "head", "last"))
-    return found.where("part is null").select(*names).unionByName(met.mapInArrow(between, schema))
+    rows = found.where("part is null").select(*names).unionByName(met.mapInArrow(between, schema))
+    return rows.select(*[F.lower(F.hex(c)).alias(c) if t == "binary" else F.col(c) for c, t in rows.dtypes])
