@@ -86,9 +86,10 @@ def availability_segments(tiles: DataFrame) -> DataFrame:
 
 
 def first_per_key(tiles: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """One row per key, the first in an explicit order."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return tiles.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    """One row per key, the one of the smallest values of `order`: tasks combine what they have before rows move."""
+    others = [c for c in tiles.columns if c not in keys]
+    first = F.min_by(F.struct(*others), F.struct(*[F.col(o).alias(f"o{k}") if isinstance(o, str) else o.alias(f"o{k}") for k, o in enumerate(order)]))
+    return tiles.groupBy(*keys).agg(first.alias("__first")).select(*[F.col(c) if c in keys else F.col("__first")[c].alias(c) for c in tiles.columns])
 
 
 def cap_per_key(tiles: DataFrame, keys: list[str], order: list, most: int = MAX_TILES) -> DataFrame:
@@ -159,7 +160,7 @@ def highest_version(files: DataFrame, name: str = "filename", pattern: str = r"^
     """The highest version of each base name; names that don't fit the pattern stay."""
     fits = F.col(name).rlike(pattern)
     d = files.withColumn("__base", F.when(fits, F.regexp_extract(name, pattern, 1)).otherwise(F.col(name))).withColumn("__version", F.when(fits, F.regexp_extract(name, pattern, 2).cast("int")).otherwise(0))
-    return first_per_key(d, ["__base"], [F.desc("__version"), F.col(name)]).drop("__base", "__version")
+    return first_per_key(d, ["__base"], [-F.col("__version"), F.col(name)]).drop("__base", "__version")
 
 
 def product_priority(files: DataFrame, products: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import bin_left, bin_right, region_id
+from ..functions.special import correlation_p
 from ..functions.temporal import season
 from .statistics import exact_percentiles
 
@@ -46,13 +47,17 @@ def global_skill(pairs: DataFrame, keys: tuple[str, ...] = (), min_count: int =
 
 
 def pair_skill(pairs: DataFrame, keys: tuple[str, ...] = (), min_count: int = 3) -> DataFrame:
-    """Sample statistics (ddof 1): bias, RMSE, correlation with its t statistic, spreads, centred RMSE of the differences."""
+    """Sample statistics (ddof 1): bias, RMSE, correlation with its t statistic and p-value, spreads, centred RMSE of the differences.
+
+    std_ratio, norm_bias and norm_crmse are by the spread of the observations, NULL where that is 0.
+    """
     d = F.col("ref") - F.col("obs")
     out = pairs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg(d).alias("bias"), F.sqrt(F.avg(d * d)).alias("rmse"), F.corr("obs", "ref").alias("r"), F.stddev_samp("obs").alias("std_obs"), F.stddev_samp("ref").alias("std_ref"), F.stddev_pop(d).alias("crmse")
     )
     t = F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") ** 2))
-    return out.where(F.col("n") >= min_count).withColumn("t", F.when(F.abs("r") < 1, t))
+    by_spread = {name: F.when(F.col("std_obs") > 0, F.col(c) / F.col("std_obs")) for name, c in (("std_ratio", "std_ref"), ("norm_bias", "bias"), ("norm_crmse", "crmse"))}
+    return out.where(F.col("n") >= min_count).withColumns({"t": F.when(F.abs("r") < 1, t), "p_value": correlation_p(F.col("r"), F.col("n"))} | by_spread)
 
 
 def binned_bias(pairs: DataFrame, step: float = 2.0, min_count: int = 3, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -111,8 +116,8 @@ def bias_limit(pairs: DataFrame, floor: float = 0.05) -> DataFrame:
 
 
 def temporal_correlation(pairs: DataFrame) -> DataFrame:
-    """Correlation over time by cell, only where no day of the period is missing in either series."""
-    days = pairs.select("obs_date").distinct().agg(F.count(F.lit(1)).alias("n_days"))
+    """Correlation over time by cell, only where no day of the period, from the first date to the last, is missing in either series."""
+    days = pairs.agg((F.date_diff(F.max("obs_date"), F.min("obs_date")) + 1).alias("n_days"))
     by = pairs.groupBy("i", "j").agg(F.corr("obs", "ref").alias("r"), F.count_distinct("obs_date").alias("n"))
     return by.join(F.broadcast(days)).select("i", "j", "n", F.when(F.col("n") == F.col("n_days"), F.col("r")).alias("r"))
 

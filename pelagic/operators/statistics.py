@@ -2,31 +2,104 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..sources.tables import written
 
-def exact_percentiles(frame: DataFrame, keys: tuple[str, ...], value: str, at: list[float], accuracy: int = 10_000) -> DataFrame:
+
+#: Different values of a group and percentile that one task puts in order, at most; and the parts of a round that narrows them.
+SELECTED_VALUES, PARTS = 50_000, 1024
+
+
+def exact_percentiles(frame: DataFrame, keys: tuple[str, ...], value: str, at: list[float], accuracy: int = 10_000, most: int = SELECTED_VALUES) -> DataFrame:
     """(keys, n, q): interpolated percentiles as an array, exact, without a group's values in one place.
 
-    Approximate percentiles bracket each wanted one; values below a bracket are counted, and only those within it, some
-    0.4 percent of a group (all of a small one), are put in order.
+    Approximate percentiles bracket each wanted one. Values below a bracket are counted; those within it, some 0.4 percent
+    of a group (all of a small one), become one row for each different value, with its count, so that ties cost nothing.
+    Brackets of more than `most` different values are narrowed in rounds: cut into equal parts, of which counts say
+    which one, or which two, hold the wanted ranks. What is left is put in order.
     """
+    by, write = ["__all", *keys], written(frame.sparkSession)
     d = frame.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, F.lit(0).alias("__all"), F.col(value).cast("double").alias("__v"))
-    by, near, small = ["__all", *keys], 0.002, F.count(F.lit(1)) < 2000
+    near, small = 0.002, F.count(F.lit(1)) < 2000
     low, high = ([F.when(small, end("__v")).otherwise(F.percentile_approx("__v", min(1.0, max(0.0, p + s)), accuracy)) for p in at] for s, end in ((-near, F.min), (near, F.max)))
     wanted = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("p"), a.alias("low"), b.alias("high")) for k, (p, a, b) in enumerate(zip(at, low, high))])
-    brackets = d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), wanted.alias("__w")).select(*by, "n", F.explode("__w").alias("__w")).withColumn("__k", F.col("__w.k"))
-    met = d.join(brackets, by)
-    below = met.groupBy(*by, "__k").agg(F.count_if(F.col("__v") < F.col("__w.low")).alias("__below"))
-    rank = F.row_number().over(Window.partitionBy(*by, "__k").orderBy("__v"))
-    within = met.where(F.col("__v").between(F.col("__w.low"), F.col("__w.high"))).withColumn("__rank", rank).join(below, [*by, "__k"])
-    place, at_ = F.col("__w.p") * (F.col("n") - 1), F.col("__rank") + F.col("__below") - 1
-    share = F.when(at_ == F.floor(place), 1 - (place - F.floor(place))).when(at_ == F.floor(place) + 1, place - F.floor(place))
-    one = within.withColumn("__share", share).where("__share IS NOT NULL").groupBy(*by, "n", "__k").agg(F.sum(F.col("__share") * F.col("__v")).alias("__v"))
+    brackets = write(d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), wanted.alias("__w")))
+    met = d.join(brackets.select(*by, "__w"), by)
+    sides = F.transform("__w", lambda w: F.struct(w["k"].alias("__k"), F.when(F.col("__v") < w["low"], F.lit(None).cast("double")).otherwise(F.col("__v")).alias("__v"), (F.col("__v") <= w["high"]).alias("__in")))
+    # a row for each percentile and value within its bracket (those below it as NULL), combined where it arises
+    counted = met.select(*by, F.explode(F.filter(sides, lambda x: x["__v"].isNull() | x["__in"])).alias("s")).groupBy(*by, "s.__k", "s.__v").agg(F.count(F.lit(1)).alias("__c"))
+    counted = write(counted)
+    below = counted.where("__v IS NULL").select(*by, "__k", F.col("__c").alias("__below"))
+    place = brackets.select(*by, "n", F.explode("__w").alias("w")).select(*by, "n", F.col("w.k").alias("__k"), (F.col("w.p") * (F.col("n") - 1)).alias("__place"))
+    targets = place.join(below, [*by, "__k"], "left").withColumn("__below", F.coalesce("__below", F.lit(0).cast("long")))
+    values = counted.where("__v IS NOT NULL")
+    while (values.groupBy(*by, "__k").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0) > most:
+        values, targets = _narrowed(values, targets, by, write)
+    running = Window.partitionBy(*by, "__k").orderBy("__v")
+    ranked = values.join(targets, [*by, "__k"]).withColumn("__last", F.col("__below") + F.sum("__c").over(running) - 1).withColumn("__first", F.col("__last") - F.col("__c") + 1)
+    rank, part = F.floor("__place"), F.col("__place") - F.floor("__place")
+    share = F.when(rank.between(F.col("__first"), F.col("__last")), 1 - part).otherwise(0.0) + F.when((rank + 1).between(F.col("__first"), F.col("__last")), part).otherwise(0.0)
+    one = ranked.withColumn("__share", share).where("__share > 0").groupBy(*by, "n", "__k").agg(F.sum(F.col("__share") * F.col("__v")).alias("__v"))
     return one.groupBy(*by, "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("__k", "__v"))), lambda x: x["__v"]).alias("q")).drop("__all")
 
 
+def _narrowed(values: DataFrame, targets: DataFrame, by: list[str], write) -> tuple[DataFrame, DataFrame]:
+    """(values, targets) with only the parts of each bracket that hold the wanted ranks, and with what lies below them added."""
+    key = [*by, "__k"]
+    ends = values.groupBy(*key).agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+    share = (F.col("__v") / 2 - F.col("__low") / 2) / (F.col("__high") / 2 - F.col("__low") / 2)
+    cut = values.join(ends, key).withColumn("__part", F.when(F.col("__high") > F.col("__low"), F.least(F.lit(PARTS - 1), F.floor(share * PARTS).cast("int"))).otherwise(0))
+    parts = cut.groupBy(*key, "__part").agg(F.sum("__c").alias("__c"))  # at most PARTS rows of a bracket
+    running = Window.partitionBy(*key).orderBy("__part")
+    placed = parts.join(targets, key).withColumn("__last", F.col("__below") + F.sum("__c").over(running) - 1)
+    rank, first = F.floor("__place"), F.col("__last") - F.col("__c") + 1
+    kept = placed.where((first <= rank + 1) & (F.col("__last") >= rank)).withColumn("__first", first)
+    moved = write(kept.groupBy(*key, "n", "__place").agg(F.min("__first").alias("__below"), F.min("__part").alias("__from"), F.max("__part").alias("__to")))
+    inside = cut.join(moved.select(*key, "__from", "__to"), key).where(F.col("__part").between(F.col("__from"), F.col("__to")))
+    return write(inside.select(*key, "__v", "__c")), moved.drop("__from", "__to")
+
+
+#: Rank error of a kept sketch of 2^KLL_K items a level: some 1.3 / 2^9 at this size, whatever is merged.
+KLL_K = 400
+
+
+def day_states(frame: DataFrame, keys: tuple[str, ...], value: str = "val", date: str = "obs_date") -> DataFrame:
+    """Mergeable states by day and keys: count, mean, sum of squared deviations (m2), extremes, and a quantile sketch of bounded size."""
+    d = frame.where(F.col(value).isNotNull() & ~F.isnan(value))
+    v = F.col(value).cast("double")
+    return d.groupBy(date, *[k for k in keys if k != date]).agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(F.lit(1))).alias("m2"), F.min(v).alias("min"), F.max(v).alias("max"), F.kll_sketch_agg_double(v, KLL_K).alias("sketch"))
+
+
+def keep_states(states: DataFrame, path: str, date: str = "obs_date") -> None:
+    """Adds days to a kept table, a folder for each; a day that is there is replaced, so that running it again changes nothing."""
+    states.repartition(date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+
+
+def read_states(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+def merged_states(states: DataFrame, keys: tuple[str, ...], at: tuple[float, ...] = (), date: str = "obs_date") -> DataFrame:
+    """(keys, n, mean, std, var, min, max and, if asked for, q: percentiles) over the days of kept states.
+
+    Days are merged pair by pair, in order: means by their counts, squared deviations with those between the means. A
+    group has a state per day, however many values there were.
+    """
+    def merged(a, b):
+        n, gap = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(n.alias("n"), (a["mean"] + gap * b["n"] / n).alias("mean"), (a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n).alias("m2"))
+
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    days = F.sort_array(F.collect_list(F.struct(date, "n", "mean", "m2")))
+    d = states.where("n > 0").groupBy(*keys).agg(F.aggregate(days, zero, merged).alias("s"), F.min("min").alias("min"), F.max("max").alias("max"), F.kll_merge_agg_double("sketch", KLL_K).alias("sketch"))
+    var = F.col("s.m2") / F.col("s.n")
+    more = [F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, at))).alias("q")] if at else []
+    return d.select(*keys, "s.n", "s.mean", F.sqrt(var).alias("std"), var.alias("var"), "min", "max", *more)
+
+
 def moments(frame: DataFrame, keys: tuple[str, ...], value: str = "val") -> DataFrame:
     """Mean, population spread and variance, extremes and count; (0, 1, 0, 0, 0, 0) below two values."""
     d = frame.groupBy(*keys).agg(F.count(value).alias("__k"), F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"), F.var_pop(value).alias("__v"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
@@ -38,12 +111,13 @@ def moments(frame: DataFrame, keys: tuple[str, ...], value: str = "val") -> Data
 
 
 def percentiles(frame: DataFrame, keys: tuple[str, ...], value: str = "val", low: float = 0.02, high: float = 0.98, approximate: bool = False) -> DataFrame:
-    """Low and high percentiles, NULL below ten values; exact, or in bounded memory."""
-    def at(p: float) -> Column:
-        found = F.percentile_approx(value, p, 10_000) if approximate else F.percentile(value, p)
-        return F.when(F.count(value) >= 10, found)
-
-    return frame.groupBy(*keys).agg(at(low).alias("p_low"), at(high).alias("p_high"))
+    """Low and high percentiles, NULL below ten values; exact by selection, or approximate in one pass."""
+    names = ("p_low", "p_high")
+    if approximate:
+        return frame.groupBy(*keys).agg(*[F.when(F.count(value) >= 10, F.percentile_approx(value, p, 10_000)).alias(name) for p, name in zip((low, high), names)])
+    q = exact_percentiles(frame, keys, value, [low, high])
+    groups = frame.select(*keys).distinct()
+    return groups.join(q, [groups[k].eqNullSafe(q[k]) for k in keys], "left").select(*[groups[k] for k in keys], *[F.when(F.col("n") >= 10, F.col("q")[k]).alias(name) for k, name in enumerate(names)])
 
 
 def loss_statistics(pairs: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -54,9 +128,11 @@ def loss_statistics(pairs: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     e = F.col("orig") - F.col("packed")
     d = pairs.where("orig IS NOT NULL AND packed IS NOT NULL").withColumn("e", e).withColumn("a", F.abs("e"))
     out = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_valid"), F.avg("a").alias("mae"), F.sqrt(F.avg(F.col("e") ** 2)).alias("rmse"), F.max("a").alias("max_abs"), F.percentile("a", 0.99).alias("p99"), F.percentile(F.when(F.col("a") > 0, F.col("a")), 0.99).alias("p99_nonzero"),
+        F.count(F.lit(1)).alias("n_valid"), F.avg("a").alias("mae"), F.sqrt(F.avg(F.col("e") ** 2)).alias("rmse"), F.max("a").alias("max_abs"),
         F.avg((F.col("a") > 0).cast("double")).alias("nonzero_share"), F.avg("e").alias("bias"), (F.max("orig") - F.min("orig")).alias("range_orig"), (F.max("packed") - F.min("packed")).alias("range_packed"),
     )
+    for name, own in (("p99", d), ("p99_nonzero", d.where("a > 0"))):
+        out = out.join(exact_percentiles(own, keys, "a", [0.99]).select(*keys, F.col("q")[0].alias(name)), list(keys), "left")
     odd = (F.col("p99") < F.col("rmse")) & (F.coalesce("p99_nonzero", F.lit(0.0)) > 0) & (F.col("nonzero_share") < 0.1)
     return out.withColumn("p99_reported", F.when(odd, F.col("p99_nonzero")).otherwise(F.col("p99")))
 
@@ -73,8 +149,8 @@ def storage_gain(frame: DataFrame, keys: tuple[str, ...], item_bytes: Column) ->
 
 
 def timing_summary(log: DataFrame, keys: tuple[str, ...], seconds: str) -> DataFrame:
-    q = F.percentile(seconds, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    d = log.groupBy(*keys).agg(q.alias("q"), F.avg(seconds).alias("mean"), F.stddev_pop(seconds).alias("std"), F.min(seconds).alias("min"), F.max(seconds).alias("max"), (F.count(F.lit(1)) / F.sum(seconds)).alias("per_second"))
+    q = exact_percentiles(log, keys, seconds, [0.05, 0.5, 0.95]).select(*keys, "q")
+    d = log.groupBy(*keys).agg(F.avg(seconds).alias("mean"), F.stddev_pop(seconds).alias("std"), F.min(seconds).alias("min"), F.max(seconds).alias("max"), (F.count(F.lit(1)) / F.sum(seconds)).alias("per_second")).join(q, list(keys))
     return d.select(*keys, F.col("q")[1].alias("median"), "mean", "std", F.col("q")[0].alias("p5"), F.col("q")[2].alias("p95"), "min", "max", "per_second")
 
 

@@ -17,11 +17,11 @@ _IOU = """(GREATEST(0, LEAST(a.lon_max, b.lon_max) - GREATEST(a.lon_min, b.lon_m
 _AREA = "((a.lon_max-a.lon_min)*(a.lat_max-a.lat_min) + (b.lon_max-b.lon_min)*(b.lat_max-b.lat_min))"
 IOU_PAIRS = f"""SELECT a.query_id AS a, b.query_id AS b, {_IOU} / ({_AREA} - {_IOU}) AS iou FROM boxes a JOIN boxes b ON a.query_id < b.query_id
  AND a.date_start <= b.date_end AND b.date_start <= a.date_end AND a.lon_min < b.lon_max AND b.lon_min < a.lon_max AND a.lat_min < b.lat_max AND b.lat_min < a.lat_max"""
-FRACTION = """windows AS (SELECT *, GREATEST(0, LEAST(1440, FLOOR((lon_min+180)/0.25)))::INT AS w, GREATEST(0, LEAST(1440, FLOOR((lon_max+180)/0.25)+1))::INT AS e,
- GREATEST(0, LEAST(720, FLOOR((lat_min+90)/0.25)))::INT AS s, GREATEST(0, LEAST(720, FLOOR((lat_max+90)/0.25)+1))::INT AS n FROM boxes),
- sums AS MATERIALIZED (SELECT i, j, SUM(row_sum) OVER (PARTITION BY j ORDER BY i) AS land FROM (SELECT i, j, SUM(is_land::INT) OVER (PARTITION BY i ORDER BY j) AS row_sum FROM land)),
+FRACTION = """windows AS (SELECT *, CASE WHEN n > 0 AND e > 0 THEN (n-1)*1440 + e-1 END AS ne, CASE WHEN n > 0 AND w > 0 THEN (n-1)*1440 + w-1 END AS nw, CASE WHEN s > 0 AND e > 0 THEN (s-1)*1440 + e-1 END AS se, CASE WHEN s > 0 AND w > 0 THEN (s-1)*1440 + w-1 END AS sw FROM (SELECT *, GREATEST(0, LEAST(1440, FLOOR((lon_min+180)/0.25)))::INT AS w, GREATEST(0, LEAST(1440, FLOOR((lon_max+180)/0.25)+1))::INT AS e,
+ GREATEST(0, LEAST(720, FLOOR((lat_min+90)/0.25)))::INT AS s, GREATEST(0, LEAST(720, FLOOR((lat_max+90)/0.25)+1))::INT AS n FROM boxes)),
+ sums AS MATERIALIZED (SELECT i*1440 + j AS corner, SUM(row_sum) OVER (PARTITION BY j ORDER BY i) AS land FROM (SELECT i, j, SUM(is_land::INT) OVER (PARTITION BY i ORDER BY j) AS row_sum FROM land)),
  fractions AS (SELECT q.*, CASE WHEN (e-w)*(n-s) > 0 THEN (COALESCE(p1.land,0) - COALESCE(p2.land,0) - COALESCE(p3.land,0) + COALESCE(p4.land,0))::DOUBLE / ((e-w)*(n-s)) ELSE 0 END AS land_fraction FROM windows q
- LEFT JOIN sums p1 ON p1.i = n-1 AND p1.j = e-1 LEFT JOIN sums p2 ON p2.i = n-1 AND p2.j = w-1 LEFT JOIN sums p3 ON p3.i = s-1 AND p3.j = e-1 LEFT JOIN sums p4 ON p4.i = s-1 AND p4.j = w-1)"""
+ LEFT JOIN sums p1 ON p1.corner = ne LEFT JOIN sums p2 ON p2.corner = nw LEFT JOIN sums p3 ON p3.corner = se LEFT JOIN sums p4 ON p4.corner = sw)"""
 
 
 def _boxes(spark, sf):

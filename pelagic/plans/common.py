@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixtures import with_views
-from ..sources.tables import shared_folder
+from ..sources.tables import written as written  # noqa: PLC0414
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,16 +26,6 @@ class Registry:
             self.sql[name] = with_views(sql.strip(), *views) if views else sql
 
 
-def written(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
-    """Cuts the lineage of frames by writing them to the shared folder."""
-    def write(frame: DataFrame) -> DataFrame:
-        path = f"{shared_folder(spark)}/written-{uuid4().hex}"
-        frame.write.parquet(path)
-        return spark.read.schema(frame.schema).parquet(path)
-
-    return write
-
-
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to so many digits: sums over a shuffle depend on the order of their rows in the last ones."""
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])

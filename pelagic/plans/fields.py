@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from ..dims import VARIABLES
@@ -9,6 +11,7 @@ from ..fixtures import view
 from ..functions import codec
 from ..operators import statistics as st
 from ..operators import tracks as t
+from ..sources.tables import shared_folder
 from .common import Registry, rounded
 
 R = Registry()
@@ -108,8 +111,8 @@ R.add(
 _LOSS = """SELECT product, obs_date, COUNT(*) AS n_valid, AVG(a) AS mae, SQRT(AVG(e*e)) AS rmse, MAX(a) AS max_abs, QUANTILE_CONT(a, 0.99) AS p99, QUANTILE_CONT(CASE WHEN a > 0 THEN a END, 0.99) AS p99_nonzero, AVG((a > 0)::INT) AS nonzero_share, AVG(e) AS bias,
  MAX(orig)-MIN(orig) AS range_orig, MAX(packed)-MIN(packed) AS range_packed FROM (SELECT *, orig - packed AS e, ABS(orig - packed) AS a FROM packed) GROUP BY 1, 2"""
 R.add(
-    "a34_loss_statistics", lambda s, d: rounded(st.loss_statistics(_packed(s, d), ("product", "obs_date")).withColumn("p99_nonzero", F.coalesce("p99_nonzero", F.lit(0.0))), 8),
-    f"WITH {_PACKED}, loss AS ({_LOSS}) SELECT product, obs_date, n_valid, ROUND(mae, 8) AS mae, ROUND(rmse, 8) AS rmse, ROUND(max_abs, 8) AS max_abs, ROUND(p99, 8) AS p99, ROUND(COALESCE(p99_nonzero, 0), 8) AS p99_nonzero, ROUND(nonzero_share, 8) AS nonzero_share, ROUND(bias, 8) AS bias, ROUND(range_orig, 8) AS range_orig, ROUND(range_packed, 8) AS range_packed, ROUND(CASE WHEN p99 < rmse AND p99_nonzero > 0 AND nonzero_share < 0.1 THEN p99_nonzero ELSE p99 END, 8) AS p99_reported FROM loss", "cells",
+    "a34_loss_statistics", lambda s, d: rounded(st.loss_statistics(_packed(s, d), ("product", "obs_date")).withColumn("p99_nonzero", F.coalesce("p99_nonzero", F.lit(0.0))), 11),
+    f"WITH {_PACKED}, loss AS ({_LOSS}) SELECT product, obs_date, n_valid, ROUND(mae, 11) AS mae, ROUND(rmse, 11) AS rmse, ROUND(max_abs, 11) AS max_abs, ROUND(p99, 11) AS p99, ROUND(COALESCE(p99_nonzero, 0), 11) AS p99_nonzero, ROUND(nonzero_share, 11) AS nonzero_share, ROUND(bias, 11) AS bias, ROUND(range_orig, 11) AS range_orig, ROUND(range_packed, 11) AS range_packed, ROUND(CASE WHEN p99 < rmse AND p99_nonzero > 0 AND nonzero_share < 0.1 THEN p99_nonzero ELSE p99 END, 11) AS p99_reported FROM loss", "cells",
 )
 
 
@@ -128,6 +131,36 @@ R.add(
     "SELECT track_id, obs_date, " + ", ".join(_MOMENTS.format(*x) for x in (("AVG(val)", 0, "mean"), ("STDDEV_POP(val)", 1, "std"), ("VAR_POP(val)", 0, "var"), ("MIN(val)", 0, "min"), ("MAX(val)", 0, "max"))) + ", CASE WHEN COUNT(val) >= 2 THEN COUNT(val) ELSE 0 END AS count FROM obs GROUP BY 1, 2", "obs",
 )
 R.add("a14_percentiles", lambda s, d: rounded(st.percentiles(_obs(s, d), ("track_id", "obs_date"))), "SELECT track_id, obs_date, CASE WHEN COUNT(val) >= 10 THEN ROUND(QUANTILE_CONT(val, 0.02), 6) END AS p_low, CASE WHEN COUNT(val) >= 10 THEN ROUND(QUANTILE_CONT(val, 0.98), 6) END AS p_high FROM obs GROUP BY 1, 2", "obs")
+
+
+def _kept(s, d):
+    """Moments by track from kept states of days: three runs, of which the last two bring days that are there already."""
+    obs, path = _obs(s, d), f"{shared_folder(s)}/states-{uuid4().hex}"
+    states = lambda low, high: st.day_states(obs.where(F.dayofmonth("obs_date").between(low, high)), ("track_id",))
+    for low, high in ((1, 20), (11, 31), (5, 8)):
+        st.keep_states(states(low, high), path)
+    return st.read_states(s, path, states(1, 31).schema)
+
+
+R.add(
+    "a13_kept_moments", lambda s, d: rounded(st.merged_states(_kept(s, d), ("track_id",))),
+    "SELECT track_id, COUNT(val) AS n, ROUND(AVG(val), 6) AS mean, ROUND(STDDEV_POP(val), 6) AS std, ROUND(VAR_POP(val), 6) AS var, ROUND(MIN(val), 6) AS min, ROUND(MAX(val), 6) AS max FROM obs GROUP BY 1", "obs",
+)
+R.add(
+    "a14_kept_percentiles", lambda s, d: _rank_errors(s, d),
+    "SELECT track_id, k, TRUE AS is_near FROM (SELECT DISTINCT track_id FROM obs WHERE val IS NOT NULL), (VALUES (0), (1), (2)) AS t(k)", "obs",
+)
+
+
+def _rank_errors(s, d):
+    """Whether the shares of values up to the percentiles of merged sketches are within one percent of those asked for."""
+    at = (0.02, 0.5, 0.98)
+    q = st.merged_states(_kept(s, d), ("track_id",), at).select("track_id", F.posexplode("q").alias("k", "x"))
+    d = _obs(s, d).where("val IS NOT NULL").join(q, "track_id").groupBy("track_id", "k").agg(F.avg((F.col("val") < F.col("x")).cast("double")).alias("below"), F.avg((F.col("val") <= F.col("x")).cast("double")).alias("upto"))
+    asked = F.array(*map(F.lit, at))[F.col("k")]
+    return d.select("track_id", "k", ((F.col("below") <= asked + 0.01) & (F.col("upto") >= asked - 0.01)).alias("is_near"))
+
+
 R.add(
     "a48_timing_summary", lambda s, d: rounded(st.timing_summary(_obs(s, d).where("val > 0"), ("track_id",), "val")),
     "SELECT track_id, ROUND(MEDIAN(val), 6) AS median, ROUND(AVG(val), 6) AS mean, ROUND(STDDEV_POP(val), 6) AS std, ROUND(QUANTILE_CONT(val, 0.05), 6) AS p5, ROUND(QUANTILE_CONT(val, 0.95), 6) AS p95, ROUND(MIN(val), 6) AS min, ROUND(MAX(val), 6) AS max, ROUND(COUNT(*)/SUM(val), 6) AS per_second FROM obs WHERE val > 0 GROUP BY 1", "obs",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from ..fixtures import view
@@ -9,6 +11,8 @@ from ..functions.geo import bin_left, region_id
 from ..functions.temporal import season
 from ..operators import matching as m
 from ..operators import skill as k
+from ..operators import statistics as st
+from ..sources.tables import shared_folder
 from .common import Registry, rounded
 
 R = Registry()
@@ -33,6 +37,14 @@ def _fields(spark, sf):
     return m.co_located({"obs": a, "ref": b})
 
 
+def _kept_sums(spark, sf):
+    """Differences by season from kept states of their days."""
+    states = st.day_states(_pairs(spark, sf).withColumns({"season": season(F.col("obs_date")), "d": F.col("ref") - F.col("obs")}), ("season",), "d")
+    path = f"{shared_folder(spark)}/states-{uuid4().hex}"
+    st.keep_states(states, path)
+    return rounded(st.merged_states(st.read_states(spark, path, states.schema), ("season",)).select("season", "n", "mean", "std", "min", "max"))
+
+
 R.add(
     "j4_nearest_match", lambda s, d: rounded(m.nearest_match(view(s, d, "obs").withColumn("region_id", region_id(F.col("lon"), F.col("lat"))), _grid(s, d).withColumn("region_id", region_id(F.col("i") * 10 - 175.0, F.col("j") * 10 - 85.0)), -175.0, -85.0, 10.0, 4.6, ("obs_date", "region_id")).select("obs_id", "obs_date", "i", "j", "val", "grid_val"), 10),
     """SELECT obs_id, o.obs_date, o.i, o.j, o.val, ROUND(c.val, 10) AS grid_val FROM (SELECT *, CAST(ROUND((lon+175)/10) AS INT) AS i, CAST(ROUND((lat+85)/10) AS INT) AS j FROM obs) o LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = o.obs_date AND c.i = o.i AND c.j = o.j AND c.i // 9 + 4*(c.j // 9) = FLOOR((lon+180)/90) + 4*FLOOR((lat+90)/90)
@@ -68,10 +80,10 @@ R.add(
 )
 R.add("w6_anomalies", lambda s, d: rounded(m.anomalies(view(s, d, "cells"), "val", ("product", "obs_date"))), "SELECT product, obs_date, i, j, ROUND(val - AVG(val) OVER (PARTITION BY product, obs_date), 6) AS val FROM cells", "cells")
 R.add(
-    "a31_transect", lambda s, d: rounded(m.transect(view(s, d, "cells").where("obs_date = DATE '2024-01-10'"), 12, 1)),
-    """WITH day AS (SELECT * FROM cells WHERE obs_date = DATE '2024-01-10'), near AS (SELECT product, j, AVG(val) FILTER (WHERE i = 12) AS own, AVG(val) AS wide FROM day WHERE ABS(i - 12) <= 1 GROUP BY 1, 2),
- dense AS (SELECT n.product, COUNT(own) > ANY_VALUE(r.n) / 2 AS is_dense FROM near n JOIN (SELECT product, COUNT(DISTINCT j) AS n FROM day GROUP BY 1) r USING (product) GROUP BY 1)
- SELECT product, j, ROUND(CASE WHEN is_dense THEN own ELSE wide END, 6) AS value FROM near JOIN dense USING (product)""", "cells",
+    "a31_transect", lambda s, d: rounded(m.transect(view(s, d, "cells"), 12, 1, ("product", "obs_date")), 9),
+    """WITH near AS (SELECT product, obs_date, j, AVG(val) FILTER (WHERE i = 12) AS own, AVG(val) AS wide FROM cells WHERE ABS(i - 12) <= 1 GROUP BY 1, 2, 3),
+ dense AS (SELECT n.product, n.obs_date, COUNT(own) > ANY_VALUE(r.n) / 2 AS is_dense FROM near n JOIN (SELECT product, obs_date, COUNT(DISTINCT j) AS n FROM cells GROUP BY 1, 2) r USING (product, obs_date) GROUP BY 1, 2)
+ SELECT product, obs_date, j, ROUND(CASE WHEN is_dense THEN own ELSE wide END, 9) AS value FROM near JOIN dense USING (product, obs_date)""", "cells",
 )
 R.add(
     "a16_binned_sums", lambda s, d: rounded(k.binned_sums(_pairs(s, d)), 5),
@@ -88,9 +100,16 @@ R.add(
  SELECT obs_date, n, ROUND(bias, 5) AS bias, ROUND(rmse, 5) AS rmse, ROUND(crmse, 5) AS crmse, ROUND(r, 5) AS r, ROUND(std_ratio, 5) AS std_ratio, ROUND(norm_bias, 5) AS norm_bias, ROUND(norm_crmse, 5) AS norm_crmse, ROUND(ACOS(r), 5) AS theta, ROUND(std_ratio, 5) AS radius,
  ROUND(CASE WHEN std_ratio >= 1 THEN norm_crmse ELSE -norm_crmse END, 5) AS target_x, ROUND(norm_bias, 5) AS target_y FROM o""", "cells",
 )
-_PAIR_SQL = "COUNT(*) AS n, ROUND(AVG(ref-obs), 6) AS bias, ROUND(SQRT(AVG((ref-obs)*(ref-obs))), 6) AS rmse, ROUND(CORR(obs, ref), 6) AS r, ROUND(STDDEV_SAMP(obs), 6) AS std_obs, ROUND(STDDEV_SAMP(ref), 6) AS std_ref, ROUND(STDDEV_POP(ref-obs), 6) AS crmse, ROUND(CORR(obs, ref)*SQRT((COUNT(*)-2)/(1-POW(CORR(obs, ref), 2))), 6) AS t"
-R.add("a19_pair_skill", lambda s, d: rounded(k.pair_skill(_pairs(s, d), ("obs_date",))), f"WITH {_PAIRS} SELECT obs_date, {_PAIR_SQL} FROM pairs GROUP BY 1 HAVING COUNT(*) >= 3", "obs", "cells")
-R.add("a23_seasonal_skill", lambda s, d: rounded(k.pair_skill(_pairs(s, d).withColumn("season", season(F.col("obs_date"))), ("season",))), f"WITH {_PAIRS} SELECT {_SEASON} AS season, {_PAIR_SQL} FROM pairs GROUP BY 1 HAVING COUNT(*) >= 3", "obs", "cells")
+#: The p-value as a quotient of two integrals of powers of a cosine, by Simpson's rule: over what lies beyond the correlation, and over all.
+_P_SQL = """, p AS (SELECT g.{key} AS p_key, SUM(w*POW(COS(low + k*(PI()/2 - low)/4000), n - 3))*(PI()/2 - ANY_VALUE(low)) / (SUM(w*POW(COS(k*PI()/8000), n - 3))*PI()/2) AS p_value
+ FROM (SELECT {key}, COUNT(*) AS n, ASIN(ABS(CORR(obs, ref))) AS low FROM ({source}) GROUP BY 1 HAVING COUNT(*) >= 3) g, (SELECT k, CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END AS w FROM range(4001) AS t(k)) GROUP BY 1)"""
+_PAIR_SQL = "COUNT(*) AS n, ROUND(AVG(ref-obs), 6) AS bias, ROUND(SQRT(AVG((ref-obs)*(ref-obs))), 6) AS rmse, ROUND(CORR(obs, ref), 6) AS r, ROUND(STDDEV_SAMP(obs), 6) AS std_obs, ROUND(STDDEV_SAMP(ref), 6) AS std_ref, ROUND(STDDEV_POP(ref-obs), 6) AS crmse, ROUND(CORR(obs, ref)*SQRT((COUNT(*)-2)/(1-POW(CORR(obs, ref), 2))), 6) AS t, ROUND(STDDEV_SAMP(ref)/STDDEV_SAMP(obs), 6) AS std_ratio, ROUND(AVG(ref-obs)/STDDEV_SAMP(obs), 6) AS norm_bias, ROUND(STDDEV_POP(ref-obs)/STDDEV_SAMP(obs), 6) AS norm_crmse, ROUND(ANY_VALUE(p_value), 6) AS p_value"
+R.add("a19_pair_skill", lambda s, d: rounded(k.pair_skill(_pairs(s, d), ("obs_date",))), f"WITH {_PAIRS}{_P_SQL.format(key='obs_date', source='SELECT * FROM pairs')} SELECT obs_date, {_PAIR_SQL} FROM pairs JOIN p ON p_key = obs_date GROUP BY 1 HAVING COUNT(*) >= 3", "obs", "cells")
+R.add(
+    "a16_kept_sums", lambda s, d: _kept_sums(s, d),
+    f"WITH {_PAIRS} SELECT {_SEASON} AS season, COUNT(*) AS n, ROUND(AVG(ref-obs), 6) AS mean, ROUND(STDDEV_POP(ref-obs), 6) AS std, ROUND(MIN(ref-obs), 6) AS min, ROUND(MAX(ref-obs), 6) AS max FROM pairs GROUP BY 1", "obs", "cells",
+)
+R.add("a23_seasonal_skill", lambda s, d: rounded(k.pair_skill(_pairs(s, d).withColumn("season", season(F.col("obs_date"))), ("season",))), f"WITH {_PAIRS}{_P_SQL.format(key='season', source=f'SELECT *, {_SEASON} AS season FROM pairs')} SELECT season, {_PAIR_SQL} FROM (SELECT *, {_SEASON} AS season FROM pairs) JOIN p ON p_key = season GROUP BY 1 HAVING COUNT(*) >= 3", "obs", "cells")
 R.add(
     "a20_binned_bias", lambda s, d: rounded(k.binned_bias(_pairs(s, d))),
     f"WITH {_PAIRS} SELECT bi, bj, ROUND(AVG(ref-obs), 6) AS bias, COUNT(*) AS n FROM (SELECT *, CAST(CEIL((lon+180)/2) - 1 AS INT) AS bi, CAST(CEIL((lat+90)/2) - 1 AS INT) AS bj FROM pairs) WHERE bi BETWEEN 0 AND 179 AND bj BETWEEN 0 AND 89 GROUP BY 1, 2 HAVING COUNT(*) >= 3", "obs", "cells",
@@ -123,7 +142,7 @@ R.add(
 R.add("a26_bias_limit", lambda s, d: rounded(k.bias_limit(_pairs(s, d))), f"WITH {_PAIRS} SELECT ROUND(GREATEST(QUANTILE_CONT(ABS(ref-obs), 0.95), 0.05), 6) AS bias_limit FROM pairs", "obs", "cells")
 R.add(
     "a29_temporal_correlation", lambda s, d: rounded(k.temporal_correlation(_fields(s, d))),
-    f"WITH {_FIELDS} SELECT i, j, COUNT(DISTINCT obs_date) AS n, CASE WHEN COUNT(DISTINCT obs_date) = (SELECT COUNT(DISTINCT obs_date) FROM fields) THEN ROUND(CORR(obs, ref), 6) END AS r FROM fields GROUP BY 1, 2", "cells",
+    f"WITH {_FIELDS} SELECT i, j, COUNT(DISTINCT obs_date) AS n, CASE WHEN COUNT(DISTINCT obs_date) = (SELECT DATE_DIFF('day', MIN(obs_date), MAX(obs_date)) + 1 FROM fields) THEN ROUND(CORR(obs, ref), 6) END AS r FROM fields GROUP BY 1, 2", "cells",
 )
 R.add(
     "a33_error_map", lambda s, d: rounded(k.error_map(_fields(s, d), ("obs_date",))),

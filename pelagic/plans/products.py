@@ -94,8 +94,8 @@ def _offset_cells(s, d):
 
 
 R.add(
-    "f20_unit_offsets", lambda s, d: rounded(sc.with_unit_offsets(_offset_cells(s, d), {v: o for _, _, v, _, o in VARIABLES if o})),
-    "SELECT obs_date, i, j, CASE WHEN product = 'glorys' THEN 'thetao' ELSE 'analysed_sst' END AS variable, ROUND(CASE WHEN product = 'glorys' AND obs_date < DATE '2024-01-16' THEN val + 273.15 ELSE val END, 6) AS val FROM cells", "cells",
+    "f20_unit_offsets", lambda s, d: rounded(sc.with_unit_offsets(_offset_cells(s, d), {v: o for _, _, v, _, o in VARIABLES if o}), 9),
+    "SELECT obs_date, i, j, CASE WHEN product = 'glorys' THEN 'thetao' ELSE 'analysed_sst' END AS variable, ROUND(CASE WHEN obs_date >= DATE '2024-01-16' THEN val WHEN product = 'glorys' THEN val + 273.15 ELSE (val + 273.15) - 273.15 END, 9) AS val FROM cells", "cells",
 )
 R.add(
     "f15_first_of", lambda s, d: rounded(sc.first_of(_offset_cells(s, d).where("NOT (variable = 'analysed_sst' AND i % 2 = 0)"), ["analysed_sst", "thetao"], ("obs_date", "i", "j")), 9),
@@ -125,13 +125,13 @@ def _stored(s, d):
     """The same through the packed form, by each variable's own rule."""
     rule = codec.codec(F.col("variable"))
     d = _formatted(s, d).withColumns({"scale": rule["scale"], "offset": rule["offset"], "fill": rule["fill"]})
-    p = F.coalesce(F.rint((F.col("val") - F.col("offset")) / F.col("scale")).cast("int"), F.col("fill"))
+    p = F.coalesce(F.rint((F.round("val", 9) - F.col("offset")) / F.col("scale")).cast("int"), F.col("fill"))
     return d.withColumn("val", F.when(p != F.col("fill"), p * F.col("scale") + F.col("offset")))
 
 
 _FORMATTED = f"""{_CELLS}, formatted AS (SELECT obs_date, region_id, product AS source, CASE WHEN product = 'glorys' THEN 'thetao' ELSE 'sla' END AS variable, i, j,
  CASE WHEN product = 'glorys' AND AVG(val*300) OVER (PARTITION BY product, obs_date) > 200 THEN val*300 - 273.15 ELSE val*300 END AS orig FROM c)"""
-_COMPARED = f"{_FORMATTED}, compared AS (SELECT *, CASE WHEN variable = 'thetao' THEN ROUND_EVEN((orig - 20)/0.001, 0)*0.001 + 20 ELSE ROUND_EVEN(orig/0.0005, 0)*0.0005 END AS packed FROM formatted)"
+_COMPARED = f"{_FORMATTED}, compared AS (SELECT *, CASE WHEN variable = 'thetao' THEN ROUND_EVEN((ROUND(orig, 9) - 20)/0.001, 0)*0.001 + 20 ELSE ROUND_EVEN(ROUND(orig, 9)/0.0005, 0)*0.0005 END AS packed FROM formatted)"
 R.add("a51_reference_tiles", lambda s, d: rounded(_formatted(s, d).select("obs_date", "region_id", "source", "variable", "i", "j", "val")), f"WITH {_FORMATTED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 6) AS val FROM formatted", "cells")
 R.add("j11_compared_tiles", lambda s, d: rounded(st.compared_tiles(_formatted(s, d), _stored(s, d))), f"WITH {_COMPARED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 6) AS orig, ROUND(packed, 6) AS packed FROM compared", "cells")
 

@@ -37,10 +37,10 @@ def _track_cells(s, d):
 
 
 R.add(
-    "r5_smoothed_tracks", lambda s, d: rounded(p.smoothed_tracks(_track_cells(s, d), 0.5, 36, 18, ("obs_date",))),
+    "r5_smoothed_tracks", lambda s, d: rounded(p.smoothed_tracks(_track_cells(s, d), 0.5, 36, 18, ("obs_date",)), 9),
     f"""WITH g(k, v) AS (VALUES {", ".join(f"({k}, {v!r}::DOUBLE)" for k, v in p.gaussian_weights(0.5))}), tc AS (SELECT obs_date, track_id, CAST(FLOOR((lon+180)/10) AS INT) AS i, CAST(FLOOR((lat+90)/10) AS INT) AS j, AVG(val) AS val FROM obs WHERE val IS NOT NULL GROUP BY 1,2,3,4),
  own AS (SELECT obs_date, track_id, i + a.k AS i, j + b.k AS j, SUM(a.v*b.v*val)/SUM(a.v*b.v) AS value FROM tc, g a, g b WHERE i + a.k BETWEEN 0 AND 35 AND j + b.k BETWEEN 0 AND 17 GROUP BY 1,2,3,4 HAVING SUM(a.v*b.v) >= 0.01)
- SELECT obs_date, i, j, ROUND(AVG(value), 6) AS value, COUNT(*) AS n_tracks FROM own GROUP BY 1,2,3""", "obs",
+ SELECT obs_date, i, j, ROUND(AVG(value), 9) AS value, COUNT(*) AS n_tracks FROM own GROUP BY 1,2,3""", "obs",
 )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +17,29 @@ TILES = T.StructType([
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where that is unset.
+
+    A warehouse in a machine's own folder serves a local master alone; on a cluster that is an error.
+    """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if not found:
+        if spark.conf.get("spark.sql.warehouse.dir").startswith(("file:", "/")) and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"{spark.conf.get('spark.sql.warehouse.dir')}/shared-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+def written(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    """Cuts the lineage of frames by writing them to the shared folder."""
+    def write(frame: DataFrame) -> DataFrame:
+        path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    return write
+
+
 def read_inventory(spark: SparkSession, path: str, schema: T.StructType = TILES) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
