@@ -11,17 +11,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import materialize, small_batches
+from .common import small_batches
 
 #: The band of document frequency, as shares of all documents (inverse document frequency from ln 10 to ln 1000).
 LOW, HIGH = 0.001, 0.1
@@ -31,6 +32,8 @@ SCALES, PARTS = range(2, 10), 5
 MIN_TERMS = 8
 #: Bytes of text of a range of consecutive ids, that is of a task, about; ranges at most.
 RANGE_BYTES, MAX_RANGES = 16 << 20, 50_000
+#: Ids sampled for a range's bounds, about.
+RANGE_SAMPLE = 20
 #: Terms counted in a worker before they are handed on.
 FLUSH_TERMS = 300_000
 #: Places in the lexicon of so many different terms of at most LONG letters are kept in a worker; then it starts anew.
@@ -129,30 +132,54 @@ def in_order(docs: DataFrame) -> DataFrame:
     """(doc_id, text, key, tie, row) in ranges of ascending doc_id, one shuffle of the texts. Null ids come first.
 
     Rows of one id follow each other by the hash of their texts and then as they come, so that many of them fill several
-    ranges; equal rows may change places.
+    ranges; equal rows may change places. The ranges' bounds are fixed here, from a sample of the ids, so that every plan
+    that uses the result cuts it alike, whether or not it shares the exchange.
     """
-    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    size, rows = docs.agg(F.sum(F.octet_length("text").cast("long")), F.count(F.lit(1))).first()
+    ranges = int(min(MAX_RANGES, max(1, (size or 0) // RANGE_BYTES)))
     own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"), F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row")]
     d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).select("*", *own)
-    return d.repartitionByRange(int(min(MAX_RANGES, max(1, size // RANGE_BYTES))), "key", "tie", "row")
+    some = d.where(F.pmod(F.xxhash64("key", "row"), F.lit(max(1, rows // (ranges * RANGE_SAMPLE)))) == 0) if ranges > 1 else d.limit(0)
+    seen = sorted(map(tuple, some.select("key", "tie", "row").collect()))  # about RANGE_SAMPLE rows a range
+    bounds = docs.sparkSession.sparkContext.broadcast(list(dict.fromkeys(seen[k * len(seen) // ranges] for k in range(1, ranges))) if seen else [])
 
+    @F.pandas_udf("int")
+    def range_of(key: pd.Series, tie: pd.Series, row: pd.Series) -> pd.Series:
+        return pd.Series([bisect_left(bounds.value, x) for x in zip(key.tolist(), tie.tolist(), row.tolist())], dtype="int32")
 
-def seams(ends: DataFrame) -> DataFrame:
-    """(last, head): the last row of every range with the first of the range after it, that of the last with the very first.
+    return d.withColumn("range", range_of("key", "tie", "row")).repartitionById(ranges, "range")
 
-    ends has a row (part, head, last) for each range with rows. Ranges hold the key that bounds them, so that those with
-    rows are numbered from 0 without gaps.
-    """
-    tail = F.struct(F.col("part").alias("slot"), "last", F.lit(None).cast(ends.schema["head"].dataType).alias("head"))
-    head = F.struct((F.col("part") - 1).alias("slot"), F.lit(None).cast(ends.schema["last"].dataType).alias("last"), "head")
-    sides = ends.select(F.explode(F.array(tail, head)).alias("s")).select("s.*")
+
+def seams(ordered: DataFrame) -> DataFrame:
+    """(doc_id, text, next): the last row of every range with the first text of the range after it, that of the last with the very first."""
+    kind = ordered.schema["doc_id"].dataType.simpleString()
+    order = ("key", "tie", "row")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = high = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            by = np.lexsort([batch.column(c).to_numpy() for c in reversed(order)])
+            first, last = (batch.slice(int(by[k]), 1) for k in (0, -1))
+            at = lambda row: tuple(row.column(c)[0].as_py() for c in order)
+            low = first if low is None or at(first) < at(low) else low
+            high = last if high is None or at(last) > at(high) else high
+        if low is not None:
+            yield pa.RecordBatch.from_arrays([low.column("range"), high.column("doc_id"), high.column("text"), low.column("text")], names=["part", "doc_id", "text", "head"])
+
+    found = ordered.mapInArrow(ends, f"part int, doc_id {kind}, text string, head string")  # a row for each range
+    # a range holds the row that bounds it, so that those with rows are numbered from 0 without gaps
+    tail = F.struct(F.col("part").alias("slot"), F.struct("doc_id", "text").alias("tail"), F.lit(None).cast("string").alias("head"))
+    head = F.struct((F.col("part") - 1).alias("slot"), F.lit(None).cast(f"struct<doc_id:{kind},text:string>").alias("tail"), F.col("head").alias("head"))
+    sides = found.select(F.explode(F.array(tail, head)).alias("s")).select("s.*")
 
     def paired(rows: DataFrame, slot: Column) -> DataFrame:
-        return rows.groupBy(slot.alias("slot")).agg(F.first("last", True).alias("last"), F.first("head", True).alias("head"))
+        return rows.groupBy(slot.alias("slot")).agg(F.first("tail", True).alias("tail"), F.first("head", True).alias("head"))
 
     met = paired(sides, F.col("slot"))
-    met = paired(met, F.when(F.col("last").isNotNull() & F.col("head").isNotNull(), F.col("slot")).otherwise(-1))  # the last with the first
-    return met.select("last", "head")
+    met = paired(met, F.when(F.col("tail").isNotNull() & F.col("head").isNotNull(), F.col("slot")).otherwise(-1))  # the last with the first
+    return met.select("tail.doc_id", "tail.text", F.col("head").alias("next"))
 
 
 def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
@@ -173,43 +200,31 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
         cut = len(text) // 4
         edited = text[: len(text) - cut] + after[:cut]
         edited_print = make(edited)
-        return doc, len(text), hashlib.sha256(edited.encode()).digest(), bytes.fromhex(own), bytes.fromhex(edited_print), likeness(own, edited_print), likeness(own, after_print)
+        return doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), own, edited_print, likeness(own, edited_print), likeness(own, after_print)
 
-    def batch_of(out: list[tuple], doc_type: pa.DataType, **ends: list) -> pa.RecordBatch:
+    def batch_of(out: list[tuple], doc_type: pa.DataType) -> pa.RecordBatch:
         columns = list(zip(*out)) or [()] * len(names)
-        kinds = [doc_type, pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-        text = [("text", pa.string()), ("own", pa.string())]
-        for name, kind in (("part", pa.int64()), ("head", pa.struct(text)), ("last", pa.struct([("doc_id", doc_type), *text]))):
-            arrays.append(pa.array(ends.get(name, [None] * len(out)), kind))
-        return pa.RecordBatch.from_arrays(arrays, names=[*names, "part", "head", "last"])
+        kinds = [doc_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of a range but its last, which follows with the first text, as the range's ends."""
-        make, head, last, kind = Fingerprinter(terms.value), None, None, None
+        make, last = Fingerprinter(terms.value), None
         for batch in batches:
-            out, kind = [], batch.column("doc_id").type
+            out = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 own = make(text)
-                if last is None:
-                    head = {"text": text, "own": own}
-                else:
+                if last is not None:
                     out.append(row(make, *last, text, own))
                 last = (doc, text, own)
-            yield batch_of(out, kind)
-        if last is not None:
-            yield batch_of([(None,) * len(names)], kind, part=[TaskContext.get().partitionId()], head=[head], last=[dict(zip(("doc_id", "text", "own"), last))])
+            yield batch_of(out, batch.column("doc_id").type)
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Fingerprinter(terms.value)
         for batch in batches:
-            out = [row(make, *last.values(), *head.values()) for last, head in zip(batch.column("last").to_pylist(), batch.column("head").to_pylist())]
-            yield batch_of(out, batch.column("last").type.field(0).type).select(names)
-
-    schema = f"doc_id {kind}, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
-    ends = f"part long, head struct<text:string,own:string>, last struct<doc_id:{kind},text:string,own:string>"
-    # one pass gives the rows and the ranges' ends, and is written: ranges are cut at sampled ids, anew each time that they are planned
-    found = materialize(in_order(docs).sortWithinPartitions("key", "tie", "row").mapInArrow(within, f"{schema}, {ends}"), "fingerprints")
-    met = seams(found.where("part is not null").select("part", "head", "last"))
-    rows = found.where("part is null").select(*names).unionByName(met.mapInArrow(between, schema))
-    return rows.select(*[F.lower(F.hex(c)).alias(c) if t == "binary" else F.col(c) for c, t in rows.dtypes])
+            rows = zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "next")])
+            yield batch_of([row(make, doc, text, make(text), after, make(after)) for doc, text, after in rows], batch.column("doc_id").type)
+
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    ordered = in_order(docs)
+    inner = ordered.sortWithinPartitions("key", "tie", "row").mapInArrow(within, schema)
+    return inner.unionByName(seams(ordered).mapInArrow(between, schema))

@@ -224,11 +224,12 @@ def test_rows_of_one_id_fill_several_ranges(spark, monkeypatch):
 
 
 def test_ranges_are_cut_once_whatever_the_plan_reuses(spark, monkeypatch):
-    """Ranges are cut at sampled ids: with few samples and no reuse of exchanges, two plans of them would differ."""
+    """Ranges are cut at sampled ids: with few samples and no reuse of exchanges, the plans that use them cut alike."""
     monkeypatch.setattr(fingerprinting, "RANGE_BYTES", 2000)
     texts = {i: f"text number {i * 7 % 1000} of {i} some and more words {i % 13}" for i in range(1000)}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
-    conf = {"spark.sql.exchange.reuse": "false", "spark.sql.execution.rangeExchange.sampleSizePerPartition": "2"}
+    monkeypatch.setattr(fingerprinting, "RANGE_SAMPLE", 2)
+    conf = {"spark.sql.exchange.reuse": "false"}
     before = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
