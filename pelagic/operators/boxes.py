@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import KM_PER_DEGREE_BOX, box_iou, clamp_to_globe, patch_degrees
+from ..sources.tables import written
 
 #: Degrees of a tile by which boxes and points are brought together: a range join would compare all pairs.
 TILE = 5.0
@@ -33,6 +34,53 @@ def boxes_points(boxes: DataFrame, points: DataFrame) -> DataFrame:
     return both.where(F.col("lon").between(F.col("lon_min"), F.col("lon_max")) & F.col("lat").between(F.col("lat_min"), F.col("lat_max"))).drop("tile_i", "tile_j")
 
 
+#: Points that a tile may hold before it is cut in four; cuts at most; split tiles that are broadcast.
+TILE_POINTS, TILE_CUTS, BROADCAST_SPLITS = 200_000, 5, 100_000
+
+
+def _tile_of(column: str, low: float, cuts: int) -> Column:
+    return F.floor((F.col(column) - low) / (TILE / 2**cuts)).cast("int")
+
+
+def split_tiles(points: DataFrame, most: int = TILE_POINTS, cuts: int = TILE_CUTS) -> DataFrame:
+    """(obs_date, cut, tile_i, tile_j, parts): tiles with more than `most` points, which are cut in four (parts 1), or, once
+    they can't be cut any more, dealt into parts by a hash of their rows. Points are counted once, by the finest tiles."""
+    fine = points.groupBy("obs_date", _tile_of("lon", -180.0, cuts).alias("fi"), _tile_of("lat", -90.0, cuts).alias("fj")).agg(F.count(F.lit(1)).alias("n"))
+    levels = F.explode(F.transform(F.sequence(F.lit(0), F.lit(cuts)), lambda c: F.struct(c.alias("cut"), F.floor(F.col("fi") / F.pow(F.lit(2.0), cuts - c)).cast("int").alias("tile_i"), F.floor(F.col("fj") / F.pow(F.lit(2.0), cuts - c)).cast("int").alias("tile_j"))))
+    sums = fine.select("obs_date", "n", levels.alias("t")).groupBy("obs_date", "t.cut", "t.tile_i", "t.tile_j").agg(F.sum("n").alias("n")).where(F.col("n") > most)
+    return sums.select("obs_date", "cut", "tile_i", "tile_j", F.when(F.col("cut") < cuts, 1).otherwise(F.ceil(F.col("n") / most)).cast("int").alias("parts"))
+
+
+def boxes_points_adaptive(boxes: DataFrame, points: DataFrame, most: int = TILE_POINTS, cuts: int = TILE_CUTS) -> DataFrame:
+    """boxes_points by tiles that are the finer the more points they hold, so that a tile with most of the points is spread."""
+    write = written(points.sparkSession)
+    splits = write(split_tiles(points, most, cuts))
+    known = F.broadcast(splits) if splits.count() <= BROADCAST_SPLITS else splits
+    at = ["obs_date", "tile_i", "tile_j"]
+    d = points.withColumns({"cut": F.lit(0), "part": F.lit(0), "tile_i": _tile_of("lon", -180.0, 0), "tile_j": _tile_of("lat", -90.0, 0)})
+    b = exploded_tiles(exploded_days(boxes)).withColumns({"cut": F.lit(0), "part": F.lit(0)})
+    row_hash = F.xxhash64(*points.columns)
+    for c in range(cuts + 1):
+        here = known.where(F.col("cut") == c).drop("cut")
+        d, b = d.join(here, at, "left"), b.join(here, at, "left")
+        cut_here = (F.col("cut") == c) & F.col("parts").isNotNull()
+        if c == cuts:
+            d = d.withColumn("part", F.when(cut_here, F.pmod(row_hash, F.col("parts")).cast("int")).otherwise(0)).drop("parts")
+            b = b.withColumn("part", F.explode(F.when(cut_here, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0))))).drop("parts")
+        else:
+            finer = {"tile_i": _tile_of("lon", -180.0, c + 1), "tile_j": _tile_of("lat", -90.0, c + 1)}
+            d = d.withColumns({n: F.when(cut_here, v).otherwise(F.col(n)) for n, v in finer.items()} | {"cut": F.when(cut_here, c + 1).otherwise(F.col("cut"))}).drop("parts")
+            quarter = lambda n, k: F.when(cut_here, F.col(n) * 2 + k).otherwise(F.col(n)).alias(n)  # noqa: B023, E731
+            quarters = F.array(*[F.struct(quarter("tile_i", x), quarter("tile_j", y)) for x in (0, 1) for y in (0, 1)])
+            b = b.withColumn("q", F.explode(F.when(cut_here, quarters).otherwise(F.slice(quarters, 1, 1))))
+            b = b.withColumns({"tile_i": F.col("q.tile_i"), "tile_j": F.col("q.tile_j"), "cut": F.when(cut_here, c + 1).otherwise(F.col("cut"))}).drop("q", "parts")
+            size = F.lit(TILE) / F.pow(F.lit(2.0), F.col("cut"))
+            reached = [(F.col(f"{axis}_max") >= low + F.col(t) * size) & (F.col(f"{axis}_min") < low + (F.col(t) + 1) * size) for axis, t, low in (("lon", "tile_i", -180.0), ("lat", "tile_j", -90.0))]
+            b = b.where((F.col("cut") != c + 1) | reached[0] & reached[1])
+    both = b.join(d, [*at, "cut", "part"])
+    return both.where(F.col("lon").between(F.col("lon_min"), F.col("lon_max")) & F.col("lat").between(F.col("lat_min"), F.col("lat_max"))).drop("tile_i", "tile_j", "cut", "part")
+
+
 def overlapping_boxes(boxes: DataFrame, above: float) -> DataFrame:
     """Pairs (a < b) of boxes with intersection over union above a limit and a common date."""
     own = ["query_id", "lon_min", "lon_max", "lat_min", "lat_max", "date_start"]

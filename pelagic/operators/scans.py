@@ -23,6 +23,11 @@ def load_tile(cells: DataFrame, date: str, region: int, source: str, n_regions:
     return cells.where((F.col("obs_date") == F.lit(date).cast("date")) & (F.col("region_id") == region) & (F.col("product") == source))
 
 
+def load_listed(cells: DataFrame, listed: DataFrame, keys: tuple[str, ...] = ("obs_date", "region_id")) -> DataFrame:
+    """The cells of the tiles that a catalog lists. Over a table in folders by these keys only the folders that the list names are read."""
+    return cells.join(listed.select(*keys).distinct(), list(keys), "left_semi")
+
+
 def load_box(cells: DataFrame, date: str, box: BBox, source: str, whole_tiles: bool = True) -> DataFrame:
     """All tiles that a box touches, merged; cropped to the box on request."""
     west, east, south, north = (int((v + o) // 90) for v, o in ((box.lon_min, 180), (box.lon_max, 180), (box.lat_min, 90), (box.lat_max, 90)))

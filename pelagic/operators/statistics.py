@@ -23,8 +23,12 @@ def exact_percentiles(frame: DataFrame, keys: tuple[str, ...], value: str, at: l
     """
     by, write = ["__all", *keys], written(frame.sparkSession)
     d = frame.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, F.lit(0).alias("__all"), F.col(value).cast("double").alias("__v"))
-    near, small = 0.002, F.count(F.lit(1)) < 2000
-    low, high = ([F.when(small, end("__v")).otherwise(F.percentile_approx("__v", min(1.0, max(0.0, p + s)), accuracy)) for p in at] for s, end in ((-near, F.min), (near, F.max)))
+    near, small = max(0.002, 2 / accuracy), F.count(F.lit(1)) < 2000
+
+    def end(p: float, extreme: Column) -> Column:
+        return F.when(small, extreme).otherwise(F.percentile_approx("__v", p, accuracy)) if 0 < p < 1 else extreme
+
+    low, high = [end(p - near, F.min("__v")) for p in at], [end(p + near, F.max("__v")) for p in at]
     wanted = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("p"), a.alias("low"), b.alias("high")) for k, (p, a, b) in enumerate(zip(at, low, high))])
     brackets = write(d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), wanted.alias("__w")))
     met = d.join(brackets.select(*by, "__w"), by)

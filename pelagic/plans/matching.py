@@ -12,7 +12,7 @@ from ..functions.temporal import season
 from ..operators import matching as m
 from ..operators import skill as k
 from ..operators import statistics as st
-from ..sources.tables import shared_folder
+from ..sources.tables import save_bucketed, shared_folder
 from .common import Registry, rounded
 
 R = Registry()
@@ -73,6 +73,15 @@ R.add(
     """SELECT obs_id, o.i, o.j, ROUND(c.val, 10) AS grid_val FROM (SELECT *, CAST(GREATEST(0, LEAST(35, CEIL((lon+175)/10))) AS INT) AS i, CAST(GREATEST(0, LEAST(17, CEIL((lat+85)/10))) AS INT) AS j FROM obs) o LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = o.obs_date AND c.i = o.i AND c.j = o.j""", "obs", "cells",
 )
 R.add("j9_both_valid", lambda s, d: rounded(_pairs(s, d), 10), f"WITH {_PAIRS} SELECT * REPLACE (ROUND(ref, 10) AS ref, ROUND(obs, 10) AS obs, ROUND(lon, 10) AS lon, ROUND(lat, 10) AS lat) FROM pairs", "obs", "cells")
+
+
+def _stored_pairs(spark, sf, of):
+    """The pairs of two stored products, both in buckets by day and cell."""
+    points = view(spark, sf, "obs").where("val IS NOT NULL").withColumns({"i": F.floor((F.col("lon") + 180) / 10).cast("int"), "j": F.floor((F.col("lat") + 90) / 10).cast("int")})
+    return of(save_bucketed(points.withColumnRenamed("val", "value").drop("obs_time"), buckets=8), save_bucketed(_grid(spark, sf), buckets=8))
+
+
+R.add("j9_stored_pairs", lambda s, d: rounded(_stored_pairs(s, d, lambda a, g: m.both_valid(a, g, also=("obs_id", "lon", "lat"))), 10), f"WITH {_PAIRS} SELECT * REPLACE (ROUND(ref, 10) AS ref, ROUND(obs, 10) AS obs, ROUND(lon, 10) AS lon, ROUND(lat, 10) AS lat) FROM pairs", "obs", "cells")
 R.add("j10_co_located", lambda s, d: rounded(_fields(s, d), 10), f"WITH {_FIELDS} SELECT obs_date, i, j, ROUND(obs, 10) AS obs, ROUND(ref, 10) AS ref FROM fields", "cells")
 R.add(
     "f16_surface_level", lambda s, d: m.surface_level(view(s, d, "profiles")),

@@ -11,6 +11,7 @@ from ..fixtures import view
 from ..functions import geo
 from ..functions.temporal import posix_range
 from ..operators import boxes as b
+from ..operators import catalog as c
 from ..operators import samples as p
 from ..operators import scans as sc
 from ..sources import tables
@@ -77,6 +78,23 @@ def _metrics(s, d):
 
 R.add("s1_s20_inventory", _inventory, "SELECT * FROM tiles", "tiles")
 R.add("s5_crop", lambda s, d: rounded(sc.crop(_cells(s, d), _BOX, ["product", "obs_date", "i", "j", "val"]), 10), f"WITH {_CELLS} SELECT product, obs_date, i, j, ROUND(val, 10) AS val FROM c WHERE lon BETWEEN -80 AND -40 AND lat BETWEEN 10 AND 50", "cells")
+
+
+def stored_tiles(s, d):
+    """The cells in folders by product, date and region."""
+    cells, path = _cells(s, d), f"{tables.shared_folder(s)}/tiles-{uuid4().hex}"
+    tables.write_tiles(cells, path, ("product", "obs_date", "region_id"))
+    return tables.read_tiles(s, path, cells.schema).select(*cells.columns)
+
+
+def _listed(s, d):
+    """Tiles of some sources in a week, by the catalog, on the product's regions and days."""
+    return c.catalog_scan(view(s, d, "tiles"), "2024-01-08", "2024-01-12", [2, 3, 5])
+
+
+R.add("s3_stored_listing", lambda s, d: rounded(sc.load_listed(stored_tiles(s, d), _listed(s, d)), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE EXISTS (SELECT 1 FROM tiles t WHERE t.obs_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-12' AND source_id IN (2, 3, 5) AND t.obs_date = c.obs_date AND t.region_id = c.region_id)", "cells", "tiles")
+R.add("s6_stored_tile", lambda s, d: rounded(sc.load_tile(stored_tiles(s, d), "2024-01-10", 5, "glorys"), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE obs_date = DATE '2024-01-10' AND region_id = 5 AND product = 'glorys'", "cells")
+R.add("s7_stored_box", lambda s, d: rounded(sc.load_box(stored_tiles(s, d), "2024-01-10", geo.BBox(-100, 20, -10, 30), "l4_ssh"), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE obs_date = DATE '2024-01-10' AND region_id IN (0, 1, 2, 4, 5, 6) AND product = 'l4_ssh'", "cells")
 R.add("s6_load_tile", lambda s, d: rounded(sc.load_tile(_cells(s, d), "2024-01-10", 5, "glorys"), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE obs_date = DATE '2024-01-10' AND region_id = 5 AND product = 'glorys'", "cells")
 R.add("s7_load_box", lambda s, d: rounded(sc.load_box(_cells(s, d), "2024-01-10", geo.BBox(-100, 20, -10, 30), "l4_ssh"), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE obs_date = DATE '2024-01-10' AND region_id IN (0, 1, 2, 4, 5, 6) AND product = 'l4_ssh'", "cells")
 R.add("s9_multi_source_series", lambda s, d: rounded(sc.multi_source_series(_cells(s, d), ["glorys", "l4_ssh"], "2024-01-03", "2024-01-06", box=_BOX).select("product", "obs_time", "i", "j", "val"), 10), f"WITH {_CELLS} SELECT product, CAST(obs_date AS TIMESTAMP) AS obs_time, i, j, ROUND(val, 10) AS val FROM c WHERE obs_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-06' AND lon BETWEEN -80 AND -40 AND lat BETWEEN 10 AND 50", "cells")

@@ -40,12 +40,15 @@ R.add(
     f"SELECT obs_id, o.i, o.j, ROUND(c.val, 10) AS grid_val FROM (SELECT *, {_CELL} FROM obs) o LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = o.obs_date AND c.i = o.i AND c.j = o.j", "obs", "cells",
 )
 R.add(
-    "t6_track_sessions", lambda s, d: _run(s, jobs.track_sessions(_stream(s, d), "2 hours"), "complete").groupBy("track_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n").alias("n_rows")),
-    "SELECT track_id, CAST(SUM(is_new) AS BIGINT) AS n_sessions, COUNT(*) AS n_rows FROM (SELECT track_id, CASE WHEN obs_time - LAG(obs_time) OVER (PARTITION BY track_id ORDER BY obs_time) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS is_new FROM obs) GROUP BY 1", "obs",
+    "t6_track_sessions", lambda s, d: _run(s, jobs.track_sessions(_stream(s, d), "2 hours"), "append").groupBy("track_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n").alias("n_rows")),
+    """SELECT track_id, COUNT(*) AS n_sessions, CAST(SUM(n) AS BIGINT) AS n_rows FROM (SELECT track_id, session, COUNT(*) AS n, MAX(obs_time) AS last FROM (SELECT *, SUM(is_new) OVER (PARTITION BY track_id ORDER BY obs_time, obs_id) AS session
+ FROM (SELECT *, CASE WHEN obs_time - LAG(obs_time) OVER (PARTITION BY track_id ORDER BY obs_time, obs_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS is_new FROM obs)) GROUP BY 1, 2) WHERE last + INTERVAL 2 HOUR <= (SELECT MAX(obs_time) FROM obs) - INTERVAL 1 DAY GROUP BY 1""", "obs",
 )
+R.add("t6_track_segments", lambda s, d: rounded(_run(s, jobs.track_segments(_stream(s, d)), "append")))
 R.add(
-    "t7_sliding_means", lambda s, d: rounded(_run(s, jobs.sliding_means(_stream(s, d), 3, 30.0), "complete"), 9),
-    "SELECT CAST(obs_date - CAST(k AS INT) AS DATE) AS first_date, CAST(FLOOR((lon+180)/30) AS INT) AS i, CAST(FLOOR((lat+90)/30) AS INT) AS j, ROUND(AVG(val), 9) AS value, COUNT(val) AS n FROM obs, range(3) AS t(k) GROUP BY 1,2,3", "obs",
+    "t7_sliding_means", lambda s, d: rounded(_run(s, jobs.sliding_means(_stream(s, d), 3, 30.0), "append"), 9),
+    """SELECT CAST(obs_date - CAST(k AS INT) AS DATE) AS first_date, CAST(FLOOR((lon+180)/30) AS INT) AS i, CAST(FLOOR((lat+90)/30) AS INT) AS j, ROUND(AVG(val), 9) AS value, COUNT(val) AS n FROM obs, range(3) AS t(k)
+ WHERE CAST(obs_date - CAST(k AS INT) AS TIMESTAMP) + INTERVAL 3 DAY <= (SELECT MAX(obs_time) FROM obs) - INTERVAL 1 DAY GROUP BY 1,2,3""", "obs",
 )
 R.add("t8_online_moments", lambda s, d: rounded(_run(s, jobs.online_moments(_stream(s, d), ("track_id",)), "complete")), "SELECT track_id, ROUND(AVG(val), 6) AS mean, ROUND(STDDEV_POP(val), 6) AS std, ROUND(MIN(val), 6) AS min, ROUND(MAX(val), 6) AS max, COUNT(val) AS count FROM obs GROUP BY 1", "obs")
 

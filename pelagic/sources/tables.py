@@ -94,3 +94,19 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """Files below a folder as a table: path, time, size, and the date that a pattern finds in the name."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "modificationTime", "length")
     return files.withColumn("obs_date", F.to_date(F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")), "yyyyMMdd"))
+
+
+def save_bucketed(frame: DataFrame, keys: tuple[str, ...] = ("obs_date", "i", "j"), buckets: int = 64) -> DataFrame:
+    """A stored product in buckets by its cells and days, sorted: two of them with as many buckets meet without a shuffle.
+
+    The table lies in the shared folder; more buckets suit larger products (some 128 MB each).
+    """
+    spark, name = frame.sparkSession, f"stored_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    frame.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def read_tiles(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table that write_tiles wrote: filters on source, date and region choose its folders."""
+    return spark.read.schema(schema).parquet(path)

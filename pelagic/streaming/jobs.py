@@ -1,17 +1,24 @@
 """Structured Streaming forms of the daily jobs. Each takes a streaming frame and returns one, with the batch expressions.
 
-Rows older than the watermark are dropped by Spark; state is bounded by it. upsert_batches merges a batch into the
+Rows older than the watermark are dropped by Spark (late_rows counts them); state is bounded by it. upsert_batches merges a batch into the
 (source, date) partitions that it brings, so that what comes late joins what is there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import Counter
+from math import asin, cos, exp, floor, log, radians, sin, sqrt
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from ..functions.geo import EARTH_KM, clean, region_id
 
-from ..functions.geo import clean, region_id
+#: Width of a bin of steps, in their logarithm.
+STEP_BIN = 0.02
 
 
 def timed(stream: DataFrame, delay: str = "1 day", time: str = "obs_time") -> DataFrame:
@@ -54,6 +61,104 @@ def track_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "1 d
     return d.select(track, F.col("w.start").alias("started"), F.col("w.end").alias("ended"), "n", "lat_min", "lat_max")
 
 
+def stateful(spark: SparkSession) -> None:
+    """State in RocksDB, with changelogs in the checkpoint: it may outgrow memory, and a stopped query goes on where it was."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+class TrackSegments(StatefulProcessor):
+    """Segments of a track in the order of time: a step longer than `times` the median of the positive steps so far begins a new one.
+
+    A row waits until the watermark has passed it, so that rows are taken in order however they came. The steps so far are
+    a histogram by their logarithm (some percent wide), so that the state of a track is bounded by what waits. A segment is
+    given once: when the next one begins, or, if no row came for `idle`, by a timer.
+    """
+
+    def __init__(self, times: float, idle_ms: int) -> None:
+        self.times, self.idle_ms = times, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "time long, id long, lat double, lon double")
+        self.open = handle.getValueState("open", "number int, n long, first long, last long, lat double, lon double, lat_min double, lat_max double")
+        self.steps = handle.getMapState("steps", "bin int", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        new = [tuple(r) for frame in rows for r in frame[["time", "id", "lat", "lon"]].itertuples(index=False)]
+        held = [*(tuple(r) for r in self.waiting.get()), *new]
+        return iter(self._taken(key, held, timerValues.getCurrentWatermarkInMs()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        return iter(self._taken(key, [tuple(r) for r in self.waiting.get()], timerValues.getCurrentWatermarkInMs()))
+
+    def _taken(self, key, held, watermark):
+        ready, later = sorted(r for r in held if r[0] <= watermark * 1000), [r for r in held if r[0] > watermark * 1000]
+        segment = list(self.open.get()) if self.open.exists() else None
+        bins = Counter({b[0]: n[0] for b, n in self.steps.iterator()})
+        out = []
+        for time, _, lat, lon in ready:
+            step = km_between(segment[5], segment[4], lon, lat) if segment else 0.0
+            if segment and step > self.times * median_of(bins):
+                out.append([key[0], *segment[:4], *segment[6:]])
+                segment = [segment[0] + 1, 0, time, time, lat, lon, lat, lat]
+            if step > 0:
+                bins[step_bin(step)] += 1
+            segment = segment or [0, 0, time, time, lat, lon, lat, lat]
+            segment = [segment[0], segment[1] + 1, segment[2], time, lat, lon, min(segment[6], lat), max(segment[7], lat)]
+        if segment and segment[1] and not later and watermark * 1000 >= segment[3] + self.idle_ms * 1000:
+            out.append([key[0], *segment[:4], *segment[6:]])
+            segment = [segment[0] + 1, 0, *segment[2:]]
+        for b, n in bins.items():
+            self.steps.updateValue((b,), (n,))
+        if later:
+            self.waiting.put(later)
+        elif self.waiting.exists():
+            self.waiting.clear()
+        if segment:
+            self.open.update(tuple(segment))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if later:
+            self.handle.registerTimer(max(watermark + 1, min(r[0] for r in later) // 1000 + 1))
+        elif segment and segment[1]:
+            self.handle.registerTimer(max(watermark + 1, segment[3] // 1000 + self.idle_ms))
+        yield pd.DataFrame(out, columns=["track_id", "segment", "n", "started", "ended", "lat_min", "lat_max"])
+
+    def close(self) -> None:
+        pass
+
+
+def km_between(lon_a: float, lat_a: float, lon_b: float, lat_b: float) -> float:
+    """The great-circle distance of functions.geo.haversine_km, for two points."""
+    x = sin(radians(lat_b - lat_a) / 2) ** 2 + cos(radians(lat_a)) * cos(radians(lat_b)) * sin(radians(lon_b - lon_a) / 2) ** 2
+    return 2 * EARTH_KM * asin(min(1.0, sqrt(x)))
+
+
+def step_bin(step: float) -> int:
+    return floor(log(step) / STEP_BIN)
+
+
+def median_of(bins: Counter) -> float:
+    """The upper end of the bin in which the middle of the steps lies; infinite while there are none."""
+    half, so_far = (bins.total() + 1) // 2, 0
+    for b in sorted(bins):
+        so_far += bins[b]
+        if so_far >= half:
+            return exp((b + 1) * STEP_BIN)
+    return float("inf")
+
+
+def track_segments(stream: DataFrame, times: float = 3.0, idle: str = "6 hours", delay: str = "1 day", track: str = "track_id", id_: str = "obs_id") -> DataFrame:
+    """(track, segment, n, started, ended, lat_min, lat_max) of every segment that is over, in append mode (see TrackSegments)."""
+    stateful(stream.sparkSession)
+    d = timed(stream, delay).select(track, "obs_time", F.unix_micros("obs_time").alias("time"), F.col(id_).alias("id"), "lat", "lon")
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    kind = stream.schema[track].dataType.simpleString()
+    out = d.groupBy(track).transformWithStateInPandas(TrackSegments(times, idle_ms), f"track_id {kind}, segment int, n long, started long, ended long, lat_min double, lat_max double", "append", "eventTime")
+    return out.select(F.col("track_id").alias(track), "segment", "n", F.timestamp_micros("started").alias("started"), F.timestamp_micros("ended").alias("ended"), "lat_min", "lat_max")
+
+
 def sliding_means(stream: DataFrame, days: int, step: float, delay: str = "1 day", value: str = "val") -> DataFrame:
     """Means over windows of so many days that begin every day."""
     d = cells_of(timed(stream, delay), step).groupBy(F.window("obs_time", f"{days} days", "1 day").alias("w"), "i", "j").agg(F.avg(value).alias("value"), F.count(value).alias("n"))
@@ -84,13 +189,18 @@ def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: tuple[st
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them and were left out (of an aggregate: what tasks made of them), over the batches that the query remembers."""
+    return sum(int(o.numRowsDroppedByWatermark) for progress in query.recentProgress for o in progress.stateOperators)
+
+
 def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Runs over what is there and returns the result, written as Parquet beside the checkpoint: for checks against the batch form.
 
-    mode: append; update, of which the last row of each of the keys counts; or complete, whose last result counts.
+    Running it again with the same checkpoint goes on with what came since. mode: append; update, of which the last row of each of the keys counts; or complete, whose last result counts.
     """
     path = f"{checkpoint}-result"
-    stream.sparkSession.createDataFrame([], stream.schema).write.mode("overwrite").parquet(path)  # there if no batch comes
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("ignore").parquet(path)  # there if no batch comes; a later run adds to it
     if mode == "append":
         sink = stream.writeStream.format("parquet").option("path", path)
     elif mode == "update":

@@ -48,8 +48,8 @@ def test_query_equals_its_sql(spark, duck, name):
         assert all(u == v or isinstance(u, float) and isinstance(v, float) and abs(u - v) <= 2e-5 * max(1, abs(u)) for u, v in zip(x, y)), (x, y)
 
 
-def test_every_query_has_sql():
-    assert REGISTRY.queries.keys() == REGISTRY.sql.keys()
+def test_all_but_one_query_have_sql():
+    assert REGISTRY.queries.keys() - REGISTRY.sql.keys() == {"t6_track_segments"}  # state beyond SQL: compared with a plain loop in test_streams.py
 
 
 def test_entry_gives_rows(spark):
