@@ -115,18 +115,22 @@ def degrees_of_km(km: float, lat: float) -> tuple[float, float]:
     return km / (pi / 180 * WGS84_A / sqrt(s) * cos(radians(lat))), km / (pi / 180 * WGS84_A * (1 - e2) / s**1.5)
 
 
-def grid_specs(regions: DataFrame, km: float) -> DataFrame:
-    """Grids of so many km for regions (r_lon_min ... r_lat_max), at their middle latitude on the ellipsoid.
+def grid_specs(regions: DataFrame, km: float, mode: str = "whole") -> DataFrame:
+    """Grids of so many km for regions (r_lon_min ... r_lat_max), at their middle latitude on the ellipsoid: steps, numbers of cells, first edges.
 
-    Steps, numbers of centres (from the lower bound, below the upper one) and the first edges, half a step below.
+    whole: cells begin at the lower bound and cover the region, so that every point has one cell of one region. centres:
+    cell centres from the lower bound, below the upper one, so that the first edge lies half a step below, and points
+    above the last edge have no cell.
     """
+    if mode not in ("whole", "centres"):
+        raise ValueError(f"unknown mode {mode}")
     e2 = 1 - (WGS84_B / WGS84_A) ** 2
     middle = F.radians((F.col("r_lat_min") + F.col("r_lat_max")) / 2)
     s = 1 - e2 * F.pow(F.sin(middle), 2)
     d = regions.withColumns({"lon_step": km / (F.radians(F.lit(1.0)) * WGS84_A / F.sqrt(s) * F.cos(middle)), "lat_step": km / (F.radians(F.lit(1.0)) * WGS84_A * (1 - e2) / F.pow(s, 1.5))})
     for axis in ("lon", "lat"):
         low, high, step = (F.col(c) for c in (f"r_{axis}_min", f"r_{axis}_max", f"{axis}_step"))
-        d = d.withColumns({f"n_{axis}": F.ceil((high - low) / step).cast("int"), f"{axis}_edge": low - step / 2})
+        d = d.withColumns({f"n_{axis}": F.ceil((high - low) / step).cast("int"), f"{axis}_edge": low - step / 2 if mode == "centres" else low})
     return d.select("region_id", *[c for axis in ("lon", "lat") for c in (f"{axis}_step", f"n_{axis}", f"{axis}_edge")])
 
 

@@ -119,6 +119,17 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def upsert_processed(old: DataFrame, new: DataFrame, processed: list[str], aliases: dict[str, list[str]], dates: DataFrame, source: str = "source") -> DataFrame:
+    """Old rows of the processed sources on the processed dates go, whether or not new rows came for them; then the new rows.
+
+    processed: names, which may be aliases of several stored sources. dates: obs_date, of which there are few.
+    """
+    stored = sorted({own for name in processed for own in aliases.get(name, [name])})
+    done = dates.select("obs_date").distinct().withColumn("__done", F.lit(True))
+    kept = old.join(done, "obs_date", "left").where(~(F.coalesce("__done", F.lit(False)) & F.coalesce(F.col(source).isin(stored), F.lit(False)))).select(*old.columns)
+    return kept.unionByName(new, allowMissingColumns=True)
+
+
 def drop_odd_duplicates(tiles: DataFrame, keys: list[str], canonical: Column) -> DataFrame:
     """Rows with a name that is not canonical go, but only where their key is taken by several rows, one of them canonical."""
     w = Window.partitionBy(*keys)

@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .matching import bilinear, right_neighbour
+from .tracks import qualified_segments, with_segments, with_steps
+
 
 def psd_1d(values: np.ndarray, dx: float, min_points: int = 50, min_bins: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """One-sided spectrum of a line: linear trend off, Hann window, Parseval scaling; empty where too short.
@@ -135,3 +138,27 @@ def effective_resolution(obs: DataFrame, diff: DataFrame, keys: tuple[str, ...],
     """The longest scale at which the spectrum of the differences exceeds a share of that of the observations."""
     both = obs.select(*keys, "bin", "k", F.col("psd").alias("po")).join(diff.select(*keys, "bin", F.col("psd").alias("pd")), [*keys, "bin"])
     return both.where(F.col("pd") / F.col("po") > limit).groupBy(*keys).agg(F.min("k").alias("k"), (1 / F.min("k")).alias("wavelength"))
+
+
+def track_spectra(obs: DataFrame, grid: DataFrame, lon0: float, lat0: float, step: float, shape: tuple[int, int], method: str = "bilinear", keys: tuple[str, ...] = ("region_id",), min_km: float = 300.0, min_points: int = 50, min_valid: float = 0.9, dx: float = 10.0, bins: int = 200) -> DataFrame:
+    """Spectra of a product sampled along tracks beside those of the tracks themselves, averaged by keys, product and date.
+
+    obs: track_id, obs_date, obs_id, lon, lat, val and the keys, for instance a region; a track's points of a day with the
+    same keys are cut into segments, of which the long and whole ones count. method: bilinear, or right (the first node
+    not below a point). One plan: the same segments serve both products.
+    """
+    if method not in ("bilinear", "right"):
+        raise ValueError(f"unknown method {method}")
+    line = ("track_id", "obs_date", *keys)
+    segments = with_segments(with_steps(obs, line), line)
+    good = qualified_segments(segments, min_km, min_points, min_valid, line).select(*line, "segment")
+    kept = segments.join(good, [*line, "segment"], "left_semi")
+    if method == "right":
+        sampled = right_neighbour(kept, grid, lon0, lat0, step, *shape)
+    else:
+        at = bilinear(kept.select("obs_id", "obs_date", "lon", "lat"), grid, lon0, lat0, step).select("obs_id", "obs_date", "grid_val")
+        sampled = kept.join(at, ["obs_id", "obs_date"], "left")
+    products = F.explode(F.array(F.struct(F.lit("track").alias("product"), F.col("val").alias("value")), F.struct(F.lit("grid").alias("product"), F.col("grid_val").alias("value"))))
+    own = (*keys, "track_id", "segment", "product", "obs_date")
+    lines = line_spectra(sampled.withColumn("p", products).select(*line, "segment", "along_km", "p.*"), own, "along_km", "value", dx, min_points)
+    return average_spectra(lines, ("track_id", "segment"), (*keys, "product", "obs_date"), bins)

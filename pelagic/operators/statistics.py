@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.geo import clean
 from ..sources.tables import written
+from .gridding import with_cells
+from .scans import format_product
 
 
 #: Different values of a group and percentile that one task puts in order, at most; and the parts of a round that narrows them.
@@ -186,3 +189,19 @@ def compared_tiles(original: DataFrame, packed: DataFrame) -> DataFrame:
     """Cells of two tables of tiles side by side, the original and the stored value of each."""
     keys = ["obs_date", "region_id", "source", "variable", "i", "j"]
     return original.select(*keys, F.col("val").alias("orig")).join(packed.select(*keys, F.col("val").alias("packed")), keys)
+
+
+def pre_encoding_reference(raw: DataFrame, variables: tuple[str, ...] = ("sla_filtered", "sla", "ssha"), step: float | None = None, level_of: DataFrame | None = None) -> DataFrame:
+    """A product's tiles as they were before they were packed, in doubles, for a fair comparison with the stored ones.
+
+    Gridded products (step: NULL) go through the formatting, as (obs_date, region_id, variable, ..., val). Tracks are
+    binned one by one on cells of so many degrees and averaged, each track with one vote; a track uses the first of the
+    variables of which it has any value, under the first one's name.
+    """
+    if step is None:
+        return format_product(raw, list(variables), level_of)
+    d = raw.withColumns({v: clean(F.col(v)) for v in variables})
+    has = d.groupBy("obs_date", "track_id").agg(F.coalesce(*[F.when(F.count(v) > 0, F.lit(k)) for k, v in enumerate(variables)]).alias("__use"))
+    own = d.join(has, ["obs_date", "track_id"]).withColumn("val", F.coalesce(*[F.when(F.col("__use") == k, F.col(v)) for k, v in enumerate(variables)]))
+    tracks = with_cells(own.where(F.col("val").isNotNull()), step).groupBy("obs_date", "region_id", "track_id", "i", "j").agg(F.avg("val").alias("val"))
+    return tracks.groupBy("obs_date", "region_id", F.lit(variables[0]).alias("variable"), "i", "j").agg(F.avg("val").alias("val"), F.count(F.lit(1)).alias("n_tracks"))

@@ -127,6 +127,24 @@ R.add(
     "u3_upsert", lambda s, d: c.upsert(_tiles(s, d).where("file_id % 2 = 0"), _tiles(s, d).where("file_id % 2 = 1 AND obs_date > DATE '2024-02-10'"), ["source_id", "obs_date"]),
     """WITH fresh AS (SELECT * FROM tiles WHERE file_id % 2 = 1 AND obs_date > DATE '2024-02-10') SELECT * FROM tiles t WHERE file_id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM fresh f WHERE f.source_id = t.source_id AND f.obs_date = t.obs_date) UNION ALL SELECT * FROM fresh""", "tiles",
 )
+
+
+def _named(s, d):
+    """Tiles with the names of their sources; two passes of one source are stored under names of their own."""
+    names = F.element_at(F.array(*map(F.lit, _STORED)), (F.col("source_id") % len(_STORED) + 1).cast("int"))
+    return _tiles(s, d).withColumn("source", names)
+
+
+_STORED = ["l3_sss_smos_asc", "l3_sss_smos_desc", "argo", "l4_ssh"]
+R.add(
+    "u3_upsert_aliases",
+    lambda s, d: c.upsert_processed(
+        _named(s, d).where("file_id % 2 = 0"), _named(s, d).where("file_id % 2 = 1 AND obs_date > DATE '2024-02-10' AND source = 'l3_sss_smos_asc'"), ["l3_sss_smos", "argo"],
+        {"l3_sss_smos": ["l3_sss_smos_asc", "l3_sss_smos_desc"]}, _tiles(s, d).where("obs_date > DATE '2024-02-10'"),
+    ),
+    """WITH named AS (SELECT *, CASE source_id % 4 WHEN 0 THEN 'l3_sss_smos_asc' WHEN 1 THEN 'l3_sss_smos_desc' WHEN 2 THEN 'argo' ELSE 'l4_ssh' END AS source FROM tiles) SELECT * FROM named WHERE file_id % 2 = 0 AND (obs_date <= DATE '2024-02-10' OR source = 'l4_ssh')
+ UNION ALL SELECT * FROM named WHERE file_id % 2 = 1 AND obs_date > DATE '2024-02-10' AND source = 'l3_sss_smos_asc'""", "tiles",
+)
 R.add(
     "u6_drop_odd_duplicates", lambda s, d: c.drop_odd_duplicates(_tiles(s, d), ["obs_date", "region_id", "source_id"], F.col("file_id") % 3 != 0),
     """SELECT * EXCLUDE (n, some_ok) FROM (SELECT *, COUNT(*) OVER w AS n, BOOL_OR(file_id % 3 <> 0) OVER w AS some_ok FROM tiles WINDOW w AS (PARTITION BY obs_date, region_id, source_id)) WHERE file_id % 3 <> 0 OR n = 1 OR NOT some_ok""", "tiles",

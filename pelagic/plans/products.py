@@ -109,16 +109,21 @@ R.add(
 )
 _E2 = f"(1 - POW({geo.WGS84_B}/{geo.WGS84_A}, 2))"
 R.add(
-    "c3_regional_grid_cells", lambda s, d: geo.on_regional_grid(view(s, d, "obs"), geo.grid_specs(region_boxes(s), 700.0)).groupBy("region_id", "gi", "gj").agg(F.count(F.lit(1)).alias("n")),
+    "c3_regional_grid_cells", lambda s, d: geo.on_regional_grid(view(s, d, "obs"), geo.grid_specs(region_boxes(s), 700.0, "centres")).groupBy("region_id", "gi", "gj").agg(F.count(F.lit(1)).alias("n")),
     f"""WITH specs AS (SELECT r AS region_id, (r % 4)*90 - 180 AS w, (r // 4)*90 - 90 AS s, 700 / (PI()/180*{geo.WGS84_A} / SQRT(1 - {_E2}*POW(SIN(RADIANS((r // 4)*90 - 45)), 2)) * COS(RADIANS((r // 4)*90 - 45))) AS dx, 700 / (PI()/180*{geo.WGS84_A}*(1 - {_E2}) / POW(1 - {_E2}*POW(SIN(RADIANS((r // 4)*90 - 45)), 2), 1.5)) AS dy FROM range(8) AS t(r))
  SELECT CAST(region_id AS INT) AS region_id, gi, gj, COUNT(*) AS n FROM (SELECT region_id, CAST(FLOOR((lon - w + dx/2)/dx) AS INT) AS gi, CAST(FLOOR((lat - s + dy/2)/dy) AS INT) AS gj, CEIL(90/dx) AS nx, CEIL(90/dy) AS ny FROM obs JOIN specs ON lon >= w AND lon < w + 90 AND lat >= s AND lat < s + 90) WHERE gi < nx AND gj < ny GROUP BY 1,2,3""", "obs",
 )
+R.add(
+    "c3_whole_grid_cells", lambda s, d: geo.on_regional_grid(view(s, d, "obs"), geo.grid_specs(region_boxes(s), 700.0, "whole")).groupBy("region_id", "gi", "gj").agg(F.count(F.lit(1)).alias("n")),
+    f"""WITH specs AS (SELECT r AS region_id, (r % 4)*90 - 180 AS w, (r // 4)*90 - 90 AS s, 700 / (PI()/180*{geo.WGS84_A} / SQRT(1 - {_E2}*POW(SIN(RADIANS((r // 4)*90 - 45)), 2)) * COS(RADIANS((r // 4)*90 - 45))) AS dx, 700 / (PI()/180*{geo.WGS84_A}*(1 - {_E2}) / POW(1 - {_E2}*POW(SIN(RADIANS((r // 4)*90 - 45)), 2), 1.5)) AS dy FROM range(8) AS t(r))
+ SELECT CAST(region_id AS INT) AS region_id, gi, gj, COUNT(*) AS n FROM (SELECT region_id, CAST(FLOOR((lon - w)/dx) AS INT) AS gi, CAST(FLOOR((lat - s)/dy) AS INT) AS gj, CEIL(90/dx) AS nx, CEIL(90/dy) AS ny FROM obs JOIN specs ON lon >= w AND lon < w + 90 AND lat >= s AND lat < s + 90) WHERE gi < nx AND gj < ny GROUP BY 1,2,3""", "obs",
+)
 
 
 def _formatted(s, d):
     """Tiles of a product as it was formatted, before storage."""
     raw = _grid_cells(s, d).withColumns({"variable": F.when(F.col("product") == "glorys", "thetao").otherwise("sla"), "val": F.col("val") * 300})
-    return sc.format_product(raw, ["thetao", "sla"]).withColumn("source", F.col("product"))
+    return st.pre_encoding_reference(raw, ("thetao", "sla")).withColumn("source", F.col("product"))
 
 
 def _stored(s, d):
@@ -133,7 +138,21 @@ _FORMATTED = f"""{_CELLS}, formatted AS (SELECT obs_date, region_id, product AS
  CASE WHEN product = 'glorys' AND AVG(val*300) OVER (PARTITION BY product, obs_date) > 200 THEN val*300 - 273.15 ELSE val*300 END AS orig FROM c)"""
 _COMPARED = f"{_FORMATTED}, compared AS (SELECT *, CASE WHEN variable = 'thetao' THEN ROUND_EVEN((ROUND(orig, 9) - 20)/0.001, 0)*0.001 + 20 ELSE ROUND_EVEN(ROUND(orig, 9)/0.0005, 0)*0.0005 END AS packed FROM formatted)"
 R.add("a51_reference_tiles", lambda s, d: rounded(_formatted(s, d).select("obs_date", "region_id", "source", "variable", "i", "j", "val")), f"WITH {_FORMATTED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 6) AS val FROM formatted", "cells")
-R.add("j11_compared_tiles", lambda s, d: rounded(st.compared_tiles(_formatted(s, d), _stored(s, d))), f"WITH {_COMPARED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 6) AS orig, ROUND(packed, 6) AS packed FROM compared", "cells")
+R.add("j11_compared_tiles", lambda s, d: rounded(st.compared_tiles(_formatted(s, d), _stored(s, d)), 9), f"WITH {_COMPARED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 9) AS orig, ROUND(packed, 9) AS packed FROM compared", "cells")
+
+
+
+def _raw_tracks(s, d):
+    """Tracks whose filtered values are there (of one third), or raw ones instead, or only those of a third name."""
+    third = F.col("track_id") % 3
+    return view(s, d, "obs").select("obs_date", "track_id", "obs_id", "lon", "lat", F.when(third == 0, F.col("val")).alias("sla_filtered"), F.when(third < 2, F.col("val") / 2).alias("sla"), (F.col("val") / 4).alias("ssha"))
+
+
+R.add(
+    "a51_reference_tracks", lambda s, d: rounded(st.pre_encoding_reference(_raw_tracks(s, d), step=10.0), 9),
+    f"""WITH own AS (SELECT obs_date, track_id, {_REGION} AS region_id, {_CELL}, AVG(val / CASE track_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 4 END) AS value FROM obs WHERE val IS NOT NULL GROUP BY ALL)
+ SELECT obs_date, region_id, 'sla_filtered' AS variable, i, j, ROUND(AVG(value), 9) AS val, COUNT(*) AS n_tracks FROM own GROUP BY ALL""", "obs",
+)
 
 
 def _sums(s):

@@ -240,3 +240,25 @@ R.add(
  pts AS (SELECT track_id, obs_date, segment, 'track' AS product, along_km, own AS val FROM kept UNION ALL SELECT track_id, k.obs_date, segment, 'grid', along_km, c.val FROM kept k LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = k.obs_date AND c.i = k.i AND c.j = k.j),
  {lines_sql('track_id, segment, product, obs_date', 'along_km', 16, 10.0)}, {average_sql('track_id, segment', 'product, obs_date', 40)} SELECT product, obs_date, bin, ROUND(k, 5) AS k, ROUND(psd, 5) AS psd, n FROM mean""", "obs", "cells",
 )
+
+
+def _halves(s, d):
+    """Observations with the half of the globe as their region: a day's track has too few points in an eighth."""
+    return view(s, d, "obs").withColumn("region_id", F.when(F.col("lon") < 0, 0).otherwise(1))
+
+
+_OF_HALVES = STEPS.replace("FROM obs", "FROM (SELECT *, CASE WHEN lon < 0 THEN 0 ELSE 1 END AS region_id FROM obs)").replace("PARTITION BY track_id, obs_date", "PARTITION BY track_id, obs_date, region_id")
+_OF_HALVES += ", " + SEGMENTS.replace("SELECT track_id, obs_date, MEDIAN", "SELECT track_id, obs_date, region_id, MEDIAN").replace("GROUP BY 1, 2", "GROUP BY 1, 2, 3").replace("s.track_id, s.obs_date", "s.track_id, s.obs_date, s.region_id").replace("s.obs_date = m.obs_date", "s.obs_date = m.obs_date AND s.region_id = m.region_id")
+_SAMPLED = {
+    "right": "SELECT k.*, c.val AS grid_val FROM (SELECT *, CAST(GREATEST(0, LEAST(35, CEIL((lon+175)/10))) AS INT) AS i, CAST(GREATEST(0, LEAST(17, CEIL((lat+85)/10))) AS INT) AS j FROM kept) k LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = k.obs_date AND c.i = k.i AND c.j = k.j",
+    "bilinear": """SELECT k.*, g.grid_val FROM kept k LEFT JOIN (SELECT obs_id, CASE WHEN COUNT(val) = COUNT(*) THEN SUM(w*val) END AS grid_val FROM (SELECT obs_id, obs_date, CAST(FLOOR(x) + a AS INT) AS i, CAST(FLOOR(y) + b AS INT) AS j, (CASE WHEN a = 1 THEN x - FLOOR(x) ELSE 1 - (x - FLOOR(x)) END) * (CASE WHEN b = 1 THEN y - FLOOR(y) ELSE 1 - (y - FLOOR(y)) END) AS w
+ FROM (SELECT *, (lon+175)/10 AS x, (lat+85)/10 AS y FROM kept), (VALUES (0), (1)) AS p(a), (VALUES (0), (1)) AS q(b)) n LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = n.obs_date AND c.i = n.i AND c.j = n.j WHERE w > 0 GROUP BY obs_id) g USING (obs_id)""",
+}
+for _method, _sql in _SAMPLED.items():
+    R.add(
+        f"r12_region_spectra_{_method}", lambda s, d, method=_method: rounded(sp.track_spectra(_halves(s, d), view(s, d, "cells").where("product = 'glorys'"), -175.0, -85.0, 10.0, (36, 18), method, min_points=10, min_valid=0.8, bins=40), 5),
+        f"""WITH {_OF_HALVES}, good AS (SELECT track_id, obs_date, region_id, segment FROM segments GROUP BY ALL HAVING MAX(along_km)-MIN(along_km) >= 300 AND COUNT(*) >= 10 AND COUNT(val)/COUNT(*) > 0.8),
+ kept AS (SELECT track_id, obs_date, region_id, segment, obs_id, lon, lat, along_km, val AS own FROM segments JOIN good USING (track_id, obs_date, region_id, segment)), both_values AS ({_sql}),
+ pts AS (SELECT track_id, obs_date, region_id, segment, 'track' AS product, along_km, own AS val FROM both_values UNION ALL SELECT track_id, obs_date, region_id, segment, 'grid', along_km, grid_val FROM both_values),
+ {lines_sql('track_id, segment, region_id, product, obs_date', 'along_km', 10, 10.0)}, {average_sql('track_id, segment', 'region_id, product, obs_date', 40)} SELECT region_id, product, obs_date, bin, ROUND(k, 5) AS k, ROUND(psd, 5) AS psd, n FROM mean""", "obs", "cells",
+    )
