@@ -185,9 +185,13 @@ def sample_statistics(samples: DataFrame, max_samples: int | None = None) -> Dat
     return moments(d, ("variable",), "value").join(F.broadcast(q), "variable")
 
 
+#: What names a cell of a table of tiles.
+TILE_KEYS = ("obs_date", "region_id", "source", "variable", "i", "j")
+
+
 def compared_tiles(original: DataFrame, packed: DataFrame) -> DataFrame:
     """Cells of two tables of tiles side by side, the original and the stored value of each."""
-    keys = ["obs_date", "region_id", "source", "variable", "i", "j"]
+    keys = list(TILE_KEYS)
     return original.select(*keys, F.col("val").alias("orig")).join(packed.select(*keys, F.col("val").alias("packed")), keys)
 
 

@@ -60,6 +60,10 @@ R.add(
     "j5_bilinear", lambda s, d: rounded(m.bilinear(view(s, d, "obs"), _grid(s, d), -175.0, -85.0, 10.0)),
     f"WITH {_BILINEAR.format(where='')} SELECT obs_id, k.obs_date, CASE WHEN COUNT(val) = COUNT(*) THEN ROUND(SUM(w*val), 6) END AS grid_val FROM corners k LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = k.obs_date AND c.i = k.i AND c.j = k.j WHERE w > 0 GROUP BY 1, 2", "obs", "cells",
 )
+R.add(
+    "j5_stored_grid", lambda s, d: rounded(m.bilinear(view(s, d, "obs"), save_bucketed(_grid(s, d), buckets=8), -175.0, -85.0, 10.0)),
+    f"WITH {_BILINEAR.format(where='')} SELECT obs_id, k.obs_date, CASE WHEN COUNT(val) = COUNT(*) THEN ROUND(SUM(w*val), 6) END AS grid_val FROM corners k LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = k.obs_date AND c.i = k.i AND c.j = k.j WHERE w > 0 GROUP BY 1, 2", "obs", "cells",
+)
 R.add(
     "j6_bilinear_filled", lambda s, d: rounded(m.bilinear(view(s, d, "obs"), _grid(s, d), -175.0, -85.0, 10.0, fill=0.0, n_i=36, n_j=18)),
     f"WITH {_BILINEAR.format(where=' WHERE x BETWEEN 0 AND 35 AND y BETWEEN 0 AND 17')} SELECT obs_id, k.obs_date, ROUND(SUM(w*COALESCE(val, 0)), 6) AS grid_val FROM corners k LEFT JOIN cells c ON c.product = 'glorys' AND c.obs_date = k.obs_date AND c.i = k.i AND c.j = k.j WHERE w > 0 GROUP BY 1, 2", "obs", "cells",

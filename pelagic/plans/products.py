@@ -13,6 +13,7 @@ from ..operators import boxes as b
 from ..operators import gridding as g
 from ..operators import scans as sc
 from ..operators import statistics as st
+from ..sources.tables import save_bucketed
 from .boxes import DRAW, FRACTION, IOU_PAIRS
 from .common import Registry, rounded, written
 
@@ -139,6 +140,7 @@ _FORMATTED = f"""{_CELLS}, formatted AS (SELECT obs_date, region_id, product AS
 _COMPARED = f"{_FORMATTED}, compared AS (SELECT *, CASE WHEN variable = 'thetao' THEN ROUND_EVEN((ROUND(orig, 9) - 20)/0.001, 0)*0.001 + 20 ELSE ROUND_EVEN(ROUND(orig, 9)/0.0005, 0)*0.0005 END AS packed FROM formatted)"
 R.add("a51_reference_tiles", lambda s, d: rounded(_formatted(s, d).select("obs_date", "region_id", "source", "variable", "i", "j", "val")), f"WITH {_FORMATTED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 6) AS val FROM formatted", "cells")
 R.add("j11_compared_tiles", lambda s, d: rounded(st.compared_tiles(_formatted(s, d), _stored(s, d)), 9), f"WITH {_COMPARED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 9) AS orig, ROUND(packed, 9) AS packed FROM compared", "cells")
+R.add("j11_stored_tiles", lambda s, d: rounded(st.compared_tiles(*[save_bucketed(x.select("obs_date", "region_id", "source", "variable", "i", "j", "val"), st.TILE_KEYS, 8) for x in (_formatted(s, d), _stored(s, d))]), 9), f"WITH {_COMPARED} SELECT obs_date, region_id, source, variable, i, j, ROUND(orig, 9) AS orig, ROUND(packed, 9) AS packed FROM compared", "cells")
 
 
 

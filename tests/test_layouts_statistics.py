@@ -42,6 +42,17 @@ def test_stored_products_join_without_a_shuffle(spark, no_broadcast):
     assert m.both_valid(a, g).count() == m.both_valid(cells.withColumnRenamed("val", "value"), cells).count()
 
 
+def test_stored_tiles_compare_without_a_shuffle_and_a_stored_grid_stays_where_it_is(spark, no_broadcast):
+    place = [F.floor(F.col("id") / 648).cast("int"), F.floor(F.col("id") % 36 / 9).cast("int"), (F.col("id") % 36).cast("int"), F.floor(F.col("id") % 648 / 36).cast("int")]
+    cells = spark.range(3000).select(F.date_add(F.lit(DAY), place[0]).alias("obs_date"), place[1].alias("region_id"), F.lit("s").alias("source"), F.lit("v").alias("variable"), place[2].alias("i"), place[3].alias("j"), (F.col("id") * 1.0).alias("val"))
+    a, c = (tables.save_bucketed(x, st.TILE_KEYS, 4) for x in (cells, cells.withColumn("val", F.col("val") + 1)))
+    assert "Exchange" not in plan(st.compared_tiles(a, c)) and st.compared_tiles(a, c).where("packed - orig = 1").count() == 3000
+    points = spark.range(500).select(F.col("id").alias("obs_id"), F.date_add(F.lit(DAY), (F.col("id") % 3).cast("int")).alias("obs_date"), (F.col("id") % 300 - 150.5).alias("lon"), (F.col("id") % 100 - 50.25).alias("lat"))
+    grid = cells.select("obs_date", "i", "j", "val")
+    stored = m.bilinear(points, tables.save_bucketed(grid, buckets=4), -175.0, -85.0, 10.0)
+    assert plan(stored).count("Exchange hash") == plan(m.bilinear(points, grid, -175.0, -85.0, 10.0)).count("Exchange hash") - 1
+
+
 def test_stored_tiles_are_pruned(spark, tmp_path):
     cells = spark.range(2000).select(F.lit("l4_ssh").alias("product"), F.date_add(F.lit(DAY), (F.col("id") % 10).cast("int")).alias("obs_date"), (F.col("id") % 8).cast("int").alias("region_id"), (F.col("id") * 1.0).alias("val"))
     path = str(tmp_path / "tiles")
