@@ -121,7 +121,7 @@ def daily_mean_complete(hourly: DataFrame, hours: int, keys: tuple[str, ...] = (
     also: further columns with means of their own (the components of a wind). done: dates that exist and are left out.
     """
     hour = F.hour("obs_time")
-    hourly = hourly.join(F.broadcast(done.select("obs_date").distinct()), "obs_date", "left_anti") if done is not None else hourly
+    hourly = hourly.join(done.select("obs_date").distinct(), "obs_date", "left_anti") if done is not None else hourly
     full = hourly.groupBy("obs_date").agg(F.count_distinct(hour).alias("n_hours")).where(F.col("n_hours") >= hours).select("obs_date")
     return hourly.join(full, "obs_date", "left_semi").groupBy("obs_date", *keys).agg(F.avg(value).alias("value"), *[F.avg(c).alias(c) for c in also], F.count(value).alias("n"))
 

@@ -92,6 +92,27 @@ def _listed(s, d):
     return c.catalog_scan(view(s, d, "tiles"), "2024-01-08", "2024-01-12", [2, 3, 5])
 
 
+def _dated_inventory(s, d):
+    """The inventory as it was written, with the dates as text."""
+    path = f"{tables.shared_folder(s)}/inventory-{uuid4().hex}"
+    tables.write_inventory(view(s, d, "tiles"), path)
+    return s.read.parquet(path).select("file_id", "date_str")
+
+
+def _listed_files(s, d):
+    """The files of the stored tiles, by product, date and region of their folders."""
+    cells, path = _cells(s, d), f"{tables.shared_folder(s)}/tiles-{uuid4().hex}"
+    tables.write_tiles(cells, path, ("product", "obs_date", "region_id"))
+    found = tables.list_files(s, path, r"(\d{8})").select(*[F.regexp_extract("path", f"{c}=([^/]+)/", 1).alias(c) for c in ("product", "obs_date", "region_id")])
+    return found.groupBy("product", F.col("obs_date").cast("date").alias("obs_date"), F.col("region_id").cast("int").alias("region_id")).agg((F.count(F.lit(1)) > 0).alias("has_files"))
+
+
+R.add("s20_inventory_dates", _dated_inventory, "SELECT file_id, STRFTIME(obs_date, '%Y%m%d') AS date_str FROM tiles", "tiles")
+R.add("s13_listed_files", _listed_files, f"WITH {_CELLS} SELECT DISTINCT product, obs_date, region_id, TRUE AS has_files FROM c", "cells")
+R.add(
+    "s10_timed_series", lambda s, d: rounded(sc.multi_source_series(view(s, d, "obs").withColumns({"product": F.concat(F.lit("p"), F.col("obs_id") % 2), "region_id": geo.region_id(F.col("lon"), F.col("lat")), "obs_time": F.when(F.col("obs_id") % 3 > 0, F.col("obs_time"))}), ["p1"], "2024-01-03", "2024-01-06", region=5).select("obs_id", "obs_time", "val"), 10),
+    "SELECT obs_id, CASE WHEN obs_id % 3 > 0 THEN CAST(obs_time AS TIMESTAMP) ELSE CAST(obs_date AS TIMESTAMP) END AS obs_time, val FROM obs WHERE obs_id % 2 = 1 AND obs_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-06' AND FLOOR((lon+180)/90) + 4*FLOOR((lat+90)/90) = 5", "obs",
+)
 R.add("s3_stored_listing", lambda s, d: rounded(sc.load_listed(stored_tiles(s, d), _listed(s, d)), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE EXISTS (SELECT 1 FROM tiles t WHERE t.obs_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-12' AND source_id IN (2, 3, 5) AND t.obs_date = c.obs_date AND t.region_id = c.region_id)", "cells", "tiles")
 R.add("s6_stored_tile", lambda s, d: rounded(sc.load_tile(stored_tiles(s, d), "2024-01-10", 5, "glorys"), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE obs_date = DATE '2024-01-10' AND region_id = 5 AND product = 'glorys'", "cells")
 R.add("s7_stored_box", lambda s, d: rounded(sc.load_box(stored_tiles(s, d), "2024-01-10", geo.BBox(-100, 20, -10, 30), "l4_ssh"), 10), f"WITH {_CELLS} SELECT * REPLACE (ROUND(val, 10) AS val) FROM c WHERE obs_date = DATE '2024-01-10' AND region_id IN (0, 1, 2, 4, 5, 6) AND product = 'l4_ssh'", "cells")

@@ -179,7 +179,7 @@ def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: tuple[st
     def write(batch: DataFrame, number: int) -> None:
         spark, new = batch.sparkSession, batch.dropDuplicates([*keys, "file_id"])
         spark.createDataFrame([], batch.schema).write.mode("append").partitionBy(*keys).parquet(path)  # there from the start
-        there = spark.read.schema(batch.schema).parquet(path).join(F.broadcast(new.select(*keys).distinct()), list(keys), "left_semi")
+        there = spark.read.schema(batch.schema).parquet(path).join(new.select(*keys).distinct(), list(keys), "left_semi")
         merged = there.join(new, [*keys, "file_id"], "left_anti").unionByName(new)
         beside = f"{checkpoint}-merged/{number}"
         merged.write.mode("overwrite").parquet(beside)
