@@ -147,3 +147,36 @@ def test_the_labelled_sample_is_bounded_by_ids(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
     got = labelled_sample(docs, labels, "quality", 10).collect()
     assert {(r["doc_id"], r["text"], r["label"]) for r in got} <= {(1, "text 999", 1), (2, "two", 0)} and 1 <= len(got) <= 2
+
+
+def test_quality_statistics_one_by_one():
+    """Each statistic of a small text, counted by hand or by the plainest loop."""
+    text = "The cat cat sat.\n\nTHE DOG | ran!\nThe cat cat sat.\né#1 ...\nno end"
+    got = dict(zip(("upper", "digit", "space", "symbol", "stop", "mark", "beyond", "bars", "bangs", "words", "chars", "different", "top", "twice", "mean", "std", "longest", "capitals", "same_lines", "ended", "per_line"), quality_statistics([text])[0]))
+    raw, words, lines = text.encode(), text.split(), [x for x in text.split("\n") if x.strip()]
+    sizes = [len(w) for w in words]
+    mean = sum(sizes) / len(sizes)
+    want = {
+        "upper": sum(65 <= b <= 90 for b in raw) / len(raw), "digit": sum(48 <= b <= 57 for b in raw) / len(raw), "space": sum(chr(b).isspace() for b in raw if b < 128) / len(raw), "symbol": 2 / len(raw), "stop": 6 / len(raw), "mark": 0.0,
+        "beyond": 2 / len(raw), "bars": 1 / len(words), "bangs": 1 / len(words), "words": np.log1p(16), "chars": np.log1p(len(text)), "different": len(set(words)) / 16, "top": 4 / 16, "twice": 2 / 16,
+        "mean": mean, "std": (sum((x - mean) ** 2 for x in sizes) / 16) ** 0.5, "longest": 4, "capitals": 2 / 16, "same_lines": 1 - 4 / 5, "ended": 4 / 5, "per_line": 16 / 5,
+    }
+    assert len(words) == 16 and len(lines) == 5
+    for name, value in want.items():
+        assert np.isclose(got[name], value), name
+
+
+def test_toxic_features_one_by_one():
+    features = ToxicFeatures({"zorp": 2.0, "blub*": 1.5, "zorp*": 0.5})
+    names = ("fixed", "word", "start", "l_fixed", "l_word", "l_start", "odds", "l_odds", "you", "near", "near_share", "capitals", "marks", "masked", "odd", "stretched", "words")
+    text = "You idiot zorp! a b c d e f blubber you see ZORPING? 1d1ot m0ron i.d.i.o.t soooo"
+    got = dict(zip(names, features([text])[0]))
+    # words: You idiot zorp a b c d e f blubber you see ZORPING d ot m ron i d i o t soooo; odd: d1ot, m0ron, a b c d e f, i.d.i.o.t
+    n = 23
+    want = {
+        "fixed": 1 / n, "word": 1 / n, "start": 2 / n, "l_fixed": np.log(2), "l_word": np.log(2), "l_start": np.log(3), "odds": (2.0 + 1.5 + 0.5) / n, "l_odds": np.log1p(4.0),
+        "you": 2 / n, "near": 4 / n, "near_share": 1.0, "capitals": 8 / len(text), "marks": 2 / n, "masked": 1 / n, "odd": 4 / n, "stretched": 1 / n, "words": np.log1p(n),
+    }
+    for name, value in want.items():
+        assert np.isclose(got[name], value), (name, got[name] * n, value * n)
+    assert not features([""])[0].any()
