@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 ARROW_ROWS = 500
 #: Rows of a few numbers that are written as one file, rather than as many small ones as there are shuffle partitions.
 ROWS_PER_FILE = 100_000
+#: Rows of one key that a task may get in a join; keys with more meet their rows by broadcast.
+HEAVY_ROWS = 1_000_000
+#: Such keys that are broadcast at most.
+BROADCAST_KEYS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +54,21 @@ def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(df: DataFrame, of_keys: DataFrame, key: str, n: str, rows: int) -> DataFrame:
+    """df joined with of_keys, which has one row for each key of df; n counts about the rows of a key in df, rows is at least their largest sum.
+
+    A shuffle would send all rows of a key to one task. Keys of more than HEAVY_ROWS rows are broadcast instead and their
+    rows stay where they are. There are at most rows / HEAVY_ROWS of them; with more than BROADCAST_KEYS, AQE has to split them.
+    """
+    if rows <= HEAVY_ROWS:
+        return df.join(of_keys, key)
+    heavy = materialize(of_keys.where(F.col(n) > HEAVY_ROWS), "heavy-keys", 0)
+    if not 0 < heavy.count() <= BROADCAST_KEYS:
+        return df.join(of_keys, key)
+    rest = df.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return rest.join(of_keys, key).unionByName(df.join(F.broadcast(heavy), key))
+
+
 def set_aside(docs: DataFrame, prefix: str) -> tuple[DataFrame, dict[str, str]]:
     """docs with those columns renamed that begin with an operator's own prefix, and the names to give back."""
     taken = {c.lower() for c in docs.columns}

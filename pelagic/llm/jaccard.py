@@ -14,7 +14,9 @@ Hot parts. A part shared by more than GROUP sets gives no pairs. A set with h ho
 a pair needs m + 1 - min(h, h') other parts. Only where that is no more than none, both sets with more hot parts than the
 least slack of a partner, a link may show in hot parts alone. Such sets share m + 1 hot parts, hence, with all hot parts
 in one order, the rarest first, one of the first h - m of either: of these prefixes each part ties its sets to one of
-them.
+them. The task that reads the texts already knows many parts as hot, those that more than GROUP of its own sets share: of
+such a part it sends GROUP + 1 sets to the join, enough to show there that it is hot, and keeps the others out of it. A
+key of the join so has at most GROUP + 1 sets a task, and those that came alone in a flush of a task, which are not counted.
 
 Clusters. Pairs with parts enough, and sets tied by hot parts, are edges; a connected component of them, a cluster, holds
 every link of its sets. Sets travel to blocks of their cluster, of bounded sets and elements. There, pairs not yet
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from .common import materialize, small_batches
+from .common import join_counted, materialize, small_batches
 from .components import components
 
 SHINGLE = 5
@@ -50,6 +52,10 @@ BUCKET_ENTRIES = 500_000
 MAX_TASKS = 20_000
 #: Entries gathered in a worker before they are handed on.
 FLUSH_ENTRIES = 500_000
+#: Parts whose sets a task counts beyond a flush; with more of them it begins anew, and sends some parts' sets again.
+COUNTED_PARTS = 1_000_000
+#: Sets of hot parts in a row that goes past the join.
+LOOSE_ENTRIES = 50_000
 #: Sets and elements of a block of a cluster, about; a larger set is a block by itself.
 BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 20
 #: Typical sets of a slice of a large cluster that all blocks near it are compared with.
@@ -168,13 +174,41 @@ def _ids(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def keyed(docs: DataFrame, buckets: int) -> DataFrame:
-    """One pass over the texts, of two kinds of rows.
+class SentParts:
+    """How many sets of each part a task has sent to the join, up to one more than may share a part that is not hot."""
+
+    def __init__(self, group: int) -> None:
+        self.most = group + 1
+        self.parts, self.sent = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def sends(self, part: np.ndarray) -> np.ndarray:
+        """Which entries to send, of sorted parts with one entry for each set: the first of every part, up to most in all."""
+        start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        size = np.diff(np.r_[start, len(part)])
+        name, before = part[start], np.zeros(len(start), np.int64)
+        at = np.searchsorted(self.parts, name)
+        at[at == len(self.parts)] = 0
+        known = self.parts[at] == name if len(self.parts) else np.zeros(len(name), bool)
+        before[known] = self.sent[at[known]]
+        after = np.minimum(before + size, self.most)
+        self.sent[at[known]] = after[known]
+        new = ~known & (size > 1)  # most parts are of one set: these are not kept
+        parts, sent = np.r_[self.parts, name[new]], np.r_[self.sent, after[new]]
+        if len(parts) > COUNTED_PARTS:
+            parts, sent = parts[:0], sent[:0]
+        order = np.argsort(parts, kind="stable")
+        self.parts, self.sent = parts[order], sent[order]
+        return np.arange(len(part)) - np.repeat(start, size) < np.repeat(after - before, size)
+
+
+def keyed(docs: DataFrame, buckets: int, group: int = GROUP) -> DataFrame:
+    """One pass over the texts, of three kinds of rows.
 
     (doc_id, n, node) for every row of docs: the size and the class of its set; no class without words or without id.
-    (bucket, blob): emitted parts, as keys within the bucket (32 bits) and nodes (64 bits), one set of each class per partition.
+    (bucket, blob, false): emitted parts, as keys within the bucket (32 bits) and nodes (64 bits), one set of each class per partition.
+    (any bucket, blob, true): parts (64 bits) and nodes of those parts of which the partition has sent more than group nodes.
     """
-    names = ["bucket", "blob", "doc_id", "n", "node"]
+    names = ["bucket", "blob", "loose", "doc_id", "n", "node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -182,16 +216,28 @@ def keyed(docs: DataFrame, buckets: int) -> DataFrame:
         owners: list[np.ndarray] = []
         held = rows = 0
 
+        sent = SentParts(group)
+
         def flush() -> pa.RecordBatch:
             key, node = np.concatenate(keys), np.concatenate(owners)
             keys.clear(), owners.clear()
-            bucket = (key >> np.uint64(32)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            bucket, short, node = bucket[order], key[order].astype(np.uint32), node[order]
-            start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            part = (key >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | key & np.uint64(0xFFFFFFFF)
+            order = np.argsort(part, kind="stable")
+            part, node = part[order], node[order]
+            first = np.r_[True, (part[1:] != part[:-1]) | (node[1:] != node[:-1])]  # two keys of a set may be one here
+            part, node = part[first], node[first]
+            goes = sent.sends(part)
+            bucket, short = (part >> np.uint64(32)).astype(np.int64), part.astype(np.uint32)
+            hot, of = short[~goes].astype(np.int64) * buckets + bucket[~goes], node[~goes]
+            bucket, short, node = bucket[goes], short[goes], node[goes]
+            start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
             blobs = [short[a:b].tobytes() + node[a:b].tobytes() for a, b in zip(start, np.r_[start[1:], len(bucket)])]
-            none = pa.nulls(len(blobs), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(bucket[start].astype(np.int32)), pa.array(blobs, pa.binary()), none, none, none], names=names)
+            cuts = np.arange(0, len(hot), LOOSE_ENTRIES)
+            loose = [hot[a : a + LOOSE_ENTRIES].tobytes() + of[a : a + LOOSE_ENTRIES].tobytes() for a in cuts]
+            target = np.r_[bucket[start], (rows + cuts // LOOSE_ENTRIES) % buckets].astype(np.int32)
+            kinds = pa.array([False] * len(blobs) + [True] * len(loose))
+            none = pa.nulls(len(target), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(target), pa.array(blobs + loose, pa.binary()), kinds, none, none, none], names=names)
 
         for batch in batches:
             sizes, nodes = [], []
@@ -211,17 +257,17 @@ def keyed(docs: DataFrame, buckets: int) -> DataFrame:
                     yield flush()
             even = (rows + np.arange(len(sizes))) % buckets
             rows += len(sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(even.astype(np.int32)), pa.nulls(len(sizes), pa.binary()), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(even.astype(np.int32)), pa.nulls(len(sizes), pa.binary()), pa.nulls(len(sizes), pa.bool_()), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=names)
         if keys:
             yield flush()
 
-    return _ids(docs).mapInArrow(run, "bucket int, blob binary, doc_id long, n long, node long")
+    return _ids(docs).mapInArrow(run, "bucket int, blob binary, loose boolean, doc_id long, n long, node long")
 
 
 def shared_parts(rows: DataFrame, buckets: int, group: int) -> DataFrame:
     """The rows of documents, and (a, b, shared) of two kinds.
 
-    Pairs of nodes and how many parts of the bucket they share; (node, number of the part, minus its sets) for hot parts.
+    Pairs of nodes and how many parts of the bucket they share; (node, number of the part, -1) for hot parts, which may repeat.
     """
     names = ["doc_id", "n", "node", "a", "b", "shared"]
 
@@ -247,27 +293,32 @@ def shared_parts(rows: DataFrame, buckets: int, group: int) -> DataFrame:
                 i, j = np.triu_indices(g, 1)
                 pairs.append((members[:, i] << 32 | members[:, j]).ravel())
         pair, shared = np.unique(np.concatenate(pairs), return_counts=True)
-        sets = np.repeat(size, size)
-        hot = sets > group
+        hot = np.repeat(size, size) > group
         a, b = np.r_[names[pair >> 32], names[node[hot]]], np.r_[names[pair & 0xFFFFFFFF], key[hot] * np.int64(buckets) + bucket]
-        return [a, b, np.r_[shared, -sets[hot]]]
+        return [a, b, np.r_[shared, np.full(hot.sum(), -1)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(columns[0]), 200_000):
+                found = [pa.array(c[at : at + 200_000]) for c in columns]
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(found[0]), pa.int64())] * 3, *found], names=names)
+
         def made() -> Iterator[pa.RecordBatch]:
             if blobs:
-                columns = find(current, blobs)
-                for at in range(0, len(columns[0]), 200_000):
-                    found = [pa.array(c[at : at + 200_000]) for c in columns]
-                    yield pa.RecordBatch.from_arrays([*[pa.nulls(len(found[0]), pa.int64())] * 3, *found], names=names)
+                yield from given(find(current, blobs))
 
         current, blobs = -1, []
         for batch in batches:
             of_docs = batch.filter(batch.column("blob").is_null())
             if of_docs.num_rows:
                 yield pa.RecordBatch.from_arrays([*[of_docs.column(c) for c in names[:3]], *[pa.nulls(of_docs.num_rows, pa.int64())] * 3], names=names)
-            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
+            for bucket, blob, loose in zip(batch.column("bucket").to_pylist(), batch.column("blob"), batch.column("loose").to_pylist()):
                 if not blob.is_valid:
                     continue
+                if loose:
+                    part, node = np.frombuffer(blob.as_py(), np.int64).reshape(2, -1)
+                    yield from given([node, part, np.full(len(node), -1)])
+                    continue
                 if bucket != current:
                     yield from made()
                     current, blobs = bucket, []
@@ -342,10 +393,11 @@ class JaccardJoin:
         self.docs = docs
         size, rows = docs.agg(F.sum(F.octet_length("text").cast("long")), F.count(F.lit(1))).first()
         buckets = int(max(8, (size or 0) // (12 * BUCKET_ENTRIES)))  # an entry comes of some twelve bytes
-        found = materialize(shared_parts(keyed(docs, buckets), buckets, group), "jaccard-found")
+        found = materialize(shared_parts(keyed(docs, buckets, group), buckets, group), "jaccard-found")
         self.rows = found.where("a IS NULL").select("doc_id", "n", "node")
         self.pairs = found.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-        self.hot = found.where("shared < 0").select(F.col("a").alias("node"), F.col("b").alias("part"), (-F.col("shared")).alias("sets"))
+        hot = found.where("shared < 0").select(F.col("a").alias("node"), F.col("b").alias("part"))
+        self.hot, self.sharers = hot.distinct(), hot.groupBy("part").agg(F.count(F.lit(1)).alias("sets"))
         known = self.rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
         count = self.hot.groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
         self.nodes = materialize(known.join(count, "node", "left").withColumn("hot", F.coalesce("hot", F.lit(0))), "jaccard-classes", rows)
@@ -361,9 +413,11 @@ class JaccardJoin:
         pairs = sized.where("shared >= least(n_a, n_b) div 8 + 1 - least(hot_a, hot_b)").select("a", "b")
         spare = F.col("hot") - least_slack(F.col("n"))
         rank = F.row_number().over(Window.partitionBy("node").orderBy("sets", "part"))
-        prefix = self.hot.join(self.nodes.where(spare > 0).select("node", spare.alias("spare")), "node").withColumn("rank", rank).where("rank <= spare")
+        spared = self.hot.join(self.nodes.where(spare > 0).select("node", spare.alias("spare")), "node")
+        prefix = join_counted(spared, self.sharers, "part", "sets", self.ties).withColumn("rank", rank).where("rank <= spare")
         prefix = materialize(prefix.select("node", "part"), "jaccard-prefixes", self.ties)
-        ties = prefix.join(prefix.groupBy("part").agg(F.min("node").alias("tied")), "part").where("node != tied")
+        tied = prefix.groupBy("part").agg(F.min("node").alias("tied"), F.count(F.lit(1)).alias("sets"))
+        ties = join_counted(prefix, tied, "part", "sets", self.ties).where("node != tied")
         return pairs.unionByName(ties.select(F.col("tied").alias("a"), F.col("node").alias("b")).distinct())
 
     def clusters(self) -> DataFrame:

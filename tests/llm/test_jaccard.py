@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from pelagic.llm import jaccard
+from pelagic.llm import common, jaccard
 from pelagic.llm.components import components
 from pelagic.llm.jaccard import keep_first, near_duplicates
 
@@ -59,11 +59,15 @@ def families(seed):
     return [(3 * i + 1, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("seed,group,sets,elements,pivots", [(1, 32, 5, 1 << 20, 8), (2, 2, 5, 1 << 20, 1), (3, 8, 1000, 300, 2), (4, 1, 3, 200, 1)])
-def test_against_brute_force(spark, monkeypatch, seed, group, sets, elements, pivots):
+CASES = [(1, 32, 5, 1 << 20, 8, 500), (2, 2, 5, 1 << 20, 1, 10**6), (3, 8, 1000, 300, 2, 10**6), (4, 1, 3, 200, 1, 300)]
+
+
+@pytest.mark.parametrize("seed,group,sets,elements,pivots,flush", CASES)
+def test_against_brute_force(spark, monkeypatch, seed, group, sets, elements, pivots, flush):
     """Small groups make nearly every shared part hot, so that ties find the links; small blocks need both rounds."""
-    for name, value in (("BLOCK_SETS", sets), ("BLOCK_ELEMENTS", elements), ("PIVOTS", pivots)):
+    for name, value in (("BLOCK_SETS", sets), ("BLOCK_ELEMENTS", elements), ("PIVOTS", pivots), ("FLUSH_ENTRIES", flush)):
         monkeypatch.setattr(jaccard, name, value)
+    monkeypatch.setattr(common, "HEAVY_ROWS", 10 if group < 8 else 10**6)
     rows = families(seed)
     want = plain(rows)
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), group).collect()
@@ -125,3 +129,46 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(7, k) for k in range(8, 30)] + [(7, 7), (8, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 141)}, **{k: 7 for k in range(7, 30)}}
+
+
+@pytest.mark.parametrize("most", [10**6, 40])
+def test_sent_parts_against_a_loop(monkeypatch, most):
+    """No more than group + 1 sets of a part that two sets of a flush share, and never fewer than show that it is hot."""
+    monkeypatch.setattr(jaccard, "COUNTED_PARTS", most)
+    r, sent, times, total = np.random.default_rng(3), jaccard.SentParts(4), Counter(), Counter()
+    for _ in range(30):
+        part = np.sort(np.r_[np.repeat(np.arange(6), 2), r.integers(0, 10**4, 120)].astype(np.uint64))
+        goes = sent.sends(part)
+        times.update(part[goes].tolist())
+        total.update(part.tolist())
+    assert all(min(total[p], 5) <= times[p] for p in total)
+    assert most == 40 or all(times[p] <= 5 for p in range(6))
+
+
+def test_a_passage_of_all_texts_is_no_large_bucket(spark, monkeypatch):
+    """Every text holds the same passage: its parts send a few sets of each task to their buckets, and all sets past them."""
+    monkeypatch.setattr(jaccard, "FLUSH_ENTRIES", 20_000)
+    r, passage = random.Random(9), " ".join(f"p{k}" for k in range(60))
+    rows = [(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(40)) + " " + passage) for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = jaccard.keyed(docs, 8).where("blob IS NOT NULL").select("bucket", "blob", "loose").collect()
+    of_part, past = Counter(), Counter()
+    for bucket, blob, loose in got:
+        if loose:
+            past.update(np.frombuffer(blob, np.int64, len(blob) // 16).tolist())
+        else:
+            of_part.update((np.frombuffer(blob, np.uint32, len(blob) // 12).astype(np.int64) * 8 + bucket).tolist())
+    assert max(of_part.values()) <= 2 * (jaccard.GROUP + 1 + 5)  # of some five flushes, each may hold one set uncounted
+    assert max(past.values()) > 500 and all(of_part[p] > jaccard.GROUP for p in past)
+    assert near_duplicates(docs).where("component_id != doc_id").count() == 0
+
+
+def test_heavy_keys_meet_their_rows_by_broadcast(spark, monkeypatch):
+    rows = [(1, k) for k in range(50)] + [(k, k) for k in range(2, 20)]
+    frame = spark.createDataFrame(rows, "k long, v long")
+    of_keys = frame.groupBy("k").count()
+    want = sorted(map(tuple, frame.join(of_keys, "k").collect()))
+    for heavy, keys in ((10, 100), (10, 0), (60, 100), (1000, 100)):
+        monkeypatch.setattr(common, "HEAVY_ROWS", heavy)
+        monkeypatch.setattr(common, "BROADCAST_KEYS", keys)
+        assert sorted(map(tuple, common.join_counted(frame, of_keys, "k", "count", 68).collect())) == want
