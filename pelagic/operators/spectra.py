@@ -80,15 +80,17 @@ def _repeated(group: pd.DataFrame, keys: tuple[str, ...], n: int) -> dict[str, p
     return {c: pd.Series([group[c].iloc[0]] * n, dtype=object) for c in keys}
 
 
-def line_spectra(points: DataFrame, keys: tuple[str, ...], order: str, value: str, dx: float, min_points: int = 50) -> DataFrame:
-    """(keys, k, psd) of every line: values in order, gaps bridged, by psd_1d."""
+def line_spectra(points: DataFrame, keys: tuple[str, ...], order: str | tuple[str, ...], value: str, dx: float, min_points: int = 50) -> DataFrame:
+    """(keys, k, psd) of every line: values in order (no two rows of a line alike in it, or the spectrum is not defined), gaps bridged, by psd_1d."""
+    by = [order] if isinstance(order, str) else list(order)
+
     def run(line: pd.DataFrame) -> pd.DataFrame:
-        v = line.sort_values(order)[value].to_numpy(float)
+        v = line.sort_values(by, kind="stable")[value].to_numpy(float)
         ok = np.isfinite(v)
         k, p = psd_1d(np.interp(np.arange(len(v)), np.flatnonzero(ok), v[ok]), dx, min_points) if ok.sum() > 1 else (np.zeros(0), np.zeros(0))
         return pd.DataFrame({**_repeated(line, keys, len(k)), "k": k, "psd": p})
 
-    return points.select(*keys, order, value).groupBy(*keys).applyInPandas(lambda g: run(g), f"{_fields(points, keys)}, k double, psd double")
+    return points.select(*keys, *by, value).groupBy(*keys).applyInPandas(lambda g: run(g), f"{_fields(points, keys)}, k double, psd double")
 
 
 def grid_rows_spectra(cells: DataFrame, keys: tuple[str, ...], n_i: int, dx: float, value: str = "val") -> DataFrame:
@@ -160,5 +162,5 @@ def track_spectra(obs: DataFrame, grid: DataFrame, lon0: float, lat0: float, ste
         sampled = kept.join(at, ["obs_id", "obs_date"], "left")
     products = F.explode(F.array(F.struct(F.lit("track").alias("product"), F.col("val").alias("value")), F.struct(F.lit("grid").alias("product"), F.col("grid_val").alias("value"))))
     own = (*keys, "track_id", "segment", "product", "obs_date")
-    lines = line_spectra(sampled.withColumn("p", products).select(*line, "segment", "along_km", "p.*"), own, "along_km", "value", dx, min_points)
+    lines = line_spectra(sampled.withColumn("p", products).select(*line, "segment", "along_km", "obs_id", "p.*"), own, ("along_km", "obs_id"), "value", dx, min_points)
     return average_spectra(lines, ("track_id", "segment"), (*keys, "product", "obs_date"), bins)

@@ -229,7 +229,7 @@ def _segment_spectra(s, d):
     sampled = m.right_neighbour(segments.join(good, ["track_id", "obs_date", "segment"], "left_semi"), view(s, d, "cells").where("product = 'glorys'"), -175.0, -85.0, 10.0, 36, 18)
     products = F.explode(F.array(F.struct(F.lit("track").alias("product"), F.col("val").alias("value")), F.struct(F.lit("grid").alias("product"), F.col("grid_val").alias("value"))))
     keys = ("track_id", "segment", "product", "obs_date")
-    lines = sp.line_spectra(sampled.withColumn("p", products).select("track_id", "segment", "obs_date", "lat", "obs_id", "along_km", "p.*"), keys, "along_km", "value", 10.0, 16)
+    lines = sp.line_spectra(sampled.withColumn("p", products).select("track_id", "segment", "obs_date", "obs_id", "along_km", "p.*"), keys, ("along_km", "obs_id"), "value", 10.0, 16)
     return rounded(sp.average_spectra(lines, ("track_id", "segment"), ("product", "obs_date"), 40), 5)
 
 
