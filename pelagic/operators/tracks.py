@@ -71,10 +71,13 @@ def every_nth(frame: DataFrame, n: int, order: tuple[str, ...], keys: tuple[str,
 
 
 def fill_gaps(frame: DataFrame, keys: tuple[str, ...], at: str, value: str) -> DataFrame:
-    """Linear interpolation between the nearest values on either side; constant beyond the ends."""
-    w = Window.partitionBy(*keys).orderBy(at)
+    """Linear interpolation between the nearest values on either side; constant beyond the ends.
+
+    What follows is found by a running window in the other order: one that reaches ahead to the end costs the square of a group.
+    """
+    w, back = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc(at), F.desc(at)))
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("at"), F.col(value).alias("v")))
-    d = frame.withColumn("__a", F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__b", F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    d = frame.withColumn("__a", F.last(known, True).over(w)).withColumn("__b", F.last(known, True).over(back))
     line = F.col("__a.v") + (F.col("__b.v") - F.col("__a.v")) * (F.col(at) - F.col("__a.at")) / (F.col("__b.at") - F.col("__a.at"))
     return d.withColumn("filled", F.when(F.col("__a").isNull(), F.col("__b.v")).when(F.col("__b").isNull() | (F.col("__b.at") == F.col("__a.at")), F.col("__a.v")).otherwise(line)).drop("__a", "__b")
 
