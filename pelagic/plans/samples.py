@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..dims import region_boxes
 from ..fixtures import view
+from ..operators import boxes as b
 from ..operators import matching as m
 from ..operators import samples as p
 from ..operators import spectra as sp
@@ -44,16 +45,26 @@ R.add(
 )
 
 
-def _sample_cells(s, d):
-    """Observations as cells of two sources, their tiles, and the patches of all boxes."""
+def _sample_cells(s, d, boxes):
+    """Observations as cells of two sources, their tiles, and the patches of boxes."""
     cells = view(s, d, "obs").withColumns({"source_id": (F.col("obs_id") % 2).cast("int"), "variable": F.concat(F.lit("v"), F.col("obs_id") % 2)}).withColumn("val", F.when(F.col("source_id") == 1, F.col("val") + 273.15).otherwise(F.col("val")))
     tiles = with_cells(cells, 10.0).groupBy("source_id", "obs_date", "region_id").agg(F.min("obs_id").alias("file_id"))
-    return p.sample_cells(view(s, d, "boxes"), cells, tiles, s.range(2).select(F.col("id").cast("int").alias("source_id")), region_boxes(s), {"v1": -273.15}, 4, 8)
+    return p.sample_cells(boxes, cells, tiles, s.range(2).select(F.col("id").cast("int").alias("source_id")), region_boxes(s), {"v1": -273.15}, 4, 8)
 
 
-def _samples(s, d):
+def _samples(s, d, boxes):
     names = view(s, d, "obs").select(F.concat(F.lit("v"), F.col("obs_id") % 2).alias("variable"))
-    return p.assemble(view(s, d, "boxes"), names, _sample_cells(s, d), 8)
+    return p.assemble(boxes, names, _sample_cells(s, d, boxes), 8)
+
+
+def _sample_values(s, d):
+    """A row per box, variable and value; what boxes have in common is worked out and rounded once."""
+    def run(boxes):
+        shown = [F.transform(c, lambda x: F.round(x.cast("double"), n)).alias(c) for c, n in (("data", 3), ("lons", 6), ("lats", 6))]  # noqa: B023
+        return _samples(s, d, boxes).select("query_id", "variable", "present", "n_files", *shown)
+
+    one = b.for_equal_boxes(view(s, d, "boxes"), run).select("query_id", "variable", "present", "n_files", "lons", "lats", F.posexplode("data").alias("k", "value"))
+    return one.select("query_id", "variable", "present", "n_files", "k", "value", F.col("lons")[F.col("k") % 8].alias("lon"), F.col("lats")[F.floor(F.col("k") / 8).cast("int")].alias("lat"))
 
 
 _SAMPLES = f"""{_TAPS.format(a='i', n=4, m=8)}, {_TAPS.format(a='j', n=4, m=8)}, hits AS (SELECT query_id, 'v' || (obs_id % 2) AS variable, LEAST(3, FLOOR((lon-lon_min)/((lon_max-lon_min)/4)))::INT AS i, LEAST(3, FLOOR((lat-lat_min)/((lat_max-lat_min)/4)))::INT AS j, AVG(val) AS val
@@ -65,13 +76,20 @@ _SAMPLES = f"""{_TAPS.format(a='i', n=4, m=8)}, {_TAPS.format(a='j', n=4, m=8)},
  DENSE_RANK() OVER (ORDER BY q.query_id) - 1 AS number FROM boxes q CROSS JOIN (VALUES ('v0'), ('v1')) AS v(variable) CROSS JOIN range(64) AS t(k) LEFT JOIN own ON own.query_id = q.query_id AND own.variable = v.variable AND own.k = t.k
  LEFT JOIN (SELECT DISTINCT query_id, variable FROM own) own2 ON own2.query_id = q.query_id AND own2.variable = v.variable LEFT JOIN files f ON f.query_id = q.query_id AND f.variable = v.variable)"""
 R.add(
-    "r2_samples", lambda s, d: rounded(_samples(s, d).select("query_id", "variable", "present", "n_files", "lons", "lats", F.posexplode("data").alias("k", "value")).select("query_id", "variable", "present", "n_files", "k", F.round(F.col("value").cast("double"), 3).alias("value"), F.col("lons")[F.col("k") % 8].alias("lon"), F.col("lats")[F.floor(F.col("k") / 8).cast("int")].alias("lat"))),
+    "r2_samples", _sample_values,
     f"WITH {_SAMPLES} SELECT query_id, variable, present, CAST(n_files AS BIGINT) AS n_files, CAST(k AS INT) AS k, ROUND(value::FLOAT::DOUBLE, 3) AS value, ROUND(lon, 6) AS lon, ROUND(lat, 6) AS lat FROM samples", "boxes", "obs",
 )
 
 
+def _numbered_boxes(s, d):
+    boxes, cut = view(s, d, "boxes"), written(s)
+    return cut(boxes.join(p.numbered(boxes, "query_id", cut), "query_id"))
+
+
 def _batches(s, d):
-    one = p.collate(_samples(s, d), 8, written(s)).select("batch", "variable", "top_h", "top_w", F.col("lons")[0].alias("lon"), F.posexplode(F.arrays_zip("query_ids", "present", "data", "bboxes", "time_ranges")).alias("place", "s"))
+    cut = written(s)
+    samples = b.for_equal_boxes(_numbered_boxes(s, d), lambda boxes: cut(_samples(s, d, boxes)), "number")
+    one = p.collate(samples, 8, cut).select("batch", "variable", "top_h", "top_w", F.col("lons")[0].alias("lon"), F.posexplode(F.arrays_zip("query_ids", "present", "data", "bboxes", "time_ranges")).alias("place", "s"))
     return one.select("batch", "variable", "top_h", "top_w", "lon", "place", F.col("s.query_ids").alias("query_id"), F.col("s.present").alias("present"), F.round(F.aggregate(F.col("s.data"), F.lit(0.0), lambda a, x: a + x), 2).alias("total"), F.col("s.bboxes")[0].alias("lon_min"), F.col("s.time_ranges")[1].alias("date_end"))
 
 
@@ -84,13 +102,13 @@ R.add(
 _SOURCES = [(0, 2.5, None, None), (1, 2.0, 6, 7), (2, 5.0, None, 3)]
 
 
-def _patches(s, d, how: str):
-    """Observations as cells of three sources of different resolution, and the patches of all boxes over their days."""
+def _patches(s, d, how: str, boxes):
+    """Observations as cells of three sources of different resolution, and the patches of boxes over their days."""
     source = (F.col("obs_id") % 3).cast("int")
     cells = view(s, d, "obs").withColumns({"source_id": source, "variable": F.concat(F.lit("v"), source)}).withColumn("val", F.when(F.col("source_id") == 1, F.col("val") + 273.15).otherwise(F.col("val")))
     tiles = with_cells(cells, 10.0).groupBy("source_id", "obs_date", "region_id").agg(F.min("obs_id").alias("file_id"))
     sources = s.createDataFrame(_SOURCES, "source_id int, resolution double, h int, w int")
-    return p.sample_patches(view(s, d, "boxes"), cells, tiles, sources, region_boxes(s), {"v1": -273.15}, how)
+    return p.sample_patches(boxes, cells, tiles, sources, region_boxes(s), {"v1": -273.15}, how)
 
 
 _PATCH_VALUES = {"first": "ARG_MIN(val, obs_date)", "last": "ARG_MAX(val, obs_date)", "mean": "AVG(val)"}
@@ -117,14 +135,15 @@ def patches_sql(how: str) -> str:
 
 
 def _patch_batches(s, d):
-    samples = p.assemble_patches(view(s, d, "boxes"), view(s, d, "obs").select(F.concat(F.lit("v"), F.col("obs_id") % 3).alias("variable")), _patches(s, d, "stack"), (6, 7))
-    one = p.collate_patches(samples, 8, written(s)).select("batch", "variable", "top_t", "top_h", "top_w", F.size("bboxes").alias("n_queries"), F.explode(F.arrays_zip("query_ids", "data")).alias("s"))
+    names, cut = view(s, d, "obs").select(F.concat(F.lit("v"), F.col("obs_id") % 3).alias("variable")), written(s)
+    samples = b.for_equal_boxes(_numbered_boxes(s, d), lambda boxes: cut(p.assemble_patches(boxes, names, _patches(s, d, "stack", boxes), (6, 7))), "number")
+    one = p.collate_patches(samples, 8, cut).select("batch", "variable", "top_t", "top_h", "top_w", F.size("bboxes").alias("n_queries"), F.explode(F.arrays_zip("query_ids", "data")).alias("s"))
     return one.select("batch", "variable", "top_t", "top_h", "top_w", "n_queries", F.col("s.query_ids").alias("query_id"), F.posexplode("s.data").alias("k", "value")).withColumn("value", F.round(F.col("value").cast("double"), 3))
 
 
 for _how in ("first", "last", "mean", "stack"):
     R.add(
-        f"r2_patches_{_how}", lambda s, d, how=_how: rounded(_patches(s, d, how).drop("n_files"), 7),
+        f"r2_patches_{_how}", lambda s, d, how=_how: b.for_equal_boxes(view(s, d, "boxes"), lambda boxes: rounded(_patches(s, d, how, boxes).drop("n_files"), 7)),
         f"WITH {patches_sql(_how)} SELECT query_id, variable, n_t, h, w, t, i, j, ROUND(value, 7) AS value FROM patches", "boxes", "obs",
     )
 R.add(
@@ -134,8 +153,17 @@ R.add(
  SELECT batch, shapes.variable, top_t, top_h, top_w, n_queries, shapes.query_id, CAST(k AS INT) AS k, ROUND(COALESCE(value, 0)::FLOAT::DOUBLE, 3) AS value FROM shapes JOIN tops USING (batch, variable) JOIN sizes USING (batch) JOIN range(2000) AS r(k) ON k < top_t*top_h*top_w
  LEFT JOIN patches p ON p.query_id = shapes.query_id AND p.variable = shapes.variable AND p.t = k // (top_h*top_w) AND p.j = k // top_w % top_h AND p.i = k % top_w""", "boxes", "obs",
 )
+
+
+def _statistics(s, d):
+    """A class of equal boxes counts as often as it has members."""
+    classes = b.equal_boxes(view(s, d, "boxes"))
+    cells = _sample_cells(s, d, classes.drop("n_boxes")).join(classes.select("query_id", "n_boxes"), "query_id")
+    return rounded(st.sample_statistics(cells, weight="n_boxes"), 5)
+
+
 R.add(
-    "a15_sample_statistics", lambda s, d: rounded(st.sample_statistics(_sample_cells(s, d)), 5),
+    "a15_sample_statistics", _statistics,
     f"WITH {_SAMPLES} SELECT variable, ROUND(AVG(value), 5) AS mean, ROUND(STDDEV_POP(value), 5) AS std, ROUND(VAR_POP(value), 5) AS var, ROUND(MIN(value), 5) AS min, ROUND(MAX(value), 5) AS max, COUNT(value) AS count, ROUND(QUANTILE_CONT(value, 0.02), 5) AS p_low, ROUND(QUANTILE_CONT(value, 0.98), 5) AS p_high FROM own WHERE value IS NOT NULL GROUP BY 1", "boxes", "obs",
 )
 
