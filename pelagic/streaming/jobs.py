@@ -7,8 +7,10 @@ Rows older than the watermark are dropped by Spark (late_rows counts them); stat
 from __future__ import annotations
 
 from collections import Counter
+from heapq import merge
 from math import asin, cos, exp, floor, log, radians, sin, sqrt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +69,17 @@ def stateful(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+#: Rows that wait, as they are kept; rows sorted at once, of a block read at once, and of segments given at once.
+ROW = np.dtype([("time", "<i8"), ("id", "<i8"), ("lat", "<f8"), ("lon", "<f8")])
+RUN, BLOCK, GIVEN = 131_072, 2_048, 10_000
+
+
 class TrackSegments(StatefulProcessor):
     """Segments of a track in the order of time: a step longer than `times` the median of the positive steps so far begins a new one.
 
-    A row waits until the watermark has passed it, so that rows are taken in order however they came. The steps so far are
+    A row waits until the watermark has passed it, so that rows are taken in order however they came. What waits is kept in
+    sorted runs of some RUN rows, in blocks, and merged block by block: a worker holds a run and a block of each other one, however
+    many rows a track has. Runs with room for each other become one. The steps so far are
     a histogram by their logarithm (some percent wide), so that the state of a track is bounded by what waits. A segment is
     given once: when the next one begins, or, if no row came for `idle`, by a timer.
     """
@@ -80,50 +89,100 @@ class TrackSegments(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "time long, id long, lat double, lon double")
+        self.runs = handle.getMapState("runs", "run int", "block int, blocks int, skip int, n long, low long")  # what is left: from a row of a block on
+        self.blocks = handle.getMapState("blocks", "run int, block int", "rows binary")
         self.open = handle.getValueState("open", "number int, n long, first long, last long, lat double, lon double, lat_min double, lat_max double")
         self.steps = handle.getMapState("steps", "bin int", "n long")
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        new = [tuple(r) for frame in rows for r in frame[["time", "id", "lat", "lon"]].itertuples(index=False)]
-        held = [*(tuple(r) for r in self.waiting.get()), *new]
-        return iter(self._taken(key, held, timerValues.getCurrentWatermarkInMs()))
+        self._hold(rows)
+        return self._taken(key, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        return iter(self._taken(key, [tuple(r) for r in self.waiting.get()], timerValues.getCurrentWatermarkInMs()))
-
-    def _taken(self, key, held, watermark):
-        ready, later = sorted(r for r in held if r[0] <= watermark * 1000), [r for r in held if r[0] > watermark * 1000]
+        return self._taken(key, timerValues.getCurrentWatermarkInMs())
+
+    def _held(self) -> dict[int, tuple]:
+        return {k[0]: tuple(v) for k, v in self.runs.iterator()}
+
+    def _hold(self, frames) -> None:
+        new, n = [], 0
+        for frame in frames:
+            rows = np.empty(len(frame), ROW)
+            for c in ROW.names:
+                rows[c] = frame[c].to_numpy()
+            new.append(rows)
+            n += len(rows)
+            if n >= RUN:
+                self._keep(new)
+                new, n = [], 0
+        if not n:
+            return
+        for run, left in sorted(self._held().items(), key=lambda r: r[1][3]):
+            if n + left[3] > RUN:
+                break
+            new += [np.frombuffer(b, ROW) for b in self._blocks_of(run, *left[:3])]
+            n += left[3]
+            self.runs.removeKey((run,))
+        self._keep(new)
+
+    def _keep(self, arrays: list[np.ndarray]) -> None:
+        rows = np.concatenate(arrays)
+        rows = rows[np.lexsort([rows[c] for c in reversed(ROW.names)])]
+        run, blocks = max(self._held(), default=-1) + 1, -(-len(rows) // BLOCK)
+        for k in range(blocks):
+            self.blocks.updateValue((run, k), (rows[k * BLOCK : (k + 1) * BLOCK].tobytes(),))
+        self.runs.updateValue((run,), (0, blocks, 0, len(rows), int(rows["time"][0])))
+
+    def _blocks_of(self, run: int, block: int, blocks: int, skip: int):
+        """What is left of a run, block by block; each goes from the state when the next one is asked for."""
+        for k in range(block, blocks):
+            yield bytes(self.blocks.getValue((run, k))[0])[(skip if k == block else 0) * ROW.itemsize :]
+            self.blocks.removeKey((run, k))
+
+    def _ready(self, run: int, left: tuple, limit: int):
+        """Rows of a run up to a time; what is left of it then is noted."""
+        block, blocks, skip, n, _ = left
+        for data in self._blocks_of(run, block, blocks, skip):
+            for k, row in enumerate(np.frombuffer(data, ROW).tolist()):
+                if row[0] > limit:
+                    self.runs.updateValue((run,), (block, blocks, skip + k, n - k, row[0]))
+                    return
+                yield row
+            block, skip, n = block + 1, 0, n - len(data) // ROW.itemsize
+        self.runs.removeKey((run,))
+
+    def _taken(self, key, watermark):
+        limit = watermark * 1000
         segment = list(self.open.get()) if self.open.exists() else None
-        bins = Counter({b[0]: n[0] for b, n in self.steps.iterator()})
-        out = []
-        for time, _, lat, lon in ready:
+        steps = Steps({b[0]: n[0] for b, n in self.steps.iterator()})
+        columns, out = ["track_id", "segment", "n", "started", "ended", "lat_min", "lat_max"], []
+        for time, _, lat, lon in merge(*[self._ready(run, left, limit) for run, left in self._held().items() if left[4] <= limit]):
             step = km_between(segment[5], segment[4], lon, lat) if segment else 0.0
-            if segment and step > self.times * median_of(bins):
+            if segment and step > self.times * steps.median():
                 out.append([key[0], *segment[:4], *segment[6:]])
                 segment = [segment[0] + 1, 0, time, time, lat, lon, lat, lat]
+                if len(out) == GIVEN:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
             if step > 0:
-                bins[step_bin(step)] += 1
+                steps.add(step_bin(step))
             segment = segment or [0, 0, time, time, lat, lon, lat, lat]
             segment = [segment[0], segment[1] + 1, segment[2], time, lat, lon, min(segment[6], lat), max(segment[7], lat)]
-        if segment and segment[1] and not later and watermark * 1000 >= segment[3] + self.idle_ms * 1000:
+        later = min((left[4] for left in self._held().values()), default=None)
+        if segment and segment[1] and later is None and limit >= segment[3] + self.idle_ms * 1000:
             out.append([key[0], *segment[:4], *segment[6:]])
             segment = [segment[0] + 1, 0, *segment[2:]]
-        for b, n in bins.items():
-            self.steps.updateValue((b,), (n,))
-        if later:
-            self.waiting.put(later)
-        elif self.waiting.exists():
-            self.waiting.clear()
+        for b in steps.changed:
+            self.steps.updateValue((b,), (steps.bins[b],))
         if segment:
             self.open.update(tuple(segment))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if later:
-            self.handle.registerTimer(max(watermark + 1, min(r[0] for r in later) // 1000 + 1))
+        if later is not None:
+            self.handle.registerTimer(max(watermark + 1, later // 1000 + 1))
         elif segment and segment[1]:
             self.handle.registerTimer(max(watermark + 1, segment[3] // 1000 + self.idle_ms))
-        yield pd.DataFrame(out, columns=["track_id", "segment", "n", "started", "ended", "lat_min", "lat_max"])
+        yield pd.DataFrame(out, columns=columns)
 
     def close(self) -> None:
         pass
@@ -149,6 +208,35 @@ def median_of(bins: Counter) -> float:
     return float("inf")
 
 
+class Steps:
+    """A histogram of steps whose median (median_of) is kept up to date."""
+
+    def __init__(self, bins: dict[int, int]) -> None:
+        self.bins, self.changed = Counter(bins), set()
+        self.total, self.at, self.below = self.bins.total(), min(bins, default=None), 0  # below: steps in bins before `at`
+
+    def add(self, b: int) -> None:
+        self.bins[b] += 1
+        self.changed.add(b)
+        self.total += 1
+        if self.at is None:
+            self.at = b
+        elif b < self.at:
+            self.below += 1
+
+    def median(self) -> float:
+        if not self.total:
+            return float("inf")
+        half = (self.total + 1) // 2
+        while self.below >= half:
+            self.at -= 1
+            self.below -= self.bins.get(self.at, 0)
+        while self.below + self.bins.get(self.at, 0) < half:
+            self.below += self.bins.get(self.at, 0)
+            self.at += 1
+        return exp((self.at + 1) * STEP_BIN)
+
+
 def track_segments(stream: DataFrame, times: float = 3.0, idle: str = "6 hours", delay: str = "1 day", track: str = "track_id", id_: str = "obs_id") -> DataFrame:
     """(track, segment, n, started, ended, lat_min, lat_max) of every segment that is over, in append mode (see TrackSegments)."""
     stateful(stream.sparkSession)

@@ -4,6 +4,8 @@ import datetime as dt
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from pelagic.streaming import jobs
@@ -92,3 +94,83 @@ def test_late_rows_are_counted(spark, tmp_path):
     query = start()
     query.awaitTermination()
     assert jobs.late_rows(query) == 2
+
+
+def test_running_median_of_steps():
+    r = np.random.default_rng(3)
+    steps, every = jobs.Steps({}), Counter()
+    assert steps.median() == float("inf")
+    for k, b in enumerate(r.integers(-40, 40, 500)):
+        steps.add(int(b))
+        every[int(b)] += 1
+        if k == 250:
+            steps = jobs.Steps(dict(every))
+        assert steps.median() == jobs.median_of(every)
+
+
+class InMemory:
+    """A map, value and timers as the state's handle gives them."""
+
+    def __init__(self):
+        self.kept, self.reads, self.value, self.timers = {}, [], None, set()
+
+    def getMapState(self, *_):  # noqa: N802
+        return InMemory()
+
+    getValueState = getMapState  # noqa: N815
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.kept[key] = value
+
+    def getValue(self, key):  # noqa: N802
+        self.reads.append(key)
+        return self.kept[key]
+
+    def removeKey(self, key):  # noqa: N802
+        del self.kept[key]
+
+    def iterator(self):
+        return iter(list(self.kept.items()))
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def listTimers(self):  # noqa: N802
+        return list(self.timers)
+
+    def registerTimer(self, t):  # noqa: N802
+        self.timers.add(t)
+
+    def deleteTimer(self, t):  # noqa: N802
+        self.timers.discard(t)
+
+
+def test_waiting_rows_are_merged_from_sorted_runs(monkeypatch):
+    monkeypatch.setattr(jobs, "RUN", 100)
+    monkeypatch.setattr(jobs, "BLOCK", 16)
+    monkeypatch.setattr(jobs, "GIVEN", 3)
+    data = [r for r in rows(0, 6000, 4) if r[1] == 0]
+    mixed = [data[k] for k in np.random.default_rng(1).permutation(len(data))]
+    micros = lambda t: (t - START) // dt.timedelta(microseconds=1)
+    frame = lambda part: pd.DataFrame([(micros(r[2]), r[0], r[4], r[3]) for r in part], columns=["time", "id", "lat", "lon"])
+    state, got, most = jobs.TrackSegments(3.0, 6 * 3_600_000), [], 0
+    state.init(InMemory())
+    last = max(micros(r[2]) for r in data) // 1000
+    watermarks = [-1, last // 3, last // 2, last // 2, last + 7 * 3_600_000]
+    for k, watermark in enumerate(watermarks):
+        part = [r for r in mixed[k::4]] if k < 4 else []
+        state._hold(iter([frame([r for r in part if micros(r[2]) > watermarks[k - 1] * 1000 or k == 0][i : i + 40]) for i in range(0, len(part), 40)]))
+        most = max(most, len(state.blocks.kept))
+        got += [tuple(x) for d in state._taken((data[0][1],), watermark) for x in d.itertuples(index=False)]
+    assert most > 20 and not state.blocks.kept and not state.runs.kept
+    taken, seen = [], -1
+    for k, watermark in enumerate(watermarks[:4]):
+        taken += [r for r in mixed[k::4] if k == 0 or micros(r[2]) > watermarks[k - 1] * 1000]
+    want = plain_segments(taken, 3.0, dt.timedelta(hours=6), max(r[2] for r in data) + dt.timedelta(days=1))
+    assert len(want) > 10 and sorted((x[1], x[2], x[3], x[4]) for x in got) == [(w[1], w[2], micros(w[3]), micros(w[4])) for w in want]
